@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # FIXED VALUES: published constants of the Lambert-93 projection.
@@ -42,6 +42,35 @@ def lambert93_to_wgs84(x: Column, y: Column) -> tuple[Column, Column]:
     return (F.when(ok, lon), F.when(ok, lat))
 
 
+def with_wgs84(df: DataFrame, x: Column, y: Column, lon: str = "longitude", lat: str = "latitude",
+               decimals: int | None = None) -> DataFrame:
+    """Add guarded longitude/latitude columns to ``df`` in stages.
+
+    Each stage is its own projection; Catalyst does not inline a costly
+    expression that the next stage references several times, so the
+    generated code stays small (one copy of the iteration per row)."""
+    t = "__l93"
+    out = df.withColumns({f"{t}x": x, f"{t}y": y})
+    dx, dy = F.col(f"{t}x") - F.lit(XS), F.col(f"{t}y") - F.lit(YS)
+    out = out.withColumns({
+        f"{t}g": F.atan(dx / (-dy)),
+        f"{t}el": F.exp(-F.log(F.sqrt(dx * dx + dy * dy) / F.lit(C)) / F.lit(N)),
+    })
+    el = F.col(f"{t}el")
+    phi = F.lit(2.0) * F.atan(el) - F.lit(math.pi / 2)
+    for _ in range(ITERATIONS):
+        phi = F.lit(2.0) * F.atan(F.exp(F.lit(E) * F.atanh(F.lit(E) * F.sin(phi))) * el) - F.lit(math.pi / 2)
+    ok = F.col(f"{t}x").isNotNull() & F.col(f"{t}y").isNotNull()
+    out = out.withColumns({
+        f"{t}lon": F.when(ok, F.lit(LON0_DEG) + F.degrees(F.col(f"{t}g") / F.lit(N))),
+        f"{t}lat": F.when(ok, F.degrees(phi)),
+    })
+    glo, gla = valid_coordinates(F.col(f"{t}lon"), F.col(f"{t}lat"))
+    if decimals is not None:
+        glo, gla = F.round(glo, decimals), F.round(gla, decimals)
+    return out.withColumns({lon: glo, lat: gla}).drop(*[f"{t}{k}" for k in ("x", "y", "g", "el", "lon", "lat")])
+
+
 def valid_coordinates(lon: Column, lat: Column) -> tuple[Column, Column]:
     """Null both coordinates when either is out of range (|lat| > 90 or
     |lon| > 180, infinities and NaN included)."""

@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     age_band, age_years, band_from_edges, department_from_commune, headcount_category,
-    lambert93_to_wgs84, try_double, valid_coordinates,
+    try_double,
 )
+from ..functions.geo import with_wgs84
 from ..operators.groups import SaltPlan
 from ..operators.star import bounded
 from ..rules import bands
@@ -62,6 +63,7 @@ ACCTBAL_BAND_WIDTH = 687.5
 ACCTBAL_OFFSET = 1000.0
 REF_DATE = "2002-01-01"
 FOCUS_CODE = "BUILDING"       # the single-code view's activity code
+COORD_DECIMALS = 9
 MAX_NATIONS = 10_000          # broadcast bound for nation / region rows
 
 
@@ -191,10 +193,9 @@ def with_geo(siret: DataFrame) -> DataFrame:
     """Geo chain: projected coordinates -> lon/lat, range guard, department + anomaly flag."""
     x = try_double("adresseEtablissement_coordonneeLambertAbscisseEtablissement")
     y = try_double("adresseEtablissement_coordonneeLambertOrdonneeEtablissement")
-    lon, lat = lambert93_to_wgs84(x, y)
-    lon, lat = valid_coordinates(lon, lat)
-    return (siret.withColumns({"longitude": lon, "latitude": lat})
-            .withColumn("departement", department_from_commune("adresseEtablissement_codeCommuneEtablissement"))
+    # Published coordinates keep 9 decimals (0.1 mm): engines' libm differ in the last bits.
+    siret = with_wgs84(siret, x, y, decimals=COORD_DECIMALS)
+    return (siret.withColumn("departement", department_from_commune("adresseEtablissement_codeCommuneEtablissement"))
             .withColumn("dept_anomaly", F.col("departement").isNull()))
 
 

@@ -136,8 +136,8 @@ raw_siret AS (
 ),
 geo_siret AS (
   SELECT * EXCLUDE (lon0, lat0),
-         CASE WHEN abs(lat0) <= 90 AND abs(lon0) <= 180 THEN lon0 END AS longitude,
-         CASE WHEN abs(lat0) <= 90 AND abs(lon0) <= 180 THEN lat0 END AS latitude,
+         round(CASE WHEN abs(lat0) <= 90 AND abs(lon0) <= 180 THEN lon0 END, 9) AS longitude,
+         round(CASE WHEN abs(lat0) <= 90 AND abs(lon0) <= 180 THEN lat0 END, 9) AS latitude,
          departement IS NULL AS dept_anomaly
   FROM raw_siret
 )"""
