@@ -222,10 +222,33 @@ def _scored_sql(version: str = "1.6", name: str = "scored") -> str:
 )"""
 
 
+def _v2_sql() -> str:
+    sc = scoring.SCORE_100
+    return f"""
+v2_base AS (
+  SELECT f.siret, f.siren, f.uniteLegale_denominationUniteLegale AS nom_entreprise, f.departement AS code_departement,
+         d.profil_territorial, f.trancheEffectifsEtablissement AS code_effectifs_etablissement,
+         eff.Employes, jur.famille_juridique, ape.libelle_ape
+  FROM full_t f
+  LEFT JOIN dim_departements d ON f.departement = d.dep
+  LEFT JOIN dim_categories_effectifs eff ON f.trancheEffectifsEtablissement = eff.tranche_effectifs
+  LEFT JOIN dim_categories_juridiques jur ON f.uniteLegale_categorieJuridiqueUniteLegaleNiv2 = jur.categorie_juridique_ul_niv2
+  LEFT JOIN dim_codes_ape ape ON f.code_ape = ape.code_ape
+  WHERE f.code_ape = {_q(model.FOCUS_CODE)} AND f.periode_etatAdministratifEtablissement = 'A'
+),
+v2_s AS (SELECT *, {", ".join(sc.sql_columns())} FROM v2_base),
+v2_t AS (SELECT *, {sc.total_sql()} AS score_total FROM v2_s),
+v2 AS (SELECT * EXCLUDE (code_effectifs_etablissement), code_effectifs_etablissement AS code_effectifs,
+              {scoring.POTENTIAL_100.sql()} FROM v2_t)"""
+
+
 def with_model(select: str, versions: tuple[str, ...] = ("1.6",)) -> str:
     """Prefix a SELECT with the model CTEs (dimensions, full table, scored views
     ``scored`` for v1.6 and ``scored_v1x`` for other versions)."""
     parts = [dims_ctes(), raw_siret_sql(), full_sql()]
     for v in versions:
+        if v == "v2":
+            parts.append(_v2_sql())
+            continue
         parts.append(_scored_sql(v, "scored" if v == "1.6" else "scored_v" + v.replace(".", "")))
     return "WITH " + ",".join(parts) + "\n" + select

@@ -119,10 +119,9 @@ def single_code_view(full: DataFrame, dims: dict[str, DataFrame], code: str,
     dimension is joined on the establishment's own code."""
     f = full.where((F.col(activity_col) == code) & (F.col("periode_etatAdministratifEtablissement") == "A"))
     j = star_join(f, star_dimensions(dims, with_entity_band=False))
-    s = scoring.SCORE_100.apply(j)
-    s = scoring.POTENTIAL_100.apply(s)
-    return s.select(F.col("siret"), F.col("siren"), F.col("uniteLegale_denominationUniteLegale").alias("nom_entreprise"),
+    base = j.select(F.col("siret"), F.col("siren"), F.col("uniteLegale_denominationUniteLegale").alias("nom_entreprise"),
                     F.col("departement").alias("code_departement"), "profil_territorial",
-                    F.col("trancheEffectifsEtablissement").alias("code_effectifs"),
-                    F.col("libelle_effectifs_etablissement").alias("Employes"), "famille_juridique", "libelle_ape",
-                    "score_territoire", "score_taille", "score_juridique", "score_total", "categorie_potentiel")
+                    F.col("trancheEffectifsEtablissement").alias("code_effectifs_etablissement"),
+                    F.col("libelle_effectifs_etablissement").alias("Employes"), "famille_juridique", "libelle_ape")
+    s = scoring.SCORE_100.apply(base)
+    return scoring.POTENTIAL_100.apply(s).withColumnRenamed("code_effectifs_etablissement", "code_effectifs")
