@@ -74,9 +74,18 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
 
 
 def top_k_per_group(df: DataFrame, part: Sequence[str], k: int, order: Sequence[Column],
-                    rank: str = "rang") -> DataFrame:
-    """First ``k`` rows per group. Window over the group: use on keys that are
-    not hot (segments, departments after filtering to targets)."""
+                    rank: str = "rang", salt_from: Sequence[str] | None = None, buckets: int = 64) -> DataFrame:
+    """First ``k`` rows per group by ``order`` (give a total order).
+
+    With ``salt_from`` the ranking runs in two stages so that a large group
+    (a segment can hold most rows) is never sorted by one task: first the top
+    ``k`` within each (group, hash bucket), then the top ``k`` among those
+    ``k * buckets`` candidates per group."""
+    if salt_from:
+        b = "__topk_bucket"
+        pre = df.withColumn(b, F.pmod(F.xxhash64(*salt_from), F.lit(buckets)))
+        w1 = Window.partitionBy(*part, b).orderBy(*order)
+        df = pre.withColumn("__r1", F.row_number().over(w1)).where(F.col("__r1") <= k).drop("__r1", b)
     w = Window.partitionBy(*part).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
