@@ -1,3 +1,412 @@
-"""Queries (see catalog)."""
+"""Sources, sinks, manifest and streaming queries (S1..S20, ST1..ST3).
+
+Queries that write do so under a fresh folder of the session's checkpoint dir
+(``spark.checkpoint.dir``, the cluster's shared folder) and return the
+read-back DataFrame, so the write path is exercised end to end.
+"""
 
 from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.groups import group_size
+from ..session import scratch_path
+from ..sources import manifest as mf
+from ..sources import schemas
+from ..sources.readers import (
+    flatten_structs, force_string_schema, read_dimension_csv, read_partitioned, read_processed, read_raw_json,
+    read_table,
+)
+from ..sources.writers import export_final, publish, save_split
+from ..streaming.ingest import ingest_pages, latest_scored, score_stream
+from . import model, views
+from .catalog import query
+from .oracle import _pmod, with_model
+from .q_core import context
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"tessera-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _grains(spark, d):
+    raw = model.enriched_siret(model.with_geo(model.raw_siret(spark, d)))
+    active = raw.where(F.col("periode_etatAdministratifEtablissement") == "A")
+    ent = model.siren_table(spark, d, active)
+    full, plan = model.full(spark, d)
+    code = ent.select("siren", F.col("uniteLegale_activitePrincipaleUniteLegale").alias("code_ape"))
+    siret = active.join(code, "siren", "inner")
+    siren = ent.withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
+    return siret, siren, full
+
+
+# Nested JSON -> flat columns --------------------------------------------------------
+@query("s1_json_flatten", """
+SELECT event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k FROM events""")
+def s1_json_flatten(spark, d):
+    e = read_table(spark, d, "events")
+    parsed = e.select("event_id", "event_type",
+                      F.from_json("props", T.StructType([T.StructField("k", T.IntegerType())])).alias("props"))
+    return flatten_structs(parsed)
+
+
+_NESTED_SQL = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS siret, CAST(o_custkey AS VARCHAR) AS siren,
+       strftime(o_orderdate, '%Y-%m-%d') AS dateCreationEtablissement,
+       o_orderpriority AS uniteLegale_categorieJuridiqueUniteLegale,
+       lpad(CAST({_pmod('o_custkey', 25)} AS VARCHAR), 2, '0') AS adresseEtablissement_codeCommuneEtablissement,
+       {_pmod('o_orderkey', 7)} = 0 AS etablissementSiege
+FROM orders"""
+
+
+def _write_nested(spark, d, path):
+    o = read_table(spark, d, "orders")
+    rec = o.select(
+        F.col("o_orderkey").cast("string").alias("siret"), F.col("o_custkey").cast("string").alias("siren"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dateCreationEtablissement"),
+        (F.pmod("o_orderkey", F.lit(7)) == 0).alias("etablissementSiege"),
+        F.struct(F.col("o_orderpriority").alias("categorieJuridiqueUniteLegale")).alias("uniteLegale"),
+        F.struct(F.lpad(F.pmod("o_custkey", F.lit(25)).cast("string"), 2, "0").alias("codeCommuneEtablissement"))
+        .alias("adresseEtablissement"))
+    rec.write.mode("overwrite").json(path)
+
+
+@query("s1_nested_records_roundtrip", _NESTED_SQL)
+def s1_nested_records_roundtrip(spark, d):
+    path = _scratch(spark, "json")
+    _write_nested(spark, d, path)
+    flat = read_raw_json(spark, path)
+    return flat.select("siret", "siren", "dateCreationEtablissement", "uniteLegale_categorieJuridiqueUniteLegale",
+                       "adresseEtablissement_codeCommuneEtablissement", "etablissementSiege")
+
+
+# Publish the grains, read back --------------------------------
+def _published(spark, d):
+    root = _scratch(spark, "publish")
+    siret, siren, full = _grains(spark, d)
+    return save_split(siret, siren, full, root), root
+
+
+@query("s8_save_three_grains", with_model("""
+SELECT 'siret' AS grain, code_ape, COUNT(*) AS nb_lignes FROM full_t GROUP BY code_ape
+UNION ALL SELECT 'siren', uniteLegale_activitePrincipaleUniteLegale, COUNT(*) FROM siren_t GROUP BY 2
+UNION ALL SELECT 'full', code_ape, COUNT(*) FROM full_t GROUP BY code_ape"""))
+def s8_save_three_grains(spark, d):
+    paths, root = _published(spark, d)
+    out = None
+    for g in ("siret", "siren", "full"):
+        c = (spark.read.parquet(paths[g]).groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_lignes"))
+             .select(F.lit(g).alias("grain"), "code_ape", "nb_lignes"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query("s2_read_one_code", with_model(
+    f"SELECT siret, siren FROM full_t WHERE code_ape = '{model.FOCUS_CODE}'"))
+def s2_read_one_code(spark, d):
+    paths, root = _published(spark, d)
+    try:
+        read_partitioned(spark, paths["full"], "NO-SUCH-CODE")
+        raise AssertionError("a missing code must raise")
+    except FileNotFoundError:
+        pass
+    return read_partitioned(spark, paths["full"], model.FOCUS_CODE).select("siret", "siren")
+
+
+@query("s3_read_processed_kind", with_model("SELECT siren, nb_etablissements FROM siren_t"))
+def s3_read_processed_kind(spark, d):
+    paths, root = _published(spark, d)
+    try:
+        read_processed(spark, root, "other")
+        raise AssertionError("an unknown table kind must raise")
+    except ValueError:
+        pass
+    return read_processed(spark, root, "siren").select("siren", "nb_etablissements")
+
+
+@query("s14_publish_all_codes_report", with_model("""
+SELECT code_ape, COUNT(*) AS nb_siret, COUNT(DISTINCT siren) AS nb_siren, 'success' AS statut
+FROM full_t GROUP BY code_ape"""))
+def s14_publish_all_codes_report(spark, d):
+    full, _ = model.full(spark, d)
+    path = _scratch(spark, "all-codes")
+    publish(full.drop("__salt"), path, "overwrite", ("code_ape",), ("departement",))
+    back = spark.read.parquet(path)
+    return (back.groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_siret"), F.count_distinct("siren").alias("nb_siren"))
+            .withColumn("statut", F.when(F.col("nb_siret") > 0, F.lit("success")).otherwise(F.lit("error"))))
+
+
+# Overwrite vs append, dynamic partition overwrite ------------------------------------
+@query("s12_write_modes", with_model("""
+SELECT code_ape, COUNT(*) AS nb_lignes FROM (
+  SELECT code_ape FROM full_t
+  UNION ALL SELECT code_ape FROM full_t WHERE code_ape = 'BUILDING') t GROUP BY code_ape"""))
+def s12_write_modes(spark, d):
+    full, _ = model.full(spark, d)
+    full = full.drop("__salt")
+    path = _scratch(spark, "modes")
+    publish(full, path, "overwrite", ("code_ape",), ("departement",))
+    one = full.where(F.col("code_ape") == model.FOCUS_CODE)
+    publish(one, path, "overwrite", ("code_ape",))      # replaces only that partition
+    publish(one, path, "append", ("code_ape",))         # then adds its rows again
+    return spark.read.parquet(path).groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_lignes"))
+
+
+# Final export with drop + rename ------------------------------------------------------
+@query("s15_final_export", with_model("""
+SELECT siret AS id_etablissement, siren AS id_entreprise, departement AS code_departement,
+       nb_etablissements AS nombre_sites FROM full_t"""))
+def s15_final_export(spark, d):
+    full, _ = model.full(spark, d)
+    sel = full.select("siret", "siren", "departement", "nb_etablissements", "dept_anomaly", "__salt")
+    path = _scratch(spark, "export")
+    export_final(sel, path, drop=["dept_anomaly", "__salt"],
+                 rename={"siret": "id_etablissement", "siren": "id_entreprise", "departement": "code_departement",
+                         "nb_etablissements": "nombre_sites"})
+    return spark.read.parquet(path)
+
+
+# Dimension CSVs --------------------------------------------------------------
+def _dims_to_csv(spark, d):
+    root = _scratch(spark, "dims")
+    dims = model.dimensions(spark, d)
+    files = {}
+    for name in ("dim_departements", "dim_codes_ape", "dim_categories_effectifs", "dim_categories_juridiques",
+                 "dim_anciennete"):
+        df = dims[name]
+        if name == "dim_codes_ape":  # the source file has a blank column before the score
+            df = df.select(*[c for c in df.columns if c != "score_priorite"], F.lit(None).cast("string").alias("_blank"),
+                           "score_priorite")
+        p = os.path.join(root, name)
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(p)
+        files[name] = p
+    return files
+
+
+@query("s4_read_dimension_csv", with_model("SELECT dep, dep_name, population_2022, profil_territorial FROM dim_departements"))
+def s4_read_dimension_csv(spark, d):
+    files = _dims_to_csv(spark, d)
+    return read_dimension_csv(spark, files["dim_departements"], schemas.DIM_DEPARTEMENTS) \
+        .select("dep", "dep_name", "population_2022", "profil_territorial")
+
+
+@query("s5_load_all_dimensions", with_model("""
+SELECT 'dim_departements' AS table_name, COUNT(*) AS nb_lignes FROM dim_departements
+UNION ALL SELECT 'dim_codes_ape', COUNT(*) FROM dim_codes_ape
+UNION ALL SELECT 'dim_categories_effectifs', COUNT(*) FROM dim_categories_effectifs
+UNION ALL SELECT 'dim_categories_juridiques', COUNT(*) FROM dim_categories_juridiques
+UNION ALL SELECT 'dim_anciennete', COUNT(*) FROM dim_anciennete"""))
+def s5_load_all_dimensions(spark, d):
+    files = _dims_to_csv(spark, d)
+    out = None
+    for name, p in files.items():
+        c = read_dimension_csv(spark, p, schemas.DIMENSION_SCHEMAS[name]).agg(F.count(F.lit(1)).alias("nb_lignes")) \
+            .select(F.lit(name).alias("table_name"), "nb_lignes")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query("s6_force_string_schema", """
+SELECT CAST(n_nationkey AS VARCHAR) AS categorie_juridique_ul_niv2, n_name AS famille_juridique FROM nation""")
+def s6_force_string_schema(spark, d):
+    n = read_table(spark, d, "nation").select(F.col("n_nationkey").cast("double").alias("categorie_juridique_ul_niv2"),
+                                              F.col("n_name").alias("famille_juridique"))
+    return force_string_schema(n)
+
+
+# Raw write, manifest, freshness, outcomes ---------------------------
+_REF_TS = "2024-03-01 00:00:00"
+
+
+def _manifest_case(spark, d):
+    """Codes of the model and an extraction history built from the data: one
+    attempt per (code, month of the customers' orders)."""
+    root = _scratch(spark, "manifest")
+    o = read_table(spark, d, "orders")
+    c = read_table(spark, d, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey).select(F.col("c_mktsegment").alias("code_ape"), "o_orderkey",
+                                                      "o_orderdate")
+    # attempts: one per code and order year, dated by the latest order of the year shifted into the
+    # reference period; the status depends on the year
+    att = (j.groupBy("code_ape", F.year("o_orderdate").alias("y"))
+           .agg(F.count(F.lit(1)).alias("nb_etablissements"), F.max("o_orderdate").alias("last"))
+           .select("code_ape", (F.col("last").cast("timestamp") + F.expr("INTERVAL 8400 DAYS")).alias("extraction_date"),
+                   F.when(F.col("y") % 3 == 0, F.lit(mf.PARTIAL)).otherwise(F.lit(mf.COMPLETED)).alias("status"),
+                   "nb_etablissements"))
+    mf.append_manifest(att, os.path.join(root, "manifest"))
+    return root, j
+
+
+@query("s17_manifest_latest", """
+SELECT code_ape, extraction_date, status, nb_etablissements FROM (
+  SELECT code_ape, CAST(last AS TIMESTAMP) + INTERVAL 8400 DAYS AS extraction_date,
+         CASE WHEN y % 3 = 0 THEN 'partial' ELSE 'completed' END AS status, nb_etablissements,
+         row_number() OVER (PARTITION BY code_ape ORDER BY CAST(last AS TIMESTAMP) DESC) AS rn
+  FROM (SELECT c_mktsegment AS code_ape, year(o_orderdate) AS y, COUNT(*) AS nb_etablissements,
+               MAX(o_orderdate) AS last
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) a) b WHERE rn = 1""")
+def s17_manifest_latest(spark, d):
+    root, _ = _manifest_case(spark, d)
+    return mf.latest_per_code(mf.read_manifest(spark, os.path.join(root, "manifest")))
+
+
+def _fresh(spark, d):
+    root, j = _manifest_case(spark, d)
+    latest = mf.latest_per_code(mf.read_manifest(spark, os.path.join(root, "manifest")))
+    codes = j.select("code_ape").distinct().unionByName(spark.createDataFrame([("NEW-CODE",)], "code_ape string"))
+    # data present for every code but one
+    present = j.select("code_ape").distinct().where(F.col("code_ape") != "HOUSEHOLD")
+    return mf.freshness(codes, latest, present, F.lit(_REF_TS).cast("timestamp"), 30)
+
+
+_FRESH_SQL = f"""
+WITH latest AS (
+  SELECT code_ape, extraction_date, status FROM (
+    SELECT code_ape, CAST(last AS TIMESTAMP) + INTERVAL 8400 DAYS AS extraction_date,
+           CASE WHEN y % 3 = 0 THEN 'partial' ELSE 'completed' END AS status,
+           row_number() OVER (PARTITION BY code_ape ORDER BY CAST(last AS TIMESTAMP) DESC) AS rn
+    FROM (SELECT c_mktsegment AS code_ape, year(o_orderdate) AS y, MAX(o_orderdate) AS last
+          FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) a) b WHERE rn = 1),
+codes AS (SELECT DISTINCT c_mktsegment AS code_ape FROM orders JOIN customer ON o_custkey = c_custkey
+          UNION ALL SELECT 'NEW-CODE'),
+j AS (SELECT c.code_ape, c.code_ape <> 'HOUSEHOLD' AND c.code_ape <> 'NEW-CODE' AS present,
+             l.code_ape IS NOT NULL AS meta, l.status, l.extraction_date,
+             CAST(floor(epoch_us(TIMESTAMP '{_REF_TS}' - l.extraction_date) / 86400000000.0) AS INTEGER) AS age
+      FROM codes c LEFT JOIN latest l ON c.code_ape = l.code_ape),
+dec AS (
+  SELECT code_ape,
+    CASE WHEN NOT present THEN TRUE WHEN NOT meta THEN TRUE WHEN status = 'partial' THEN TRUE
+         WHEN extraction_date IS NULL THEN TRUE WHEN age > 30 THEN TRUE ELSE FALSE END AS should_extract,
+    CASE WHEN NOT present THEN '{mf.R_NO_FILE}' WHEN NOT meta THEN '{mf.R_NO_META}'
+         WHEN status = 'partial' THEN '{mf.R_PARTIAL}' WHEN extraction_date IS NULL THEN '{mf.R_BAD_DATE.replace("'", "''")}'
+         WHEN age > 30 THEN 'Données anciennes (' || age || 'j > 30j)'
+         ELSE 'Données récentes (' || age || 'j)' END AS reason
+  FROM j)"""
+
+
+@query("s18_freshness_gate", _FRESH_SQL + "\nSELECT * FROM dec")
+def s18_freshness_gate(spark, d):
+    return _fresh(spark, d)
+
+
+@query("s19_extraction_outcomes", _FRESH_SQL + """,
+res AS (SELECT c_mktsegment AS code_ape, COUNT(*) AS nb_extraits FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1),
+o AS (SELECT d.code_ape, CASE WHEN NOT d.should_extract THEN 'skipped'
+                              WHEN COALESCE(r.nb_extraits, 0) <= 0 THEN 'errors'
+                              WHEN d.reason LIKE 'Données anciennes%' THEN 'updated' ELSE 'success' END AS outcome
+      FROM dec d LEFT JOIN res r ON d.code_ape = r.code_ape)
+SELECT outcome, COUNT(*) AS nb_codes, array_to_string(list_sort(list(code_ape)), ',') AS codes FROM o GROUP BY outcome""")
+def s19_extraction_outcomes(spark, d):
+    dec = _fresh(spark, d)
+    o = read_table(spark, d, "orders")
+    c = read_table(spark, d, "customer")
+    # a code whose extraction returned nothing counts as an error
+    res = (o.join(c, o.o_custkey == c.c_custkey).where(F.col("c_mktsegment") != "MACHINERY")
+           .groupBy(F.col("c_mktsegment").alias("code_ape")).agg(F.count(F.lit(1)).alias("nb_extraits")))
+    return mf.outcome_summary(dec, res)
+
+
+@query("s9_raw_write_then_manifest", with_model("""
+SELECT code_ape, 'completed' AS status, COUNT(*) AS nb_etablissements FROM full_t GROUP BY code_ape"""))
+def s9_raw_write_then_manifest(spark, d):
+    full, _ = model.full(spark, d)
+    root = _scratch(spark, "raw")
+    publish(full.drop("__salt"), os.path.join(root, "raw"), "overwrite", ("code_ape",))
+    # record completion only after the write succeeded, with counts read back from what was written
+    written = spark.read.parquet(os.path.join(root, "raw")).groupBy("code_ape") \
+        .agg(F.count(F.lit(1)).alias("nb_etablissements"))
+    mf.append_manifest(written.select("code_ape", F.current_timestamp().alias("extraction_date"),
+                                      F.lit(mf.COMPLETED).alias("status"), "nb_etablissements"),
+                       os.path.join(root, "manifest"))
+    return mf.read_manifest(spark, os.path.join(root, "manifest")).select("code_ape", "status", "nb_etablissements")
+
+
+@query("s20_pipeline_report", with_model("""
+SELECT code_ape, COUNT(*) AS nb_siret, COUNT(DISTINCT siren) AS nb_siren FROM full_t GROUP BY code_ape"""))
+def s20_pipeline_report(spark, d):
+    full, _ = model.full(spark, d)
+    return full.groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_siret"), F.count_distinct("siren").alias("nb_siren"))
+
+
+@query("s20_quarantine_malformed", f"""
+SELECT COUNT(*) FILTER (WHERE {_pmod('o_orderkey', 97)} = 0) AS nb_quarantaine,
+       COUNT(*) FILTER (WHERE {_pmod('o_orderkey', 97)} <> 0) AS nb_valides FROM orders""")
+def s20_quarantine_malformed(spark, d):
+    o = read_table(spark, d, "orders")
+    path = _scratch(spark, "malformed")
+    good = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("siret"),
+                              F.col("o_custkey").cast("string").alias("siren")))
+    line = F.when(F.pmod("o_orderkey", F.lit(97)) == 0, F.concat(F.lit('{"siret": '), F.col("o_orderkey").cast("string"),
+                                                                 F.lit(", broken"))).otherwise(good)
+    o.select(line.alias("value")).write.mode("overwrite").text(path)
+    df = read_raw_json(spark, path, flatten=False, corrupt_column="_corrupt_record")
+    # (a query may not reference the corrupt-record column alone: siret is read too)
+    bad = F.col("_corrupt_record").isNotNull() | F.col("siret").isNull()
+    return df.agg(F.count(F.when(bad, F.lit(1))).alias("nb_quarantaine"),
+                  F.count(F.when(~bad, F.lit(1))).alias("nb_valides"))
+
+
+# ST1 / ST2 / ST3 -----------------------------------------------------------------------------
+def _land_pages(spark, d, landing, with_replays: bool):
+    full, _ = model.full(spark, d)
+    full = full.drop("__salt")
+    pages = full.repartition(6, "siret")
+    pages.write.mode("overwrite").json(os.path.join(landing, "p1"))
+    if with_replays:  # a re-extraction lands some records a second time
+        full.where(F.pmod("siret", F.lit(10)) == 0).repartition(2).write.mode("overwrite") \
+            .json(os.path.join(landing, "p2"))
+    return full.schema
+
+
+def _glob(landing):
+    return os.path.join(landing, "*")
+
+
+@query("st1_incremental_ingestion", with_model("SELECT siret, siren, code_ape FROM full_t"))
+def st1_incremental_ingestion(spark, d):
+    root = _scratch(spark, "st1")
+    schema = _land_pages(spark, d, os.path.join(root, "landing"), False)
+    sink = os.path.join(root, "raw")
+    ingest_pages(spark, _glob(os.path.join(root, "landing")), schema, sink, os.path.join(root, "_ckpt"),
+                 files_per_trigger=2, flatten=False)
+    # a second run finds nothing new: exactly once
+    ingest_pages(spark, _glob(os.path.join(root, "landing")), schema, sink, os.path.join(root, "_ckpt"),
+                 files_per_trigger=2, flatten=False)
+    return spark.read.parquet(sink).select("siret", "siren", "code_ape")
+
+
+@query("st2_stream_dedup", with_model("SELECT siret, siren FROM full_t"))
+def st2_stream_dedup(spark, d):
+    root = _scratch(spark, "st2")
+    schema = _land_pages(spark, d, os.path.join(root, "landing"), True)
+    schema = T.StructType(schema.fields + [T.StructField("dateMaj", T.TimestampType(), True)])
+    sink = os.path.join(root, "raw")
+    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).json(_glob(os.path.join(root, "landing")))
+         .withColumn("dateMaj", F.col("dateCreationEtablissement").cast("timestamp")))
+    q = (s.withWatermark("dateMaj", "3650 days").dropDuplicatesWithinWatermark(["siret"])
+         .writeStream.format("parquet").option("path", sink).option("checkpointLocation", os.path.join(root, "_ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("siret", "siren")
+
+
+@query("st3_stream_scoring", with_model(
+    "SELECT siret, siren, score_total, score_moyen_siren, segment_entreprise FROM scored"))
+def st3_stream_scoring(spark, d):
+    root = _scratch(spark, "st3")
+    schema = _land_pages(spark, d, os.path.join(root, "landing"), True)
+    _, _, dims = context(spark, d)
+
+    def score_entities(rows):
+        base = group_size(rows.drop("nb_etablissements"), ["siren"], "nb_etablissements", salt_from=["siret"])
+        return views.scored_view(base, dims, None, model.RETAINED_SEGMENTS).select(
+            "siret", "siren", "score_total", "score_moyen_siren", "segment_entreprise")
+
+    score_stream(spark, _glob(os.path.join(root, "landing")), schema, os.path.join(root, "out"), score_entities,
+                 files_per_trigger=2)
+    return latest_scored(spark, os.path.join(root, "out"))
