@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HUNDRED = F.lit(100.0)
+HUNDRED = 100.0
 
 
 def count_if(cond: Column) -> Column:
@@ -22,7 +22,7 @@ def count_if(cond: Column) -> Column:
 
 def pct(part: Column, whole: Column) -> Column:
     """``part * 100 / whole`` as a double; null when ``whole`` is 0."""
-    return F.try_divide(part * HUNDRED, whole)
+    return F.try_divide(part * F.lit(HUNDRED), whole)
 
 
 def coverage(df: DataFrame, cols: Sequence[str], total: str = "nb_total") -> DataFrame:

@@ -28,14 +28,6 @@ _N = "__n"
 DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
-def _key_cond(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k]
-        cond = c if cond is None else cond & c
-    return cond
-
-
 @dataclass
 class SaltPlan:
     """Bucket counts for the heavy keys of one fact table.

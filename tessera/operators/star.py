@@ -55,7 +55,8 @@ def star_join(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
         proj = [F.col(dc).alias(f"__{d.name}__{dc}") for _, dc in keys]
         proj += [F.col(dc).alias(out_name) for dc, out_name in d.cols.items()]
         side = d.df.select(*proj)
-        side = side if d.checked else bounded(side, d.max_rows)
+        # checked: the size bound is proven at construction, broadcast without counting
+        side = F.broadcast(side) if d.checked else bounded(side, d.max_rows)
         cond: Column | None = None
         for fc, dc in keys:
             c = out[fc] == side[f"__{d.name}__{dc}"]

@@ -39,6 +39,11 @@ BASE_COLUMNS = {
 }
 
 
+ADDRESS_PARTS = ("adresseEtablissement_numeroVoieEtablissement", "adresseEtablissement_typeVoieEtablissement",
+                 "adresseEtablissement_libelleVoieEtablissement", "adresseEtablissement_codePostalEtablissement",
+                 "adresseEtablissement_libelleCommuneEtablissement")
+
+
 def star_dimensions(dims: dict[str, DataFrame], legal_key: str = "uniteLegale_categorieJuridiqueUniteLegaleNiv2",
                     dept_key: str = "departement", with_entity_band: bool = True) -> list[DimRef]:
     """The view's five left joins; the headcount dimension serves two roles.
@@ -78,9 +83,8 @@ def scoring_base(full: DataFrame, dims: dict[str, DataFrame],
     f = f.where(F.col("periode_etatAdministratifEtablissement") == "A")
     j = star_join(f, star_dimensions(dims))
     keep = [F.col(src).alias(dst) for src, dst in BASE_COLUMNS.items() if src in j.columns]
-    addr = address_line("adresseEtablissement_numeroVoieEtablissement", "adresseEtablissement_typeVoieEtablissement",
-                        "adresseEtablissement_libelleVoieEtablissement", "adresseEtablissement_codePostalEtablissement",
-                        "adresseEtablissement_libelleCommuneEtablissement").alias("adresse_complete")
+    parts = [F.col(c) if c in j.columns else F.lit(None).cast("string") for c in ADDRESS_PARTS]
+    addr = address_line(*parts).alias("adresse_complete")
     extra = [c for c in ("profil_territorial", "libelle_effectifs_etablissement", "libelle_effectifs_unite_legale",
                          "famille_juridique", "libelle_ape", "score_priorite") if c in j.columns]
     salt = ["__salt"] if "__salt" in j.columns else []
