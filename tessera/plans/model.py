@@ -71,10 +71,28 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_table(spark, d, name)
 
 
+_MEMO: dict = {}
+
+
+def memo(spark: SparkSession, key: tuple, build):
+    """Reuse a lazily built DataFrame (a plan, not data) within one session.
+
+    Queries of the catalogue share the model's base frames; building them once
+    per session and input folder keeps driver-side planning off the hot path."""
+    k = (id(spark), spark.sparkContext.applicationId) + key
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
+
 # --- dimensions --------------------------------------------------------------
 
 def dim_departements(spark: SparkSession, d: str) -> DataFrame:
     """Department dimension: one row per nation of a profiled region."""
+    return memo(spark, ("dim_departements", d), lambda: _dim_departements(spark, d))
+
+
+def _dim_departements(spark: SparkSession, d: str) -> DataFrame:
     # At most one row per nation: the bound is checked once on the nation table.
     nation = bounded(_t(spark, d, "nation"), MAX_NATIONS)
     region = _t(spark, d, "region")
@@ -122,6 +140,10 @@ def dim_anciennete(spark: SparkSession) -> DataFrame:
 def dimensions(spark: SparkSession, d: str) -> dict:
     """The five dimensions; all have a size bound known at construction (fixed
     rule rows, or one row per nation checked in ``dim_departements``)."""
+    return memo(spark, ("dimensions", d), lambda: _dimensions(spark, d))
+
+
+def _dimensions(spark: SparkSession, d: str) -> dict:
     out = {
         "dim_departements": dim_departements(spark, d),
         "dim_codes_ape": dim_codes_ape(spark),
@@ -221,6 +243,10 @@ def siren_table(spark: SparkSession, d: str, active_siret: DataFrame) -> DataFra
 def full(spark: SparkSession, d: str, rows_per_task: int | None = None) -> tuple[DataFrame, SaltPlan]:
     """Establishment ⟕ entity on ``siren`` for active establishments, with the
     salt plan of the fact (reused by the scored view so the fact is shuffled once)."""
+    return memo(spark, ("full", d, rows_per_task), lambda: _full(spark, d, rows_per_task))
+
+
+def _full(spark: SparkSession, d: str, rows_per_task: int | None = None) -> tuple[DataFrame, SaltPlan]:
     s = with_geo(raw_siret(spark, d)).where(F.col("periode_etatAdministratifEtablissement") == "A")
     ent = siren_table(spark, d, s)
     kw = {} if rows_per_task is None else {"rows_per_task": rows_per_task}

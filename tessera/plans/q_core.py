@@ -19,8 +19,10 @@ def context(spark: SparkSession, d: str):
 
 
 def v1(spark: SparkSession, d: str, version: str = "1.6") -> DataFrame:
-    full, plan, dims = context(spark, d)
-    return views.scored_view(full, dims, plan, model.RETAINED_SEGMENTS, version)
+    def build():
+        full, plan, dims = context(spark, d)
+        return views.scored_view(full, dims, plan, model.RETAINED_SEGMENTS, version)
+    return model.memo(spark, ("v1", d, version), build)
 
 
 # --- V1: the global scored view -------------------------------------------------
