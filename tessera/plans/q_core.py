@@ -203,3 +203,41 @@ def s16_register_view(spark, d):
 
 
 __all__ = ["v1", "context", "segment_pyramid", "star_join", "scoring"]
+
+
+# --- P23: constant tag per source, union of separately stored codes ----------------------
+
+@query("p23_tag_and_union_sources", with_model(
+    "SELECT code_ape, COUNT(*) AS nb_lignes FROM full_t GROUP BY code_ape"))
+def p23_tag_and_union_sources(spark, d):
+    """One frame per code (as separately stored tables would be), each tagged with
+    a literal code column, then unioned by name."""
+    from functools import reduce
+    full, _, _ = context(spark, d)
+    parts = [full.where(F.col("code_ape") == c).drop("code_ape").withColumn("code_ape", F.lit(c))
+             for c in ("BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD", "AUTOMOBILE")]
+    return reduce(lambda a, b: a.unionByName(b), parts).groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_lignes"))
+
+
+# --- J2: establishment ⟕ entity, left columns win -------------------------------------------
+
+@query("j2_establishment_entity_join", with_model("""
+SELECT s.siret, s.siren, e.uniteLegale_denominationUniteLegale, e.nb_etablissements
+FROM active_siret s LEFT JOIN siren_t e ON s.siren = e.siren"""))
+def j2_establishment_entity_join(spark, d):
+    from ..operators.projection import left_join_keep_left
+    s = model.with_geo(model.raw_siret(spark, d)).where(F.col("periode_etatAdministratifEtablissement") == "A")
+    e = model.siren_table(spark, d, s)
+    return left_join_keep_left(s.select("siret", "siren"), e.select("siren", "uniteLegale_denominationUniteLegale",
+                                                                    "nb_etablissements"), "siren")
+
+
+# --- W3: percent of total over an aggregate -------------------------------------------------
+
+@query("w3_percent_of_total", with_model(
+    "SELECT categorie_potentiel, COUNT(*) AS nb_lignes, COUNT(*) * CAST(100 AS DOUBLE) / SUM(COUNT(*)) OVER () "
+    "AS pourcentage FROM scored GROUP BY categorie_potentiel"))
+def w3_percent_of_total(spark, d):
+    from ..operators.analytics import with_share
+    agg = v1(spark, d).groupBy("categorie_potentiel").agg(F.count(F.lit(1)).alias("nb_lignes"))
+    return with_share(agg, "nb_lignes")

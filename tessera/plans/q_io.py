@@ -410,3 +410,17 @@ def st3_stream_scoring(spark, d):
     score_stream(spark, _glob(os.path.join(root, "landing")), schema, os.path.join(root, "out"), score_entities,
                  files_per_trigger=2)
     return latest_scored(spark, os.path.join(root, "out"))
+
+
+# Publish the three tables of one code with clustering, read back ---------------------------
+@query("s13_publish_one_code", with_model(f"""
+SELECT 'full' AS grain, COUNT(*) AS nb_lignes, COUNT(DISTINCT departement) AS nb_departements
+FROM full_t WHERE code_ape = '{model.FOCUS_CODE}'"""))
+def s13_publish_one_code(spark, d):
+    siret, siren, full = _grains(spark, d)
+    root = _scratch(spark, "one-code")
+    one = lambda df: df.where(F.col("code_ape") == model.FOCUS_CODE)
+    paths = save_split(one(siret), one(siren), one(full.drop("__salt")), root)
+    back = read_partitioned(spark, paths["full"], model.FOCUS_CODE)
+    return back.agg(F.count(F.lit(1)).alias("nb_lignes"), F.count_distinct("departement").alias("nb_departements")) \
+        .select(F.lit("full").alias("grain"), "nb_lignes", "nb_departements")

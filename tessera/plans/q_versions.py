@@ -179,3 +179,15 @@ def v7_top_targets_per_segment(spark, d):
     v = v1(spark, d).select("segment_entreprise", "siret", "score_total")
     return top_k_per_group(v, ["segment_entreprise"], 5, [F.col("score_total").desc(), F.col("siret")],
                            salt_from=["siret"])
+
+
+# P25: wide renaming projection of the single-code view ---------------------------------------
+@query("p25_wide_renaming_projection", with_model(
+    "SELECT siret AS id_etablissement, nom_entreprise AS raison_sociale, code_departement AS departement_code, "
+    "profil_territorial AS profil, code_effectifs AS tranche_effectifs_code, Employes AS tranche_effectifs_libelle, "
+    "famille_juridique AS forme_juridique, libelle_ape AS activite FROM v2", versions=("1.6", "v2")))
+def p25_wide_renaming_projection(spark, d):
+    mapping = {"siret": "id_etablissement", "nom_entreprise": "raison_sociale", "code_departement": "departement_code",
+               "profil_territorial": "profil", "code_effectifs": "tranche_effectifs_code",
+               "Employes": "tranche_effectifs_libelle", "famille_juridique": "forme_juridique", "libelle_ape": "activite"}
+    return v2(spark, d).select(*[F.col(k).alias(v) for k, v in mapping.items()])
