@@ -130,3 +130,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], min_count: int = 2) -> Da
 def rank_within(df: DataFrame, part: Sequence[str], order: Sequence[Column], name: str = "rang") -> DataFrame:
     """Row number within small groups (used on aggregated frames only)."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order_date: Column,
+                   tie_break: Sequence[Column], default_days: int = -10**9, name: str = "p") -> DataFrame:
+    """Latest row per key by a date (missing date = oldest), ties resolved by
+    ``tie_break`` ascending: the row form of ``functions.latest_struct``.
+
+    ``min_by`` over a struct key is partially aggregated, so a key with a huge
+    history ships one candidate per map task instead of one array of all rows."""
+    days = F.coalesce(F.datediff(order_date, F.lit("1970-01-01").cast("date")), F.lit(default_days))
+    order = F.struct((F.lit(0) - days).alias("__d"), *[c.alias(f"__t{i}") for i, c in enumerate(tie_break)])
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias(name))

@@ -384,14 +384,10 @@ def st1_incremental_ingestion(spark, d):
 def st2_stream_dedup(spark, d):
     root = _scratch(spark, "st2")
     schema = _land_pages(spark, d, os.path.join(root, "landing"), True)
-    schema = T.StructType(schema.fields + [T.StructField("dateMaj", T.TimestampType(), True)])
     sink = os.path.join(root, "raw")
-    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).json(_glob(os.path.join(root, "landing")))
-         .withColumn("dateMaj", F.col("dateCreationEtablissement").cast("timestamp")))
-    q = (s.withWatermark("dateMaj", "3650 days").dropDuplicatesWithinWatermark(["siret"])
-         .writeStream.format("parquet").option("path", sink).option("checkpointLocation", os.path.join(root, "_ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    # replays land after the originals; keyed on landing time they fall inside the watermark delay
+    ingest_pages(spark, _glob(os.path.join(root, "landing")), schema, sink, os.path.join(root, "_ckpt"),
+                 files_per_trigger=2, flatten=False, dedup_key="siret")
     return spark.read.parquet(sink).select("siret", "siren")
 
 
@@ -424,3 +420,54 @@ def s13_publish_one_code(spark, d):
     back = read_partitioned(spark, paths["full"], model.FOCUS_CODE)
     return back.agg(F.count(F.lit(1)).alias("nb_lignes"), F.count_distinct("departement").alias("nb_departements")) \
         .select(F.lit("full").alias("grain"), "nb_lignes", "nb_departements")
+
+
+# The registry batch pipeline on nested records ---------------------------------------
+def _write_registry_records(spark, d, path):
+    """Nested registry-shaped records built row by row from orders ⋈ customer:
+    each carries a short state history (2 or 3 periods, one tie)."""
+    o = read_table(spark, d, "orders")
+    c = read_table(spark, d, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    state = F.when(F.col("o_totalprice") >= model.ACTIVE_MIN_PRICE, F.lit("A")).otherwise(F.lit("F"))
+
+    def period(date, etat):
+        return F.struct(date.alias("dateDebut"), F.lit(None).cast("string").alias("dateFin"),
+                        F.col("c_mktsegment").alias("activitePrincipaleEtablissement"),
+                        etat.alias("etatAdministratifEtablissement"))
+    hist = F.array(period(F.date_format(F.date_sub(F.to_date("o_orderdate"), 400), "yyyy-MM-dd"), F.lit("F")),
+                   period(day, state))
+    hist = F.when(F.pmod("o_orderkey", F.lit(5)) == 0, F.concat(hist, F.array(period(day, F.lit("X"))))).otherwise(hist)
+    raw = model.raw_siret(spark, d)  # address parts and codes of the model, by order key
+    addr = raw.select(F.col("siret").alias("o_orderkey"), F.struct(
+        *[F.col(f"adresseEtablissement_{k}").alias(k) for k in
+          ("numeroVoieEtablissement", "typeVoieEtablissement", "libelleVoieEtablissement", "codePostalEtablissement",
+           "libelleCommuneEtablissement", "codeCommuneEtablissement", "coordonneeLambertAbscisseEtablissement",
+           "coordonneeLambertOrdonneeEtablissement")]).alias("adresseEtablissement"),
+        "trancheEffectifsEtablissement")
+    rec = j.join(addr, "o_orderkey").select(
+        F.col("o_orderkey").cast("string").alias("siret"), F.col("o_custkey").cast("string").alias("siren"),
+        day.alias("dateCreationEtablissement"), "trancheEffectifsEtablissement",
+        (F.pmod("o_orderkey", F.lit(7)) == 0).alias("etablissementSiege"),
+        F.struct(F.col("o_orderpriority").alias("categorieJuridiqueUniteLegale"),
+                 F.col("c_name").alias("denominationUniteLegale"),
+                 F.col("c_mktsegment").alias("activitePrincipaleUniteLegale")).alias("uniteLegale"),
+        "adresseEtablissement", hist.alias("periodesEtablissement"))
+    rec.write.mode("overwrite").json(path)
+
+
+@query("s20_registry_pipeline", with_model("""
+SELECT code_ape, COUNT(*) AS nb_siret, COUNT(DISTINCT siren) AS nb_siren,
+       COUNT(CASE WHEN dept_anomaly THEN 1 END) AS nb_anomalies_dept,
+       COUNT(CASE WHEN nb_etablissements > 1 THEN 1 END) AS nb_siret_multi_sites
+FROM full_t GROUP BY code_ape"""))
+def s20_registry_pipeline(spark, d):
+    from . import cleaning
+    path = _scratch(spark, "registry")
+    _write_registry_records(spark, d, path)
+    out = cleaning.run(read_raw_json(spark, path), model.REF_DATE, model.RETAINED_SEGMENTS)
+    return (out["full"].groupBy("code_ape")
+            .agg(F.count(F.lit(1)).alias("nb_siret"), F.count_distinct("siren").alias("nb_siren"),
+                 F.count(F.when(F.col("dept_anomaly"), F.lit(1))).alias("nb_anomalies_dept"),
+                 F.count(F.when(F.col("nb_etablissements") > 1, F.lit(1))).alias("nb_siret_multi_sites")))

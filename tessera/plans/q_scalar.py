@@ -10,6 +10,7 @@ from ..functions import (
     headcount_category, lambert93_to_wgs84, latest_struct, safe_name, sector_type, try_date, try_double,
     valid_coordinates,
 )
+from ..operators.groups import latest_per_key
 from ..operators.projection import (
     drop_null_columns, left_join_keep_left, select_strict, select_tolerant, spread_struct, validity_profile,
 )
@@ -47,16 +48,21 @@ def p2_prefix_codes(spark, d):
 
 
 # P3 / P4 -------------------------------------------------------------------------
-# Status history per establishment: the order's lines as an array of structs in
-# line-number order (an order holds a handful of lines, so the array is bounded
-# by the order's size). The latest element by ship date wins; ties keep the first.
-def _history(spark, d):
-    li = read_table(spark, d, "lineitem")
-    item = F.struct(F.col("l_linenumber").alias("rang"),
-                    F.date_format("l_shipdate", "yyyy-MM-dd").alias("dateDebut"),
-                    F.col("l_linestatus").alias("etatAdministratifEtablissement"),
-                    F.col("l_returnflag").alias("activitePrincipaleEtablissement"))
-    return li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("periodesEtablissement"))
+# Status history per establishment = the order's lines. The latest line by ship
+# date wins; ties keep the first in line order (then the remaining fields).
+# Computed as a partially aggregated min_by (no per-key array is materialised);
+# ``functions.latest_struct`` is the same rule for array-shaped input (registry
+# JSON, see plans/cleaning.py and the tests).
+def _latest_line(spark, d):
+    li = read_table(spark, d, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").alias("rang"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("dateDebut"),
+        F.col("l_linestatus").alias("etatAdministratifEtablissement"),
+        F.col("l_returnflag").alias("activitePrincipaleEtablissement"), "l_shipdate")
+    return latest_per_key(li, ["l_orderkey"], ["rang", "dateDebut", "etatAdministratifEtablissement",
+                                               "activitePrincipaleEtablissement"],
+                          F.to_date("l_shipdate"),
+                          [F.col("rang"), F.col("dateDebut"), F.col("etatAdministratifEtablissement"),
+                           F.col("activitePrincipaleEtablissement")])
 
 
 _P3_SQL = """
@@ -65,15 +71,14 @@ SELECT l_orderkey, rang, dateDebut, etatAdministratifEtablissement, activitePrin
          l_linestatus AS etatAdministratifEtablissement, l_returnflag AS activitePrincipaleEtablissement,
          row_number() OVER (PARTITION BY l_orderkey
            ORDER BY COALESCE(strftime(l_shipdate, '%Y-%m-%d'), '0000-00-00') DESC,
-                    l_linenumber, strftime(l_shipdate, '%Y-%m-%d') NULLS LAST, l_linestatus NULLS LAST,
-                    l_returnflag NULLS LAST) AS rn
+                    l_linenumber, strftime(l_shipdate, '%Y-%m-%d') NULLS FIRST, l_linestatus NULLS FIRST,
+                    l_returnflag NULLS FIRST) AS rn
   FROM lineitem) t WHERE rn = 1"""
 
 
 @query("p3_latest_period", _P3_SQL)
 def p3_latest_period(spark, d):
-    h = _history(spark, d).select("l_orderkey", latest_struct("periodesEtablissement", "dateDebut").alias("p"))
-    return h.select("l_orderkey", "p.*")
+    return _latest_line(spark, d).select("l_orderkey", "p.*")
 
 
 @query("p4_spread_struct", _P3_SQL.replace(
@@ -82,8 +87,7 @@ def p3_latest_period(spark, d):
     "etatAdministratifEtablissement AS periode_etatAdministratifEtablissement, "
     "activitePrincipaleEtablissement AS periode_activitePrincipaleEtablissement FROM (", 1))
 def p4_spread_struct(spark, d):
-    h = _history(spark, d).select("l_orderkey", latest_struct("periodesEtablissement", "dateDebut").alias("p"))
-    return spread_struct(h, "p", "periode_")
+    return spread_struct(_latest_line(spark, d), "p", "periode_")
 
 
 # P5 / P6 -------------------------------------------------------------------------

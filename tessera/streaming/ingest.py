@@ -4,14 +4,18 @@ ST1  landed JSON pages -> raw table, exactly once and resumable: file source +
      checkpoint location + ``availableNow`` trigger (a restart resumes after the
      last committed file).
 ST2  a record landed again (same SIRET on a later page or re-extraction) is
-     dropped with ``dropDuplicatesWithinWatermark`` (state bounded by the
-     watermark).
+     dropped with ``dropDuplicatesWithinWatermark``. The event time is the
+     landing time of the file (``_metadata.file_modification_time``), which only
+     grows, so first landings are never late; the state holds the keys landed
+     within the watermark delay (default 30 days, the re-extraction period).
 ST3  establishments are scored as they land. The segment of a row depends on
      every establishment of its entity, so each micro-batch recomputes the
      touched entities from the accumulated table (a semi join on the touched
      keys) and writes their rows under ``epoch=N`` with dynamic overwrite: a
      replayed batch rewrites its own partition (idempotent sink). Readers take
-     the latest epoch per establishment.
+     the latest epoch per establishment. The accumulated table is partitioned by
+     an entity hash bucket, so a batch reads only the buckets it touched (the
+     bucket list reaching the driver is bounded by the bucket count).
 """
 
 from __future__ import annotations
@@ -26,17 +30,21 @@ from pyspark.sql import types as T
 from ..sources.readers import flatten_structs
 
 
+LANDED_AT = "landed_at"
+
+
 def ingest_pages(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
                  files_per_trigger: int = 1, flatten: bool = True, dedup_key: str | None = None,
-                 event_time: str | None = None, delay: str = "3650 days") -> None:
-    """Run the ingestion until every landed file is processed (availableNow)."""
+                 event_time: str | None = None, delay: str = "30 days") -> None:
+    """Run the ingestion until every landed file is processed (availableNow).
+    With ``dedup_key`` a key landed again within ``delay`` is dropped; the
+    event time defaults to the file's landing time (column ``landed_at``)."""
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(landing)
+    s = s.withColumn(LANDED_AT, F.col("_metadata.file_modification_time"))
     if flatten:
         s = flatten_structs(s)
     if dedup_key:
-        if not event_time:
-            raise ValueError("deduplication needs an event-time column for the watermark")
-        s = s.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([dedup_key])
+        s = s.withWatermark(event_time or LANDED_AT, delay).dropDuplicatesWithinWatermark([dedup_key])
     q = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).outputMode("append").start())
     q.awaitTermination()
@@ -44,16 +52,19 @@ def ingest_pages(spark: SparkSession, landing: str, schema: T.StructType, sink:
 
 def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root: str,
                  score_entities: Callable[[DataFrame], DataFrame], key: str = "siret", entity: str = "siren",
-                 files_per_trigger: int = 1) -> None:
+                 files_per_trigger: int = 1, buckets: int = 64) -> None:
     """ST3: score landed establishments per micro-batch, recomputing touched entities."""
     est_path, out_path = os.path.join(root, "establishments"), os.path.join(root, "scored")
 
     def batch(df: DataFrame, epoch: int) -> None:
         if df.isEmpty():
             return
-        (df.withColumn("epoch", F.lit(epoch)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(est_path))
-        acc = df.sparkSession.read.schema(df.schema.add("epoch", T.LongType())).parquet(est_path)
+        b = F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).cast("int")
+        (df.withColumns({"bucket": b, "epoch": F.lit(epoch).cast("long")}).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "epoch").parquet(est_path))
+        hit = [r[0] for r in df.select(b.alias("b")).distinct().collect()]   # at most `buckets` values
+        acc = (df.sparkSession.read.schema(df.schema.add("bucket", T.IntegerType()).add("epoch", T.LongType()))
+               .parquet(est_path).where(F.col("bucket").isin(hit)).drop("bucket"))
         touched = df.select(entity).distinct()
         # latest landed version of each establishment of the touched entities
         rows = (acc.join(touched, entity, "left_semi")
