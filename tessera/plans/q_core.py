@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.groups import attach_group_stats, group_size
-from ..operators.star import star_join
-from ..rules import scoring
 from . import model, views
 from .catalog import query
 from .oracle import with_model
@@ -202,8 +200,6 @@ def s16_register_view(spark, d):
                      "FROM v_etablissements_global GROUP BY segment_entreprise")
 
 
-__all__ = ["v1", "context", "segment_pyramid", "star_join", "scoring"]
-
 
 # --- P23: constant tag per source, union of separately stored codes ----------------------
 

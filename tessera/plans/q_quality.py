@@ -13,7 +13,6 @@ from ..rules import bands, scoring
 from . import model
 from .catalog import query
 from .oracle import with_model
-from .q_analytics import focus
 from .q_core import segment_pyramid, v1
 
 H = "CAST(100 AS DOUBLE)"
@@ -209,5 +208,3 @@ def q11_reconciliation(spark, d):
     return checks([check(j, "categories_vs_total", F.col("__s"), F.col("__t"), F.col("__s") == F.col("__t")),
                    check(j, "segments_vs_entites", F.col("__g"), F.col("__e"), F.col("__g") == F.col("__e"))])
 
-
-__all__ = ["focus"]

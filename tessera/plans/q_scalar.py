@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import (
     address_line, age_band, age_years, clean_code_text, department_from_commune, first_chars,
-    headcount_category, lambert93_to_wgs84, latest_struct, safe_name, sector_type, try_date, try_double,
+    headcount_category, safe_name, sector_type, try_date, try_double,
     valid_coordinates,
 )
 from ..operators.groups import latest_per_key
@@ -18,7 +17,7 @@ from ..rules import bands
 from ..sources.readers import coerce_types, read_table, sanitize_columns
 from . import model
 from .catalog import query
-from .oracle import _band, _dept, _pmod, with_model
+from .oracle import _band, _pmod, with_model
 
 H = "CAST(100 AS DOUBLE)"
 
@@ -367,5 +366,3 @@ def s11_name_driven_types(spark, d):
         F.col("o_orderpriority").alias("categorie"))
     return coerce_types(s)
 
-
-__all__ = ["T", "lambert93_to_wgs84"]

@@ -13,7 +13,6 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 GRAINS = ("siret", "siren", "full")
 DEFAULT_CLUSTER = ("departement", "type_activite_etab", "categorie_effectifs_etab")
@@ -62,5 +61,3 @@ def lineage_cut(df: DataFrame, spark_checkpoint: bool = True) -> DataFrame:
     """Cut a long lineage with a reliable checkpoint in the shared checkpoint dir."""
     return df.checkpoint(eager=True) if spark_checkpoint else df
 
-
-__all__ = ["F"]

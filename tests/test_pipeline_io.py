@@ -80,6 +80,11 @@ def test_manifest_and_freshness(spark):
     assert dec["c4"] == (False, "Données récentes (30j)")   # 30 days is still fresh
     assert dec["c5"] == (True, mf.R_NO_FILE)
     assert dec["c6"] == (True, mf.R_NO_META)
+    # a manifest whose date does not parse asks for a refresh
+    bad = spark.createDataFrame([("c1", "not a date", "completed")], "code_ape string, d string, status string")
+    r = mf.freshness(codes.where("code_ape = 'c1'"), bad, present, F.lit("2024-03-01").cast("timestamp"), 30,
+                     raw_date="d").first()
+    assert (r.should_extract, r.reason) == (True, mf.R_BAD_DATE)
 
 
 def test_stream_exactly_once_and_dedup(spark):
