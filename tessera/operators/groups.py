@@ -1,15 +1,15 @@
 """Group statistics attached to rows, deduplication, duplicate reports.
 
-Skew model: any one key may hold a large share of all rows. Group statistics
-are therefore computed with ``groupBy`` (partial aggregation on the map side, so
-a hot key ships one partial row per map task) and attached back with a *salted*
-equi-join: keys whose row count exceeds ``rows_per_task`` are spread over
-``ceil(count / rows_per_task)`` buckets on the fact side, and only those keys'
-statistics rows are replicated once per bucket. The heavy-key list is broadcast;
-its size is bounded by ``total_rows / rows_per_task`` by construction.
-
-A window ``OVER (PARTITION BY key)`` would put a hot key's rows in one task;
-these operators never do.
+Skew model: any one key may hold a large share of all rows. Rows are
+partitioned on (key, salt): keys whose row count exceeds ``rows_per_task`` are
+spread over ``ceil(count / rows_per_task)`` buckets by a deterministic hash of
+the row, every other key has a single bucket. Joins to one-row-per-key sides
+replicate only the heavy keys' rows once per bucket (``SaltPlan.join``), and
+group statistics (``attach_group_stats``) are a window over (key, salt) -- exact
+for every light key, with no new shuffle when the input is already partitioned
+that way -- corrected for the heavy keys by a broadcast aggregate over their
+rows (at most ``total_rows / rows_per_task`` keys). A window over the key alone
+would put a hot key's rows in one task; nothing here does.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALT = "__salt"
+HEAVY = "__heavy"            # row belongs to a key split over several buckets
+SALT_COLUMNS = (SALT, HEAVY)
 _BUCKETS = "__buckets"
 _N = "__n"
 
@@ -66,7 +68,8 @@ class SaltPlan:
         if SALT in fact.columns:
             return fact
         f = self._with_buckets(fact)
-        return (f.withColumn(SALT, F.pmod(F.xxhash64(*salt_from), F.coalesce(F.col(_BUCKETS), F.lit(1))).cast("int"))
+        return (f.withColumns({SALT: F.pmod(F.xxhash64(*salt_from), F.coalesce(F.col(_BUCKETS), F.lit(1))).cast("int"),
+                               HEAVY: F.col(_BUCKETS).isNotNull()})
                 .drop(_BUCKETS))
 
     def replicate(self, side: DataFrame) -> DataFrame:
@@ -77,15 +80,17 @@ class SaltPlan:
 
     def join(self, fact: DataFrame, side: DataFrame, how: str = "left",
              salt_from: Sequence[str] | None = None) -> DataFrame:
-        """Equi-join ``fact`` to ``side`` (at most one row per key) on the keys,
-        skew-safe. Output keeps ``__salt`` so later joins reuse the partitioning."""
+        """Equi-join ``fact`` to ``side`` (at most one row per key) on (key, salt),
+        skew-safe. Null keys never match (plain equality), so the output stays
+        hash-partitioned and sorted on (key, salt): a later window or join on the
+        same columns adds no exchange. Output keeps ``__salt``."""
         f = self.salt_fact(fact, salt_from or fact.columns)
         s = self.replicate(side)
         s = s.select(*[F.col(k).alias(f"__s_{k}") for k in self.keys], F.col(SALT).alias("__s_salt"),
                      *[c for c in s.columns if c not in self.keys and c != SALT])
         cond = None
         for k in self.keys:
-            c = f[k].eqNullSafe(s[f"__s_{k}"]) if self.null_safe else f[k] == s[f"__s_{k}"]
+            c = f[k] == s[f"__s_{k}"]
             cond = c if cond is None else cond & c
         cond = cond & (f[SALT] == s["__s_salt"])
         return f.join(s, cond, how).drop(*[f"__s_{k}" for k in self.keys], "__s_salt")
@@ -94,12 +99,33 @@ class SaltPlan:
 def attach_group_stats(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
                        salt_from: Sequence[str] | None = None, plan: SaltPlan | None = None,
                        rows_per_task: int = DEFAULT_ROWS_PER_TASK, keep_salt: bool = False) -> DataFrame:
-    """Add per-group aggregates to every row (the skew-safe form of
-    ``agg OVER (PARTITION BY keys)``). Null keys form one group, as in SQL."""
-    stats = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], F.count(F.lit(1)).alias(_N))
-    plan = plan or SaltPlan.from_counts(stats, keys, _N, rows_per_task)
-    out = plan.join(df, stats.drop(_N), "left", salt_from)
-    return out if keep_salt else out.drop(SALT)
+    """Add per-group aggregates to every row: the skew-safe form of
+    ``agg OVER (PARTITION BY keys)``. Null keys form one group, as in SQL.
+
+    ``aggs`` are aggregate columns usable both in ``groupBy().agg`` and
+    ``over()`` (avg, sum, count, min, max, ...). Without a ``plan`` the heavy
+    keys are found by one narrow counting pass with partial aggregation."""
+    if plan is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
+        plan = SaltPlan.from_counts(counts, keys, _N, rows_per_task)
+    f = plan.salt_fact(df, salt_from or df.columns)
+    w = Window.partitionBy(*keys, SALT)
+    out = f.withColumns({n: c.over(w) for n, c in aggs.items()})
+    # heavy keys span several buckets: aggregate their rows across buckets. The
+    # filter is on a column set when salting, so it is pushed below the shuffle:
+    # this branch reads the fact again but moves only the heavy keys' rows.
+    hv = (f.where(F.col(HEAVY)).groupBy(*keys)
+          .agg(*[c.alias(f"__hv_{n}") for n, c in aggs.items()]))
+    hv = F.broadcast(hv.select(*[F.col(k).alias(f"__hvk_{k}") for k in keys], *[f"__hv_{n}" for n in aggs],
+                               F.lit(True).alias("__hv_hit")))
+    on = None
+    for k in keys:
+        c = out[k].eqNullSafe(hv[f"__hvk_{k}"])
+        on = c if on is None else on & c
+    out = out.join(hv, on, "left")
+    out = out.withColumns({n: F.when(F.col("__hv_hit"), F.col(f"__hv_{n}")).otherwise(F.col(n)) for n in aggs})
+    out = out.drop(*[f"__hvk_{k}" for k in keys], *[f"__hv_{n}" for n in aggs], "__hv_hit")
+    return out if keep_salt else out.drop(*SALT_COLUMNS)
 
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "nb_etablissements",

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.groups import group_size
+from ..operators.groups import SALT_COLUMNS, group_size
 from ..session import scratch_path
 from ..sources import manifest as mf
 from ..sources import schemas
@@ -134,7 +134,7 @@ FROM full_t GROUP BY code_ape"""))
 def s14_publish_all_codes_report(spark, d):
     full, _ = model.full(spark, d)
     path = _scratch(spark, "all-codes")
-    publish(full.drop("__salt"), path, "overwrite", ("code_ape",), ("departement",))
+    publish(full.drop(*SALT_COLUMNS), path, "overwrite", ("code_ape",), ("departement",))
     back = spark.read.parquet(path)
     return (back.groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_siret"), F.count_distinct("siren").alias("nb_siren"))
             .withColumn("statut", F.when(F.col("nb_siret") > 0, F.lit("success")).otherwise(F.lit("error"))))
@@ -147,7 +147,7 @@ SELECT code_ape, COUNT(*) AS nb_lignes FROM (
   UNION ALL SELECT code_ape FROM full_t WHERE code_ape = 'BUILDING') t GROUP BY code_ape"""))
 def s12_write_modes(spark, d):
     full, _ = model.full(spark, d)
-    full = full.drop("__salt")
+    full = full.drop(*SALT_COLUMNS)
     path = _scratch(spark, "modes")
     publish(full, path, "overwrite", ("code_ape",), ("departement",))
     one = full.where(F.col("code_ape") == model.FOCUS_CODE)
@@ -162,9 +162,9 @@ SELECT siret AS id_etablissement, siren AS id_entreprise, departement AS code_de
        nb_etablissements AS nombre_sites FROM full_t"""))
 def s15_final_export(spark, d):
     full, _ = model.full(spark, d)
-    sel = full.select("siret", "siren", "departement", "nb_etablissements", "dept_anomaly", "__salt")
+    sel = full.select("siret", "siren", "departement", "nb_etablissements", "dept_anomaly", "__salt", "__heavy")
     path = _scratch(spark, "export")
-    export_final(sel, path, drop=["dept_anomaly", "__salt"],
+    export_final(sel, path, drop=["dept_anomaly", *SALT_COLUMNS],
                  rename={"siret": "id_etablissement", "siren": "id_entreprise", "departement": "code_departement",
                          "nb_etablissements": "nombre_sites"})
     return spark.read.parquet(path)
@@ -316,7 +316,7 @@ SELECT code_ape, 'completed' AS status, COUNT(*) AS nb_etablissements FROM full_
 def s9_raw_write_then_manifest(spark, d):
     full, _ = model.full(spark, d)
     root = _scratch(spark, "raw")
-    publish(full.drop("__salt"), os.path.join(root, "raw"), "overwrite", ("code_ape",))
+    publish(full.drop(*SALT_COLUMNS), os.path.join(root, "raw"), "overwrite", ("code_ape",))
     # record completion only after the write succeeded, with counts read back from what was written
     written = spark.read.parquet(os.path.join(root, "raw")).groupBy("code_ape") \
         .agg(F.count(F.lit(1)).alias("nb_etablissements"))
@@ -354,7 +354,7 @@ def s20_quarantine_malformed(spark, d):
 # ST1 / ST2 / ST3 -----------------------------------------------------------------------------
 def _land_pages(spark, d, landing, with_replays: bool):
     full, _ = model.full(spark, d)
-    full = full.drop("__salt")
+    full = full.drop(*SALT_COLUMNS)
     pages = full.repartition(6, "siret")
     pages.write.mode("overwrite").json(os.path.join(landing, "p1"))
     if with_replays:  # a re-extraction lands some records a second time
@@ -416,7 +416,7 @@ def s13_publish_one_code(spark, d):
     siret, siren, full = _grains(spark, d)
     root = _scratch(spark, "one-code")
     one = lambda df: df.where(F.col("code_ape") == model.FOCUS_CODE)
-    paths = save_split(one(siret), one(siren), one(full.drop("__salt")), root)
+    paths = save_split(one(siret), one(siren), one(full.drop(*SALT_COLUMNS)), root)
     back = read_partitioned(spark, paths["full"], model.FOCUS_CODE)
     return back.agg(F.count(F.lit(1)).alias("nb_lignes"), F.count_distinct("departement").alias("nb_departements")) \
         .select(F.lit("full").alias("grain"), "nb_lignes", "nb_departements")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import address_line
 from ..operators.cascade import FlagSet, ScoreSet, Segmentation
-from ..operators.groups import SaltPlan, attach_group_stats
+from ..operators.groups import SALT_COLUMNS, SaltPlan, attach_group_stats
 from ..operators.star import DimRef, star_join
 from ..rules import scoring
 
@@ -87,7 +87,7 @@ def scoring_base(full: DataFrame, dims: dict[str, DataFrame],
     addr = address_line(*parts).alias("adresse_complete")
     extra = [c for c in ("profil_territorial", "libelle_effectifs_etablissement", "libelle_effectifs_unite_legale",
                          "famille_juridique", "libelle_ape", "score_priorite") if c in j.columns]
-    salt = ["__salt"] if "__salt" in j.columns else []
+    salt = [c for c in SALT_COLUMNS if c in j.columns]
     return j.select(*keep, addr, *extra, *salt)
 
 
@@ -114,7 +114,7 @@ def scored_view(full: DataFrame, dims: dict[str, DataFrame], plan: SaltPlan | No
         s = with_entity_mean(s, plan)
         return labels.apply(s)
     assert isinstance(labels, FlagSet)
-    return labels.apply(s).drop("__salt")
+    return labels.apply(s).drop(*SALT_COLUMNS)
 
 
 def single_code_view(full: DataFrame, dims: dict[str, DataFrame], code: str,
