@@ -424,36 +424,32 @@ def s13_publish_one_code(spark, d):
 
 # The registry batch pipeline on nested records ---------------------------------------
 def _write_registry_records(spark, d, path):
-    """Nested registry-shaped records built row by row from orders ⋈ customer:
-    each carries a short state history (2 or 3 periods, one tie)."""
-    o = read_table(spark, d, "orders")
+    """Nested registry-shaped records built row by row from the model's
+    establishments ⋈ customer: each carries a short state history (2 or 3
+    periods, one of them a tie)."""
+    raw = model.raw_siret(spark, d)
     c = read_table(spark, d, "customer")
-    j = o.join(c, o.o_custkey == c.c_custkey)
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    state = F.when(F.col("o_totalprice") >= model.ACTIVE_MIN_PRICE, F.lit("A")).otherwise(F.lit("F"))
+    j = raw.join(c, raw.siren == c.c_custkey)
+    day = F.date_format("dateCreationEtablissement", "yyyy-MM-dd")
 
     def period(date, etat):
         return F.struct(date.alias("dateDebut"), F.lit(None).cast("string").alias("dateFin"),
                         F.col("c_mktsegment").alias("activitePrincipaleEtablissement"),
                         etat.alias("etatAdministratifEtablissement"))
-    hist = F.array(period(F.date_format(F.date_sub(F.to_date("o_orderdate"), 400), "yyyy-MM-dd"), F.lit("F")),
-                   period(day, state))
-    hist = F.when(F.pmod("o_orderkey", F.lit(5)) == 0, F.concat(hist, F.array(period(day, F.lit("X"))))).otherwise(hist)
-    raw = model.raw_siret(spark, d)  # address parts and codes of the model, by order key
-    addr = raw.select(F.col("siret").alias("o_orderkey"), F.struct(
-        *[F.col(f"adresseEtablissement_{k}").alias(k) for k in
-          ("numeroVoieEtablissement", "typeVoieEtablissement", "libelleVoieEtablissement", "codePostalEtablissement",
-           "libelleCommuneEtablissement", "codeCommuneEtablissement", "coordonneeLambertAbscisseEtablissement",
-           "coordonneeLambertOrdonneeEtablissement")]).alias("adresseEtablissement"),
-        "trancheEffectifsEtablissement")
-    rec = j.join(addr, "o_orderkey").select(
-        F.col("o_orderkey").cast("string").alias("siret"), F.col("o_custkey").cast("string").alias("siren"),
-        day.alias("dateCreationEtablissement"), "trancheEffectifsEtablissement",
-        (F.pmod("o_orderkey", F.lit(7)) == 0).alias("etablissementSiege"),
-        F.struct(F.col("o_orderpriority").alias("categorieJuridiqueUniteLegale"),
+    hist = F.array(period(F.date_format(F.date_sub("dateCreationEtablissement", 400), "yyyy-MM-dd"), F.lit("F")),
+                   period(day, F.col("periode_etatAdministratifEtablissement")))
+    hist = F.when(F.pmod("siret", F.lit(5)) == 0, F.concat(hist, F.array(period(day, F.lit("X"))))).otherwise(hist)
+    addr = F.struct(*[F.col(f"adresseEtablissement_{k}").alias(k) for k in
+                      ("numeroVoieEtablissement", "typeVoieEtablissement", "libelleVoieEtablissement",
+                       "codePostalEtablissement", "libelleCommuneEtablissement", "codeCommuneEtablissement",
+                       "coordonneeLambertAbscisseEtablissement", "coordonneeLambertOrdonneeEtablissement")])
+    rec = j.select(
+        F.col("siret").cast("string").alias("siret"), F.col("siren").cast("string").alias("siren"),
+        day.alias("dateCreationEtablissement"), "trancheEffectifsEtablissement", "etablissementSiege",
+        F.struct(F.col("uniteLegale_categorieJuridiqueUniteLegale").alias("categorieJuridiqueUniteLegale"),
                  F.col("c_name").alias("denominationUniteLegale"),
                  F.col("c_mktsegment").alias("activitePrincipaleUniteLegale")).alias("uniteLegale"),
-        "adresseEtablissement", hist.alias("periodesEtablissement"))
+        addr.alias("adresseEtablissement"), hist.alias("periodesEtablissement"))
     rec.write.mode("overwrite").json(path)
 
 

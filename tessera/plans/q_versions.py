@@ -136,8 +136,8 @@ SELECT s.code_departement, d.profil_territorial, COUNT(*) AS nb_etablissements,
 FROM scored s JOIN dim_departements d ON s.code_departement = d.dep
 GROUP BY s.code_departement, d.profil_territorial, d.population_2022"""))
 def v5_territory_stats(spark, d):
-    full, plan, dims = context(spark, d)
-    v = views.scored_view(full, dims, plan, model.RETAINED_SEGMENTS)
+    _, _, dims = context(spark, d)
+    v = v1(spark, d)
     dep = F.broadcast(dims["dim_departements"].select("dep", F.col("profil_territorial").alias("profil"),
                                                       "population_2022"))
     j = v.join(dep, v.code_departement == dep.dep, "inner")
