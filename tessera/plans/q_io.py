@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.groups import SALT_COLUMNS, group_size
+from ..operators.groups import SALT_COLUMNS, SaltPlan, group_size
 from ..session import scratch_path
 from ..sources import manifest as mf
 from ..sources import schemas
@@ -399,12 +399,16 @@ def st3_stream_scoring(spark, d):
     _, _, dims = context(spark, d)
 
     def score_entities(rows):
-        base = group_size(rows.drop("nb_etablissements"), ["siren"], "nb_etablissements", salt_from=["siret"])
-        return views.scored_view(base, dims, None, model.RETAINED_SEGMENTS).select(
+        # one salt plan per micro-batch: the site count and the entity mean are
+        # windows over the same (siren, salt) partitioning
+        plan = SaltPlan.for_fact(rows, ["siren"])
+        base = group_size(rows.drop("nb_etablissements"), ["siren"], "nb_etablissements", salt_from=["siret"],
+                          plan=plan, keep_salt=True)
+        return views.scored_view(base, dims, plan, model.RETAINED_SEGMENTS).select(
             "siret", "siren", "score_total", "score_moyen_siren", "segment_entreprise")
 
     score_stream(spark, _glob(os.path.join(root, "landing")), schema, os.path.join(root, "out"), score_entities,
-                 files_per_trigger=2)
+                 files_per_trigger=4)
     return latest_scored(spark, os.path.join(root, "out"))
 
 

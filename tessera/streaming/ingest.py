@@ -57,6 +57,13 @@ def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root:
     est_path, out_path = os.path.join(root, "establishments"), os.path.join(root, "scored")
 
     def batch(df: DataFrame, epoch: int) -> None:
+        df = df.persist()   # several actions below: read the micro-batch once
+        try:
+            _score_batch(df, epoch)
+        finally:
+            df.unpersist()
+
+    def _score_batch(df: DataFrame, epoch: int) -> None:
         if df.isEmpty():
             return
         b = F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).cast("int")
