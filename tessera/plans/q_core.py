@@ -237,3 +237,28 @@ def w3_percent_of_total(spark, d):
     from ..operators.analytics import with_share
     agg = v1(spark, d).groupBy("categorie_potentiel").agg(F.count(F.lit(1)).alias("nb_lignes"))
     return with_share(agg, "nb_lignes")
+
+
+# --- W1 under skew: one entity owns a third of all establishments ------------------------
+
+HOT_ROWS_PER_TASK = 1000   # small on purpose: the hot entity is split over many buckets
+
+
+@query("w1_hot_entity_mean", with_model(f"""
+SELECT siret, siren_chaud, score_taille, AVG(score_taille) OVER (PARTITION BY siren_chaud) AS moyenne_entite,
+       COUNT(*) OVER (PARTITION BY siren_chaud) AS nb_sites
+FROM (SELECT siret, CASE WHEN siret % 3 = 0 THEN 1 ELSE siren END AS siren_chaud,
+             CASE trancheEffectifsEtablissement WHEN 'NN' THEN 0 WHEN '00' THEN 0 ELSE 1 END
+               + length(trancheEffectifsEtablissement) AS score_taille
+      FROM active_siret) t"""))
+def w1_hot_entity_mean(spark, d):
+    """Entity mean and size with a hot entity (every third establishment),
+    computed by the salted window and its hot-key correction."""
+    s = model.raw_siret(spark, d).where(F.col("periode_etatAdministratifEtablissement") == "A")
+    band = F.col("trancheEffectifsEtablissement")
+    s = s.select("siret", F.when(F.pmod("siret", F.lit(3)) == 0, F.lit(1).cast("bigint")).otherwise(F.col("siren"))
+                 .alias("siren_chaud"),
+                 (F.when(band.isin("NN", "00"), F.lit(0)).otherwise(F.lit(1)) + F.length(band)).alias("score_taille"))
+    return attach_group_stats(s, ["siren_chaud"], {"moyenne_entite": F.avg("score_taille"),
+                                                   "nb_sites": F.count(F.lit(1))},
+                              salt_from=["siret"], rows_per_task=HOT_ROWS_PER_TASK)
