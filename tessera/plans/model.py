@@ -221,14 +221,20 @@ def with_geo(siret: DataFrame) -> DataFrame:
             .withColumn("dept_anomaly", F.col("departement").isNull()))
 
 
-def siren_table(spark: SparkSession, d: str, active_siret: DataFrame) -> DataFrame:
+def entity_counts(active_siret: DataFrame) -> DataFrame:
+    """Active establishments and first creation date per entity (partial
+    aggregation: a hot entity ships one partial row per map task)."""
+    return (active_siret.groupBy("siren")
+            .agg(F.count(F.lit(1)).alias("nb_etablissements"),
+                 F.min("dateCreationEtablissement").alias("uniteLegale_dateCreationUniteLegale")))
+
+
+def siren_table(spark: SparkSession, d: str, active_siret: DataFrame, per: DataFrame | None = None) -> DataFrame:
     """Entity grain: customer attributes, establishment count (active sites) and
     first establishment date. Joins two entity-sized inputs; the fact is only
     pre-aggregated (partial aggregation), never shuffled whole here."""
     c = _t(spark, d, "customer")
-    per = (active_siret.groupBy("siren")
-           .agg(F.count(F.lit(1)).alias("nb_etablissements"),
-                F.min("dateCreationEtablissement").alias("uniteLegale_dateCreationUniteLegale")))
+    per = per if per is not None else entity_counts(active_siret)
     ent = c.select(
         F.col("c_custkey").alias("siren"),
         F.col("c_name").alias("uniteLegale_denominationUniteLegale"),
@@ -248,9 +254,11 @@ def full(spark: SparkSession, d: str, rows_per_task: int | None = None) -> tuple
 
 def _full(spark: SparkSession, d: str, rows_per_task: int | None = None) -> tuple[DataFrame, SaltPlan]:
     s = with_geo(raw_siret(spark, d)).where(F.col("periode_etatAdministratifEtablissement") == "A")
-    ent = siren_table(spark, d, s)
+    per = entity_counts(s)
+    ent = siren_table(spark, d, s, per)
     kw = {} if rows_per_task is None else {"rows_per_task": rows_per_task}
-    plan = SaltPlan.from_counts(ent, ["siren"], "nb_etablissements", **kw)
+    # hot entities straight from the counts: no entity join needed to find them
+    plan = SaltPlan.from_counts(per, ["siren"], "nb_etablissements", **kw)
     out = plan.join(s, ent, "inner", salt_from=["siret"])
     out = out.withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
     return out, plan
