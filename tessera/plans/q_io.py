@@ -21,7 +21,7 @@ from ..sources.readers import (
     flatten_structs, force_string_schema, read_dimension_csv, read_partitioned, read_processed, read_raw_json,
     read_table,
 )
-from ..sources.writers import export_final, publish, save_split
+from ..sources.writers import export_final, load_dimensions, publish, save_split
 from ..streaming.ingest import ingest_pages, latest_scored, score_stream
 from . import model, views
 from .catalog import query
@@ -195,19 +195,15 @@ def s4_read_dimension_csv(spark, d):
 
 
 @query("s5_load_all_dimensions", with_model("""
-SELECT 'dim_departements' AS table_name, COUNT(*) AS nb_lignes FROM dim_departements
-UNION ALL SELECT 'dim_codes_ape', COUNT(*) FROM dim_codes_ape
-UNION ALL SELECT 'dim_categories_effectifs', COUNT(*) FROM dim_categories_effectifs
-UNION ALL SELECT 'dim_categories_juridiques', COUNT(*) FROM dim_categories_juridiques
-UNION ALL SELECT 'dim_anciennete', COUNT(*) FROM dim_anciennete"""))
+SELECT 'dim_departements' AS table_name, COUNT(*) AS nb_lignes, 'success' AS statut FROM dim_departements
+UNION ALL SELECT 'dim_codes_ape', COUNT(*), 'success' FROM dim_codes_ape
+UNION ALL SELECT 'dim_categories_effectifs', COUNT(*), 'success' FROM dim_categories_effectifs
+UNION ALL SELECT 'dim_categories_juridiques', COUNT(*), 'success' FROM dim_categories_juridiques
+UNION ALL SELECT 'dim_anciennete', COUNT(*), 'success' FROM dim_anciennete"""))
 def s5_load_all_dimensions(spark, d):
     files = _dims_to_csv(spark, d)
-    out = None
-    for name, p in files.items():
-        c = read_dimension_csv(spark, p, schemas.DIMENSION_SCHEMAS[name]).agg(F.count(F.lit(1)).alias("nb_lignes")) \
-            .select(F.lit(name).alias("table_name"), "nb_lignes")
-        out = c if out is None else out.unionByName(c)
-    return out
+    dims = {name: read_dimension_csv(spark, p, schemas.DIMENSION_SCHEMAS[name]) for name, p in files.items()}
+    return load_dimensions(dims, _scratch(spark, "warehouse"))
 
 
 @query("s6_force_string_schema", """

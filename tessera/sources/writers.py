@@ -61,3 +61,32 @@ def lineage_cut(df: DataFrame, spark_checkpoint: bool = True) -> DataFrame:
     """Cut a long lineage with a reliable checkpoint in the shared checkpoint dir."""
     return df.checkpoint(eager=True) if spark_checkpoint else df
 
+
+
+# FIXED VALUES: clustering field of each published dimension.
+DIMENSION_CLUSTERING = {
+    "dim_departements": ("region",),
+    "dim_codes_ape": ("division_ape",),
+    "dim_categories_effectifs": (),
+    "dim_categories_juridiques": ("famille_juridique",),
+    "dim_anciennete": (),
+}
+
+
+def load_dimensions(dims: dict[str, DataFrame], root: str) -> DataFrame:
+    """Publish each dimension (sorted on its clustering field) under ``root`` and
+    report ``(table_name, nb_lignes, statut)`` read back from what was written.
+    A dimension that fails to write is reported as ``error`` with no rows."""
+    spark = next(iter(dims.values())).sparkSession
+    out = None
+    for name, df in dims.items():
+        path = os.path.join(root, name)
+        try:
+            cl = [c for c in DIMENSION_CLUSTERING.get(name, ()) if c in df.columns]
+            (df.sortWithinPartitions(*cl) if cl else df).coalesce(1).write.mode("overwrite").parquet(path)
+            row = (spark.read.parquet(path).groupBy().count()
+                   .selectExpr(f"'{name}' AS table_name", "count AS nb_lignes", "'success' AS statut"))
+        except Exception:  # noqa: BLE001 - reported as a row, as the source's per-table status
+            row = spark.createDataFrame([(name, None, "error")], "table_name string, nb_lignes long, statut string")
+        out = row if out is None else out.unionByName(row)
+    return out
