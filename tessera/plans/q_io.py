@@ -41,7 +41,7 @@ def _grains(spark, d):
     code = ent.select("siren", F.col("uniteLegale_activitePrincipaleUniteLegale").alias("code_ape"))
     siret = active.join(code, "siren", "inner")
     siren = ent.withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
-    return siret, siren, full
+    return siret, siren, full.drop(*SALT_COLUMNS)
 
 
 # Nested JSON -> flat columns --------------------------------------------------------
@@ -416,7 +416,7 @@ def s13_publish_one_code(spark, d):
     siret, siren, full = _grains(spark, d)
     root = _scratch(spark, "one-code")
     one = lambda df: df.where(F.col("code_ape") == model.FOCUS_CODE)
-    paths = save_split(one(siret), one(siren), one(full.drop(*SALT_COLUMNS)), root)
+    paths = save_split(one(siret), one(siren), one(full), root)
     back = read_partitioned(spark, paths["full"], model.FOCUS_CODE)
     return back.agg(F.count(F.lit(1)).alias("nb_lignes"), F.count_distinct("departement").alias("nb_departements")) \
         .select(F.lit("full").alias("grain"), "nb_lignes", "nb_departements")
@@ -467,3 +467,15 @@ def s20_registry_pipeline(spark, d):
             .agg(F.count(F.lit(1)).alias("nb_siret"), F.count_distinct("siren").alias("nb_siren"),
                  F.count(F.when(F.col("dept_anomaly"), F.lit(1))).alias("nb_anomalies_dept"),
                  F.count(F.when(F.col("nb_etablissements") > 1, F.lit(1))).alias("nb_siret_multi_sites")))
+
+
+# V1 on the published table: the production path -----------------------------------------------
+@query("v1_on_published_full", with_model("SELECT * FROM scored"))
+def v1_on_published_full(spark, d):
+    """Publish the grains, then score from the published ``full`` table: partition
+    pruning on the retained codes, column pruning, heavy keys from one counting
+    pass, the entity mean as a salted window."""
+    _, _, dims = context(spark, d)
+    paths, root = _published(spark, d)
+    full = read_processed(spark, root, "full")
+    return views.scored_view(full, dims, None, model.RETAINED_SEGMENTS)
