@@ -248,8 +248,8 @@ HOT_ROWS_PER_TASK = 1000   # small on purpose: the hot entity is split over many
 SELECT siret, siren_chaud, score_taille, AVG(score_taille) OVER (PARTITION BY siren_chaud) AS moyenne_entite,
        COUNT(*) OVER (PARTITION BY siren_chaud) AS nb_sites
 FROM (SELECT siret, CASE WHEN siret % 3 = 0 THEN 1 ELSE siren END AS siren_chaud,
-             CASE trancheEffectifsEtablissement WHEN 'NN' THEN 0 WHEN '00' THEN 0 ELSE 1 END
-               + length(trancheEffectifsEtablissement) AS score_taille
+             CAST(CASE trancheEffectifsEtablissement WHEN 'NN' THEN 0 WHEN '00' THEN 0 ELSE 1 END
+               + length(trancheEffectifsEtablissement) AS INTEGER) AS score_taille
       FROM active_siret) t"""))
 def w1_hot_entity_mean(spark, d):
     """Entity mean and size with a hot entity (every third establishment),

@@ -173,7 +173,7 @@ def v6_version_migration(spark, d):
 @query("v7_top_targets_per_segment", with_model("""
 SELECT segment_entreprise, siret, score_total, rang FROM (
   SELECT segment_entreprise, siret, score_total,
-         row_number() OVER (PARTITION BY segment_entreprise ORDER BY score_total DESC, siret) AS rang
+         CAST(row_number() OVER (PARTITION BY segment_entreprise ORDER BY score_total DESC, siret) AS INTEGER) AS rang
   FROM scored) t WHERE rang <= 5"""))
 def v7_top_targets_per_segment(spark, d):
     v = v1(spark, d).select("segment_entreprise", "siret", "score_total")
