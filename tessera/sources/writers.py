@@ -13,18 +13,25 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 GRAINS = ("siret", "siren", "full")
 DEFAULT_CLUSTER = ("departement", "type_activite_etab", "categorie_effectifs_etab")
 
 
 def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ("code_ape",),
-            cluster_by: Sequence[str] = (), num_files: int | None = None) -> None:
+            cluster_by: Sequence[str] = (), num_files: int | None = None, day_partition: str | None = None) -> None:
     """Write ``df`` as Parquet. ``overwrite`` replaces only the partitions
     present in ``df`` (dynamic partition overwrite), so re-publishing one code
-    leaves the others intact; ``append`` adds files."""
+    leaves the others intact; ``append`` adds files. ``day_partition`` names a
+    date/timestamp column whose day becomes an extra partition column
+    ``<column>_jour``. Clustering columns that do not exist are ignored."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
+    if day_partition:
+        day_col = f"{day_partition}_jour"
+        df = df.withColumn(day_col, F.to_date(F.col(day_partition)))
+        partition_by = tuple(partition_by) + (day_col,)
     cluster = [c for c in cluster_by if c in df.columns]
     keys = [c for c in partition_by if c in df.columns] + cluster
     out = df

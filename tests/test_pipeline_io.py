@@ -58,6 +58,10 @@ def test_publish_dynamic_overwrite(spark):
     got = {r.code_ape: r.n for r in spark.read.parquet(d).groupBy("code_ape").agg(F.count("*").alias("n")).collect()}
     assert got == {"a": 1, "b": 1}                   # only partition a was replaced
     assert read_partitioned(spark, d, "b").count() == 1
+    d2 = tempfile.mkdtemp(prefix="tessera-pub-day-")
+    ts = df.withColumn("maj", F.to_timestamp(F.lit("2024-05-01 10:00:00")))
+    publish(ts, d2, "overwrite", ("code_ape",), ("zz_missing",), day_partition="maj")
+    assert os.path.isdir(os.path.join(d2, "code_ape=a", "maj_jour=2024-05-01"))
 
 
 def test_manifest_and_freshness(spark):
