@@ -81,3 +81,13 @@ def group_consistency_check(df: DataFrame, key: str, col: str, name: str) -> Dat
     multi = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("__v")).where(F.col("__v") > 1)
     agg = multi.agg(F.count(F.lit(1)).alias("__m"))
     return check(agg, name, F.col("__m"), F.lit(0), F.col("__m") == 0)
+
+
+def distribution_check(df: DataFrame, col: str, expected: DataFrame, name: str) -> DataFrame:
+    """Counts per value of ``col`` equal ``expected`` (columns ``col``, ``n``):
+    the number of differing (value, count) rows, both directions (expected 0)."""
+    got = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    exp = expected.select(col, F.col("n").cast("long"))
+    diff = got.exceptAll(exp).unionByName(exp.exceptAll(got))
+    agg = diff.agg(F.count(F.lit(1)).alias("__d"))
+    return check(agg, name, F.col("__d"), F.lit("0"), F.col("__d") == 0)

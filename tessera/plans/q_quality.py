@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.quality import (
-    KO, MINOR, OK, bounds_check, check, checks, coverage_checks, group_consistency_check, null_check,
+    KO, MINOR, OK, bounds_check, check, checks, coverage_checks, distribution_check, group_consistency_check,
+    null_check,
     row_count_check, unique_key_check,
 )
 from ..rules import bands, scoring
@@ -75,12 +76,8 @@ FROM ((SELECT profil_territorial, COUNT(*) AS n FROM dim_departements GROUP BY 1
       (SELECT * FROM (VALUES {', '.join(f"('{p}', {n})" for p, n in EXPECTED_PROFILES)}) v(p, n)
        EXCEPT ALL SELECT profil_territorial, COUNT(*) AS n FROM dim_departements GROUP BY 1)) x"""))
 def q4_profile_distribution(spark, d):
-    got = (model.dim_departements(spark, d).groupBy("profil_territorial")
-           .agg(F.count(F.lit(1)).alias("n")))
     exp = spark.createDataFrame(list(EXPECTED_PROFILES), "profil_territorial string, n long")
-    diff = got.exceptAll(exp).unionByName(exp.exceptAll(got))
-    agg = diff.agg(F.count(F.lit(1)).alias("__d"))
-    return check(agg, "repartition_profils", F.col("__d"), F.lit("0"), F.col("__d") == 0)
+    return distribution_check(model.dim_departements(spark, d), "profil_territorial", exp, "repartition_profils")
 
 
 # Q5: density bands per profile (a report: bands may fail on real data) -----------------

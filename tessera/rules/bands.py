@@ -93,3 +93,12 @@ PROFILE_DENSITY_RANGE = (
     ("Péri-urbain", 10.0, 15.0),
     ("Rural", 5.0, 10.0),
 )
+
+# Departments per territorial profile in the published department dimension
+# (101 rows); the expected distribution of the profile check on registry data.
+REGISTRY_PROFILE_COUNTS = (
+    ("Rural", 49),
+    ("Péri-urbain", 31),
+    ("Urbain", 15),
+    ("Très urbain", 6),
+)

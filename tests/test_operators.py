@@ -7,7 +7,8 @@ from tessera.operators.analytics import concentration, distinct_list, top_k_per_
 from tessera.operators.cascade import Cascade, FlagSet, Rule
 from tessera.operators.groups import SaltPlan, attach_group_stats, duplicate_keys, first_per_key
 from tessera.operators.projection import drop_null_columns, left_join_keep_left, select_tolerant
-from tessera.operators.quality import bounds_check, group_consistency_check, unique_key_check
+from tessera.operators.quality import bounds_check, distribution_check, group_consistency_check, unique_key_check
+from tessera.rules import bands
 from tessera.operators.star import DimRef, bounded, star_join, unmatched_keys
 
 
@@ -106,3 +107,13 @@ def test_quality_checks(spark):
     assert group_consistency_check(df, "k", "s", "g").first().valeur == 1.0
     b = bounds_check(df, "x", 25, 130, "b").first()
     assert b.statut == "ANOMALIE" and b.valeur == 1.0
+
+
+def test_distribution_check_registry_profiles(spark):
+    rows = [(f"{i:02d}", p) for i, p in enumerate(p for p, n in bands.REGISTRY_PROFILE_COUNTS for _ in range(n))]
+    dim = spark.createDataFrame(rows, "dep string, profil_territorial string")
+    exp = spark.createDataFrame(list(bands.REGISTRY_PROFILE_COUNTS), "profil_territorial string, n long")
+    assert dim.count() == 101
+    assert distribution_check(dim, "profil_territorial", exp, "p").first().statut == "OK"
+    bad = dim.where("dep <> '00'")
+    assert distribution_check(bad, "profil_territorial", exp, "p").first().valeur == 2.0
