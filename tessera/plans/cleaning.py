@@ -94,12 +94,21 @@ def split_siret_siren(clean: DataFrame, siege_first: bool = True) -> tuple[DataF
     return siret, first.join(counts, "siren", "inner")
 
 
-def enrich_geo(siret: DataFrame, decimals: int | None = None) -> DataFrame:
+def enrich_geo(siret: DataFrame, decimals: int | None = None, overseas: str = "project") -> DataFrame:
+    """Coordinates, department and anomaly flag. Lambert-93 only covers
+    mainland France and Corsica: ``overseas="null"`` leaves the coordinates of
+    97x/98x departments empty instead of projecting them with the wrong grid
+    (the default keeps the source behaviour)."""
+    if overseas not in ("project", "null"):
+        raise ValueError("overseas must be 'project' or 'null'")
     x = try_double("adresseEtablissement_coordonneeLambertAbscisseEtablissement")
     y = try_double("adresseEtablissement_coordonneeLambertOrdonneeEtablissement")
-    out = with_wgs84(siret, x, y, decimals=decimals)
     dep = department_from_commune("adresseEtablissement_codeCommuneEtablissement")
-    return out.withColumn("departement", dep).withColumn("dept_anomaly", F.col("departement").isNull())
+    out = siret.withColumn("departement", dep).withColumn("dept_anomaly", F.col("departement").isNull())
+    if overseas == "null":
+        far = F.substring("departement", 1, 2).isin("97", "98")
+        x, y = F.when(~far | F.col("departement").isNull(), x), F.when(~far | F.col("departement").isNull(), y)
+    return with_wgs84(out, x, y, decimals=decimals)
 
 
 def enrich_siret(siret: DataFrame, ref_date: str, codes: Sequence[str] = bands.SECTOR_CODES) -> DataFrame:

@@ -104,3 +104,14 @@ def test_stream_exactly_once_and_dedup(spark):
                      dedup_key="siret")
     out = spark.read.parquet(sink)
     assert out.count() == 100 and out.select("siret").distinct().count() == 100
+
+
+def test_overseas_coordinates_option(spark):
+    df = spark.createDataFrame([("75056", "700000", "6600000"), ("97411", "700000", "6600000")],
+                               "adresseEtablissement_codeCommuneEtablissement string, "
+                               "adresseEtablissement_coordonneeLambertAbscisseEtablissement string, "
+                               "adresseEtablissement_coordonneeLambertOrdonneeEtablissement string")
+    kept = {r.departement: r.latitude for r in cleaning.enrich_geo(df).collect()}
+    nulled = {r.departement: r.latitude for r in cleaning.enrich_geo(df, overseas="null").collect()}
+    assert kept["974"] is not None and nulled["974"] is None
+    assert abs(nulled["75"] - 46.5) < 1e-6
