@@ -117,3 +117,12 @@ def test_distribution_check_registry_profiles(spark):
     assert distribution_check(dim, "profil_territorial", exp, "p").first().statut == "OK"
     bad = dim.where("dep <> '00'")
     assert distribution_check(bad, "profil_territorial", exp, "p").first().valeur == 2.0
+
+
+def test_api_cascade_modes(spark):
+    from tessera import api
+    df = spark.createDataFrame([(6,), (4,)], "x int")
+    c = api.cascade("lab", [("x >= 5", "hi")], "lo")
+    assert [r.lab for r in df.select(c.column()).collect()] == ["hi", "lo"]
+    f = api.cascade("", [("a", "x >= 3"), ("b", "x >= 5")], mode="exclusive_flags")
+    assert [(r.a, r.b) for r in f.apply(df).collect()] == [(True, False), (True, False)]
