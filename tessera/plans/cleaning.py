@@ -132,12 +132,13 @@ def enrich_siren(siren: DataFrame, ref_date: str) -> DataFrame:
     })
 
 
-def build_full(siret: DataFrame, siren: DataFrame) -> tuple[DataFrame, SaltPlan]:
+def build_full(siret: DataFrame, siren: DataFrame, counts: DataFrame | None = None) -> tuple[DataFrame, SaltPlan]:
     """Establishment ⟕ entity on ``siren``; establishment columns win on name
-    clashes. Salted on the entity key with the entity counts already at hand."""
+    clashes. Salted on the entity key; the hot entities come from ``counts``
+    (siren, nb_etablissements) when given, so finding them needs no join."""
     clash = [c for c in siren.columns if c in siret.columns and c != "siren"]
     ent = siren.drop(*clash)
-    plan = SaltPlan.from_counts(ent, ["siren"], "nb_etablissements")
+    plan = SaltPlan.from_counts(counts if counts is not None else ent, ["siren"], "nb_etablissements")
     return plan.join(siret, ent, "left", salt_from=["siret"]), plan
 
 
@@ -147,9 +148,10 @@ def run(flat: DataFrame, ref_date: str, codes: Sequence[str] = bands.SECTOR_CODE
     activity code (the extraction filter) for partitioned publication."""
     clean = clean_raw(flat)
     siret, siren = split_siret_siren(clean)
+    counts = clean.groupBy("siren").agg(F.count(F.lit(1)).alias("nb_etablissements"))
     siren = enrich_siren(siren, ref_date).withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
     siret = enrich_siret(enrich_geo(siret, coord_decimals), ref_date, codes)
-    full, plan = build_full(siret, siren)
+    full, plan = build_full(siret, siren, counts)
     code = siren.select("siren", "code_ape")
     return {"clean": clean, "siret": siret.join(code, "siren", "left"), "siren": siren, "full": full,
             "salt_plan": plan}
