@@ -16,22 +16,9 @@ from . import schemas
 TABLE_KINDS = ("siret", "siren", "full")
 
 
-FACT_TABLES = ("orders", "lineitem", "customer", "events")
-
-
-def read_table(spark: SparkSession, d: str, name: str, spread: bool | None = None) -> DataFrame:
-    """One of the driver's parquet tables.
-
-    An input that scans as fewer splits than the session's parallelism (one
-    small file with a single row group) is spread round-robin over the cores so
-    per-row work is not serialised in one task. Large inputs scan as many splits
-    and are returned untouched (no extra shuffle at scale)."""
-    df = spark.read.parquet(os.path.join(d, f"{name}.parquet"))
-    if spread if spread is not None else name in FACT_TABLES:
-        par = spark.sparkContext.defaultParallelism
-        if par > 1 and df.rdd.getNumPartitions() < par:
-            df = df.repartition(par)
-    return df
+def read_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """One of the driver's parquet tables (schema from the Parquet footer)."""
+    return spark.read.parquet(os.path.join(d, f"{name}.parquet"))
 
 
 def flatten_structs(df: DataFrame, sep: str = "_", keep_arrays: bool = True) -> DataFrame:
