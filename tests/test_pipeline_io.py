@@ -115,3 +115,17 @@ def test_overseas_coordinates_option(spark):
     nulled = {r.departement: r.latitude for r in cleaning.enrich_geo(df, overseas="null").collect()}
     assert kept["974"] is not None and nulled["974"] is None
     assert abs(nulled["75"] - 46.5) < 1e-6
+
+
+def test_stream_resumes_after_new_pages(spark):
+    root = tempfile.mkdtemp(prefix="tessera-st-resume-")
+    land = os.path.join(root, "landing")
+    df = spark.range(60).select(F.col("id").cast("string").alias("siret"), (F.col("id") % 5).alias("siren"))
+    df.where("id < 40").repartition(3).write.json(os.path.join(land, "p1"))
+    sink, ck = os.path.join(root, "raw"), os.path.join(root, "_ck")
+    ingest_pages(spark, os.path.join(land, "*"), df.schema, sink, ck, files_per_trigger=1, flatten=False)
+    assert spark.read.parquet(sink).count() == 40
+    df.where("id >= 40").write.json(os.path.join(land, "p2"))          # new pages land later
+    ingest_pages(spark, os.path.join(land, "*"), df.schema, sink, ck, files_per_trigger=1, flatten=False)
+    out = spark.read.parquet(sink)
+    assert out.count() == 60 and out.select("siret").distinct().count() == 60
