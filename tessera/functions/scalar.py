@@ -18,19 +18,15 @@ def _c(c: Column | str) -> Column:
 def try_date(c: Column | str) -> Column:
     """Tolerant date parse: ISO text or a timestamp -> date; anything else -> null
     (ANSI mode would raise on a plain cast)."""
-    return F.expr(f"try_cast({_sql(c)} AS DATE)") if isinstance(c, str) else F.to_date(c)
+    return _c(c).try_cast("date")
 
 
 def try_double(c: Column | str) -> Column:
     """Tolerant number parse: ``[ND]``, text, ``NaN`` and infinities -> null."""
-    x = F.expr(f"try_cast(trim(CAST({_sql(c)} AS STRING)) AS DOUBLE)") if isinstance(c, str) else c.cast("double")
+    x = F.trim(_c(c).cast("string")).try_cast("double")
     return F.when(F.isnan(x) | (F.abs(x) == float("inf")), None).otherwise(x)
 
 
-def _sql(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def first_chars(c: Column | str, n: int = 2) -> Column:
     """Prefix of a code (legal category level 2, activity division)."""
     return F.substring(_c(c), 1, n)
@@ -74,7 +70,7 @@ def age_years(date: Column | str, ref_date: str | Column) -> Column:
     """Whole years between a date and a reference date: ``floor(days / 365)``.
     Future dates give negative ages (floor, not truncation)."""
     ref = F.to_date(F.lit(ref_date)) if isinstance(ref_date, str) else ref_date
-    return F.floor(F.datediff(ref, F.to_date(_c(date))) / F.lit(365)).cast("int")
+    return F.floor(F.datediff(ref, _c(date).try_cast("date")) / F.lit(365)).cast("int")
 
 
 def age_band(age: Column | str) -> Column:

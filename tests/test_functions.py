@@ -31,6 +31,8 @@ def test_tolerant_parses(spark):
     s = "v string"
     assert _one(spark, try_date("v"), [("garbage",), ("",), ("[ND]",), ("2020-02-29",)], s)[:3] == [None] * 3
     assert str(_one(spark, try_date("v"), [("2020-02-29",)], s)[0]) == "2020-02-29"
+    assert _one(spark, try_date(F.col("v")), [("garbage",)], s) == [None]        # Column input, ANSI on
+    assert _one(spark, try_double(F.col("v")), [("[ND]",)], s) == [None]
     assert _one(spark, try_double("v"), [("garbage",), ("",), ("[ND]",), ("NaN",), (" 12.5 ",)], s) == \
         [None, None, None, None, 12.5]
 
