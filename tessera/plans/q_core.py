@@ -206,12 +206,20 @@ def s16_register_view(spark, d):
 @query("p23_tag_and_union_sources", with_model(
     "SELECT code_ape, COUNT(*) AS nb_lignes FROM full_t GROUP BY code_ape"))
 def p23_tag_and_union_sources(spark, d):
-    """One frame per code (as separately stored tables would be), each tagged with
-    a literal code column, then unioned by name."""
+    """Per-code tables as the source stores them (no code column), each read as
+    its own input, tagged with a literal code and unioned by name."""
+    import os
     from functools import reduce
+
+    from ..operators.groups import SALT_COLUMNS
+    from ..session import scratch_path
+    from ..sources.writers import publish
     full, _, _ = context(spark, d)
-    parts = [full.where(F.col("code_ape") == c).drop("code_ape").withColumn("code_ape", F.lit(c))
-             for c in ("BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD", "AUTOMOBILE")]
+    root = scratch_path(spark, f"tessera-p23-{os.getpid()}-{id(full)}")
+    publish(full.drop(*SALT_COLUMNS), root, "overwrite", ("code_ape",))
+    # the partition values: one per code, a bounded list (works on any file system)
+    codes = sorted(r[0] for r in spark.read.parquet(root).select("code_ape").distinct().collect())
+    parts = [spark.read.parquet(os.path.join(root, f"code_ape={c}")).withColumn("code_ape", F.lit(c)) for c in codes]
     return reduce(lambda a, b: a.unionByName(b), parts).groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_lignes"))
 
 
