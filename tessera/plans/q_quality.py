@@ -10,6 +10,7 @@ from ..operators.quality import (
     null_check,
     row_count_check, unique_key_check,
 )
+from ..operators.cascade import FlagSet
 from ..rules import bands, scoring
 from . import model
 from .catalog import query
@@ -155,14 +156,17 @@ def _overlap(version: str) -> str:
 
 @query("q8_flag_overlap", with_model(_overlap("1.5") + " UNION ALL " + _overlap("1.4"), versions=("1.4", "1.5")))
 def q8_flag_overlap(spark, d):
+    # v1.4 and v1.5 share the 130-point score: both flag sets on one scored frame
+    v = v1(spark, d, "1.5")
+    v14 = FlagSet(tuple((f"v14_{n}", p) for n, p in scoring.FLAGS_V14.flags))
+    v = v14.apply(v)
     out = []
-    for ver in ("1.5", "1.4"):
-        names = [n for n, _ in scoring.VERSIONS[ver][1].flags]
+    for ver, names in (("1.5", [n for n, _ in scoring.FLAGS_V15.flags]), ("1.4", [n for n, _ in v14.flags])):
         n_flags = sum((F.col(n).cast("int") for n in names[1:]), F.col(names[0]).cast("int"))
-        agg = v1(spark, d, ver).where(n_flags > 1).agg(F.count(F.lit(1)).alias("__o"))
-        out.append(check(agg, f"chevauchement_v{ver}", F.col("__o"), F.lit("0" if ver == "1.5" else "rapport"),
-                         (F.col("__o") == 0) if ver == "1.5" else F.lit(True)))
-    return checks(out)
+        out.append(F.count(F.when(n_flags > 1, F.lit(1))).alias(f"__o{ver.replace('.', '')}"))
+    agg = v.agg(*out)
+    return checks([check(agg, "chevauchement_v1.5", F.col("__o15"), F.lit("0"), F.col("__o15") == 0),
+                   check(agg, "chevauchement_v1.4", F.col("__o14"), F.lit("rapport"), F.lit(True))])
 
 
 # Q9: one segment per entity ------------------------------------------------------------------
@@ -197,13 +201,15 @@ SELECT 'segments_vs_entites' AS controle, CAST(SUM(n) AS DOUBLE) AS valeur,
        {_status('SUM(n) = (SELECT COUNT(DISTINCT siren) FROM scored)')} AS statut
 FROM (SELECT segment_entreprise, COUNT(DISTINCT siren) AS n FROM scored GROUP BY 1) s"""))
 def q11_reconciliation(spark, d):
-    v = v1(spark, d)
-    cats = v.groupBy("categorie_potentiel").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("__s"))
-    tot = v.agg(F.count(F.lit(1)).alias("__t"), F.count_distinct("siren").alias("__e"))
-    segs = v.groupBy("segment_entreprise").agg(F.count_distinct("siren").alias("n")).agg(F.sum("n").alias("__g"))
+    # one aggregation pass over the view; every figure below reads its output
+    g = (v1(spark, d).groupBy("siren", "segment_entreprise", "categorie_potentiel")
+         .agg(F.count(F.lit(1)).alias("n")))
+    cats = g.groupBy("categorie_potentiel").agg(F.sum("n").alias("n")).agg(F.sum("n").alias("__s"))
+    tot = g.agg(F.sum("n").alias("__t"))
+    ent = g.select("siren").distinct().agg(F.count(F.lit(1)).alias("__e"))
+    segs = (g.select("segment_entreprise", "siren").distinct().groupBy("segment_entreprise")
+            .agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("__g")))
     # one-row aggregates combined as scalar subqueries (no join)
-    j = cats.select("__s", tot.select("__t").scalar().alias("__t"), tot.select("__e").scalar().alias("__e"),
-                    segs.scalar().alias("__g"))
+    j = cats.select("__s", tot.scalar().alias("__t"), ent.scalar().alias("__e"), segs.scalar().alias("__g"))
     return checks([check(j, "categories_vs_total", F.col("__s"), F.col("__t"), F.col("__s") == F.col("__t")),
                    check(j, "segments_vs_entites", F.col("__g"), F.col("__e"), F.col("__g") == F.col("__e"))])
-
