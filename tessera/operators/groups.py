@@ -26,8 +26,17 @@ SALT_COLUMNS = (SALT, HEAVY)
 _BUCKETS = "__buckets"
 _N = "__n"
 
-# Rows of one key handled by one task before the key is split.
+# Rows of one key handled by one task before the key is split; a session can
+# override it with the conf key below (tuning without code changes).
 DEFAULT_ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK_CONF = "tessera.salt.rowsPerTask"
+
+
+def rows_per_task_for(df: DataFrame, rows_per_task: int | None = None) -> int:
+    """Explicit value, else the session's ``tessera.salt.rowsPerTask``, else the default."""
+    if rows_per_task is not None:
+        return int(rows_per_task)
+    return int(df.sparkSession.conf.get(ROWS_PER_TASK_CONF, str(DEFAULT_ROWS_PER_TASK)))
 
 
 @dataclass
@@ -42,14 +51,15 @@ class SaltPlan:
 
     @classmethod
     def from_counts(cls, counts: DataFrame, keys: Sequence[str], count_col: str,
-                    rows_per_task: int = DEFAULT_ROWS_PER_TASK, null_safe: bool = True) -> "SaltPlan":
+                    rows_per_task: int | None = None, null_safe: bool = True) -> "SaltPlan":
+        rows_per_task = rows_per_task_for(counts, rows_per_task)
         heavy = (counts.where(F.col(count_col) > rows_per_task)
                  .select(*keys, F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int").alias(_BUCKETS)))
         return cls(tuple(keys), heavy, null_safe)
 
     @classmethod
     def for_fact(cls, fact: DataFrame, keys: Sequence[str],
-                 rows_per_task: int = DEFAULT_ROWS_PER_TASK, null_safe: bool = True) -> "SaltPlan":
+                 rows_per_task: int | None = None, null_safe: bool = True) -> "SaltPlan":
         counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
         return cls.from_counts(counts, keys, _N, rows_per_task, null_safe)
 
@@ -98,7 +108,7 @@ class SaltPlan:
 
 def attach_group_stats(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
                        salt_from: Sequence[str] | None = None, plan: SaltPlan | None = None,
-                       rows_per_task: int = DEFAULT_ROWS_PER_TASK, keep_salt: bool = False) -> DataFrame:
+                       rows_per_task: int | None = None, keep_salt: bool = False) -> DataFrame:
     """Add per-group aggregates to every row: the skew-safe form of
     ``agg OVER (PARTITION BY keys)``. Null keys form one group, as in SQL.
 

@@ -256,9 +256,8 @@ def _full(spark: SparkSession, d: str, rows_per_task: int | None = None) -> tupl
     s = with_geo(raw_siret(spark, d)).where(F.col("periode_etatAdministratifEtablissement") == "A")
     per = entity_counts(s)
     ent = siren_table(spark, d, s, per)
-    kw = {} if rows_per_task is None else {"rows_per_task": rows_per_task}
     # hot entities straight from the counts: no entity join needed to find them
-    plan = SaltPlan.from_counts(per, ["siren"], "nb_etablissements", **kw)
+    plan = SaltPlan.from_counts(per, ["siren"], "nb_etablissements", rows_per_task)
     out = plan.join(s, ent, "inner", salt_from=["siret"])
     out = out.withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
     return out, plan

@@ -126,3 +126,15 @@ def test_api_cascade_modes(spark):
     assert [r.lab for r in df.select(c.column()).collect()] == ["hi", "lo"]
     f = api.cascade("", [("a", "x >= 3"), ("b", "x >= 5")], mode="exclusive_flags")
     assert [(r.a, r.b) for r in f.apply(df).collect()] == [(True, False), (True, False)]
+
+
+def test_rows_per_task_from_session_conf(spark):
+    from tessera.operators.groups import ROWS_PER_TASK_CONF
+    df = spark.range(100).select((F.col("id") % 2).alias("k"))
+    spark.conf.set(ROWS_PER_TASK_CONF, "10")
+    try:
+        heavy = {r["k"]: r["__buckets"] for r in SaltPlan.for_fact(df, ["k"]).heavy.collect()}
+    finally:
+        spark.conf.unset(ROWS_PER_TASK_CONF)
+    assert heavy == {0: 5, 1: 5}
+    assert SaltPlan.for_fact(df, ["k"]).heavy.count() == 0
