@@ -26,6 +26,7 @@ from .operators.quality import (  # noqa: F401
 )
 from .operators.star import DimRef, bounded, star_join, unmatched_keys  # noqa: F401
 from .plans.cleaning import build_full, clean_raw, enrich_geo, enrich_siren, enrich_siret, split_siret_siren  # noqa: F401
+from .plans.cleaning import run as run_pipeline  # noqa: F401
 from .plans.views import scored_view, single_code_view  # noqa: F401
 from .sources.manifest import append_manifest, freshness, latest_per_code, outcome_summary  # noqa: F401
 from .sources.readers import (  # noqa: F401

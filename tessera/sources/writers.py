@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.groups import SALT_COLUMNS
+
 GRAINS = ("siret", "siren", "full")
 DEFAULT_CLUSTER = ("departement", "type_activite_etab", "categorie_effectifs_etab")
 
@@ -28,6 +30,7 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Seq
     ``<column>_jour``. Clustering columns that do not exist are ignored."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
+    df = df.drop(*[c for c in SALT_COLUMNS if c in df.columns])   # internal partitioning columns
     if day_partition:
         day_col = f"{day_partition}_jour"
         df = df.withColumn(day_col, F.to_date(F.col(day_partition)))
