@@ -129,3 +129,28 @@ def test_stream_resumes_after_new_pages(spark):
     ingest_pages(spark, os.path.join(land, "*"), df.schema, sink, ck, files_per_trigger=1, flatten=False)
     out = spark.read.parquet(sink)
     assert out.count() == 60 and out.select("siret").distinct().count() == 60
+
+
+def test_read_dimensions_source_layout(spark):
+    from tessera.sources.readers import read_dimensions
+    d = tempfile.mkdtemp(prefix="tessera-dims-")
+    files = {
+        "departements.csv": "dep,dep_name,prefecture,region,km2,population_2022,profil_territorial,"
+                            "profil_territorial_ordre\n01,Ain,Bourg,ARA,5762.4,671289,Péri-urbain,2\n",
+        "codes_ape.csv": "code_ape,libelle_ape,division_ape,division_libelle,famille_metier,nom_commun_metier,,"
+                         "score_priorite\n43.22B,Chauffage,43,Travaux,Génie climatique,Chauffagiste,,25\n",
+        "categories_effectifs.csv": "tranche_effectifs,Employes\nNN,0 ou inconnu\n",
+        "categories_juridiques.csv": "categorie_juridique_ul_niv2,famille_juridique,Libelle\n0,Organisme,X\n"
+                                     "54,Société commerciale,SARL\n",
+        "anciennete.csv": "anciennete_id,libelle,borne_min_annees,borne_max_annees,ordre\nmoins_2_ans,< 2 ans,0,2,1\n",
+    }
+    for name, text in files.items():
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    dims = read_dimensions(spark, d)
+    ape = dims["dim_codes_ape"].first()
+    assert "_blank" not in dims["dim_codes_ape"].columns and ape.score_priorite == 25
+    keys = [r[0] for r in dims["dim_categories_juridiques"].collect()]
+    assert keys == ["0", "54"]                    # strings: '0' is not the number 0 (and not '00')
+    dep = dims["dim_departements"].first()
+    assert dep.dep == "01" and dep.km2 == 5762.4 and dep.population_2022 == 671289
