@@ -74,14 +74,18 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
 
 
 def top_k_per_group(df: DataFrame, part: Sequence[str], k: int, order: Sequence[Column],
-                    rank: str = "rang", salt_from: Sequence[str] | None = None, buckets: int = 64) -> DataFrame:
+                    rank: str = "rang", salt_from: Sequence[str] | None = None,
+                    buckets: int | None = None) -> DataFrame:
     """First ``k`` rows per group by ``order`` (give a total order).
 
     With ``salt_from`` the ranking runs in two stages so that a large group
     (a segment can hold most rows) is never sorted by one task: first the top
     ``k`` within each (group, hash bucket), then the top ``k`` among those
-    ``k * buckets`` candidates per group."""
+    ``k * buckets`` candidates per group. ``buckets`` defaults to the session's
+    shuffle partition count, so it grows with the cluster."""
     if salt_from:
+        if buckets is None:
+            buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         b = "__topk_bucket"
         pre = df.withColumn(b, F.pmod(F.xxhash64(*salt_from), F.lit(buckets)))
         w1 = Window.partitionBy(*part, b).orderBy(*order)
