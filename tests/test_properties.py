@@ -79,3 +79,30 @@ def test_view_invariants(spark, dims, ents):
     n_flags = sum((F.col(f).cast("int") for f in flags[1:]), F.col(flags[0]).cast("int"))
     assert v15.where(n_flags > 1).count() == 0                               # exclusive in v1.5
     v.unpersist()
+
+
+history = st.lists(st.tuples(st.sampled_from([None, "2019-05-01", "2020-01-01", "2020-06-30", "2021-01-01"]),
+                             st.sampled_from(["A", "F"])), min_size=1, max_size=6)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(history, min_size=1, max_size=8))
+def test_latest_period_array_and_row_forms_agree(spark, hists):
+    from pyspark.sql import types as T
+
+    from tessera.functions import latest_struct
+    from tessera.operators.groups import latest_per_key
+    rows = [(k, i, d, s) for k, h in enumerate(hists) for i, (d, s) in enumerate(h)]
+    df = spark.createDataFrame(rows, "k int, pos int, dateDebut string, etat string")
+    by_rows = {r.k: (r.p.pos, r.p.dateDebut, r.p.etat) for r in latest_per_key(
+        df, ["k"], ["pos", "dateDebut", "etat"], F.to_date("dateDebut"), [F.col("pos")]).collect()}
+    item = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("dateDebut", T.StringType()),
+                         T.StructField("etat", T.StringType())])
+    arr = spark.createDataFrame([(k, [(i, d, s) for i, (d, s) in enumerate(h)]) for k, h in enumerate(hists)],
+                                T.StructType([T.StructField("k", T.IntegerType()),
+                                              T.StructField("p", T.ArrayType(item))]))
+    by_array = {r.k: tuple(r.q) for r in arr.select("k", latest_struct("p", "dateDebut").alias("q")).collect()}
+    assert by_rows == by_array
+    for k, h in enumerate(hists):   # brute force: latest date (missing = oldest), first position on ties
+        best = max(range(len(h)), key=lambda i: (h[i][0] or "0000-00-00", -i))
+        assert by_rows[k][0] == best
