@@ -106,3 +106,35 @@ def test_latest_period_array_and_row_forms_agree(spark, hists):
     for k, h in enumerate(hists):   # brute force: latest date (missing = oldest), first position on ties
         best = max(range(len(h)), key=lambda i: (h[i][0] or "0000-00-00", -i))
         assert by_rows[k][0] == best
+
+
+def _dept_rule(code):
+    """P10 stated directly: trim; blank/[ND]/null -> null; 2A/2B any case;
+    97x/98x keep 3 characters; otherwise 2."""
+    if code is None:
+        return None
+    t = code.strip()
+    if t in ("", "[ND]"):
+        return None
+    if t.upper().startswith("2A"):
+        return "2A"
+    if t.upper().startswith("2B"):
+        return "2B"
+    if t.startswith(("97", "98")):
+        return t[:3]
+    return t[:2]
+
+
+commune = st.one_of(st.none(), st.sampled_from(["", " ", "[ND]", " [ND] "]),
+                    st.builds(lambda pre, body, pad: pad + pre + body + pad,
+                              st.sampled_from(["2a", "2A", "2b", "2B", "97", "98", "75", "01", "9", ""]),
+                              st.text(alphabet="0123456789", max_size=3), st.sampled_from(["", " "])))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(commune, min_size=1, max_size=40))
+def test_department_rule_matches_plain_statement(spark, codes):
+    from tessera.functions import department_from_commune
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, c string")
+    got = {r.i: r.d for r in df.select("i", department_from_commune("c").alias("d")).collect()}
+    assert got == {i: _dept_rule(c) for i, c in enumerate(codes)}
