@@ -138,3 +138,18 @@ def test_department_rule_matches_plain_statement(spark, codes):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, c string")
     got = {r.i: r.d for r in df.select("i", department_from_commune("c").alias("d")).collect()}
     assert got == {i: _dept_rule(c) for i, c in enumerate(codes)}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.none(), st.floats(min_value=-5000, max_value=600000, allow_nan=False)),
+                min_size=1, max_size=40))
+def test_band_from_edges_matches_plain_rule(spark, xs):
+    import math
+
+    from tessera.functions import band_from_edges
+    labels = list(bands.HEADCOUNT_CODES)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    got = {r.i: r.b for r in df.select("i", band_from_edges("x", 31250.0, labels).alias("b")).collect()}
+    want = {i: None if x is None else labels[min(max(math.floor(x / 31250.0), 0), len(labels) - 1)]
+            for i, x in enumerate(xs)}
+    assert got == want
