@@ -110,9 +110,10 @@ def address_line(numero, type_voie, libelle_voie, code_postal, commune) -> Colum
 def band_from_edges(x: Column | str, width: float, labels: Sequence[str], offset: float = 0.0) -> Column:
     """Map a number to ``labels[floor((x + offset) / width)]`` clamped to the
     label range (a rule-generated banding; null stays null)."""
+    # greatest/least skip nulls, so a null input is handled explicitly
     idx = F.least(F.greatest(F.floor((_c(x) + F.lit(offset)) / F.lit(width)), F.lit(0)),
                   F.lit(len(labels) - 1)).cast("int")
-    return F.element_at(F.array(*[F.lit(s) for s in labels]), idx + 1)
+    return F.when(_c(x).isNotNull(), F.element_at(F.array(*[F.lit(s) for s in labels]), idx + 1))
 
 
 _UNSAFE = re.compile(r"[^a-zA-Z0-9_]")

@@ -35,7 +35,7 @@ def _pmod(a: str, n: int) -> str:
 def _band(x: str, width: float, offset: float = 0.0) -> str:
     codes = "[" + ", ".join(_q(c) for c in bands.HEADCOUNT_CODES) + "]"
     idx = f"CAST(least(greatest(floor(({x} + {offset!r}) / {width!r}), 0), {len(bands.HEADCOUNT_CODES) - 1}) AS INTEGER)"
-    return f"{codes}[{idx} + 1]"
+    return f"CASE WHEN {x} IS NOT NULL THEN {codes}[{idx} + 1] END"
 
 
 def _dept(c: str) -> str:
