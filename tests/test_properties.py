@@ -153,3 +153,29 @@ def test_band_from_edges_matches_plain_rule(spark, xs):
     want = {i: None if x is None else labels[min(max(math.floor(x / 31250.0), 0), len(labels) - 1)]
             for i, x in enumerate(xs)}
     assert got == want
+
+
+rowgen = st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(-3, 3)), st.integers(0, 50),
+                   st.one_of(st.none(), st.sampled_from(["x", "y", "z", "w"])))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(rowgen, min_size=1, max_size=50))
+def test_first_per_key_and_distinct_list_match_brute_force(spark, rows):
+    from tessera.operators.analytics import distinct_list
+    from tessera.operators.groups import first_per_key
+    df = spark.createDataFrame(rows, "k int, a int, b int, s string")
+    # order: a ascending with nulls last, then b ascending, then s (nulls first) as a total order
+    order = [F.struct(F.col("a").isNull(), F.col("a")), F.col("b"), F.struct(F.col("s").isNotNull(), F.col("s"))]
+    got = {r.k: (r.a, r.b, r.s) for r in first_per_key(df, ["k"], order).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        cand = [r for r in rows if r[0] == k]
+        best = min(cand, key=lambda r: (r[1] is None, r[1] if r[1] is not None else 0, r[2],
+                                        r[3] is not None, r[3] or ""))
+        want[k] = best[1:]
+    assert got == want
+    lists = {r.k: r.l for r in df.groupBy("k").agg(distinct_list("s", 2).alias("l")).collect()}
+    for k in want:
+        vals = sorted({r[3] for r in rows if r[0] == k and r[3] is not None})[:2]
+        assert lists[k] == ",".join(vals)
