@@ -179,3 +179,29 @@ def test_first_per_key_and_distinct_list_match_brute_force(spark, rows):
     for k in want:
         vals = sorted({r[3] for r in rows if r[0] == k and r[3] is not None})[:2]
         assert lists[k] == ",".join(vals)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 30)), min_size=1, max_size=12)
+       .map(lambda xs: [(f"k{i}", o, n) for i, (o, n) in enumerate(xs)]),
+       st.lists(st.one_of(st.none(), st.integers(0, 130)), min_size=1, max_size=40))
+def test_shares_concentration_histogram_brute_force(spark, agg_rows, scores):
+    from tessera.operators.analytics import concentration, histogram, with_running_share
+    agg = spark.createDataFrame(agg_rows, "k string, o int, n long")
+    total = sum(n for _, _, n in agg_rows)
+    run = {r.k: r.pct_cumul for r in with_running_share(agg, "n", F.col("o")).collect()}
+    for k, o, _ in agg_rows:   # RANGE frame: every row with an order value <= o
+        want = sum(n for _, o2, n in agg_rows if o2 <= o) * 100.0 / total
+        assert abs(run[k] - want) < 1e-9
+    ranked = sorted(agg_rows, key=lambda t: (-t[2], t[0]))
+    conc = {r.k: (r.rang, r.dans_noyau) for r in concentration(agg, "k", "n", 70.0).collect()}
+    cum = 0.0
+    for i, (k, _, n) in enumerate(ranked, start=1):
+        assert conc[k] == (i, cum * 100.0 / total < 70.0)
+        cum += n
+    edges = [("b0", None, 40), ("b1", 40, 80), ("b2", 80, None)]
+    df = spark.createDataFrame([(s,) for s in scores], "x int")
+    h = histogram(df, "x", edges).first()
+    assert h.b0 == sum(1 for s in scores if s is not None and s < 40)
+    assert h.b1 == sum(1 for s in scores if s is not None and 40 <= s < 80)
+    assert h.b2 == sum(1 for s in scores if s is not None and s >= 80)
