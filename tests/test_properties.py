@@ -205,3 +205,33 @@ def test_shares_concentration_histogram_brute_force(spark, agg_rows, scores):
     assert h.b0 == sum(1 for s in scores if s is not None and s < 40)
     assert h.b1 == sum(1 for s in scores if s is not None and 40 <= s < 80)
     assert h.b2 == sum(1 for s in scores if s is not None and s >= 80)
+
+
+scored_row = st.tuples(
+    st.sampled_from(["Très urbain", "Urbain", "Péri-urbain", "Rural", None]),
+    st.sampled_from(BANDS), st.sampled_from(BANDS),
+    st.sampled_from(["Société commerciale", "Société civile", "Entrepreneur individuel", "Autre", None]),
+    st.sampled_from([25, 20, 10, 0, None]), st.integers(1, 60), st.floats(20, 130, allow_nan=False))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(scored_row, min_size=1, max_size=30))
+def test_rule_sql_rendering_matches_columns(spark, rows):
+    from tessera.operators.cascade import FlagSet, Segmentation
+    from tessera.rules import scoring
+    df = spark.createDataFrame(rows, "profil_territorial string, code_effectifs_etablissement string, "
+                                     "code_effectifs_unite_legale string, famille_juridique string, "
+                                     "score_priorite int, nb_etablissements int, score_moyen_siren double")
+    for version, (scores, labels) in scoring.VERSIONS.items():
+        s = scoring.POTENTIAL.apply(scores.apply(df))
+        via_cols = labels.apply(s)
+        sql_cols = labels.sql_columns()
+        via_sql = s.selectExpr("*", *sql_cols)
+        names = ([labels.label, labels.rank] if isinstance(labels, Segmentation)
+                 else [n for n, _ in labels.flags])
+        assert isinstance(labels, (Segmentation, FlagSet))
+        a = sorted(tuple(r) for r in via_cols.select(*names).collect())
+        b = sorted(tuple(r) for r in via_sql.select(*names).collect())
+        assert a == b, version
+        sc = s.selectExpr(*[c.sql() for c in scores.dimensions]).collect()
+        assert sorted(map(tuple, sc)) == sorted(map(tuple, s.select(*scores.names).collect())), version
