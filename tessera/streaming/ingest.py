@@ -67,7 +67,10 @@ def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root:
         if df.isEmpty():
             return
         b = F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).cast("int")
-        (df.withColumns({"bucket": b, "epoch": F.lit(epoch).cast("long")}).write.mode("overwrite")
+        # sorted by entity inside each (bucket, epoch) file: row-group statistics
+        # let entity filters skip data instead of reading a bucket whole
+        (df.withColumns({"bucket": b, "epoch": F.lit(epoch).cast("long")})
+         .sortWithinPartitions("bucket", "epoch", entity).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "epoch").parquet(est_path))
         hit = [r[0] for r in df.select(b.alias("b")).distinct().collect()]   # at most `buckets` values
         acc = (df.sparkSession.read.schema(df.schema.add("bucket", T.IntegerType()).add("epoch", T.LongType()))
