@@ -7,7 +7,7 @@ on a laptop test and on a large cluster.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,14 +49,18 @@ def get_spark(app: str = "tessera", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset.
+    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only in local mode when unset.
 
-    On a cluster the setting names a shared folder every executor can reach. The
-    fallback is for local tests only (a fresh folder under the system temp dir).
+    On a cluster the setting names a shared folder every executor can reach.
+    Without it intermediate tables would land on each executor's own disk, so
+    this raises. The fallback is for local runs (one machine holds driver and
+    executors): a fresh folder under the system temp dir.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
         path = fallback or tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -64,7 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint dir for materialised intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
