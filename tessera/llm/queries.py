@@ -55,3 +55,30 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def tokenizer_path() -> str:
+    """The public vocabulary that the packing contract names."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    from .packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by hyperdimensional profiles."""
+    from .language import identify_corpus
+    return identify_corpus(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, by a factorization machine over hashed terms."""
+    from .toxicity import score_corpus
+    return score_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
