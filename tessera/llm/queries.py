@@ -107,3 +107,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 largest whole-number inner products of every fiftieth vector, by block-at-a-time pruning."""
     from .topk import top_products
     return top_products(table(spark, sf_dir, "embeddings"), QUERY_IDS)
+
+
+@query("op3_chat", """
+WITH said AS (SELECT conv_id, turn, COALESCE(role, 'unknown') AS speaker, COALESCE(text, '') AS said FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS participant FROM said WHERE speaker <> 'system'),
+views AS (SELECT s.*, p.participant, CASE WHEN s.speaker = p.participant THEN '<|im_start|>assistant' || chr(10)
+    WHEN s.speaker = 'system' THEN '<|im_start|>system' || chr(10)
+    ELSE '<|im_start|>user name=' || s.speaker || chr(10) END AS header
+  FROM said s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+segments AS (SELECT *, header || said || '<|im_end|>' || chr(10) AS segment FROM views),
+placed AS (SELECT *, CAST(SUM(length(segment)) OVER w AS BIGINT) AS stop, row_number() OVER w - 1 AS position FROM segments
+  WINDOW w AS (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speaker, said ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, participant, position, turn, speaker, segment, stop - length(segment) AS start, stop,
+  CAST(speaker = participant AS INTEGER) AS mask,
+  CASE WHEN speaker = participant THEN stop - length(segment) + length(header) END AS mask_start,
+  CASE WHEN speaker = participant THEN stop END AS mask_stop
+FROM placed""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from every participant's perspective, with masks."""
+    from .chat import perspectives
+    return perspectives(table(spark, sf_dir, "conversations"))
