@@ -128,3 +128,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from every participant's perspective, with masks."""
     from .chat import perspectives
     return perspectives(table(spark, sf_dir, "conversations"))
+
+
+@query("op5_pages")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from .pages import main_texts
+    return main_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
