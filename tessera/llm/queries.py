@@ -135,3 +135,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     from .pages import main_texts
     return main_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op1_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (4-word shingles, similarity 0.8)."""
+    from .near_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4)
