@@ -142,3 +142,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (4-word shingles, similarity 0.8)."""
     from .near_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@query("op4_repeats")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that earlier 100-byte strings repeat."""
+    from .suffixes import repeated_bytes
+    return repeated_bytes(table(spark, sf_dir, "documents"))
