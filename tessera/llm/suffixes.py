@@ -78,11 +78,9 @@ def anchors(raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarra
     if step < window:
         least = np.minimum(least[:len(least) - (window - step)], least[window - step:])
     at = (least & low).astype(np.int64)
-    ends = np.zeros(n + 1, np.int64)
     sizes = np.diff(bounds)
     whole = np.repeat(bounds[1:], sizes)                                # end of the text that each byte is in
     inside = np.flatnonzero(np.arange(len(at)) + length <= whole[:len(at)])
-    del ends
     if not len(inside):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     anchor = at[inside]
@@ -140,10 +138,10 @@ def _strings(length: int):
     """Runs of texts as strings, each distinct one of a batch once, at its first place. Runs of
     hot anchors give their suffixes one by one."""
     def run(batch: pa.RecordBatch):
-        docs, ties = (batch.column(k).to_numpy() for k in (0, 1))
-        raw, bounds = binary_column(batch.column(2))
+        docs, ties = (batch.column(k).to_numpy() for k in ("doc", "tie"))
+        raw, bounds = binary_column(batch.column("text"))
         data = raw.tobytes()
-        lists, first, size, key, hot = _unpack(batch.column(4))
+        lists, first, size, key, hot = _unpack(batch.column("runs"))
         seen: dict[tuple[int, bytes], tuple] = {}
 
         def out():
@@ -329,52 +327,56 @@ def covered(n: int, runs: tuple[np.ndarray, np.ndarray], firsts: tuple[np.ndarra
 
 
 def _apply(length: int, finish):
-    """``finish(batch, row, bytes, mask)`` for every document, with the bytes that go."""
-    def run(batch: pa.RecordBatch):
-        raw, bounds = binary_column(batch.column(2))
-        lists, first, size, _, _ = _unpack(batch.column(4))
-        f = batch.column(5)
+    """``finish(bytes, mask)`` of every document of a batch, with the bytes that go."""
+    def run(batch: pa.RecordBatch) -> list:
+        raw, bounds = binary_column(batch.column("text"))
+        lists, first, size, _, _ = _unpack(batch.column("runs"))
+        f = batch.column("firsts")
         f_bounds, f_run = np.asarray(f.offsets).astype(np.int64), f.values.to_numpy(zero_copy_only=False)
-        rows = []
+        out = []
         for k in range(batch.num_rows):
             text = raw[bounds[k]:bounds[k + 1]]
             a, b, c, d = lists[k], lists[k + 1], f_bounds[k], f_bounds[k + 1]
             mask = covered(len(text), (first[a:b], size[a:b]), (f_run[c:d] >> 10, (f_run[c:d] & 1023) + 1), length) if b > a else np.zeros(len(text), bool)
-            rows.append(finish(text, mask))
-        return rows
+            out.append(finish(text, mask))
+        return out
     return run
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, tie, text, times: one row a document, told apart by (doc, tie)."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col(text_col).alias("text"))
-    repeated = materialise(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc"), "suffix-repeated-ids")
-    single = rows.select("doc", F.lit(0).cast("long").alias("tie"), "text", F.lit(1).alias("times"))
+def _documents(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, text, other) as doc, tie, text, other: a document is told apart by (doc, tie).
+
+    The tie is 0, or a hash of the text where rows share an id.
+    """
+    named = rows.select(F.coalesce(F.col("id").cast("long"), F.lit(_NULL_ID)).alias("doc"), "text", "other")
+    repeated = materialise(named.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc"), "suffix-repeated-ids")
     if not repeated.limit(1).count():
-        return single
-    several = rows.join(repeated, "doc", "left_semi").groupBy("doc", "text").agg(F.count(F.lit(1)).cast("int").alias("times")) \
-        .select("doc", F.xxhash64("text").alias("tie"), "text", "times")
-    return materialise(single.join(repeated, "doc", "left_anti").unionByName(several), "suffix-documents")
+        return named.select("doc", F.lit(0).cast("long").alias("tie"), "text", "other")
+    marked = named.join(repeated.withColumn("again", F.lit(True)), "doc", "left")
+    return materialise(marked.select("doc", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0)).alias("tie"), "text", "other"), "suffix-documents")
 
 
 def _with_runs(docs: DataFrame, length: int) -> DataFrame:
-    """doc, tie, text, times, runs, firsts: ``docs`` with their runs of repeated anchors, and of
-    those the suffixes that are first occurrences."""
+    """``docs`` (doc, tie, text, other) with their runs of repeated anchors, and of those the
+    suffixes that are first occurrences.
+
+    Texts are shuffled once, by document; that exchange serves the two joins.
+    """
     counted = arrow_map(docs.select("doc", "tie", "text"), _count_anchors(length), "key long, n long") \
         .groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
     listed = arrow_map(docs.select("doc", "tie", "text"), _list_anchors(length), "key long, doc long, tie long, run long")
     entry = F.struct("run", "key", (F.col("n") > HOT).alias("hot"))
-    runs = materialise(listed.join(counted, "key").groupBy("doc", "tie").agg(F.collect_list(entry).alias("runs")), "suffix-runs")
-    texts = docs.select("doc", "tie", "text", "times").join(runs, ["doc", "tie"], "left") \
-        .select("doc", "tie", "text", "times", F.coalesce("runs", F.array().cast(runs.schema["runs"].dataType)).alias("runs"))
+    runs = materialise(listed.join(counted, "key").groupBy("doc", "tie").agg(F.collect_set(entry).alias("runs")), "suffix-runs")
+    texts = docs.join(runs, ["doc", "tie"], "left") \
+        .select("doc", "tie", "text", "other", F.coalesce("runs", F.array().cast(runs.schema["runs"].dataType)).alias("runs"))
     strings = arrow_map(texts, _strings(length), "key long, string binary, doc long, tie long, start int, number int")
     cold = strings.filter("number > 0").repartition("key").sortWithinPartitions("key") \
         .mapInArrow(_first_suffixes(length), "doc long, tie long, run long")
     hot = strings.filter("number = 0").groupBy("string").agg(F.min(F.struct("doc", "tie", "start")).alias("f")) \
         .select("f.doc", "f.tie", F.shiftleft(F.col("f.start").cast("long"), 10).alias("run"))
-    firsts = cold.unionByName(hot).groupBy("doc", "tie").agg(F.collect_list("run").alias("firsts"))
+    firsts = cold.unionByName(hot).groupBy("doc", "tie").agg(F.collect_set("run").alias("firsts"))
     return texts.join(firsts, ["doc", "tie"], "left") \
-        .select("doc", "tie", "text", "times", "runs", F.coalesce("firsts", F.array().cast("array<long>")).alias("firsts"))
+        .select("doc", "tie", "text", "other", "runs", F.coalesce("firsts", F.array().cast("array<long>")).alias("firsts"))
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -387,19 +389,18 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, gone, spans, sha = zip(*work(batch), strict=True)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
+        return pa.RecordBatch.from_arrays([batch.column("other"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
                                            pa.array(spans, pa.int64()), pa.array(sha, pa.string())],
-                                          ["doc", "times", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                                          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    found = arrow_map(_with_runs(_documents(docs, id_col, text_col), length), run,
-                      "doc long, times int, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    found = found.withColumn("time", F.explode(F.array_repeat(F.lit(1), F.col("times"))))
-    return found.select(F.when(F.col("doc") != _NULL_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("other"))
+    return arrow_map(_with_runs(_documents(rows), length), run,
+                     "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, their texts without the characters whose bytes all go."""
-    def keep(text: np.ndarray, mask: np.ndarray):
+    """``docs``, all columns, their texts without the characters whose bytes all go. Null texts stay null."""
+    def keep(text: np.ndarray, mask: np.ndarray) -> bytes:
         if not mask.any():
             return text.tobytes()
         start = np.flatnonzero((text & 0xC0) != 0x80)
@@ -409,12 +410,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     work = _apply(length, keep)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(work(batch), pa.binary()).cast(pa.string())], ["_doc", "_tie", "_kept"])
-
-    whole = _documents(docs, id_col, text_col)
-    kept = arrow_map(_with_runs(whole, length).filter(F.size("runs") > 0), run, "_doc long, _tie long, _kept string")
-    doc = F.coalesce(docs[id_col].cast("long"), F.lit(_NULL_ID))
-    # a tie of 0 stands for an id that only one row has
-    joined = docs.join(kept, (doc == F.col("_doc")) & ((F.col("_tie") == 0) | (F.xxhash64(docs[text_col]) == F.col("_tie"))), "left")
-    text = F.when(docs[text_col].isNull(), docs[text_col]).otherwise(F.coalesce("_kept", docs[text_col]))
-    return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+        return pa.RecordBatch.from_arrays([batch.column("other"), pa.array(work(batch), pa.binary()).cast(pa.string())], ["other", "text"])
+
+    # positional names inside, so that no column of the input can clash
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    numbered = docs.toDF(*names)
+    at = {c: names[docs.columns.index(c)] for c in (id_col, text_col)}
+    others = [F.col(n) for n in names if n != at[text_col]]
+    rows = numbered.select(F.col(at[id_col]).alias("id"), F.col(at[text_col]).alias("text"),
+                           F.struct(*others, F.col(at[text_col]).isNull().alias("null")).alias("other"))
+    kind = rows.schema["other"].dataType.simpleString()
+    kept = arrow_map(_with_runs(_documents(rows), length), run, f"other {kind}, text string")
+    text = F.when(~F.col("other.null"), F.col("text"))
+    return kept.select(*[(text if n == at[text_col] else F.col(f"other.{n}")).alias(c) for n, c in zip(names, docs.columns, strict=True)])
