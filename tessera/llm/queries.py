@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
@@ -84,15 +84,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-#: The stated query set of the searches: every fiftieth id, against all rows.
-QUERY_IDS = F.col("vec_id") % 50 == 0
+def query_ids() -> Column:
+    """The stated query set of the searches: every fiftieth id, against all rows."""
+    return F.col("vec_id") % 50 == 0
 
 
 @query("op2_neighbours")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every fiftieth, by cross-polytope hashing and exact cosines."""
     from .neighbours import nearest
-    return nearest(table(spark, sf_dir, "embeddings"), QUERY_IDS)
+    return nearest(table(spark, sf_dir, "embeddings"), query_ids())
 
 
 @query("op6_topk", """
@@ -106,7 +107,7 @@ FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 largest whole-number inner products of every fiftieth vector, by block-at-a-time pruning."""
     from .topk import top_products
-    return top_products(table(spark, sf_dir, "embeddings"), QUERY_IDS)
+    return top_products(table(spark, sf_dir, "embeddings"), query_ids())
 
 
 @query("op3_chat", """
