@@ -16,6 +16,9 @@ are kept; an empty table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 import os
+import re
+import struct
+import unicodedata
 import zlib
 from bisect import bisect_left
 
@@ -35,37 +38,64 @@ PART_TOKENS = 1 << 20
 ROUNDS = 3
 
 #: Cached words of a tokenizing task; the cache starts anew beyond it.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
-_BLANKS = str.maketrans("\t\n\r", "   ")
+#: A comma or full stop that ends a word of plain letters; set apart, so that the word is known without it.
+_TAIL = re.compile(r"(?<=[a-z])([,.]) ")
 
+#: Characters that stand for bytes in byte-level vocabularies (fixed rule: printable ones for themselves, the rest from U+0100 up).
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
-class WordTokenizer:
+
+class WordTokenizer(dict):
     """Token ids of whole texts by a ``tokenizers`` file, as little-endian unsigned 32-bit words.
 
-    A tokenizer that drops white space and splits at it gives a text the ids of
-    its white-space-free runs, one after the other; so each distinct run is
-    tokenized once and looked up after that.
+    For a tokenizer that lower-cases, drops white space and splits at it and
+    between letters and marks: a text's ids are those of its white-space-free
+    runs, one after the other, so each distinct run is tokenized once and looked
+    up after that. Runs of lower-case Latin letters, alone or with one mark at the end,
+    go to the tokenizer's model directly; all others through the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.marks = {"": b""} | {x: self.whole(x) for x in ",.;:!?"}
+
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, run: str) -> bytes:
+        letters, mark = (run, "") if run.isalpha() else (run[:-1], run[-1:])
+        if letters.isalpha() and mark in self.marks and max(letters) < "\u0250" and letters.lower() == letters:
+            shown = letters.encode().decode("latin-1").translate(_BYTE_CHARS)
+            code = self.pack([t.id for t in self.model.tokenize(shown)]) + self.marks[mark]
+        else:
+            code = self.whole(run)
+        self[run] = code
+        return code
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").translate(_BLANKS).split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {"": b""}
-            new = list(set().union(*split) - {""})
-        for at in range(0, len(new), 4096):
-            words = new[at:at + 4096]
-            for word, code in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(code.ids, "<u4").tobytes()
-        of = self.known.__getitem__
-        return [b"".join(map(of, words)) for words in split]
+        if len(self) > CACHE_WORDS:
+            self.clear()
+            self[""] = b""
+        out = []
+        for text in texts:
+            text = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
+            # lower-casing first changes nothing but for a final sigma, a dotted capital i,
+            # marks not yet composed, and the names of special tokens
+            if "\u03a3" not in text and "\u0130" not in text and "<|" not in text and unicodedata.is_normalized("NFC", text):
+                text = _TAIL.sub(r" \1 ", text.lower())
+            out.append(b"".join(map(self.__getitem__, text.split(" "))))
+        return out
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
