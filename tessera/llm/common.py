@@ -3,8 +3,12 @@ batches, hashed words, and intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package: sent once an application, unless PYTHONPATH already has it."""
+    root = Path(__file__).resolve().parents[2]
+    sc = spark.sparkContext
+    on_path = str(root) in map(os.path.realpath, os.environ.get("PYTHONPATH", "").split(os.pathsep))
+    if on_path or sc.applicationId in _shipped or not root.is_dir():
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="tessera-py-"), "tessera.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(Path(__file__).resolve().parents[1].rglob("*.py")):
+            z.write(file, file.relative_to(root))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -31,6 +53,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     columns can be pruned by whoever reads the table.
     """
     spark = df.sparkSession
+    ship(spark)
     path = scratch_path(spark, f"tessera-llm/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -130,6 +153,8 @@ def hashed_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:
     """``f(batch) -> RecordBatch``s (or one, or None) over the Arrow batches of each partition."""
+    ship(df.sparkSession)
+
     def run(batches):
         for batch in batches:
             if batch.num_rows:

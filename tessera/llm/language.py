@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, random_words
+from .common import arrow_map, random_words, ship
 
 #: Length of the vectors.
 DIMENSIONS = 512
@@ -122,6 +122,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     x ``DIMENSIONS`` numbers.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null")
+    ship(rows.sparkSession)
     n = rows.select("lang").count()
     if n > max_rows:
         rows = rows.filter(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 20)) < int((1 << 20) * max_rows / n))
