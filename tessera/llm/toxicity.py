@@ -1,6 +1,6 @@
 """Toxicity scores from a factorization machine over hashed terms.
 
-Terms are whole words and word beginnings (3, 4 and 5 letters), hashed to 40 bits.
+Terms are whole words and word beginnings (3 to 7 letters of longer words), hashed to 40 bits.
 The terms whose presence differs most between toxic and other training texts are
 kept; the machine learns a weight and a small vector for each, so that besides
 the sum of weights the inner products of every two present terms count (an
@@ -28,9 +28,9 @@ from .language import text_slices
 MAX_TRAINING_ROWS = 20_000
 
 #: Terms that the machine sees, factors of each, and the least chi-square of a term.
-MAX_TERMS, FACTORS, LEAST_CHI2 = 512, 8, 12.0
+MAX_TERMS, FACTORS, LEAST_CHI2 = 512, 8, 30.0
 
-PREFIXES = (3, 4, 5)
+PREFIXES = (3, 4, 5, 6, 7)
 TERM_BITS = 40
 _FILTER_BITS = 18
 
@@ -118,32 +118,42 @@ def base_rate(positive: int, total: int) -> float:
     return float(np.log((positive + 0.05) / (total - positive + 0.95)))
 
 
-def fit(present: np.ndarray, label: np.ndarray, terms: np.ndarray, steps: int = 500, batch: int = 1024,
-        rate: float = 0.03, decay: float = 2e-4) -> Machine:
-    """Train on a matrix of presence (rows x terms) by mini-batch Adam on the logistic loss. Deterministic."""
+def fit(present: np.ndarray, label: np.ndarray, terms: np.ndarray, steps: int = 600, batch: int = 512,
+        rate: float = 0.01, decay: float = 0.01) -> Machine:
+    """Train on a matrix of presence (rows x terms) by mini-batch Adam on the logistic loss. Deterministic.
+
+    Weights start at the terms' log odds, shared among terms that occur in the
+    same rows (a word and its beginnings), so that a term with few rows of its own counts.
+    """
     rng = np.random.default_rng(10)
     n, m = present.shape
+    label = label.astype(np.float32)
     bias = base_rate(int(label.sum()), n)
-    params = [np.array([bias]), np.zeros(m), rng.normal(0, 0.02, (m, FACTORS))]
+    params = [np.array([bias], np.float32), np.zeros(m, np.float32), rng.normal(0, 0.02, (m, FACTORS)).astype(np.float32)]
     if n == 0 or m == 0 or label.min() == label.max():
         return Machine(terms, bias, params[1], np.zeros((m, FACTORS)))
+    toxic, clean = label @ present, (1 - label) @ present
+    share, few = label.mean(), 8.0          # every term is also seen in a few rows of the usual kind
+    odds = np.log((toxic + few * share) / label.sum()) - np.log((clean + few * (1 - share)) / (n - label.sum()))
+    _, same, number = np.unique(np.packbits(present.astype(bool), axis=0), axis=1, return_inverse=True, return_counts=True)
+    params[1] = (np.clip(odds, -6, 6) / number[same.ravel()]).astype(np.float32)
     mean, square = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
         rows = rng.integers(0, n, min(batch, n)) if n > batch else slice(None)
-        x, y = present[rows].astype(np.float64), label[rows]
+        x, y = present[rows], label[rows]
         b, w, v = params
         xv = x @ v
         z = b + x @ w + ((xv ** 2).sum(1) - (x @ (v ** 2)).sum(1)) / 2
         off = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
-        grads = [np.array([off.sum()]), x.T @ off + decay * w,
-                 x.T @ (off[:, None] * xv) - (x.T @ off)[:, None] * v + decay * v]
+        grads = [np.array([off.sum()]), x.T @ off,
+                 x.T @ (off[:, None] * xv) - (x.T @ off)[:, None] * v]
         for p, g, a, s in zip(params, grads, mean, square, strict=True):
             a *= 0.9
             a += 0.1 * g
             s *= 0.99
             s += 0.01 * g * g
-            p -= rate * (a / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)
-    return Machine(terms, float(params[0][0]), params[1], params[2])
+            p -= rate * ((a / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6) + decay * p * (p is not params[0]))
+    return Machine(terms, float(params[0][0]), params[1].astype(np.float64), params[2].astype(np.float64))
 
 
 def learn(labelled: DataFrame) -> Machine:
@@ -212,7 +222,7 @@ def held_out(id_col: Column) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "toxic", max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """label, text of the labelled documents (a share of them beyond ``max_rows``).
+    """label, text of the labelled documents (a share of them beyond ``max_rows``), equal texts once.
 
     The chosen labels are a bounded table, broadcast, so texts aren't shuffled.
     """
@@ -223,7 +233,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     if n > max_rows:
         chosen = chosen.filter(F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1 << 20)) < int((1 << 20) * max_rows / n))
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
-    return materialise(texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("label", "text"), "toxicity-training")
+    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    # copies of one text would make any of its words look telling
+    rows = rows.groupBy(F.xxhash64("text").alias("same")).agg(F.max_by(F.struct("label", "text"), F.struct("label", "_doc")).alias("row"))
+    return materialise(rows.select("row.label", "row.text"), "toxicity-training")
 
 
 def score_corpus(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
