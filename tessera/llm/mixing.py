@@ -6,7 +6,8 @@ threshold is found without sorting: words are summed by (source, hash bucket),
 the bucket in which the running sum passes the budget is the boundary, and only
 the boundary bucket is looked into again with finer buckets, until single hash
 values are left. A document too large for what is left of the budget ends a
-pass; the next pass fills the gap from documents that still fit.
+pass; the next pass fills the gap from documents that still fit. In the end one document
+more is taken if that brings the source nearer to its target.
 
 Handling of odd rows: null text counts as size 0 (taken 0); a null source is a
 source of its own, last in order; rows with equal id (repeats, null ids) share
@@ -114,7 +115,11 @@ def _threshold(rows: DataFrame, hint) -> DataFrame:
 
 def _plan(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int):
     """The sources' targets (source, source_size, target, whole, gap), the thresholds of each
-    pass, and the broadcast hint for tables of one row a source."""
+    pass, the place of a last document, and the broadcast hint for tables of one row a source.
+
+    No document that fits is left then or the passes are over; the one whose size is
+    nearest to the gap is taken too, if that brings the source nearer to its target.
+    """
     targets = source_targets(sizes, weights, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     targets = materialise(targets.withColumn("whole", whole)
@@ -132,7 +137,13 @@ def _plan(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int):
         found = materialise(found, "mix-threshold")
         gaps = found.select("source", "gap")
         passes.append(found)
-    return targets, passes, hint
+    here = _taken(_same_source(sizes, hint(gaps), "inner"), passes, hint) \
+        .filter(~F.col("extra") & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
+    nearest = here.groupBy("source", "line").agg(F.sum("size").alias("words"), F.first("gap").alias("gap")) \
+        .withColumn("off", F.abs(F.col("words") - F.col("gap"))).filter("off < gap") \
+        .groupBy("source").agg(F.min(F.struct("off", "line")).alias("n"))
+    last = materialise(_same_source(gaps.select("source"), nearest, "left").select("source", F.col("n.line").alias("upto")), "mix-last")
+    return targets, passes, last, hint
 
 
 def _taken(rows: DataFrame, passes: list[DataFrame], hint) -> DataFrame:
@@ -145,11 +156,13 @@ def _taken(rows: DataFrame, passes: list[DataFrame], hint) -> DataFrame:
     return rows.withColumn("extra", extra).drop(*[f"_{x}{k}" for k in range(len(passes)) for x in ("limit", "upto")])
 
 
-def _decided(rows: DataFrame, targets: DataFrame, passes: list[DataFrame], hint) -> DataFrame:
+def _decided(rows: DataFrame, targets: DataFrame, passes: list[DataFrame], last: DataFrame, hint) -> DataFrame:
     """``rows`` (source, size, line and others) with source_size, target and copies."""
     named = targets.select("source", "source_size", "target", "whole")
     rows = _same_source(rows, hint(named), "inner")
-    return _taken(rows, passes, hint).withColumn("copies", F.col("whole") + F.col("extra").cast("long")).drop("whole", "extra")
+    rows = _same_source(_taken(rows, passes, hint), hint(last.withColumnRenamed("upto", "_last")), "inner")
+    extra = F.col("extra") | ((F.col("size") > 0) & F.coalesce(F.col("line") == F.col("_last"), F.lit(False)))
+    return rows.withColumn("copies", F.col("whole") + extra.cast("long")).drop("whole", "extra", "_last")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, id_col: str = "doc_id",

@@ -45,8 +45,13 @@ run{k} AS (SELECT *, SUM(CASE WHEN NOT extra AND size > 0 AND size <= gap THEN s
 took{k} AS (SELECT * EXCLUDE (upto), NOT extra AND size > 0 AND size <= gap AND upto <= gap AS now FROM run{k}),
 left{k + 1} AS (SELECT * EXCLUDE (now, extra, gap), extra OR now AS extra,
   gap - SUM(CASE WHEN now THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM took{k})""")
+    ctes.append(f"""
+places AS (SELECT source, line, ANY_VALUE(gap) AS gap, abs(SUM(size) - ANY_VALUE(gap)) AS off FROM left{passes}
+  WHERE NOT extra AND size > 0 AND size < 2 * gap GROUP BY source, line),
+nearest AS (SELECT source, arg_min(line, (off, line)) AS pick FROM places WHERE off < gap GROUP BY source)""")
     return "WITH " + ",".join(ctes) + f"""
-SELECT doc_id, size, source_size, target, size * (whole + CAST(extra AS BIGINT)) AS taken FROM left{passes}"""
+SELECT doc_id, size, source_size, target, size * (whole + CAST(extra OR COALESCE(size > 0 AND line = pick, FALSE) AS BIGINT)) AS taken
+FROM left{passes} l LEFT JOIN nearest n ON l.source IS NOT DISTINCT FROM n.source"""
 
 
 @query("op8_mixing", _mix_sql())
@@ -135,7 +140,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     from .pages import main_texts
-    return main_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+    return main_texts(table(spark, sf_dir, "pages")) \
+        .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
 
 
 @query("op1_near_dedup")
