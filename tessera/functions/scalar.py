@@ -15,15 +15,26 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: Column | str) -> Column:
+    """Text without any Unicode white space at its ends (``trim`` takes plain spaces only)."""
+    return F.regexp_replace(_c(c).cast("string"), r"(?U)^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+
+
+# A whole ISO date, alone or with a time and a zone.
+_ISO_DATE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def try_date(c: Column | str) -> Column:
-    """Tolerant date parse: ISO text or a timestamp -> date; anything else -> null
-    (ANSI mode would raise on a plain cast)."""
-    return _c(c).try_cast("date")
+    """Tolerant date parse: an ISO date or timestamp -> date; anything else, a date
+    followed by other text included, -> null (a cast alone would take the date and
+    leave the rest)."""
+    t = strip(c)
+    return F.when(t.rlike(_ISO_DATE), F.substring(t, 1, 10).try_cast("date"))
 
 
 def try_double(c: Column | str) -> Column:
     """Tolerant number parse: ``[ND]``, text, ``NaN`` and infinities -> null."""
-    x = F.trim(_c(c).cast("string")).try_cast("double")
+    x = strip(c).try_cast("double")
     return F.when(F.isnan(x) | (F.abs(x) == float("inf")), None).otherwise(x)
 
 
@@ -57,7 +68,7 @@ def department_from_commune(c: Column | str) -> Column:
     """Department code from a commune code: null/blank/``[ND]`` -> null; Corsica
     ``2A``/``2B`` case-insensitively; overseas ``97x``/``98x`` keep 3 chars;
     otherwise the first 2 chars."""
-    t = F.trim(_c(c).cast("string"))
+    t = strip(c)
     up = F.upper(t)
     return (F.when(t.isNull() | (t == "") | (t == "[ND]"), F.lit(None).cast("string"))
             .when(up.startswith("2A"), F.lit("2A"))
@@ -84,8 +95,8 @@ def age_band(age: Column | str) -> Column:
 
 
 def headcount_category(code: Column | str) -> Column:
-    """Headcount category from a (trimmed) band code; unknown codes -> null."""
-    t = F.trim(_c(code))
+    """Headcount category from a band code (white space around it ignored); unknown codes -> null."""
+    t = strip(code)
     out = None
     for label, codes in bands.HEADCOUNT_CATEGORIES:
         cond = t.isin(*codes)

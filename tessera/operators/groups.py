@@ -163,11 +163,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], min_count: int = 2) -> Da
             .where(F.col("nb_occurrences") >= min_count))
 
 
-def rank_within(df: DataFrame, part: Sequence[str], order: Sequence[Column], name: str = "rang") -> DataFrame:
-    """Row number within small groups (used on aggregated frames only)."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order_date: Column,
                    tie_break: Sequence[Column], default_days: int = -10**9, name: str = "p") -> DataFrame:
     """Latest row per key by a date (missing date = oldest), ties resolved by

@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OK, KO, MINOR = "OK", "ANOMALIE", "ECART MINEUR"
+NO_DATA = "AUCUNE DONNEE"
 
 
 def check(agg: DataFrame, name: str, value: Column, expected: Column, ok: Column,
           minor: Column | None = None) -> DataFrame:
     """Turn a one-row aggregate into a check row."""
-    status = F.when(ok, F.lit(OK))
+    # a value that could not be computed (no rows) is neither right nor wrong
+    status = F.when(value.isNull(), F.lit(NO_DATA)).when(ok, F.lit(OK))
     if minor is not None:
         status = status.when(minor, F.lit(MINOR))
     status = status.otherwise(F.lit(KO))

@@ -209,13 +209,14 @@ def p23_tag_and_union_sources(spark, d):
     """Per-code tables as the source stores them (no code column), each read as
     its own input, tagged with a literal code and unioned by name."""
     import os
+    import uuid
     from functools import reduce
 
     from ..operators.groups import SALT_COLUMNS
     from ..session import scratch_path
     from ..sources.writers import publish
     full, _, _ = context(spark, d)
-    root = scratch_path(spark, f"tessera-p23-{os.getpid()}-{id(full)}")
+    root = scratch_path(spark, f"tessera-p23-{uuid.uuid4().hex[:12]}")
     publish(full.drop(*SALT_COLUMNS), root, "overwrite", ("code_ape",))
     # the partition values: one per code, a bounded list (works on any file system)
     codes = sorted(r[0] for r in spark.read.parquet(root).select("code_ape").distinct().collect())

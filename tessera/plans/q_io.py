@@ -21,6 +21,7 @@ from ..sources.readers import (
     flatten_structs, force_string_schema, read_dimension_csv, read_partitioned, read_processed, read_raw_json,
     read_table,
 )
+from ..sources.manifest import publish_report
 from ..sources.writers import export_final, load_dimensions, publish, save_split
 from ..streaming.ingest import ingest_pages, latest_scored, score_stream
 from . import model, views
@@ -129,15 +130,19 @@ def s3_read_processed_kind(spark, d):
 
 
 @query("s14_publish_all_codes_report", with_model("""
-SELECT code_ape, COUNT(*) AS nb_siret, COUNT(DISTINCT siren) AS nb_siren, 'success' AS statut
-FROM full_t GROUP BY code_ape"""))
+SELECT code_ape, COUNT(*) AS nb_siret, COUNT(DISTINCT siren) AS nb_siren, 'success' AS statut,
+       CAST(NULL AS VARCHAR) AS erreur FROM full_t GROUP BY code_ape
+UNION ALL SELECT 'NO-SUCH-CODE', 0, 0, 'error', 'aucune donnée publiée'
+UNION ALL SELECT 'TOTAL', (SELECT COUNT(*) FROM full_t), (SELECT COUNT(DISTINCT siren) FROM full_t),
+       '1 en erreur sur ' || (1 + (SELECT COUNT(DISTINCT code_ape) FROM full_t)), NULL"""))
 def s14_publish_all_codes_report(spark, d):
     full, _ = model.full(spark, d)
     path = _scratch(spark, "all-codes")
     publish(full.drop(*SALT_COLUMNS), path, "overwrite", ("code_ape",), ("departement",))
     back = spark.read.parquet(path)
-    return (back.groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_siret"), F.count_distinct("siren").alias("nb_siren"))
-            .withColumn("statut", F.when(F.col("nb_siret") > 0, F.lit("success")).otherwise(F.lit("error"))))
+    # the wanted codes, one of which has no data
+    wanted = full.select("code_ape").distinct().unionByName(spark.createDataFrame([("NO-SUCH-CODE",)], "code_ape string"))
+    return publish_report(wanted, back)
 
 
 # Overwrite vs append, dynamic partition overwrite ------------------------------------
@@ -411,15 +416,22 @@ def st3_stream_scoring(spark, d):
 # Publish the three tables of one code with clustering, read back ---------------------------
 @query("s13_publish_one_code", with_model(f"""
 SELECT 'full' AS grain, COUNT(*) AS nb_lignes, COUNT(DISTINCT departement) AS nb_departements
-FROM full_t WHERE code_ape = '{model.FOCUS_CODE}'"""))
+FROM full_t WHERE code_ape = '{model.FOCUS_CODE}'
+UNION ALL SELECT 'siret', COUNT(*), COUNT(DISTINCT departement) FROM full_t WHERE code_ape = '{model.FOCUS_CODE}'
+UNION ALL SELECT 'siren', COUNT(*), CAST(NULL AS BIGINT) FROM siren_t
+WHERE uniteLegale_activitePrincipaleUniteLegale = '{model.FOCUS_CODE}'"""))
 def s13_publish_one_code(spark, d):
     siret, siren, full = _grains(spark, d)
     root = _scratch(spark, "one-code")
     one = lambda df: df.where(F.col("code_ape") == model.FOCUS_CODE)
     paths = save_split(one(siret), one(siren), one(full), root)
-    back = read_partitioned(spark, paths["full"], model.FOCUS_CODE)
-    return back.agg(F.count(F.lit(1)).alias("nb_lignes"), F.count_distinct("departement").alias("nb_departements")) \
-        .select(F.lit("full").alias("grain"), "nb_lignes", "nb_departements")
+    out = []
+    for grain in ("full", "siret", "siren"):
+        back = read_partitioned(spark, paths[grain], model.FOCUS_CODE)
+        deps = F.count_distinct("departement") if "departement" in back.columns else F.lit(None).cast("long")
+        out.append(back.agg(F.count(F.lit(1)).alias("nb_lignes"), deps.alias("nb_departements"))
+                   .select(F.lit(grain).alias("grain"), "nb_lignes", "nb_departements"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 # The registry batch pipeline on nested records ---------------------------------------

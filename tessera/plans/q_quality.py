@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.quality import (
-    KO, MINOR, OK, bounds_check, check, checks, coverage_checks, distribution_check, group_consistency_check,
+    KO, MINOR, NO_DATA, OK, bounds_check, check, checks, coverage_checks, distribution_check, group_consistency_check,
     null_check,
     row_count_check, unique_key_check,
 )
@@ -180,12 +180,12 @@ def q9_one_segment_per_entity(spark, d):
 
 # Q10: mono-site ratio of the premium mono-site segment ------------------------------------------
 @query("q10_mono_site_ratio", with_model(f"""
-SELECT 'ratio_premium_mono_site' AS controle, COALESCE(MAX(r), 1.0) AS valeur, '1.0' AS attendu,
-       {_status('COALESCE(MAX(r), 1.0) = 1.0')} AS statut
+SELECT 'ratio_premium_mono_site' AS controle, MAX(r) AS valeur, '1.0' AS attendu,
+       CASE WHEN MAX(r) IS NULL THEN '{NO_DATA}' ELSE {_status('MAX(r) = 1.0')} END AS statut
 FROM (SELECT COUNT(*) / NULLIF(COUNT(DISTINCT siren), 0) AS r FROM scored WHERE segment_entreprise = 'Premium Mono-Site') t"""))
 def q10_mono_site_ratio(spark, d):
     pyr = segment_pyramid(v1(spark, d)).where(F.col("segment_entreprise") == "Premium Mono-Site")
-    agg = pyr.agg(F.coalesce(F.max("ratio"), F.lit(1.0)).alias("__r"))
+    agg = pyr.agg(F.max("ratio").alias("__r"))
     return check(agg, "ratio_premium_mono_site", F.col("__r"), F.lit("1.0"), F.col("__r") == 1.0)
 
 

@@ -110,12 +110,16 @@ _DATE_TEXT = "CASE WHEN {k} = 0 THEN 'garbage' WHEN {k} = 1 THEN '' WHEN {k} = 2
 
 
 @query("p8_tolerant_date", f"""
-SELECT o_orderkey, TRY_CAST({_DATE_TEXT.format(k=_pmod('o_orderkey', 17))} AS DATE) AS date_creation FROM orders""")
+SELECT o_orderkey, CASE WHEN {_pmod('o_orderkey', 17)} > 4 THEN CAST(o_orderdate AS DATE) END AS date_creation
+FROM orders""")
 def p8_tolerant_date(spark, d):
     o = read_table(spark, d, "orders")
     k = F.pmod("o_orderkey", F.lit(17))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     txt = (F.when(k == 0, "garbage").when(k == 1, "").when(k == 2, "[ND]")
-           .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+           .when(k == 3, F.concat(day, F.lit(" xx"))).when(k == 4, F.concat(day, F.lit("Tgarbage")))
+           .when(k == 5, F.concat(day, F.lit("T10:20:30"))).when(k == 6, F.concat(F.lit("\t"), day, F.lit("\u00a0")))
+           .when(k == 7, F.concat(day, F.lit(" 10:20:30.5"))).otherwise(day))
     return o.select("o_orderkey", txt.alias("t")).select("o_orderkey", try_date("t").alias("date_creation"))
 
 
@@ -134,7 +138,11 @@ def p9_tolerant_number(spark, d):
     "SELECT departement, COUNT(*) AS nb_lignes FROM raw_siret GROUP BY 1"))
 def p10_department_from_commune(spark, d):
     r = _raw(spark, d)
-    return (r.groupBy(department_from_commune("adresseEtablissement_codeCommuneEtablissement").alias("departement"))
+    # white space of any kind around a code changes nothing
+    code, k = F.col("adresseEtablissement_codeCommuneEtablissement"), F.pmod("siret", F.lit(19))
+    padded = (F.when(k == 0, F.concat(F.lit("\t"), code)).when(k == 1, F.concat(F.lit("\u00a0"), code, F.lit(" \n")))
+              .when(k == 2, F.concat(F.lit("\u2003"), code)).otherwise(code))
+    return (r.groupBy(department_from_commune(padded).alias("departement"))
             .agg(F.count(F.lit(1)).alias("nb_lignes")))
 
 
@@ -196,12 +204,6 @@ def p15_age_band(spark, d):
 
 
 # P16 / P17 -----------------------------------------------------------------------
-def _padded_band_sql() -> str:
-    # some codes carry stray spaces; the category trims them
-    return (f"CASE WHEN {_pmod('o_orderkey', 9)} = 0 THEN ' ' || {_band('o_totalprice', model.PRICE_BAND_WIDTH)} "
-            f"|| ' ' ELSE {_band('o_totalprice', model.PRICE_BAND_WIDTH)} END")
-
-
 def _cat_sql(c: str) -> str:
     arms = " ".join(f"WHEN trim({c}) IN ({', '.join(repr(x) for x in codes)}) THEN '{lab}'"
                     for lab, codes in bands.HEADCOUNT_CATEGORIES)
@@ -210,11 +212,12 @@ def _cat_sql(c: str) -> str:
 
 @query("p16_headcount_category", f"""
 SELECT categorie, COUNT(*) AS nb_lignes FROM (SELECT {_cat_sql('b')} AS categorie
-  FROM (SELECT {_padded_band_sql()} AS b FROM orders) t) u GROUP BY 1""")
+  FROM (SELECT {_band('o_totalprice', model.PRICE_BAND_WIDTH)} AS b FROM orders) t) u GROUP BY 1""")
 def p16_headcount_category(spark, d):
     r = _raw(spark, d)
-    b = F.when(F.pmod("siret", F.lit(9)) == 0, F.concat(F.lit(" "), F.col("trancheEffectifsEtablissement"), F.lit(" "))) \
-        .otherwise(F.col("trancheEffectifsEtablissement"))
+    # some codes carry stray white space; the category ignores it
+    code, k = F.col("trancheEffectifsEtablissement"), F.pmod("siret", F.lit(9))
+    b = F.when(k == 0, F.concat(F.lit(" "), code, F.lit(" "))).when(k == 1, F.concat(F.lit("\t"), code, F.lit("\u00a0"))).otherwise(code)
     return r.groupBy(headcount_category(b).alias("categorie")).agg(F.count(F.lit(1)).alias("nb_lignes"))
 
 
@@ -301,12 +304,23 @@ def p27_join_drop_suffix(spark, d):
     return left_join_keep_left(s.select("siret", "siren", "periode_etatAdministratifEtablissement"), e, "siren")
 
 
-# Runtime type check (engine type names differ: no SQL oracle) ------------------
-@query("p28_type_check")
+# Runtime type check, with engine-neutral type names and the values that have it ----
+_NEUTRAL = {"bigint": "entier", "int": "entier", "double": "decimal", "date": "date", "boolean": "booleen", "string": "texte"}
+_P28 = (("siret", "entier"), ("dateCreationEtablissement", "date"), ("etablissementSiege", "booleen"),
+        ("uniteLegale_categorieJuridiqueUniteLegaleNiv2", "texte"))
+_P28_DUCK = {"BIGINT": "entier", "INTEGER": "entier", "DOUBLE": "decimal", "DATE": "date", "BOOLEAN": "booleen", "VARCHAR": "texte"}
+
+
+@query("p28_type_check", with_model(" UNION ALL ".join(
+    f"SELECT '{c}' AS colonne, CASE MAX(typeof({c})) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _P28_DUCK.items())
+    + f" END AS type_observe, '{t}' AS type_attendu, COUNT({c}) AS nb_valides FROM raw_siret" for c, t in _P28)))
 def p28_type_check(spark, d):
-    v = _raw(spark, d).select("siret", "dateCreationEtablissement", "etablissementSiege",
-                              "uniteLegale_categorieJuridiqueUniteLegaleNiv2")
-    return v.limit(1).select(*[F.expr(f"typeof({c})").alias(f"type_{c}") for c in v.columns])
+    v = _raw(spark, d).select(*[c for c, _ in _P28])
+    kinds = dict(v.dtypes)                    # from the schema: an empty table has types too
+    one = v.agg(*[F.count(c).alias(c) for c, _ in _P28])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("colonne"), F.lit(_NEUTRAL.get(kinds[c], kinds[c])).alias("type_observe"),
+                 F.lit(t).alias("type_attendu"), F.col(c).alias("nb_valides")) for c, t in _P28])).alias("r")).select("r.*")
 
 
 # Valid-value counts and rates, one pass ----------------------------------------
@@ -355,8 +369,11 @@ FROM orders""")
 def s11_name_driven_types(spark, d):
     o = read_table(spark, d, "orders")
     k = F.pmod("o_orderkey", F.lit(17))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     txt = (F.when(k == 0, "garbage").when(k == 1, "").when(k == 2, "[ND]")
-           .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+           .when(k == 3, F.concat(day, F.lit(" xx"))).when(k == 4, F.concat(day, F.lit("Tgarbage")))
+           .when(k == 5, F.concat(day, F.lit("T10:20:30"))).when(k == 6, F.concat(F.lit("\t"), day, F.lit("\u00a0")))
+           .when(k == 7, F.concat(day, F.lit(" 10:20:30.5"))).otherwise(day))
     s = o.select(
         F.col("o_orderkey").alias("siret"), txt.alias("dateCreationEtablissement"),
         F.when(F.pmod("o_orderkey", F.lit(5)) == 0, F.lit("[ND]")).otherwise(F.year("o_orderdate").cast("string"))

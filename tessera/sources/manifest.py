@@ -32,9 +32,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_per_code(manifest: DataFrame) -> DataFrame:
-    """Latest attempt per code (by extraction date), as one aggregate."""
+    """Latest attempt per code (by extraction date; on a tie a completed one, then the one with more rows)."""
     m = manifest.groupBy("code_ape").agg(
-        F.max_by(F.struct("extraction_date", "status", "nb_etablissements"), F.col("extraction_date")).alias("m"))
+        F.max_by(F.struct("extraction_date", "status", "nb_etablissements"),
+                 F.struct("extraction_date", F.col("status") == COMPLETED, "nb_etablissements")).alias("m"))
     return m.select("code_ape", "m.extraction_date", "m.status", "m.nb_etablissements")
 
 
@@ -68,6 +69,22 @@ def freshness(codes: DataFrame, latest: DataFrame | None, present: DataFrame, re
     return j.select("code_ape", F.coalesce(should, F.lit(True)).alias("should_extract"), reason.alias("reason"))
 
 
+def publish_report(wanted: DataFrame, published: DataFrame) -> DataFrame:
+    """Per wanted code: rows and entities read back, ``success`` or ``error`` with its reason;
+    then one ``TOTAL`` row. A code without published rows is an error, not a missing line."""
+    counts = published.groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_siret"), F.count_distinct("siren").alias("nb_siren"))
+    rows = wanted.select("code_ape").distinct().join(counts, "code_ape", "left").fillna(0, ["nb_siret", "nb_siren"])
+    failed = F.col("nb_siret") == 0
+    rows = rows.withColumns({"statut": F.when(failed, F.lit("error")).otherwise(F.lit("success")),
+                             "erreur": F.when(failed, F.lit("aucune donnée publiée"))})
+    entities = published.join(wanted.select("code_ape").distinct(), "code_ape", "left_semi") \
+        .agg(F.count_distinct("siren").alias("n"))
+    total = rows.agg(F.sum("nb_siret").alias("nb_siret"), F.count(F.when(failed, F.lit(1))).alias("bad"), F.count(F.lit(1)).alias("all"))
+    total = total.select(F.lit("TOTAL").alias("code_ape"), "nb_siret", entities.scalar().alias("nb_siren"),
+                         F.format_string("%d en erreur sur %d", "bad", "all").alias("statut"), F.lit(None).cast("string").alias("erreur"))
+    return rows.select(*total.columns).unionByName(total)
+
+
 def outcome_summary(decisions: DataFrame, results: DataFrame, force: bool = False) -> DataFrame:
     """Extraction outcome per code (skipped / updated / success / errors) and
     the per-outcome code lists. ``results``: code_ape, nb_extraits (0 = error).

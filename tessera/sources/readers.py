@@ -4,7 +4,6 @@ dimension CSVs. All with explicit schemas; all lazy."""
 from __future__ import annotations
 
 import os
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,17 +46,30 @@ def read_raw_json(spark: SparkSession, path: str, schema: T.StructType = schemas
     return flatten_structs(df) if flatten else df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the file system that holds it (any scheme, or the default one)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def partition_path(spark: SparkSession, root: str, column: str, value: str) -> str:
+    """The folder of one partition, its value escaped as the writer does."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    return f"{root.rstrip('/')}/{column}={name}"
+
+
 def read_partitioned(spark: SparkSession, root: str, code_ape: str | None = None,
                      schema: T.StructType | None = None) -> DataFrame:
     """Read a dataset partitioned by ``code_ape``; a code filter prunes partitions.
-    A missing dataset or code raises ``FileNotFoundError``."""
-    if not os.path.exists(root) and "://" not in root:
+    A missing dataset or code raises ``FileNotFoundError``, on any file system."""
+    if not path_exists(spark, root):
         raise FileNotFoundError(f"no dataset at {root}")
     r = spark.read.schema(schema) if schema is not None else spark.read
     df = r.parquet(root)
     if code_ape is None:
         return df
-    if "://" not in root and not os.path.exists(os.path.join(root, f"code_ape={code_ape}")):
+    if not path_exists(spark, partition_path(spark, root, "code_ape", code_ape)):
         raise FileNotFoundError(f"no data for code {code_ape} under {root}")
     return df.where(F.col("code_ape") == code_ape)
 
@@ -132,11 +144,3 @@ def coerce_types(df: DataFrame) -> DataFrame:
             continue
         out.append(e.alias(c))
     return df.select(*out)
-
-
-def strip_suffix_columns(df: DataFrame, suffix: str = "_siren_dup") -> DataFrame:
-    """Drop helper columns by suffix."""
-    return df.drop(*[c for c in df.columns if c.endswith(suffix)])
-
-
-_DOTZERO = re.compile(r"\.0$")

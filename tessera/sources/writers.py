@@ -67,12 +67,6 @@ def export_final(df: DataFrame, path: str, drop: Sequence[str] = (), rename: dic
     return out
 
 
-def lineage_cut(df: DataFrame, spark_checkpoint: bool = True) -> DataFrame:
-    """Cut a long lineage with a reliable checkpoint in the shared checkpoint dir."""
-    return df.checkpoint(eager=True) if spark_checkpoint else df
-
-
-
 # FIXED VALUES: clustering field of each published dimension.
 DIMENSION_CLUSTERING = {
     "dim_departements": ("region",),
@@ -93,7 +87,8 @@ def load_dimensions(dims: dict[str, DataFrame], root: str) -> DataFrame:
         path = os.path.join(root, name)
         try:
             cl = [c for c in DIMENSION_CLUSTERING.get(name, ()) if c in df.columns]
-            (df.sortWithinPartitions(*cl) if cl else df).coalesce(1).write.mode("overwrite").parquet(path)
+            one = df.coalesce(1)              # sort after coalescing: the file itself is sorted
+            (one.sortWithinPartitions(*cl) if cl else one).write.mode("overwrite").parquet(path)
             row = (spark.read.parquet(path).groupBy().count()
                    .selectExpr(f"'{name}' AS table_name", "count AS nb_lignes", "'success' AS statut"))
         except Exception:  # noqa: BLE001 - reported as a row, as the source's per-table status
