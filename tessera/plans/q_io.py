@@ -392,13 +392,33 @@ def st2_stream_dedup(spark, d):
     return spark.read.parquet(sink).select("siret", "siren")
 
 
-@query("st3_stream_scoring", with_model(
-    "SELECT siret, siren, score_total, score_moyen_siren, segment_entreprise FROM scored"))
-def st3_stream_scoring(spark, d):
-    root = _scratch(spark, "st3")
-    schema = _land_pages(spark, d, os.path.join(root, "landing"), True)
-    _, _, dims = context(spark, d)
+# a backfilled file: its time is far before that of files read earlier, its records are new
+@query("st2_late_file", with_model("SELECT siret, siren FROM full_t"))
+def st2_late_file(spark, d):
+    root = _scratch(spark, "st2-late")
+    full = model.full(spark, d)[0].drop(*SALT_COLUMNS)
+    landing, sink = f"{root}/landing", f"{root}/raw"
+    part = F.pmod(F.xxhash64("siret"), F.lit(3))
+    for k, days in enumerate((0, 60, 0)):
+        # each file repeats a few records of the one before
+        rows = full.where((part == k) | ((part == k - 1) & (F.pmod("siret", F.lit(7)) == 0)))
+        path = f"{landing}/p{k}"
+        rows.coalesce(1).write.json(path)
+        _set_age(spark, path, days)
+        ingest_pages(spark, f"{landing}/*", full.schema, sink, f"{root}/_ckpt", flatten=False, dedup_key="siret")
+    return spark.read.parquet(sink).select("siret", "siren")
+
+
+def _set_age(spark, folder: str, days: int) -> None:
+    """Set the modification time of the files in ``folder`` to so many days ago."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    at = spark.sparkContext._jvm.java.lang.System.currentTimeMillis() - days * 86_400_000
+    for status in fs.listStatus(path):
+        fs.setTimes(status.getPath(), at, -1)
+
 
+def _entity_scorer(dims):
     def score_entities(rows):
         # one salt plan per micro-batch: the site count and the entity mean are
         # windows over the same (siren, salt) partitioning
@@ -406,11 +426,61 @@ def st3_stream_scoring(spark, d):
         base = group_size(rows.drop("nb_etablissements"), ["siren"], "nb_etablissements", salt_from=["siret"],
                           plan=plan, keep_salt=True)
         return views.scored_view(base, dims, plan, model.RETAINED_SEGMENTS).select(
-            "siret", "siren", "score_total", "score_moyen_siren", "segment_entreprise")
+            "siret", "siren", "nb_etablissements", "score_total", "score_moyen_siren", "segment_entreprise")
+    return score_entities
 
-    score_stream(spark, _glob(os.path.join(root, "landing")), schema, os.path.join(root, "out"), score_entities,
-                 files_per_trigger=4)
-    return latest_scored(spark, os.path.join(root, "out"))
+
+_ACTIVE = "periode_etatAdministratifEtablissement = 'A'"
+
+
+@query("st3_stream_scoring", with_model(
+    "SELECT siret, siren, nb_etablissements, score_total, score_moyen_siren, segment_entreprise FROM scored"))
+def st3_stream_scoring(spark, d):
+    root = _scratch(spark, "st3")
+    schema = _land_pages(spark, d, f"{root}/landing", True)
+    _, _, dims = context(spark, d)
+    score_stream(spark, _glob(f"{root}/landing"), schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=4, buckets=8)
+    return latest_scored(spark, f"{root}/out")
+
+
+def _moved_and_closed_sql() -> str:
+    """The batch view on the final state: establishments with siret % 11 = 0 closed, those with
+    siret % 13 = 0 moved to entity (siren * 7) % 1000 + 1 where there is one."""
+    final = """
+moves AS (SELECT s.siret, e.siren AS new_siren FROM active_siret s JOIN siren_t e ON e.siren = (s.siren * 7) % 1000 + 1
+  WHERE s.siret % 13 = 0),
+final_sites AS (SELECT s.* EXCLUDE (siren), COALESCE(m.new_siren, s.siren) AS siren FROM active_siret s
+  LEFT JOIN moves m ON s.siret = m.siret WHERE s.siret % 11 <> 0 OR m.siret IS NOT NULL),
+full_t AS (SELECT s.*, e.* EXCLUDE (siren, nb_etablissements), e.uniteLegale_activitePrincipaleUniteLegale AS code_ape,
+  COUNT(*) OVER (PARTITION BY s.siren) AS nb_etablissements FROM final_sites s JOIN siren_t e ON s.siren = e.siren),
+scored_base AS ("""
+    sql = with_model("SELECT siret, siren, nb_etablissements, score_total, score_moyen_siren, segment_entreprise FROM scored")
+    assert sql.count("full_t AS (") == 1 and sql.count("scored_base AS (") == 1
+    return sql.replace("full_t AS (", "full_0 AS (").replace("\nscored_base AS (", final)
+
+
+@query("st3_closed_and_moved", _moved_and_closed_sql())
+def st3_closed_and_moved(spark, d):
+    root = _scratch(spark, "st3-moves")
+    full = model.full(spark, d)[0].drop(*SALT_COLUMNS)
+    _, _, dims = context(spark, d)
+    landing = f"{root}/landing"
+
+    def land(rows, name):
+        rows.select(*full.columns).coalesce(2).write.json(f"{landing}/{name}")
+        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=8, buckets=8)
+
+    ent = model.siren_table(spark, d, model.raw_siret(spark, d).where(F.col("periode_etatAdministratifEtablissement") == "A"))
+    moved = full.where(F.pmod("siret", F.lit(13)) == 0)
+    target = ent.withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
+    sites = moved.drop(*[c for c in target.columns if c != "siren"]).withColumn("siren", F.pmod(F.col("siren") * 7, F.lit(1000)) + 1)
+    moved = sites.join(target, "siren")
+    closed = full.join(moved.select("siret"), "siret", "left_anti").where(F.pmod("siret", F.lit(11)) == 0) \
+        .withColumn("periode_etatAdministratifEtablissement", F.lit("F"))
+    land(full, "p1")
+    land(moved.unionByName(full.where(F.pmod("siret", F.lit(17)) == 1).where(F.pmod("siret", F.lit(13)) != 0)), "p2")   # and some replays
+    land(closed, "p3")
+    return latest_scored(spark, f"{root}/out")
 
 
 # Publish the three tables of one code with clustering, read back ---------------------------

@@ -4,47 +4,54 @@ ST1  landed JSON pages -> raw table, exactly once and resumable: file source +
      checkpoint location + ``availableNow`` trigger (a restart resumes after the
      last committed file).
 ST2  a record landed again (same SIRET on a later page or re-extraction) is
-     dropped with ``dropDuplicatesWithinWatermark``. The event time is the
-     landing time of the file (``_metadata.file_modification_time``), which only
-     grows, so first landings are never late; the state holds the keys landed
-     within the watermark delay (default 30 days, the re-extraction period).
+     dropped with ``dropDuplicatesWithinWatermark``. The event time is the time of
+     the micro-batch that reads the record, which only grows: no record is ever
+     late, however old its file is (backfills and copies keep their old times). The
+     state holds the keys read within the watermark delay (default 30 days, the
+     re-extraction period). The file source is told to take old files too.
 ST3  establishments are scored as they land. The segment of a row depends on
-     every establishment of its entity, so each micro-batch recomputes the
-     touched entities from the accumulated table (a semi join on the touched
-     keys) and writes their rows under ``epoch=N`` with dynamic overwrite: a
-     replayed batch rewrites its own partition (idempotent sink). Readers take
-     the latest epoch per establishment. The accumulated table is partitioned by
-     an entity hash bucket, so a batch reads only the buckets it touched (the
-     bucket list reaching the driver is bounded by the bucket count).
+     every active establishment of its entity, so each micro-batch recomputes the
+     touched entities: those of the new records, and those that a record left (an
+     index of each establishment's entity finds them). Closed establishments are
+     left out before sites are counted. Rows that leave the result are written as
+     deleted. A replayed batch rewrites its own ``epoch=N`` partitions (idempotent).
+     Of several versions of one establishment in a batch the one landed last counts;
+     ties go to the larger hash of the record. Both state tables are partitioned by a
+     hash bucket and sorted inside, so a batch reads only the buckets it touched
+     (the bucket lists reaching the driver are bounded by ``buckets``; choose it so
+     that one bucket of the state is a comfortable task).
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.readers import flatten_structs
+from ..sources.readers import flatten_structs, path_exists
 
 
-LANDED_AT = "landed_at"
+LANDED_AT, INGESTED_AT = "landed_at", "ingested_at"
+
+# Files of any age count (the source would leave out those a week older than the newest).
+MAX_FILE_AGE = "36500d"
 
 
 def ingest_pages(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
                  files_per_trigger: int = 1, flatten: bool = True, dedup_key: str | None = None,
                  event_time: str | None = None, delay: str = "30 days") -> None:
     """Run the ingestion until every landed file is processed (availableNow).
-    With ``dedup_key`` a key landed again within ``delay`` is dropped; the
-    event time defaults to the file's landing time (column ``landed_at``)."""
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(landing)
-    s = s.withColumn(LANDED_AT, F.col("_metadata.file_modification_time"))
+    With ``dedup_key`` a key read again within ``delay`` is dropped; the event time
+    defaults to the time of the reading micro-batch (column ``ingested_at``)."""
+    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+         .option("maxFileAge", MAX_FILE_AGE).json(landing))
+    s = s.withColumns({LANDED_AT: F.col("_metadata.file_modification_time"), INGESTED_AT: F.current_timestamp()})
     if flatten:
         s = flatten_structs(s)
     if dedup_key:
-        s = s.withWatermark(event_time or LANDED_AT, delay).dropDuplicatesWithinWatermark([dedup_key])
+        s = s.withWatermark(event_time or INGESTED_AT, delay).dropDuplicatesWithinWatermark([dedup_key])
     q = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).outputMode("append").start())
     q.awaitTermination()
@@ -52,47 +59,87 @@ def ingest_pages(spark: SparkSession, landing: str, schema: T.StructType, sink:
 
 def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root: str,
                  score_entities: Callable[[DataFrame], DataFrame], key: str = "siret", entity: str = "siren",
-                 files_per_trigger: int = 1, buckets: int = 64) -> None:
-    """ST3: score landed establishments per micro-batch, recomputing touched entities."""
-    est_path, out_path = os.path.join(root, "establishments"), os.path.join(root, "scored")
+                 active: str | None = None, files_per_trigger: int = 1, buckets: int = 64) -> None:
+    """ST3: score landed establishments per micro-batch, recomputing touched entities.
+
+    ``active`` is a condition; rows that fail it are neither scored nor counted."""
+    sites, owners, out = (f"{root.rstrip('/')}/{x}" for x in ("establishments", "owners", "scored"))
+    columns = [f.name for f in schema.fields]
+    rest = [c for c in columns if c not in (key, entity)]
+    gone = "__gone"
+
+    def bucket(c: str):
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(buckets)).cast("int")
+
+    def write(df: DataFrame, path: str, by: str, epoch: int) -> None:
+        (df.withColumns({"bucket": bucket(by), "epoch": F.lit(epoch).cast("long")})
+         .sortWithinPartitions("bucket", "epoch", by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "epoch").parquet(path))
+
+    def stored(like: DataFrame, path: str, touched: DataFrame, by: str, epoch: int) -> DataFrame:
+        """What ``path`` holds of the keys in ``touched`` up to ``epoch``; only their buckets are read."""
+        session = touched.sparkSession
+        hit = [r[0] for r in touched.select(bucket(by).alias("b")).distinct().collect()]   # at most `buckets` values
+        whole = like.schema.add("bucket", T.IntegerType()).add("epoch", T.LongType())
+        rows = session.read.schema(whole).parquet(path).where(F.col("bucket").isin(hit) & (F.col("epoch") <= epoch)).drop("bucket")
+        wanted = touched.select(F.col(by).alias("__k")).distinct()
+        return rows.join(wanted, rows[by].eqNullSafe(wanted["__k"]), "left_semi")
 
     def batch(df: DataFrame, epoch: int) -> None:
-        df = df.persist()   # several actions below: read the micro-batch once
+        if df.isEmpty():
+            return
+        # one version of each establishment in the batch
+        order = F.struct(LANDED_AT, F.xxhash64(*columns))
+        new = (df.groupBy(key).agg(F.max_by(F.struct(*[c for c in columns if c != key]), order).alias("r"))
+               .select(key, *[F.col(f"r.{c}").alias(c) for c in columns if c != key])).persist()
         try:
-            _score_batch(df, epoch)
+            score_batch(new, epoch)
         finally:
-            df.unpersist()
+            new.unpersist()
+
+    def score_batch(new: DataFrame, epoch: int) -> None:
+        session = new.sparkSession
+        kept = new.select(key, entity, *rest, F.lit(False).alias(gone))
+        if path_exists(session, owners):
+            before = stored(new.select(key, entity), owners, new, key, epoch - 1) \
+                .groupBy(key).agg(F.max_by(entity, "epoch").alias("__old"))
+            left = new.select(key, F.col(entity).alias("__new")).join(before, key).where(~F.col("__old").eqNullSafe(F.col("__new")))
+            kept = kept.unionByName(left.select(key, F.col("__old").alias(entity), F.lit(True).alias(gone)), allowMissingColumns=True)
+        kept = kept.persist()
+        try:
+            write(kept, sites, entity, epoch)
+            write(new.select(key, entity), owners, key, epoch)
+            rows = (stored(kept, sites, kept, entity, epoch)
+                    .groupBy(entity, key).agg(F.max_by(F.struct(*rest, gone), F.col("epoch")).alias("r"), F.max("epoch").alias("__at"))
+                    .select(entity, key, "__at", *[F.col(f"r.{c}").alias(c) for c in (*rest, gone)]))
+            live = rows.where(~F.col(gone))
+            live = live.where(active) if active else live
+            scored = score_entities(live.select(*columns)).persist()
+            try:
+                # what moved away in an earlier batch is its new entity's matter
+                here = rows.where(~F.col(gone) | (F.col("__at") == epoch))
+                removed = here.select(key).distinct().join(scored.select(key), key, "left_anti")
+                (scored.withColumn("deleted", F.lit(False))
+                 .unionByName(removed.withColumn("deleted", F.lit(True)), allowMissingColumns=True)
+                 .withColumn("epoch", F.lit(epoch)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out))
+            finally:
+                scored.unpersist()
+        finally:
+            kept.unpersist()
 
-    def _score_batch(df: DataFrame, epoch: int) -> None:
-        if df.isEmpty():
-            return
-        b = F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).cast("int")
-        # sorted by entity inside each (bucket, epoch) file: row-group statistics
-        # let entity filters skip data instead of reading a bucket whole
-        (df.withColumns({"bucket": b, "epoch": F.lit(epoch).cast("long")})
-         .sortWithinPartitions("bucket", "epoch", entity).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "epoch").parquet(est_path))
-        hit = [r[0] for r in df.select(b.alias("b")).distinct().collect()]   # at most `buckets` values
-        acc = (df.sparkSession.read.schema(df.schema.add("bucket", T.IntegerType()).add("epoch", T.LongType()))
-               .parquet(est_path).where(F.col("bucket").isin(hit)).drop("bucket"))
-        touched = df.select(entity).distinct()
-        # latest landed version of each establishment of the touched entities
-        rows = (acc.join(touched, entity, "left_semi")
-                .groupBy(key).agg(F.max_by(F.struct(*[c for c in acc.columns if c != key]), F.col("epoch")).alias("r"))
-                .select(key, "r.*").drop("epoch"))
-        scored = score_entities(rows)
-        (scored.withColumn("epoch", F.lit(epoch)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out_path))
-
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(landing)
-         .writeStream.foreachBatch(batch).option("checkpointLocation", os.path.join(root, "_checkpoint"))
+    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+         .option("maxFileAge", MAX_FILE_AGE).json(landing)
+         .withColumn(LANDED_AT, F.col("_metadata.file_modification_time"))
+         .writeStream.foreachBatch(batch).option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def latest_scored(spark: SparkSession, root: str, key: str = "siret") -> DataFrame:
-    """Current scored rows: the latest epoch per establishment."""
-    s = spark.read.parquet(os.path.join(root, "scored"))
+    """Current scored rows: the latest epoch per establishment, without those that left."""
+    s = spark.read.parquet(f"{root.rstrip('/')}/scored")
     cols = [c for c in s.columns if c not in (key, "epoch")]
-    return (s.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("r"))
-            .select(key, *[F.col(f"r.{c}").alias(c) for c in cols]))
+    latest = (s.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("r"))
+              .select(key, *[F.col(f"r.{c}").alias(c) for c in cols]))
+    return latest.where(~F.col("deleted")).drop("deleted")
