@@ -19,7 +19,7 @@ from ..functions import (
     try_date, try_double,
 )
 from ..functions.geo import with_wgs84
-from ..operators.groups import SaltPlan, first_per_key
+from ..operators.groups import SALT_COLUMNS, SaltPlan, first_per_key
 from ..operators.projection import select_tolerant, spread_struct
 from ..rules import bands
 
@@ -74,12 +74,29 @@ def clean_raw(flat: DataFrame) -> DataFrame:
     if "periodesEtablissement" in df.columns:
         df = df.withColumn("__p", latest_struct("periodesEtablissement", "dateDebut"))
         df = spread_struct(df, "__p", "periode_")
-    df = select_tolerant(df, USEFUL_COLUMNS)
+    df = one_per_siret(select_tolerant(df, (*USEFUL_COLUMNS, "periode_dateDebut"))).drop("periode_dateDebut")
     df = df.where(F.col("periode_etatAdministratifEtablissement") == "A")
     return df.withColumns({"dateCreationEtablissement": try_date("dateCreationEtablissement"),
                            "uniteLegale_dateCreationUniteLegale": try_date("uniteLegale_dateCreationUniteLegale")})
 
 
+def one_per_siret(df: DataFrame) -> DataFrame:
+    """One record per SIRET: the one with the latest period, ties by a hash of the record
+    (a record landed twice must not count as two sites). Partially aggregated."""
+    rest = [c for c in df.columns if c != "siret"]
+    order = F.struct(F.coalesce(F.col("periode_dateDebut").cast("string"), F.lit("")), F.xxhash64(*rest))
+    return (df.groupBy("siret").agg(F.max_by(F.struct(*rest), order).alias("r"))
+            .select("siret", *[F.col(f"r.{c}").alias(c) for c in rest]))
+
+
+def quarantine(flat: DataFrame, corrupt_column: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """Records that can be used, and those that can't: malformed lines and records without a SIRET."""
+    bad = F.col("siret").isNull()
+    if corrupt_column in flat.columns:
+        bad = bad | F.col(corrupt_column).isNotNull()
+    return flat.where(~bad).drop(corrupt_column), flat.where(bad)
+
+
 def split_siret_siren(clean: DataFrame, siege_first: bool = True) -> tuple[DataFrame, DataFrame]:
     """Establishment grain and entity grain. The entity row is taken from the
     head office if any, else the smallest SIRET (deterministic; file order does
@@ -145,13 +162,15 @@ def build_full(siret: DataFrame, siren: DataFrame, counts: DataFrame | None = No
 def run(flat: DataFrame, ref_date: str, codes: Sequence[str] = bands.SECTOR_CODES,
         coord_decimals: int | None = None) -> dict[str, DataFrame]:
     """The whole chain on flattened raw records; tables tagged with the entity's
-    activity code (the extraction filter) for partitioned publication."""
-    clean = clean_raw(flat)
+    activity code (the extraction filter) for partitioned publication. ``quarantine``
+    holds the records that were left out because they can't be read."""
+    good, bad = quarantine(flat)
+    clean = clean_raw(good)
     siret, siren = split_siret_siren(clean)
     counts = clean.groupBy("siren").agg(F.count(F.lit(1)).alias("nb_etablissements"))
     siren = enrich_siren(siren, ref_date).withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
     siret = enrich_siret(enrich_geo(siret, coord_decimals), ref_date, codes)
     full, plan = build_full(siret, siren, counts)
     code = siren.select("siren", "code_ape")
-    return {"clean": clean, "siret": siret.join(code, "siren", "left"), "siren": siren, "full": full,
-            "salt_plan": plan}
+    return {"clean": clean, "siret": plan.join(siret, code, "left", salt_from=["siret"]).drop(*SALT_COLUMNS), "siren": siren,
+            "full": full, "salt_plan": plan, "quarantine": bad}

@@ -27,15 +27,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (
-    age_band, age_years, band_from_edges, department_from_commune, headcount_category,
-    try_double,
-)
-from ..functions.geo import with_wgs84
-from ..operators.groups import SaltPlan
+from ..functions import band_from_edges
+from ..operators.groups import ROWS_PER_TASK_CONF, SaltPlan
 from ..operators.star import bounded
 from ..rules import bands
 from ..sources.readers import read_table
+from . import cleaning
 
 # FIXED VALUES of the model (our choice, mirrored by the SQL oracle).
 REGION_PROFILE = (            # region -> territorial profile, rank; MIDDLE EAST left out
@@ -50,6 +47,8 @@ SEGMENT_ACTIVITY = (          # code, label, division, family, priority; HOUSEHO
     ("MACHINERY", "Travaux mécaniques", "43", "Second oeuvre", 10),
     ("AUTOMOBILE", "Réparation automobile", "45", "Hors périmètre", 0),
 )
+# An establishment's own activity code, by order key: mostly not its entity's, one without a label.
+OWN_CODES = tuple(r[0] for r in SEGMENT_ACTIVITY) + ("99.99Z",)
 RETAINED_SEGMENTS = ("BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD")
 LEGAL_FAMILIES = (            # legal prefix -> family, label; prefix 5 left out
     ("1", "Société commerciale", "Société par actions simplifiée"),
@@ -72,15 +71,23 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 _MEMO: dict = {}
+_MEMO_SIZE = 64
 
 
 def memo(spark: SparkSession, key: tuple, build):
     """Reuse a lazily built DataFrame (a plan, not data) within one session.
 
     Queries of the catalogue share the model's base frames; building them once
-    per session and input folder keeps driver-side planning off the hot path."""
-    k = (id(spark), spark.sparkContext.applicationId) + key
+    per session, input folder and salt setting keeps driver-side planning off the hot path.
+    The oldest entries go first; plans of other sessions go at once."""
+    salt = spark.conf.get(ROWS_PER_TASK_CONF, "")
+    session = (id(spark), spark.sparkContext.applicationId)
+    for k in [k for k in _MEMO if k[:2] != session]:
+        del _MEMO[k]
+    k = session + (salt,) + key
     if k not in _MEMO:
+        while len(_MEMO) >= _MEMO_SIZE:
+            del _MEMO[next(iter(_MEMO))]
         _MEMO[k] = build()
     return _MEMO[k]
 
@@ -189,6 +196,8 @@ def raw_siret(spark: SparkSession, d: str) -> DataFrame:
         band_from_edges(F.col("o_totalprice"), PRICE_BAND_WIDTH, bands.HEADCOUNT_CODES)
         .alias("trancheEffectifsEtablissement"),
         (F.pmod(F.col("o_orderkey"), F.lit(7)) == 0).alias("etablissementSiege"),
+        F.element_at(F.array(*[F.lit(c) for c in OWN_CODES]), (F.pmod("o_orderkey", F.lit(len(OWN_CODES))) + 1).cast("int"))
+        .alias("periode_activitePrincipaleEtablissement"),
         F.when(F.col("o_totalprice") >= ACTIVE_MIN_PRICE, F.lit("A")).otherwise(F.lit("F"))
         .alias("periode_etatAdministratifEtablissement"),
         F.col("o_orderpriority").alias("uniteLegale_categorieJuridiqueUniteLegale"),
@@ -212,13 +221,9 @@ def raw_siret(spark: SparkSession, d: str) -> DataFrame:
 
 
 def with_geo(siret: DataFrame) -> DataFrame:
-    """Geo chain: projected coordinates -> lon/lat, range guard, department + anomaly flag."""
-    x = try_double("adresseEtablissement_coordonneeLambertAbscisseEtablissement")
-    y = try_double("adresseEtablissement_coordonneeLambertOrdonneeEtablissement")
-    # Published coordinates keep 9 decimals (0.1 mm): engines' libm differ in the last bits.
-    siret = with_wgs84(siret, x, y, decimals=COORD_DECIMALS)
-    return (siret.withColumn("departement", department_from_commune("adresseEtablissement_codeCommuneEtablissement"))
-            .withColumn("dept_anomaly", F.col("departement").isNull()))
+    """The cleaning step's geo chain. Published coordinates keep 9 decimals (0.1 mm):
+    engines' libm differ in the last bits."""
+    return cleaning.enrich_geo(siret, decimals=COORD_DECIMALS)
 
 
 def entity_counts(active_siret: DataFrame) -> DataFrame:
@@ -264,9 +269,10 @@ def _full(spark: SparkSession, d: str, rows_per_task: int | None = None) -> tupl
 
 
 def enriched_siret(siret: DataFrame, ref_date: str = REF_DATE) -> DataFrame:
-    """Establishment enrichment chain: age, age band, headcount category,
-    division, sector type."""
-    return (siret
-            .withColumn("anciennete_etab_annees", age_years("dateCreationEtablissement", ref_date))
-            .withColumn("tranche_anciennete_etab", age_band("anciennete_etab_annees"))
-            .withColumn("categorie_effectifs_etab", headcount_category("trancheEffectifsEtablissement")))
+    """The cleaning step's establishment chain under the model's sector codes."""
+    return cleaning.enrich_siret(siret, ref_date, RETAINED_SEGMENTS)
+
+
+def enriched_full(spark: SparkSession, d: str) -> DataFrame:
+    """``full`` with both grains' enrichment, as the pipeline publishes it."""
+    return cleaning.enrich_siren(enriched_siret(full(spark, d)[0]), REF_DATE)

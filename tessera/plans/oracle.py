@@ -113,6 +113,8 @@ raw_siret0 AS (
   SELECT o_orderkey AS siret, o_custkey AS siren, CAST(o_orderdate AS DATE) AS dateCreationEtablissement,
          {_band('o_totalprice', model.PRICE_BAND_WIDTH)} AS trancheEffectifsEtablissement,
          ({_pmod('o_orderkey', 7)} = 0) AS etablissementSiege,
+         ([{", ".join(_q(c) for c in model.OWN_CODES)}])[{_pmod('o_orderkey', len(model.OWN_CODES))} + 1]
+           AS periode_activitePrincipaleEtablissement,
          CASE WHEN o_totalprice >= {model.ACTIVE_MIN_PRICE!r} THEN 'A' ELSE 'F' END AS periode_etatAdministratifEtablissement,
          o_orderpriority AS uniteLegale_categorieJuridiqueUniteLegale,
          substring(o_orderpriority, 1, 1) AS uniteLegale_categorieJuridiqueUniteLegaleNiv2,
@@ -222,24 +224,69 @@ def _scored_sql(version: str = "1.6", name: str = "scored") -> str:
 )"""
 
 
+def _category(c: str) -> str:
+    arms = " ".join(f"WHEN {c} IN ({', '.join(_q(x) for x in codes)}) THEN {_q(lab)}" for lab, codes in bands.HEADCOUNT_CATEGORIES)
+    return f"CASE {arms} END"
+
+
+def _age(c: str) -> str:
+    return f"CAST(floor(date_diff('day', {c}, DATE '{model.REF_DATE}') / 365.0) AS INTEGER)"
+
+
+def _age_label(a: str) -> str:
+    return (f"CASE WHEN {a} IS NULL THEN NULL WHEN {a} <= 5 THEN '0-5 ans' WHEN {a} <= 10 THEN '6-10 ans' "
+            f"WHEN {a} <= 20 THEN '11-20 ans' ELSE '20+ ans' END")
+
+
 def _v2_sql() -> str:
-    sc = scoring.SCORE_100
+    """The single-code view written out: points and thresholds as text, not from the rule tables."""
+    own, etab, ul = "f.periode_activitePrincipaleEtablissement", "f.trancheEffectifsEtablissement", "f.uniteLegale_trancheEffectifsUniteLegale"
+    age_etab, age_ul = _age("f.dateCreationEtablissement"), _age("f.uniteLegale_dateCreationUniteLegale")
+    retained = ", ".join(_q(c) for c in model.RETAINED_SEGMENTS)
+    null = "CAST(NULL AS VARCHAR)"
     return f"""
 v2_base AS (
-  SELECT f.siret, f.siren, f.uniteLegale_denominationUniteLegale AS nom_entreprise, f.departement AS code_departement,
-         d.profil_territorial, f.trancheEffectifsEtablissement AS code_effectifs_etablissement,
-         eff.Employes, jur.famille_juridique, ape.libelle_ape
+  SELECT f.siret, f.siren, f.uniteLegale_denominationUniteLegale AS nom_entreprise, {null} AS sigle_entreprise,
+    {null} AS denomination_usuelle, {null} AS statut_diffusion_etablissement, {null} AS statut_diffusion_unite_legale,
+    {own} AS code_ape, ape.libelle_ape AS ape_nom_complet, ape.nom_commun_metier AS ape_metier,
+    ape.famille_metier AS ape_famille, substring({own}, 1, 2) AS division_ape,
+    CASE WHEN {own} IN ({retained}) THEN 'BTP' ELSE 'Autres' END AS type_activite,
+    f.uniteLegale_activitePrincipaleUniteLegale AS code_ape_unite_legale, {null} AS code_activite_registre_metiers,
+    f.adresseEtablissement_numeroVoieEtablissement AS numero_voie, f.adresseEtablissement_typeVoieEtablissement AS type_voie,
+    f.adresseEtablissement_libelleVoieEtablissement AS libelle_voie, f.adresseEtablissement_codePostalEtablissement AS code_postal,
+    f.adresseEtablissement_libelleCommuneEtablissement AS commune, f.adresseEtablissement_codeCommuneEtablissement AS code_commune,
+    f.longitude, f.latitude, f.adresseEtablissement_coordonneeLambertAbscisseEtablissement AS lambert_x,
+    f.adresseEtablissement_coordonneeLambertOrdonneeEtablissement AS lambert_y, {null} AS pays_etranger,
+    f.departement AS code_departement, f.dept_anomaly AS departement_anomalie, d.dep_name AS departement_nom,
+    d.prefecture AS departement_prefecture, d.region, CAST(d.km2 AS DOUBLE) AS departement_superficie_km2,
+    d.population_2022 AS departement_population, d.profil_territorial, d.profil_territorial_ordre,
+    {etab} AS code_tranche_effectifs_etab, {null} AS annee_effectifs_etab, eff.Employes AS effectifs_libelle_etab,
+    {_category(etab)} AS categorie_effectifs_etab, {ul} AS code_tranche_effectifs_ul, {null} AS annee_effectifs_ul,
+    {_category(ul)} AS categorie_effectifs_ul, f.nb_etablissements,
+    f.uniteLegale_categorieJuridiqueUniteLegale AS code_categorie_juridique_niv1,
+    f.uniteLegale_categorieJuridiqueUniteLegaleNiv2 AS code_categorie_juridique_niv2,
+    jur.Libelle AS categorie_juridique_libelle, jur.famille_juridique, {null} AS categorie_entreprise,
+    f.dateCreationEtablissement AS date_creation_etablissement,
+    f.periode_etatAdministratifEtablissement AS etat_administratif_etablissement, f.etablissementSiege AS est_siege,
+    f.uniteLegale_dateCreationUniteLegale AS date_creation_unite_legale,
+    f.uniteLegale_etatAdministratifUniteLegale AS etat_administratif_unite_legale,
+    {age_etab} AS anciennete_etab_annees, {_age_label(age_etab)} AS tranche_anciennete_etab,
+    {age_ul} AS anciennete_ul_annees, {_age_label(age_ul)} AS tranche_anciennete_ul,
+    CASE d.profil_territorial WHEN 'Très urbain' THEN 40 WHEN 'Urbain' THEN 30 WHEN 'Péri-urbain' THEN 20
+      WHEN 'Rural' THEN 10 ELSE 0 END AS score_territoire,
+    CASE WHEN {etab} IN ('21', '22', '31', '32', '41', '42', '51', '52', '53') THEN 30 WHEN {etab} IN ('11', '12') THEN 20
+      WHEN {etab} = '03' THEN 10 WHEN {etab} IN ('01', '02') THEN 5 WHEN {etab} = '00' THEN 2 ELSE 0 END AS score_taille,
+    CASE jur.famille_juridique WHEN 'Société commerciale' THEN 30 WHEN 'Entrepreneur individuel' THEN 15 ELSE 10 END AS score_juridique
   FROM full_t f
+  LEFT JOIN dim_codes_ape ape ON {own} = ape.code_ape
   LEFT JOIN dim_departements d ON f.departement = d.dep
-  LEFT JOIN dim_categories_effectifs eff ON f.trancheEffectifsEtablissement = eff.tranche_effectifs
+  LEFT JOIN dim_categories_effectifs eff ON {etab} = eff.tranche_effectifs
   LEFT JOIN dim_categories_juridiques jur ON f.uniteLegale_categorieJuridiqueUniteLegaleNiv2 = jur.categorie_juridique_ul_niv2
-  LEFT JOIN dim_codes_ape ape ON f.code_ape = ape.code_ape
   WHERE f.code_ape = {_q(model.FOCUS_CODE)} AND f.periode_etatAdministratifEtablissement = 'A'
 ),
-v2_s AS (SELECT *, {", ".join(sc.sql_columns())} FROM v2_base),
-v2_t AS (SELECT *, {sc.total_sql()} AS score_total FROM v2_s),
-v2 AS (SELECT * EXCLUDE (code_effectifs_etablissement), code_effectifs_etablissement AS code_effectifs,
-              {scoring.POTENTIAL_100.sql()} FROM v2_t)"""
+v2_t AS (SELECT *, score_territoire + score_taille + score_juridique AS score_total FROM v2_base),
+v2 AS (SELECT *, CASE WHEN score_total >= 80 THEN 'Très fort potentiel' WHEN score_total >= 60 THEN 'Fort potentiel'
+  WHEN score_total >= 40 THEN 'Potentiel moyen' ELSE 'Potentiel faible' END AS categorie_potentiel FROM v2_t)"""
 
 
 def with_model(select: str, versions: tuple[str, ...] = ("1.6",)) -> str:

@@ -40,7 +40,7 @@ def _grains(spark, d):
     ent = model.siren_table(spark, d, active)
     full, plan = model.full(spark, d)
     code = ent.select("siren", F.col("uniteLegale_activitePrincipaleUniteLegale").alias("code_ape"))
-    siret = active.join(code, "siren", "inner")
+    siret = plan.join(active, code, "inner", salt_from=["siret"]).drop(*SALT_COLUMNS)
     siren = ent.withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
     return siret, siren, full.drop(*SALT_COLUMNS)
 

@@ -15,7 +15,7 @@ from ..operators.projection import (
 )
 from ..rules import bands
 from ..sources.readers import coerce_types, read_table, sanitize_columns
-from . import model
+from . import cleaning, model
 from .catalog import query
 from .oracle import _band, _pmod, with_model
 
@@ -233,13 +233,17 @@ def p17_sector_type(spark, d):
 # Enrichment chains ------------------------------------------------------
 @query("p18_enrich_siret", with_model(f"""
 SELECT siret, anciennete_etab_annees, {_AGE_BAND.format(a='anciennete_etab_annees')} AS tranche_anciennete_etab,
-       {_cat_sql('trancheEffectifsEtablissement')} AS categorie_effectifs_etab
-FROM (SELECT siret, trancheEffectifsEtablissement,
+       {_cat_sql('trancheEffectifsEtablissement')} AS categorie_effectifs_etab,
+       substring(periode_activitePrincipaleEtablissement, 1, 2) AS division_ape_etab,
+       CASE WHEN periode_activitePrincipaleEtablissement IN ({', '.join(repr(s) for s in model.RETAINED_SEGMENTS)})
+         THEN 'BTP' ELSE 'Autres' END AS type_activite_etab
+FROM (SELECT siret, trancheEffectifsEtablissement, periode_activitePrincipaleEtablissement,
         CAST(floor(date_diff('day', dateCreationEtablissement, DATE '{model.REF_DATE}') / 365.0) AS INTEGER)
           AS anciennete_etab_annees FROM raw_siret) t"""))
 def p18_enrich_siret(spark, d):
     e = model.enriched_siret(_raw(spark, d))
-    return e.select("siret", "anciennete_etab_annees", "tranche_anciennete_etab", "categorie_effectifs_etab")
+    return e.select("siret", "anciennete_etab_annees", "tranche_anciennete_etab", "categorie_effectifs_etab",
+                    "division_ape_etab", "type_activite_etab")
 
 
 @query("p19_enrich_siren", with_model(f"""
@@ -250,10 +254,8 @@ FROM (SELECT siren, uniteLegale_trancheEffectifsUniteLegale,
           AS anciennete_ul_annees FROM siren_t) t"""))
 def p19_enrich_siren(spark, d):
     s = model.with_geo(_raw(spark, d)).where(F.col("periode_etatAdministratifEtablissement") == "A")
-    e = model.siren_table(spark, d, s)
-    a = age_years("uniteLegale_dateCreationUniteLegale", model.REF_DATE)
-    return e.select("siren", a.alias("anciennete_ul_annees"), age_band(a).alias("tranche_anciennete_ul"),
-                    headcount_category("uniteLegale_trancheEffectifsUniteLegale").alias("categorie_effectifs_ul"))
+    e = cleaning.enrich_siren(model.siren_table(spark, d, s), model.REF_DATE)
+    return e.select("siren", "anciennete_ul_annees", "tranche_anciennete_ul", "categorie_effectifs_ul")
 
 
 # P21 -----------------------------------------------------------------------------

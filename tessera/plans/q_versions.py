@@ -16,11 +16,9 @@ H = "CAST(100 AS DOUBLE)"
 
 
 def v2(spark, d):
-    full, plan, dims = context(spark, d)
-    return views.single_code_view(full, dims, model.FOCUS_CODE)
+    return views.single_code_view(model.enriched_full(spark, d), context(spark, d)[2], model.FOCUS_CODE)
 
 
-# V2 / X11 ---------------------------------------------------------------------------
 @query("v2_single_code_view", with_model("SELECT * FROM v2", versions=("1.6", "v2")))
 def v2_single_code_view(spark, d):
     return v2(spark, d)
@@ -182,12 +180,7 @@ def v7_top_targets_per_segment(spark, d):
 
 
 # P25: wide renaming projection of the single-code view ---------------------------------------
-@query("p25_wide_renaming_projection", with_model(
-    "SELECT siret AS id_etablissement, nom_entreprise AS raison_sociale, code_departement AS departement_code, "
-    "profil_territorial AS profil, code_effectifs AS tranche_effectifs_code, Employes AS tranche_effectifs_libelle, "
-    "famille_juridique AS forme_juridique, libelle_ape AS activite FROM v2", versions=("1.6", "v2")))
+@query("p25_wide_renaming_projection", with_model("SELECT * EXCLUDE (score_territoire, score_taille, score_juridique, "
+                                                  "score_total, categorie_potentiel) FROM v2", versions=("1.6", "v2")))
 def p25_wide_renaming_projection(spark, d):
-    mapping = {"siret": "id_etablissement", "nom_entreprise": "raison_sociale", "code_departement": "departement_code",
-               "profil_territorial": "profil", "code_effectifs": "tranche_effectifs_code",
-               "Employes": "tranche_effectifs_libelle", "famille_juridique": "forme_juridique", "libelle_ape": "activite"}
-    return v2(spark, d).select(*[F.col(k).alias(v) for k, v in mapping.items()])
+    return v2(spark, d).select(*[name for _, name in views.SINGLE_CODE_COLUMNS])

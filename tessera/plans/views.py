@@ -117,15 +117,72 @@ def scored_view(full: DataFrame, dims: dict[str, DataFrame], plan: SaltPlan | No
     return labels.apply(s).drop(*SALT_COLUMNS)
 
 
-def single_code_view(full: DataFrame, dims: dict[str, DataFrame], code: str,
-                     activity_col: str = "code_ape") -> DataFrame:
-    """Single-code view (V2): one activity code, 100-point score; the activity
-    dimension is joined on the establishment's own code."""
-    f = full.where((F.col(activity_col) == code) & (F.col("periode_etatAdministratifEtablissement") == "A"))
-    j = star_join(f, star_dimensions(dims, with_entity_band=False))
-    base = j.select(F.col("siret"), F.col("siren"), F.col("uniteLegale_denominationUniteLegale").alias("nom_entreprise"),
-                    F.col("departement").alias("code_departement"), "profil_territorial",
-                    F.col("trancheEffectifsEtablissement").alias("code_effectifs_etablissement"),
-                    F.col("libelle_effectifs_etablissement").alias("Employes"), "famille_juridique", "libelle_ape")
+# FIXED VALUES: the single-code view's columns, in its order: column of ``full`` or of a joined
+# dimension, and the name in the view. The five score columns follow.
+SINGLE_CODE_COLUMNS = (
+    ("siret", "siret"), ("siren", "siren"),
+    ("uniteLegale_denominationUniteLegale", "nom_entreprise"), ("uniteLegale_sigleUniteLegale", "sigle_entreprise"),
+    ("uniteLegale_denominationUsuelle1UniteLegale", "denomination_usuelle"),
+    ("statutDiffusionEtablissement", "statut_diffusion_etablissement"),
+    ("uniteLegale_statutDiffusionUniteLegale", "statut_diffusion_unite_legale"),
+    ("periode_activitePrincipaleEtablissement", "code_ape"), ("libelle_ape", "ape_nom_complet"),
+    ("nom_commun_metier", "ape_metier"), ("famille_metier", "ape_famille"),
+    ("division_ape_etab", "division_ape"), ("type_activite_etab", "type_activite"),
+    ("uniteLegale_activitePrincipaleUniteLegale", "code_ape_unite_legale"),
+    ("activitePrincipaleRegistreMetiersEtablissement", "code_activite_registre_metiers"),
+    ("adresseEtablissement_numeroVoieEtablissement", "numero_voie"), ("adresseEtablissement_typeVoieEtablissement", "type_voie"),
+    ("adresseEtablissement_libelleVoieEtablissement", "libelle_voie"), ("adresseEtablissement_codePostalEtablissement", "code_postal"),
+    ("adresseEtablissement_libelleCommuneEtablissement", "commune"), ("adresseEtablissement_codeCommuneEtablissement", "code_commune"),
+    ("longitude", "longitude"), ("latitude", "latitude"),
+    ("adresseEtablissement_coordonneeLambertAbscisseEtablissement", "lambert_x"),
+    ("adresseEtablissement_coordonneeLambertOrdonneeEtablissement", "lambert_y"),
+    ("adresseEtablissement_libellePaysEtrangerEtablissement", "pays_etranger"),
+    ("departement", "code_departement"), ("dept_anomaly", "departement_anomalie"), ("dep_name", "departement_nom"),
+    ("prefecture", "departement_prefecture"), ("region", "region"), ("km2", "departement_superficie_km2"),
+    ("population_2022", "departement_population"), ("profil_territorial", "profil_territorial"),
+    ("profil_territorial_ordre", "profil_territorial_ordre"),
+    ("trancheEffectifsEtablissement", "code_tranche_effectifs_etab"), ("anneeEffectifsEtablissement", "annee_effectifs_etab"),
+    ("Employes", "effectifs_libelle_etab"), ("categorie_effectifs_etab", "categorie_effectifs_etab"),
+    ("uniteLegale_trancheEffectifsUniteLegale", "code_tranche_effectifs_ul"),
+    ("uniteLegale_anneeEffectifsUniteLegale", "annee_effectifs_ul"), ("categorie_effectifs_ul", "categorie_effectifs_ul"),
+    ("nb_etablissements", "nb_etablissements"),
+    ("uniteLegale_categorieJuridiqueUniteLegale", "code_categorie_juridique_niv1"),
+    ("uniteLegale_categorieJuridiqueUniteLegaleNiv2", "code_categorie_juridique_niv2"),
+    ("Libelle", "categorie_juridique_libelle"), ("famille_juridique", "famille_juridique"),
+    ("uniteLegale_categorieEntreprise", "categorie_entreprise"),
+    ("dateCreationEtablissement", "date_creation_etablissement"),
+    ("periode_etatAdministratifEtablissement", "etat_administratif_etablissement"), ("etablissementSiege", "est_siege"),
+    ("uniteLegale_dateCreationUniteLegale", "date_creation_unite_legale"),
+    ("uniteLegale_etatAdministratifUniteLegale", "etat_administratif_unite_legale"),
+    ("anciennete_etab_annees", "anciennete_etab_annees"), ("tranche_anciennete_etab", "tranche_anciennete_etab"),
+    ("anciennete_ul_annees", "anciennete_ul_annees"), ("tranche_anciennete_ul", "tranche_anciennete_ul"),
+)
+
+
+def single_code_view(full: DataFrame, dims: dict[str, DataFrame], code: str) -> DataFrame:
+    """Single-code view (V2): the establishments published under one activity code, with the
+    100-point score. The activity dimension is joined on the establishment's own code,
+    which may differ from its entity's (and so from ``code``). Columns that ``full``
+    lacks are typed nulls."""
+    f = full.where((F.col("code_ape") == code) & (F.col("periode_etatAdministratifEtablissement") == "A")).drop("code_ape")
+    own = "periode_activitePrincipaleEtablissement"
+    if own not in f.columns:
+        f = f.withColumn(own, F.lit(None).cast("string"))
+
+    def role(name: str, dim: str, on: dict[str, str], *cols: str) -> DimRef:
+        ref = DimRef(name, dims[dim], on, {c: c for c in cols})
+        ref.checked = dim in dims.get("__checked__", frozenset())
+        return ref
+
+    j = star_join(f, [
+        role("ape", "dim_codes_ape", {own: "code_ape"}, "libelle_ape", "nom_commun_metier", "famille_metier"),
+        role("d", "dim_departements", {"departement": "dep"}, "dep_name", "prefecture", "region", "km2", "population_2022",
+             "profil_territorial", "profil_territorial_ordre"),
+        role("eff", "dim_categories_effectifs", {"trancheEffectifsEtablissement": "tranche_effectifs"}, "Employes"),
+        role("jur", "dim_categories_juridiques", {"uniteLegale_categorieJuridiqueUniteLegaleNiv2": "categorie_juridique_ul_niv2"},
+             "Libelle", "famille_juridique"),
+    ])
+    base = j.select(*[(F.col(src) if src in j.columns else F.lit(None).cast("string")).alias(name) for src, name in SINGLE_CODE_COLUMNS],
+                    F.col("trancheEffectifsEtablissement").alias("code_effectifs_etablissement"))
     s = scoring.SCORE_100.apply(base)
-    return scoring.POTENTIAL_100.apply(s).withColumnRenamed("code_effectifs_etablissement", "code_effectifs")
+    return scoring.POTENTIAL_100.apply(s).drop("code_effectifs_etablissement")
