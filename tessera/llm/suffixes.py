@@ -47,6 +47,9 @@ HOT = 4096
 #: Bytes of runs that a sorting task works on at once.
 CHUNK_BYTES = 1 << 21
 
+#: Bytes of distinct runs that a task holds before it sends them on.
+HELD_BYTES = 1 << 24
+
 #: Suffixes whose anchors are looked for at once.
 SEGMENT = 1 << 20
 
@@ -165,7 +168,7 @@ def _strings(length: int):
                 else:
                     seen.setdefault((name, data[at + start:at + start + number + length - 1]), (doc, tie, start, number))
                     held += number + length
-            if held > 64 << 20:
+            if held > HELD_BYTES:
                 yield out()
                 held = 0
         if seen:
@@ -260,12 +263,23 @@ def _group_parts(group: np.ndarray, size: int):
 def _first_suffixes(length: int):
     """Of runs dealt and sorted by anchor: the suffixes that no equal one precedes, as ranges."""
     def solve(rows: pa.Table):
+        key, doc, tie, start = (rows[c].to_numpy() for c in ("key", "doc", "tie", "start"))
+        order = np.lexsort((start, tie, doc, key))           # earlier rows of an anchor come first
+        # whole runs that are equal need no sort: all suffixes of the later ones are repeats
+        seen: set[tuple[int, bytes]] = set()
+        keys, strings = key.tolist(), rows["string"].to_pylist()
+        first = []
+        for k in order.tolist():
+            size = len(seen)
+            seen.add((keys[k], strings[k]))
+            if len(seen) > size:
+                first.append(k)
+        del seen, strings
+        rows = rows.take(pa.array(first))
         key, doc, tie = (rows[c].to_numpy() for c in ("key", "doc", "tie"))
         start, number = (rows[c].to_numpy().astype(np.int64) for c in ("start", "number"))
         raw, bounds = binary_column(rows["string"])
-        order = np.lexsort((start, tie, doc, key))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))                  # earlier rows of an anchor have smaller ranks
+        rank = np.arange(len(key))
         _, group = np.unique(key, return_inverse=True)
         size = np.bincount(group)[group]
         new = np.ones(int(number.sum()), bool)
