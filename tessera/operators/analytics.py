@@ -48,12 +48,11 @@ def with_running_share(agg: DataFrame, count_col: str, order: Column, name: str
     return agg.withColumn(name, pct(F.sum(count_col).over(run), F.sum(count_col).over(Window.partitionBy())))
 
 
-def density(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, group: Sequence[str],
-            population: str = "population_2022", per: float = 10000.0, count_of: str = "siret") -> DataFrame:
-    """Distinct establishments per ``per`` inhabitants by dimension group
-    (inner join: unmatched fact keys are dropped, as in the source)."""
-    j = fact.join(dim, fact[fact_key] == dim[dim_key], "inner")
-    agg = j.groupBy(*group, population).agg(F.count_distinct(count_of).alias("nb_etablissements"))
+def density(counts: DataFrame, count_col: str, group: Sequence[str],
+            population: str = "population_2022", per: float = 10000.0) -> DataFrame:
+    """Establishments per ``per`` inhabitants by dimension group, from counts a dimension row
+    (unmatched fact keys are left out before, as in the source)."""
+    agg = counts.groupBy(*group, population).agg(F.sum(count_col).alias("nb_etablissements"))
     return agg.withColumn("densite_pour_10k_hab",
                           F.try_divide(F.col("nb_etablissements"), F.col(population)) * F.lit(per))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.groups import attach_group_stats, group_size
+from ..operators.groups import SALT_COLUMNS
 from . import model, views
 from .catalog import query
 from .oracle import with_model
@@ -23,6 +24,15 @@ def v1(spark: SparkSession, d: str, version: str = "1.6") -> DataFrame:
     return model.memo(spark, ("v1", d, version), build)
 
 
+def scored_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The scored establishments (v1.6) without the entity mean and what follows from it: no
+    window, no second pass. For everything that reads neither the mean nor the segment."""
+    def build():
+        full, _, dims = context(spark, d)
+        return views.score(views.scoring_base(full, dims, model.RETAINED_SEGMENTS)).drop(*SALT_COLUMNS)
+    return model.memo(spark, ("scored_rows", d), build)
+
+
 # --- V1: the global scored view -------------------------------------------------
 
 @query("v1_scored_view", with_model("SELECT * FROM scored"))
@@ -69,37 +79,37 @@ def _dist_sql(*cols: str, n: str = "nb_lignes") -> str:
 
 @query("x1_territory_score", _dist_sql("profil_territorial", "score_profil_territorial"))
 def x1_territory_score(spark, d):
-    return _dist(v1(spark, d), "profil_territorial", "score_profil_territorial")
+    return _dist(scored_rows(spark, d), "profil_territorial", "score_profil_territorial")
 
 
 @query("x2_size_score", _dist_sql("code_effectifs_etablissement", "score_taille_entreprise"))
 def x2_size_score(spark, d):
-    return _dist(v1(spark, d), "code_effectifs_etablissement", "score_taille_entreprise")
+    return _dist(scored_rows(spark, d), "code_effectifs_etablissement", "score_taille_entreprise")
 
 
 @query("x3_legal_score", _dist_sql("famille_juridique", "score_forme_juridique"))
 def x3_legal_score(spark, d):
-    return _dist(v1(spark, d), "famille_juridique", "score_forme_juridique")
+    return _dist(scored_rows(spark, d), "famille_juridique", "score_forme_juridique")
 
 
 @query("x4_activity_score", _dist_sql("code_ape", "score_priorite", "score_potentiel_ape"))
 def x4_activity_score(spark, d):
-    return _dist(v1(spark, d), "code_ape", "score_priorite", "score_potentiel_ape")
+    return _dist(scored_rows(spark, d), "code_ape", "score_priorite", "score_potentiel_ape")
 
 
 @query("x5_multi_site_bonus", _dist_sql("type_structure", "bonus_multi_agences"))
 def x5_multi_site_bonus(spark, d):
-    return _dist(v1(spark, d), "type_structure", "bonus_multi_agences")
+    return _dist(scored_rows(spark, d), "type_structure", "bonus_multi_agences")
 
 
 @query("x6_total_score", _dist_sql("score_total"))
 def x6_total_score(spark, d):
-    return _dist(v1(spark, d), "score_total")
+    return _dist(scored_rows(spark, d), "score_total")
 
 
 @query("x7_potential_category", _dist_sql("categorie_potentiel"))
 def x7_potential_category(spark, d):
-    return _dist(v1(spark, d), "categorie_potentiel")
+    return _dist(scored_rows(spark, d), "categorie_potentiel")
 
 
 @query("x8_entity_mean_score", with_model(
@@ -144,7 +154,7 @@ def w1_entity_mean_window(spark, d):
     "SELECT code_ape, COUNT(*) AS nb_etablissements, COUNT(DISTINCT siren) AS nb_entreprises "
     "FROM scored GROUP BY code_ape"))
 def u1_retained_codes_union(spark, d):
-    return (v1(spark, d).groupBy("code_ape")
+    return (scored_rows(spark, d).groupBy("code_ape")
             .agg(F.count(F.lit(1)).alias("nb_etablissements"), F.count_distinct("siren").alias("nb_entreprises")))
 
 
@@ -160,14 +170,14 @@ def p7_active_filter(spark, d):
 
 @query("p22_structure_type", _dist_sql("nb_etablissements", "type_structure"))
 def p22_structure_type(spark, d):
-    return _dist(v1(spark, d), "nb_etablissements", "type_structure")
+    return _dist(scored_rows(spark, d), "nb_etablissements", "type_structure")
 
 
 @query("p24_lookup_default", with_model(
     "SELECT code_ape, score_priorite, COALESCE(score_priorite, 10) AS score_defaut, "
     "COALESCE(score_priorite, 0) AS score_regle, COUNT(*) AS nb_etablissements FROM scored GROUP BY 1, 2"))
 def p24_lookup_default(spark, d):
-    return (v1(spark, d).groupBy("code_ape", "score_priorite")
+    return (scored_rows(spark, d).groupBy("code_ape", "score_priorite")
             .agg(F.count(F.lit(1)).alias("nb_etablissements"))
             .select("code_ape", "score_priorite",
                     F.coalesce("score_priorite", F.lit(10)).alias("score_defaut"),
@@ -244,7 +254,7 @@ def j2_establishment_entity_join(spark, d):
     "AS pourcentage FROM scored GROUP BY categorie_potentiel"))
 def w3_percent_of_total(spark, d):
     from ..operators.analytics import with_share
-    agg = v1(spark, d).groupBy("categorie_potentiel").agg(F.count(F.lit(1)).alias("nb_lignes"))
+    agg = scored_rows(spark, d).groupBy("categorie_potentiel").agg(F.count(F.lit(1)).alias("nb_lignes"))
     return with_share(agg, "nb_lignes")
 
 

@@ -15,7 +15,7 @@ from ..rules import bands, scoring
 from . import model
 from .catalog import query
 from .oracle import with_model
-from .q_core import segment_pyramid, v1
+from .q_core import segment_pyramid, scored_rows, v1
 
 H = "CAST(100 AS DOUBLE)"
 
@@ -34,7 +34,7 @@ _Q1_T = 98.0
     f"SELECT 'couverture_{c}' AS controle, COUNT({c}) * {H} / COUNT(*) AS valeur, '>= {_Q1_T}' AS attendu, "
     f"{_status(f'COUNT({c}) * {H} / COUNT(*) >= {_Q1_T}')} AS statut FROM scored" for c in _Q1_COLS)))
 def q1_coverage_threshold(spark, d):
-    return coverage_checks(v1(spark, d), _Q1_COLS, _Q1_T)
+    return coverage_checks(scored_rows(spark, d), _Q1_COLS, _Q1_T)
 
 
 # Q2 -------------------------------------------------------------------------------
@@ -47,7 +47,7 @@ FROM (SELECT (SELECT COUNT(*) FROM scored) AS a,
 def q2_row_count_expected(spark, d):
     full, _ = model.full(spark, d)
     expected = full.where(F.col("code_ape").isin(*model.RETAINED_SEGMENTS))
-    return row_count_check(v1(spark, d), expected, "lignes_vue")
+    return row_count_check(scored_rows(spark, d), expected, "lignes_vue")
 
 
 # Q3 -------------------------------------------------------------------------------
@@ -60,7 +60,7 @@ SELECT 'bornes_score_total' AS controle,
                 'AND COUNT(CASE WHEN score_total < 25 OR score_total > 130 THEN 1 END) = 0')} AS statut
 FROM scored"""))
 def q3_score_bounds(spark, d):
-    return bounds_check(v1(spark, d), "score_total", 25.0, 130.0, "bornes_score_total")
+    return bounds_check(scored_rows(spark, d), "score_total", 25.0, 130.0, "bornes_score_total")
 
 
 # Q4: profile distribution against the expected one ---------------------------------------

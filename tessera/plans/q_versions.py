@@ -10,6 +10,7 @@ from ..rules import scoring
 from . import model, views
 from .catalog import query
 from .oracle import _scored_sql, dims_ctes, full_sql, raw_siret_sql, with_model
+from .q_analytics import focus_counts
 from .q_core import context, v1
 
 H = "CAST(100 AS DOUBLE)"
@@ -38,20 +39,19 @@ SELECT d.dep, d.profil_territorial, {scoring.TERRITORY_ONLY.sql()}, COUNT(*) AS
 FROM full_t f JOIN dim_departements d ON f.departement = d.dep
 WHERE f.code_ape = '{model.FOCUS_CODE}' GROUP BY ALL"""))
 def x12_territory_only_score(spark, d):
-    full, plan, dims = context(spark, d)
-    dep = F.broadcast(dims["dim_departements"])
-    f = full.where(F.col("code_ape") == model.FOCUS_CODE)
-    j = f.join(dep, f.departement == dep.dep, "inner")
-    return (scoring.TERRITORY_ONLY.apply(j).groupBy("dep", "profil_territorial", "score_territoire")
-            .agg(F.count(F.lit(1)).alias("nb_lignes")))
+    counts, _ = focus_counts(spark, d)
+    return (scoring.TERRITORY_ONLY.apply(counts).groupBy("dep", "profil_territorial", "score_territoire")
+            .agg(F.sum("nb").alias("nb_lignes")))
 
 
 # X13..X17: flag versions ------------------------------------------------------------
 def _flag_counts(v, flags):
+    # one aggregate an entity gives both counts: no row is expanded for the distinct ones
     names = [n for n, _ in flags.flags]
-    return v.agg(F.count(F.lit(1)).alias("nb_lignes"),
-                 *[count_if(F.col(n)).alias(f"nb_{n}") for n in names],
-                 *[F.count_distinct(F.when(F.col(n), F.col("siren"))).alias(f"nb_siren_{n}") for n in names])
+    per = v.groupBy("siren").agg(F.count(F.lit(1)).alias("n"), *[count_if(F.col(n)).alias(n) for n in names])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return per.agg(total("n").alias("nb_lignes"), *[total(n).alias(f"nb_{n}") for n in names],
+                   *[F.count(F.when((F.col(n) > 0) & F.col("siren").isNotNull(), F.lit(1))).alias(f"nb_siren_{n}") for n in names])
 
 
 def _flag_sql(version, flags):
