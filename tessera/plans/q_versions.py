@@ -136,7 +136,7 @@ GROUP BY s.code_departement, d.profil_territorial, d.population_2022"""))
 def v5_territory_stats(spark, d):
     _, _, dims = context(spark, d)
     v = v1(spark, d)
-    dep = F.broadcast(dims["dim_departements"].select("dep", F.col("profil_territorial").alias("profil"),
+    dep = (F.broadcast if "dim_departements" in dims["__checked__"] else lambda x: x)(dims["dim_departements"].select("dep", F.col("profil_territorial").alias("profil"),
                                                       "population_2022"))
     j = v.join(dep, v.code_departement == dep.dep, "inner")
     return (j.groupBy("code_departement", F.col("profil").alias("profil_territorial"), "population_2022")
