@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 SALT = "__salt"
 HEAVY = "__heavy"            # row belongs to a key split over several buckets
-SALT_COLUMNS = (SALT, HEAVY)
+TOTAL = "__total"            # a total of the row's group, brought along by a join on the key
+SALT_COLUMNS = (SALT, HEAVY, TOTAL)   # internal columns: never published
 _BUCKETS = "__buckets"
 _N = "__n"
 

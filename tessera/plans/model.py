@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import band_from_edges
-from ..operators.groups import ROWS_PER_TASK_CONF, SaltPlan
+from ..operators.groups import ROWS_PER_TASK_CONF, TOTAL, SaltPlan
 from ..operators.star import bounded
 from ..rules import bands
 from ..sources.readers import read_table
-from . import cleaning
+from . import cleaning, views
 
 # FIXED VALUES of the model (our choice, mirrored by the SQL oracle).
 REGION_PROFILE = (            # region -> territorial profile, rank; MIDDLE EAST left out
@@ -230,10 +230,12 @@ def with_geo(siret: DataFrame) -> DataFrame:
 
 def entity_counts(active_siret: DataFrame) -> DataFrame:
     """Active establishments and first creation date per entity (partial
-    aggregation: a hot entity ships one partial row per map task)."""
+    aggregation: a hot entity ships one partial row per map task); the sum of
+    ``__points`` too where the rows have it."""
+    points = [F.sum("__points").alias(TOTAL)] if "__points" in active_siret.columns else []
     return (active_siret.groupBy("siren")
             .agg(F.count(F.lit(1)).alias("nb_etablissements"),
-                 F.min("dateCreationEtablissement").alias("uniteLegale_dateCreationUniteLegale")))
+                 F.min("dateCreationEtablissement").alias("uniteLegale_dateCreationUniteLegale"), *points))
 
 
 def siren_table(spark: SparkSession, d: str, active_siret: DataFrame, per: DataFrame | None = None) -> DataFrame:
@@ -261,7 +263,7 @@ def full(spark: SparkSession, d: str, rows_per_task: int | None = None) -> tuple
 
 def _full(spark: SparkSession, d: str, rows_per_task: int | None = None) -> tuple[DataFrame, SaltPlan]:
     s = with_geo(raw_siret(spark, d)).where(F.col("periode_etatAdministratifEtablissement") == "A")
-    per = entity_counts(s)
+    per = entity_counts(views.site_points(s, dimensions(spark, d)))
     ent = siren_table(spark, d, s, per)
     # hot entities straight from the counts: no entity join needed to find them
     plan = SaltPlan.from_counts(per, ["siren"], "nb_etablissements", rows_per_task)

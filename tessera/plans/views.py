@@ -2,9 +2,9 @@
 
 ``scored_view`` (V1): retained codes -> active rows -> star join onto the five
 dimensions (broadcast, checked) -> five additive scores -> potential category ->
-entity mean score (skew-safe group statistics, salted on the entity key) ->
-first-match segment cascade. One shuffle of the fact when ``plan`` is the salt
-plan ``full`` was built with (the partitioning is reused); none else.
+entity mean score -> first-match segment cascade. The mean comes from the entity's
+sum of points where ``full`` brings it along (one aggregate an entity, made when the
+sites are counted), else from skew-safe group statistics salted on the entity key.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import address_line
 from ..operators.cascade import FlagSet, ScoreSet, Segmentation
-from ..operators.groups import SALT_COLUMNS, SaltPlan, attach_group_stats
+from ..operators.groups import SALT_COLUMNS, TOTAL, SaltPlan, attach_group_stats
 from ..operators.star import DimRef, star_join
 from ..rules import scoring
 
@@ -98,9 +98,37 @@ def score(df: DataFrame, scores: ScoreSet = scoring.SCORE_130) -> DataFrame:
     return scoring.POTENTIAL.apply(out)
 
 
+def site_points(siret: DataFrame, dims: dict[str, DataFrame], scores: ScoreSet = scoring.SCORE_130) -> DataFrame:
+    """``siret`` with ``__points``: the part of the score that depends on the establishment alone
+    (territory, size, legal form); the rest is one value an entity (activity, multi-site)."""
+    checked = dims.get("__checked__", frozenset())
+    refs = [DimRef("d", dims["dim_departements"], {"departement": "dep"}, {"profil_territorial": "profil_territorial"},
+                   checked="dim_departements" in checked),
+            DimRef("j", dims["dim_categories_juridiques"], {"uniteLegale_categorieJuridiqueUniteLegaleNiv2": "categorie_juridique_ul_niv2"},
+                   {"famille_juridique": "famille_juridique"}, checked="dim_categories_juridiques" in checked)]
+    j = star_join(siret, refs).withColumnRenamed("trancheEffectifsEtablissement", "code_effectifs_etablissement")
+    own = [c for c in scores.dimensions if c.name not in ENTITY_SCORES]
+    points = own[0].column()
+    for c in own[1:]:
+        points = points + c.column()
+    return j.withColumn("__points", points)
+
+
+#: Scores that are the same for every establishment of an entity.
+ENTITY_SCORES = ("score_potentiel_ape", "bonus_multi_agences")
+
+
 def with_entity_mean(df: DataFrame, plan: SaltPlan | None = None, key: str = "siren",
                      total: str = "score_total", name: str = "score_moyen_siren") -> DataFrame:
-    """Entity mean of the establishment score (W1), skew-safe."""
+    """Entity mean of the establishment score (W1), skew-safe.
+
+    Where the rows bring the sum of their entity's own points along (``TOTAL``, see
+    ``site_points``) and its count, the mean is arithmetic on the row: no window, no
+    second pass, however many establishments an entity has."""
+    if TOTAL in df.columns:
+        n = F.col("nb_etablissements")
+        shared = sum((F.col(c) for c in ENTITY_SCORES[1:]), F.col(ENTITY_SCORES[0]))
+        return df.withColumn(name, (F.col(TOTAL) + n * shared).cast("double") / n.cast("double")).drop(*SALT_COLUMNS)
     return attach_group_stats(df, [key], {name: F.avg(total)}, salt_from=["siret"], plan=plan)
 
 
