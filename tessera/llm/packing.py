@@ -4,9 +4,9 @@ part, with bins certified by dual-feasible-function lower bounds.
 Documents become pieces of at most ``capacity`` tokens (only longer documents
 are cut). Pieces are dealt over parts of bounded size; each part packs its own by
 best-fit decreasing and compares its bin count with a lower bound. A part that
-meets its bound is proven optimal and done. Parts with a gap keep their full bins,
-give the pieces of the others into a common pool, and the pool, dealt anew over
-fewer parts, is packed again. The last round keeps what it gets.
+meets its bound is proven optimal and keeps its bins, but for those with much room. Parts
+with a gap keep their full bins only. The pieces of the other bins go into a common pool,
+which, dealt anew over fewer parts, is packed again. The last round keeps what it gets.
 
 Handling of odd rows: null or empty text is a document of the end token alone;
 repeated rows (equal ids included) are packed as often as they occur; null ids
@@ -37,6 +37,9 @@ PART_TOKENS = 1 << 20
 #: Rounds of packing; pieces of parts with a gap go from one to the next.
 ROUNDS = 3
 
+#: A proven part keeps bins with at most this fraction (1 / SLACK) of the capacity empty.
+SLACK = 32
+
 #: Cached words of a tokenizing task; the cache starts anew beyond it.
 CACHE_WORDS = 1_000_000
 
@@ -184,8 +187,11 @@ def _pack_part(capacity: int, last: bool, step: int):
         part = table.column("_part")[0].as_py()
         bins, offsets, rooms = best_fit_decreasing(lengths, capacity)
         done = np.ones(len(rooms), bool)
-        if not last and len(rooms) > lower_bound(lengths, capacity):
-            done = rooms == 0
+        if not last:
+            if len(rooms) > lower_bound(lengths, capacity):
+                done = rooms == 0
+            else:
+                done = rooms <= capacity // SLACK          # proven, but bins with much room may serve others
         # a sequence number holds the round, the part and the bin
         sequence = (np.int64(step) << np.int64(60)) | (np.int64(part) << np.int64(24)) | bins
         out = {c: table.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
