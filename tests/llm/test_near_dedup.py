@@ -128,3 +128,20 @@ def test_a_register_follows_from_the_smallest_hash():
         zeros = 57 - min(mine).bit_length()
         after = ((min(mine) << (zeros + 1)) & ((1 << 57) - 1)) >> 47
         assert got[bucket] == ((zeros + 1) << 10) | after
+
+
+@pytest.mark.parametrize("size", [60, 400, 6000])
+def test_wide_sketches_never_reject_similar_sets(size):
+    rng = np.random.default_rng(size)
+    kept = []
+    for share in (0.8, 0.82, 0.9) * 60 + (0.6, 0.65) * 60:
+        union = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        both = int(np.ceil(len(union) * share))
+        half = both + (len(union) - both) // 2
+        order = rng.permutation(len(union))
+        a = np.sort(union[order[:half]])
+        b = np.sort(union[np.concatenate([order[:both], order[half:]])])
+        passed = nd.wide_passes(nd.wide_sketches([a]), nd.wide_sketches([b]), np.array([len(a)]), np.array([len(b)]), 0.8)[0]
+        kept.append((share, passed))
+    assert all(p for share, p in kept if share >= 0.8)
+    assert sum(p for share, p in kept if share < 0.7) == 0
