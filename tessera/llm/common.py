@@ -46,16 +46,27 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: Rows of an Arrow batch while an intermediate table is made: rows hold whole texts or sets.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialise(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a reread, not a recomputation, and
-    columns can be pruned by whoever reads the table.
+    columns can be pruned by whoever reads the table. Python stages of ``df`` get
+    batches of ``batch_rows`` rows, to bound a worker's memory.
     """
     spark = df.sparkSession
     ship(spark)
     path = scratch_path(spark, f"tessera-llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -162,4 +173,5 @@ def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:
                 if out is None:
                     continue
                 yield from ([out] if isinstance(out, pa.RecordBatch) else out)
+        pa.default_memory_pool().release_unused()        # workers stay alive between tasks
     return df.mapInArrow(run, schema)

@@ -7,12 +7,18 @@ bits after the leading one (16 bits). Four registers are a band; classes that
 share a band are candidates:
 
 1. every member of a band's bucket with the bucket's smallest member;
-2. after linking those, members of one bucket that are still in different components.
+2. of what is linked so, the members of one bucket that are in different components and
+   look similar are suspects; they are compared with the bucket's most central
+   suspect, the one with the fewest shingles that no other suspect has;
+3. suspects still in different components are compared with each other, by sketches of 2048
+   buckets of a byte first.
 
 So a bucket's members are compared until all that could still join are, without
 listing the pairs of a group. Candidates pass an estimate of the Jaccard
 similarity, corrected for chance collisions of registers, that leaves five
-standard errors of room; what passes is confirmed on the full sets.
+standard errors of room; in the last two steps they also pass an exact bound: shingles
+that no other suspect has are in no intersection. What passes is confirmed on
+the full sets.
 
 With 32 bands of 4 registers, a pair with similarity 0.8 shares no band with
 probability 5e-8 (buckets empty in both count as equal, unless the whole band is empty).
@@ -28,7 +34,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +43,10 @@ from .components import components
 BUCKET_BITS, BANDS = 7, 32
 BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
+
+#: Second sketch, made for suspects only.
+WIDE_BITS = 11
+WIDE_BUCKETS = 1 << WIDE_BITS
 _REST = 64 - BUCKET_BITS
 
 #: Ids of candidate documents are broadcast up to this many (16 MB), else joined by a shuffle.
@@ -99,6 +108,30 @@ def estimated_jaccard(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.clip((share - chance) / (1 - chance), 0, 1), np.sqrt(0.16 / np.maximum(used, 1))
 
 
+def wide_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """sets x 2048 registers of one byte: bits of each bucket's smallest hash; 0 for an empty bucket."""
+    starts = np.arange(WIDE_BUCKETS, dtype=np.uint64) << np.uint64(64 - WIDE_BITS)
+    out = np.zeros((len(sets), WIDE_BUCKETS), np.uint8)
+    for k, hashes in enumerate(sets):
+        bucket = (hashes >> np.uint64(64 - WIDE_BITS)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+        out[k, bucket[first]] = 1 + (mix64(hashes[first]) % np.uint64(255)).astype(np.uint8)
+    return out
+
+
+def wide_passes(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, least: float) -> np.ndarray:
+    """Whether wide sketches allow a similarity of ``least``, with five standard errors and 0.01 of room.
+
+    The buckets' minima are a draw without replacement from the union, which has
+    (na + nb) / (1 + least) elements at most if the sets are similar enough; small sets
+    are seen almost whole, so that their error is small."""
+    used = np.maximum(((a != 0) | (b != 0)).sum(1), 1)
+    share = (((a == b) & (a != 0)).sum(1) / used - 1 / 255) * 255 / 254
+    union = (na + nb) / (1 + least)
+    error = np.sqrt(0.16 / used * np.clip((union - used) / union, 0, 1))
+    return share >= least - 5 * error - 0.01
+
+
 def _sketches(words: int):
     def run(batch: pa.RecordBatch):
         raw, bounds = binary_column(batch.column(1))
@@ -123,7 +156,7 @@ def set_key(hashes: np.ndarray) -> int | None:
 def _bands(batch: pa.RecordBatch) -> pa.RecordBatch:
     raw, _ = binary_column(batch.column(1))
     band = raw.view(np.uint64).reshape(batch.num_rows, BANDS)
-    key = mix64(band ^ (mix64(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :]))
+    key = mix64(band ^ _BAND_NAMES[None, :])
     row, which = np.nonzero(band)
     return pa.RecordBatch.from_arrays([pa.array(key[row, which].view(np.int64)), batch.column(0).take(pa.array(row))], ["band", "class"])
 
@@ -142,26 +175,112 @@ def _estimate(least: float):
     return run
 
 
-def _across(least: float):
-    """Pairs of one part pair of a bucket that are in different components and pass the estimate."""
-    def run(table: pa.Table) -> pa.Table:
-        left, right = (table.filter(pc.equal(table["side"], side)) for side in (0, 1))
-        out_a, out_b = [], []
-        if left.num_rows and right.num_rows:
-            sketch = [binary_column(t["sketch"])[0].view(np.uint16).reshape(t.num_rows, BUCKETS) for t in (left, right)]
-            key, root, n = ([t[c].to_numpy() for t in (left, right)] for c in ("class", "root", "n"))
-            for k in range(left.num_rows):
-                other = np.flatnonzero((root[1] != root[0][k]) & (key[1] > key[0][k] if table["same"][0].as_py() else True))
-                if len(other):
-                    good = other[_passes(np.broadcast_to(sketch[0][k], (len(other), BUCKETS)), sketch[1][other],
-                                         np.full(len(other), n[0][k]), n[1][other], least)]
-                    out_a.append(np.full(len(good), key[0][k]))
-                    out_b.append(key[1][good])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _could(na: np.ndarray, nb: np.ndarray, ua: np.ndarray, ub: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of these sizes, of which ``ua`` and ``ub`` elements are in no other set, can be similar enough."""
+    most = np.minimum(na - ua, nb - ub)
+    return den * most >= num * (na + nb - most)
+
+
+_BAND_NAMES = mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
+
+
+def _pairs_of_groups(starts: np.ndarray, stops: np.ndarray, part: np.ndarray):
+    """(left, right) rows of every pair in each group of rows, some groups at a time: all pairs of a
+    group of one part, else those of its first part with its second."""
+    left, right, held = [], [], 0
+    for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
+        m = b - a
+        if part[a] == part[b - 1]:
+            x, y = np.triu_indices(m, 1) if m > 2 else (np.zeros(m - 1, np.int64), np.ones(m - 1, np.int64))
+        else:
+            cut = int(np.searchsorted(part[a:b], part[b - 1]))
+            x, y = np.repeat(np.arange(cut), m - cut), np.tile(np.arange(cut, m), cut)
+        left.append(x + a)
+        right.append(y + a)
+        held += len(x)
+        if held > 1 << 17:
+            yield np.concatenate(left), np.concatenate(right)
+            left, right, held = [], [], 0
+    if left:
+        yield np.concatenate(left), np.concatenate(right)
+
+
+#: Pairs whose sketches are compared at once (their wide sketches are 4 KB a pair).
+_PAIRS = 1 << 12
+
+
+def _across(num: int, den: int, pairs: bool):
+    """Of one part pair of a bucket, what is in different components, could be similar enough and passes the
+    estimate: the pairs (each only in the first band that it shares; by wide sketches), or only the classes in them.
+
+    Rows come sorted by (band, i, j, part)."""
+    def solve(rows: pa.Table) -> pa.RecordBatch | None:
+        band, i, j, part, key, root, n, alone = (rows[c].to_numpy() for c in ("band", "i", "j", "part", "class", "root", "n", "alone"))
+        new = np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        starts = np.flatnonzero(new)
+        stops = np.append(starts[1:], len(band))
+        sketch = binary_column(rows["sketch"])[0].view(np.uint16).reshape(len(band), BUCKETS)
+        bands = sketch.view(np.uint64)
+        wide = binary_column(rows["wide"])[0].reshape(len(band), WIDE_BUCKETS) if pairs else None
+        out: list[np.ndarray] = []
+        for left, right in _pairs_of_groups(starts, stops, part):
+            good = (root[left] != root[right]) & _could(n[left], n[right], alone[left], alone[right], num, den)
+            left, right = left[good], right[good]
+            for at in range(0, len(left), _PAIRS):
+                a, b = left[at:at + _PAIRS], right[at:at + _PAIRS]
+                if pairs:
+                    shared = (bands[a] == bands[b]) & (bands[a] != 0)
+                    first = bands[a, shared.argmax(1)] ^ _BAND_NAMES[shared.argmax(1)]
+                    here = mix64(first).view(np.int64) == band[a]
+                    a, b = a[here], b[here]
+                good = _passes(sketch[a], sketch[b], n[a], n[b], num / den)
+                a, b = a[good], b[good]
+                if pairs:
+                    good = wide_passes(wide[a], wide[b], n[a], n[b], num / den)
+                    a, b = a[good], b[good]
+                out.append(np.stack([key[a], key[b]]))
+        if not out:
+            return None
+        a, b = np.concatenate(out, 1)
+        if not pairs:
+            return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([a, b])))], ["class"])
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 4 * PART_ROWS:
+                continue
+            rows = pa.Table.from_batches(held)
+            last = np.ones(rows.num_rows, bool)
+            for c in ("band", "i", "j"):
+                column = rows[c].to_numpy()
+                last &= column == column[-1]
+            whole = int(np.argmax(last))                     # the last group may go on
+            if whole:
+                out = solve(rows.slice(0, whole))
+                if out is not None:
+                    yield out
+            held = rows.slice(whole).to_batches()
+        if held and sum(b.num_rows for b in held):
+            out = solve(pa.Table.from_batches(held))
+            if out is not None:
+                yield out
     return run
 
 
+def _parts_of_buckets(members: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, once for every pair (i, j) of parts that they are in."""
+    mixed = members.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("class").alias("m")) \
+        .filter("lo < hi").select("band", F.ceil(F.col("m") / PART_ROWS).cast("int").alias("parts"))
+    rows = members.join(mixed, "band").withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    every = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
+        F.least(p, F.col("part")).alias("i"), F.greatest(p, F.col("part")).alias("j")))
+    rows = rows.withColumn("at", F.explode(every)).withColumns({"i": F.col("at.i"), "j": F.col("at.j")}).drop("at", "parts")
+    return rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "part")
+
+
 def _confirm(num: int, den: int):
     """Pairs whose sets have ``den`` * intersection >= ``num`` * union."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -207,45 +326,69 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (8
     shared = bands.groupBy("band").agg(F.min("class").alias("a"), F.max("class").alias("z")).filter("a < z").select("band", "a")
     members = materialise(bands.join(shared, "band"), "dedup-members")
 
-    def sketch_of(side: str) -> DataFrame:
-        return classes.select(F.col("class").alias(side), F.col("sketch").alias(f"s{side}"), F.col("n").alias(f"n{side}"))
-
-    pairs = members.filter("class <> a").select("a", F.col("class").alias("b")).distinct()
-    pairs = pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b").select("a", "b", "sa", "sb", "na", "nb")
-    pairs = materialise(arrow_map(pairs, _estimate(share), "a long, b long"), "dedup-pairs")
-
-    def confirmed(candidates: DataFrame) -> DataFrame:
-        ends = candidates.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        wanted = materialise(classes.join(ends, "class", "left_semi").select("doc_id"), "dedup-wanted")
+    def sets_of(wanted_classes: DataFrame) -> DataFrame:
+        """class, hashes of the classes: their texts are read again, only theirs are shuffled."""
+        wanted = materialise(classes.join(wanted_classes, "class", "left_semi").select(F.col("doc_id").alias("_id")).distinct(), "dedup-wanted")
         wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_IDS else wanted
-        texts = base.join(wanted.distinct().withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-        sets = arrow_map(texts.select("text"), _sets(words), "class long, hashes binary")
-        sets = sets.groupBy("class").agg(F.first("hashes").alias("hashes"))     # rows may share an id
+        texts = base.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        return arrow_map(texts.select("text"), _sets(words), "class long, hashes binary")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct())
+        # one row a class (rows may share an id), as a plain table: the joins below can be split where a class is hot
+        sets = materialise(sets.groupBy("class").agg(F.first("hashes").alias("hashes")), "dedup-sets")
         side = {x: sets.select(F.col("class").alias(x), F.col("hashes").alias(f"s{x}")) for x in "ab"}
-        full = candidates.join(side["a"], "a").join(side["b"], "b").select("a", "b", "sa", "sb")
+        full = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "sa", "sb")
         return materialise(arrow_map(full, _confirm(num, den), "a long, b long"), "dedup-links")
 
-    links = confirmed(pairs)
+    def likely(pairs: DataFrame, name: str) -> DataFrame:
+        """Of (a, b) pairs, those that pass the estimate."""
+        for x in "ab":
+            pairs = pairs.join(classes.select(F.col("class").alias(x), F.col("sketch").alias(f"s{x}"), F.col("n").alias(f"n{x}")), x)
+        pairs = pairs.select("a", "b", "sa", "sb", "na", "nb")
+        return materialise(arrow_map(pairs, _estimate(share), "a long, b long"), name)
+
+    def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        return rows.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+
+    # 1. with the smallest member
+    tried = likely(members.filter("class <> a").select("a", F.col("class").alias("b")).distinct(), "dedup-pairs")
+    links = confirmed(tried)
     roots = components(links)
 
-    # what is still apart though it shares a bucket
-    placed = members.select("band", "class").join(roots.withColumnRenamed("node", "class"), "class", "left") \
-        .select("band", "class", F.coalesce("root", "class").alias("root"))
-    placed = materialise(placed, "dedup-placed")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("class").alias("m")) \
-        .filter("lo < hi").select("band", F.ceil(F.col("m") / PART_ROWS).cast("int").alias("parts"))
-    rows = placed.join(mixed, "band").join(classes.select("class", "n", "sketch"), "class")
-    mine = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
-    every = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
-        F.least(p, F.col("mine")).alias("i"), F.greatest(p, F.col("mine")).alias("j"), p.alias("p")))
-    rows = rows.withColumn("mine", mine).withColumn("at", F.explode(every)).select("band", "at.i", "at.j", "class", "root", "n", "sketch", "mine")
-    both_sides = F.when(F.col("i") == F.col("j"), F.array(F.lit(0), F.lit(1))).otherwise(F.array((F.col("mine") == F.col("j")).cast("int")))
-    rows = rows.withColumn("same", F.col("i") == F.col("j")).withColumn("side", F.explode(both_sides)).drop("mine")
-    more = rows.groupBy("band", "i", "j").applyInArrow(_across(share), "a long, b long").distinct()
-    seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = materialise(more.join(seen, ["a", "b"], "left_anti"), "dedup-more")
-    if more.limit(1).count():
-        roots = components(links.unionByName(confirmed(more)))
+    # 2. what is still apart though it shares a bucket and looks similar, with the most central one
+    placed = with_roots(members.select("band", "class"), roots).join(classes.select("class", "n", "sketch"), "class")
+    rows = _parts_of_buckets(placed.withColumn("alone", F.lit(0).cast("long")))
+    suspects = materialise(rows.mapInArrow(_across(num, den, False), "class long").distinct(), "dedup-suspects")
+    if suspects.limit(1).count():
+        def spread(batch: pa.RecordBatch):
+            hashes, bounds = binary_column(batch.column(1))
+            for at, to in slices(bounds):
+                each = pa.array(np.repeat(np.arange(at, to), np.diff(bounds[at:to + 1]) // 8))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[bounds[at]:bounds[to]].view(np.int64)), batch.column(0).take(each)], ["hash", "class"])
+
+        own = arrow_map(sets_of(suspects), spread, "hash long, class long").groupBy("hash") \
+            .agg(F.min("class").alias("class"), F.max("class").alias("other")).filter("class = other")
+        alone = suspects.join(own.groupBy("class").agg(F.count("hash").alias("alone")), "class", "left").fillna(0, ["alone"])
+        inside = materialise(members.select("band", "class").join(alone, "class"), "dedup-suspect-members")
+        central = inside.groupBy("band").agg(F.min(F.struct("alone", "class")).alias("c")).select("band", F.col("c.class").alias("p"))
+        near = inside.join(central, "band").filter("class <> p").select(F.least("p", "class").alias("a"), F.greatest("p", "class").alias("b")).distinct()
+        near = likely(near.join(tried, ["a", "b"], "left_anti"), "dedup-pairs")
+        links = links.unionByName(confirmed(near))
+        roots = components(links)
+
+        # 3. what is still apart then
+        def widen(batch: pa.RecordBatch) -> pa.RecordBatch:
+            hashes, bounds = binary_column(batch.column(1))
+            rows = wide_sketches([hashes[a:b].view(np.uint64) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["class", "wide"])
+
+        wide = arrow_map(sets_of(suspects), widen, "class long, wide binary").groupBy("class").agg(F.first("wide").alias("wide"))
+        rows = _parts_of_buckets(with_roots(inside, roots).join(classes.select("class", "n", "sketch"), "class").join(wide, "class"))
+        rest = rows.mapInArrow(_across(num, den, True), "a long, b long").distinct()
+        rest = materialise(rest.join(tried.unionByName(near), ["a", "b"], "left_anti"), "dedup-pairs")
+        if rest.limit(1).count():
+            roots = components(links.unionByName(confirmed(rest)))
 
     named = classes.select("class", "doc_id").join(roots.withColumnRenamed("node", "class"), "class", "left") \
         .select("class", F.coalesce("root", "class").alias("root"), "doc_id")
