@@ -48,10 +48,10 @@ HOT = 4096
 CHUNK_BYTES = 1 << 21
 
 #: Bytes of distinct runs that a task holds before it sends them on.
-HELD_BYTES = 1 << 24
+HELD_BYTES = 1 << 23
 
 #: Suffixes whose anchors are looked for at once.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 _POSITION_BITS = 24
 _BYTES = random_words(404, 256)
@@ -378,6 +378,7 @@ def _with_runs(docs: DataFrame, length: int) -> DataFrame:
     """
     counted = arrow_map(docs.select("doc", "tie", "text"), _count_anchors(length), "key long, n long") \
         .groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    counted = materialise(counted, "suffix-anchors")      # a plain table: the join below can be split where an anchor is hot
     listed = arrow_map(docs.select("doc", "tie", "text"), _list_anchors(length), "key long, doc long, tie long, run long")
     entry = F.struct("run", "key", (F.col("n") > HOT).alias("hot"))
     runs = materialise(listed.join(counted, "key").groupBy("doc", "tie").agg(F.collect_set(entry).alias("runs")), "suffix-runs")
@@ -408,8 +409,8 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                                           ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("other"))
-    return arrow_map(_with_runs(_documents(rows), length), run,
-                     "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return materialise(arrow_map(_with_runs(_documents(rows), length), run,
+                                 "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "suffix-digests")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
