@@ -40,8 +40,8 @@ ROUNDS = 3
 #: A proven part keeps bins with at most this fraction (1 / SLACK) of the capacity empty.
 SLACK = 32
 
-#: Cached words of a tokenizing task; the cache starts anew beyond it.
-CACHE_WORDS = 1_000_000
+#: Cached words of a tokenizing worker (about 90 MB, kept between its tasks); the cache starts anew beyond it.
+CACHE_WORDS = 300_000
 
 #: A comma or full stop that ends a word of plain letters; set apart, so that the word is known without it.
 _TAIL = re.compile(r"(?<=[a-z])([,.]) ")
