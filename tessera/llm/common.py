@@ -3,6 +3,7 @@ batches, hashed words, and intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -162,6 +163,14 @@ def hashed_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return words, np.searchsorted(begin, bounds)
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers stay alive, idle, between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:
     """``f(batch) -> RecordBatch``s (or one, or None) over the Arrow batches of each partition."""
     ship(df.sparkSession)
@@ -173,5 +182,5 @@ def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:
                 if out is None:
                     continue
                 yield from ([out] if isinstance(out, pa.RecordBatch) else out)
-        pa.default_memory_pool().release_unused()        # workers stay alive between tasks
+        release()
     return df.mapInArrow(run, schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, random_words, ship
+from .common import arrow_map, random_words, release, ship
 
 #: Length of the vectors.
 DIMENSIONS = 512
@@ -136,6 +136,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
                 names = np.array(langs[at:to], object)
                 for lang in set(langs[at:to]):
                     sums[lang] = sums.get(lang, 0) + vectors[names == lang].sum(0)
+        release()
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.array(list(sums), object), DIMENSIONS)),

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, binary_column, hashed_words, materialise, mix64, slices
+from .common import arrow_map, binary_column, hashed_words, materialise, mix64, release, slices
 from .components import components
 
 BUCKET_BITS, BANDS = 7, 32
@@ -267,6 +267,7 @@ def _across(num: int, den: int, pairs: bool):
             out = solve(pa.Table.from_batches(held))
             if out is not None:
                 yield out
+        release()
     return run
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, binary_column, materialise, mix64, powers, random_words, slices
+from .common import arrow_map, binary_column, materialise, mix64, powers, random_words, release, slices
 
 LENGTH = 100
 
@@ -323,6 +323,7 @@ def _first_suffixes(length: int):
             out = solve(pa.Table.from_batches(held).combine_chunks())
             if out is not None:
                 yield out
+        release()
     return run
 
 
