@@ -86,6 +86,25 @@ def test_a_host_repeats_itself(spark):
     assert pages.main_texts(frame.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_not_boilerplate(spark):
+    notice = "we use many small files to remember who you are on this site"
+    story = "a story of some length that the host serves under more than one address and page"
+    def page(k, text):
+        return f"<nav>you are here on page {k}</nav><p>{notice}</p><p>{text}</p>"
+    rows = [(1, "http://h.example/1", page(1, story)), (2, "http://h.example/2?ref=x", page(1, story)), (3, "http://h.example/2", page(3, story)),
+            (4, "http://h.example/4", page(4, "another text told once on this host in words of its own")), (1, "http://h.example/1", page(1, story))]
+    got = pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    # the notice is also on page 4 and goes; the story is only on copies and stays on each
+    assert sorted((r.page_id, r.text) for r in got) == [(1, story), (1, story), (2, story), (3, story), (4, "another text told once on this host in words of its own")]
+
+
+def test_the_article_is_the_text_whoever_else_has_it(spark):
+    line = "a paragraph of more than eight words that two articles of the host share"
+    rows = [(k, f"http://h.example/{k}", f"<article><p>{line}</p><p>own words {k}</p></article>") for k in range(2)]
+    got = pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(k, f"{line} own words {k}") for k in range(2)]
+
+
 def test_run_keys_find_equal_runs():
     import numpy as np
     words = np.array([1, 2, 3, 1, 2, 3, 4], np.uint64)
