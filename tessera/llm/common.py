@@ -13,7 +13,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
@@ -71,6 +72,30 @@ def materialise(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_place(df: DataFrame) -> tuple[Column, Column]:
+    """Hash of the file and place in it of each row of a plain table of files: a row's own
+    name, the same whenever the table is read."""
+    at = df.metadataColumn("_metadata")
+    return F.xxhash64(at["file_path"]), at["row_index"]
+
+
+def own_places(df: DataFrame, name: str) -> DataFrame:
+    """``_doc`` (all columns of ``df``), ``file`` and ``place`` (a row's own name, see ``own_place``).
+
+    What is no plain table of files is written once first.
+    """
+    def named(df: DataFrame) -> DataFrame:
+        file, place = own_place(df)
+        return df.select(F.struct(*[df[c] for c in df.columns]).alias("_doc"), file.alias("file"), place.alias("place"))
+
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            return named(df)
+        except AnalysisException:                 # a table, but not of files
+            pass
+    return named(materialise(df, name))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is
     (the join is then a shuffle join, which adaptive execution splits on skew).

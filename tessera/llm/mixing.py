@@ -5,13 +5,16 @@ Every document has a fixed place on a hash line. Of a source that must give
 threshold is found without sorting: words are summed by (source, hash bucket),
 the bucket in which the running sum passes the budget is the boundary, and only
 the boundary bucket is looked into again with finer buckets, until single hash
-values are left. A document too large for what is left of the budget ends a
+values are left. Rows with one id share a place: if they are the boundary, they are told
+apart by a hash of their text, and equal rows by their own place in their file,
+each by such a search again. A document too large for what is left of the budget ends a
 pass; the next pass fills the gap from documents that still fit. In the end one document
 more is taken if that brings the source nearer to its target.
 
 Handling of odd rows: null text counts as size 0 (taken 0); a null source is a
-source of its own, last in order; rows with equal id (repeats, null ids) share
-a hash and are taken or left together; an empty table gives an empty table.
+source of its own, last in order; rows with equal id (repeats, null ids) are
+taken one by one; of equal rows any may be the ones taken; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -20,11 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise
+from .common import WORD, materialise, own_place, own_places
 
 #: Bits of the hash line, and of one histogram level.
 LINE_BITS, LEVEL_BITS = 60, 12
 
+#: A row's place: on the hash line by its id, then by its text, then a number of its own.
+KEYS = ("line", "by_text", "own")
+
 #: The table of sources is broadcast up to this many rows (a few MB).
 MAX_BROADCAST_SOURCES = 50_000
 
@@ -40,11 +46,16 @@ def hash_line(col: Column) -> Column:
 
 def document_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    source_col: str = "source") -> DataFrame:
-    """doc_id, source, size (words), line (place on the hash line)."""
+    """doc_id, source, size (words), line (place on the hash line), by_text (place among rows with one id)."""
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        hash_line(F.col(id_col)).alias("line"))
+        hash_line(F.col(id_col)).alias("line"), _bits(F.xxhash64(F.col(text_col))).alias("by_text"))
+
+
+def _bits(hashed: Column) -> Column:
+    """A hash cut to the bits of the line."""
+    return hashed.bitwiseAND(F.lit((1 << LINE_BITS) - 1))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
@@ -85,37 +96,65 @@ def _same_source(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(renamed, left["source"].eqNullSafe(renamed["_source"]), how).drop("_source")
 
 
-def _threshold(rows: DataFrame, hint) -> DataFrame:
-    """Per source that can't be taken whole: ``upto``, the largest place on the line such
-    that the sizes of all rows up to it stay within the gap, and ``used``, their sum.
+def _threshold(rows: DataFrame, key: str, hint) -> DataFrame:
+    """Per source that can't be taken whole: ``upto``, the largest value of ``key`` such
+    that the sizes of all rows up to it stay within the gap, ``used``, their sum, ``at``, the
+    next value, and ``n``, its rows.
 
-    ``rows``: source, size, line, gap. Three nested levels: buckets, buckets of
+    ``rows``: source, size, gap and ``key``. Three nested levels: buckets, buckets of
     the boundary bucket, single hash values of its boundary bucket. ``hint``
     marks a table of one row a source for broadcasting if that is small.
     """
     high, low = LINE_BITS - LEVEL_BITS, LINE_BITS - 2 * LEVEL_BITS
     mask = F.lit((1 << LEVEL_BITS) - 1)
-    first = materialise(_boundary(rows, F.shiftright("line", high)), "mix-level")
+    first = materialise(_boundary(rows, F.shiftright(key, high)), "mix-level")
     inner = _same_source(rows, hint(first), "inner") \
-        .filter(F.shiftright("line", high) == F.col("bucket")) \
-        .select("source", "size", "line", F.col("gap").alias("whole_gap"), (F.col("gap") - F.col("below")).alias("gap"),
+        .filter(F.shiftright(key, high) == F.col("bucket")) \
+        .select("source", "size", key, F.col("gap").alias("whole_gap"), (F.col("gap") - F.col("below")).alias("gap"),
                 (F.col("bucket") * F.lit(1 << high)).alias("start"))
-    second = _boundary(inner, F.shiftright("line", low).bitwiseAND(mask))
+    second = _boundary(inner, F.shiftright(key, low).bitwiseAND(mask))
     last = _same_source(inner, hint(second), "inner") \
-        .filter(F.shiftright("line", low).bitwiseAND(mask) == F.col("bucket")) \
-        .select("source", "size", "line", "whole_gap", (F.col("gap") - F.col("below")).alias("gap"),
+        .filter(F.shiftright(key, low).bitwiseAND(mask) == F.col("bucket")) \
+        .select("source", "size", key, "whole_gap", (F.col("gap") - F.col("below")).alias("gap"),
                 (F.col("start") + F.col("bucket") * F.lit(1 << low)).alias("start"))
-    values = last.groupBy("source", "line").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"),
-                                                F.first("start").alias("start"), F.first("whole_gap").alias("whole_gap"))
-    values = values.withColumn("total", F.sum("words").over(W.partitionBy("source").orderBy("line")))
+    values = last.groupBy("source", key).agg(F.sum("size").alias("words"), F.count("size").alias("n"), F.first("gap").alias("gap"),
+                                             F.first("start").alias("start"), F.first("whole_gap").alias("whole_gap"))
+    values = values.withColumn("total", F.sum("words").over(W.partitionBy("source").orderBy(key)))
     fits = F.col("total") <= F.col("gap")
     used = F.first("whole_gap") - F.first("gap") + F.coalesce(F.max(F.when(fits, F.col("total"))), F.lit(0))
-    return values.groupBy("source").agg(F.coalesce(F.max(F.when(fits, F.col("line"))), F.min("start") - 1).alias("upto"), used.alias("used"))
+    return values.groupBy("source").agg(F.coalesce(F.max(F.when(fits, F.col(key))), F.min("start") - 1).alias("upto"), used.alias("used"),
+                                        F.min(F.when(~fits, F.struct(F.col(key).alias("at"), "n"))).alias("stop")) \
+        .select("source", "upto", "used", "stop.at", "stop.n")
+
+
+def _thresholds(rows: DataFrame, hint) -> DataFrame:
+    """Per source that can't be taken whole: ``used``, and for each of ``KEYS`` ``upto_`` and ``at_``.
+
+    Rows up to ``upto_`` of a key are within the gap; those at ``at_``, where there are several, are
+    told apart by the next key (null if it isn't needed).
+    """
+    steps: list[DataFrame] = []
+    for key in KEYS:
+        found = materialise(_threshold(rows, key, hint), "mix-threshold")
+        steps.append(found)
+        tied = found.filter("n > 1").select("source", F.col("at").alias("_at"), F.col("used").alias("_used"))
+        if key == KEYS[-1] or not tied.limit(1).count():
+            break
+        rows = _same_source(rows, hint(tied), "inner").filter(F.col(key) == F.col("_at")) \
+            .withColumn("gap", F.col("gap") - F.col("_used")).drop("_at", "_used")
+    out = steps[0].select("source", "used", F.col("upto").alias(f"upto_{KEYS[0]}"), F.col("at").alias(f"at_{KEYS[0]}"))
+    for k, key in enumerate(KEYS[1:], 1):
+        if k < len(steps):
+            more = steps[k].select("source", F.col("upto").alias(f"upto_{key}"), F.col("at").alias(f"at_{key}"), F.col("used").alias("_more"))
+            out = _same_source(out, hint(more), "left").withColumn("used", F.col("used") + F.coalesce("_more", F.lit(0))).drop("_more")
+        else:
+            out = out.withColumn(f"upto_{key}", F.lit(None).cast("long")).withColumn(f"at_{key}", F.lit(None).cast("long"))
+    return out
 
 
 def _plan(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int):
     """The sources' targets (source, source_size, target, whole, gap), the thresholds of each
-    pass, the place of a last document, and the broadcast hint for tables of one row a source.
+    pass (``sizes`` with ``KEYS``), the place of a last document, and the broadcast hint for tables of one row a source.
 
     No document that fits is left then or the passes are over; the one whose size is
     nearest to the gap is taken too, if that brings the source nearer to its target.
@@ -131,38 +170,45 @@ def _plan(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int):
         here = _same_source(sizes, hint(gaps), "inner")
         here = _taken(here, passes, hint).filter(~F.col("extra") & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))).drop("extra")
         everything = here.groupBy("source").agg(F.sum("size").alias("everything"))
-        found = _same_source(_same_source(gaps, hint(_threshold(here, hint)), "left"), hint(everything), "left").select(
-            "source", F.col("gap").alias("limit"), F.coalesce("upto", F.lit((1 << LINE_BITS) - 1)).alias("upto"),
+        found = _same_source(_same_source(gaps, hint(_thresholds(here, hint)), "left"), hint(everything), "left").select(
+            "source", F.col("gap").alias("limit"), F.coalesce(f"upto_{KEYS[0]}", F.lit((1 << LINE_BITS) - 1)).alias(f"upto_{KEYS[0]}"),
+            f"at_{KEYS[0]}", *[f"{x}_{key}" for key in KEYS[1:] for x in ("upto", "at")],
             (F.col("gap") - F.coalesce("used", "everything", F.lit(0))).alias("gap"))
         found = materialise(found, "mix-threshold")
         gaps = found.select("source", "gap")
         passes.append(found)
     here = _taken(_same_source(sizes, hint(gaps), "inner"), passes, hint) \
         .filter(~F.col("extra") & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
-    nearest = here.groupBy("source", "line").agg(F.sum("size").alias("words"), F.first("gap").alias("gap")) \
-        .withColumn("off", F.abs(F.col("words") - F.col("gap"))).filter("off < gap") \
-        .groupBy("source").agg(F.min(F.struct("off", "line")).alias("n"))
-    last = materialise(_same_source(gaps.select("source"), nearest, "left").select("source", F.col("n.line").alias("upto")), "mix-last")
+    nearest = here.withColumn("off", F.abs(F.col("size") - F.col("gap"))).filter("off < gap") \
+        .groupBy("source").agg(F.min(F.struct("off", *KEYS)).alias("n"))
+    last = _same_source(gaps.select("source"), hint(nearest), "left").select("source", *[F.col("n")[key].alias(f"_last_{key}") for key in KEYS])
+    last = materialise(last, "mix-last")
     return targets, passes, last, hint
 
 
 def _taken(rows: DataFrame, passes: list[DataFrame], hint) -> DataFrame:
     """``rows`` with ``extra``: whether one of the passes so far took the row."""
-    extra = F.lit(False)
+    extra, kept = F.lit(False), rows.columns
     for k, found in enumerate(passes):
-        named = found.select("source", F.col("limit").alias(f"_limit{k}"), F.col("upto").alias(f"_upto{k}"))
-        rows = _same_source(rows, hint(named), "inner")
-        extra = extra | ((F.col("size") > 0) & (F.col("size") <= F.col(f"_limit{k}")) & (F.col("line") <= F.col(f"_upto{k}")))
-    return rows.withColumn("extra", extra).drop(*[f"_{x}{k}" for k in range(len(passes)) for x in ("limit", "upto")])
+        named = found.drop("gap")
+        rows = _same_source(rows, hint(named.toDF("source", *[f"_{c}{k}" for c in named.columns[1:]])), "inner")
+        within = F.lit(False)
+        for key in reversed(KEYS):
+            within = (F.col(key) <= F.col(f"_upto_{key}{k}")) | ((F.col(key) == F.col(f"_at_{key}{k}")) & within)
+        extra = extra | ((F.col("size") > 0) & (F.col("size") <= F.col(f"_limit{k}")) & F.coalesce(within, F.lit(False)))
+    return rows.withColumn("extra", extra).select(*kept, "extra")
 
 
 def _decided(rows: DataFrame, targets: DataFrame, passes: list[DataFrame], last: DataFrame, hint) -> DataFrame:
-    """``rows`` (source, size, line and others) with source_size, target and copies."""
+    """``rows`` (source, size, KEYS and others) with source_size, target and copies."""
     named = targets.select("source", "source_size", "target", "whole")
     rows = _same_source(rows, hint(named), "inner")
-    rows = _same_source(_taken(rows, passes, hint), hint(last.withColumnRenamed("upto", "_last")), "inner")
-    extra = F.col("extra") | ((F.col("size") > 0) & F.coalesce(F.col("line") == F.col("_last"), F.lit(False)))
-    return rows.withColumn("copies", F.col("whole") + extra.cast("long")).drop("whole", "extra", "_last")
+    rows = _same_source(_taken(rows, passes, hint), hint(last), "inner")
+    is_last = F.lit(True)
+    for key in KEYS:
+        is_last = is_last & F.coalesce(F.col(key) == F.col(f"_last_{key}"), F.lit(False))
+    extra = F.col("extra") | ((F.col("size") > 0) & is_last)
+    return rows.withColumn("copies", F.col("whole") + extra.cast("long")).drop("whole", "extra", *[f"_last_{key}" for key in KEYS])
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, id_col: str = "doc_id",
@@ -174,7 +220,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     size is taken floor(q) times whole and once more up to a hash threshold.
     """
     sizes = materialise(document_sizes(docs, id_col, text_col, source_col), "mix-sizes")
-    return _decided(sizes, *_plan(sizes, weights, max_epochs)).drop("line")
+    sizes = sizes.withColumn("own", _bits(F.xxhash64(*own_place(sizes))))
+    return _decided(sizes, *_plan(sizes, weights, max_epochs)).drop(*KEYS)
 
 
 def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, id_col: str = "doc_id",
@@ -184,12 +231,13 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
     The thresholds are applied to the documents where they lie: only sizes are
     shuffled, never texts.
     """
-    sizes = document_sizes(docs, id_col, text_col, source_col)
-    plan = _plan(materialise(sizes, "mix-sizes"), weights, max_epochs)
-    whole_rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
-    field = {"doc_id": id_col, "text": text_col, "source": source_col}
-    rows = whole_rows.select("_doc", F.col("_doc")[field["source"]].alias("source"),
-                             F.coalesce(F.regexp_count(F.col("_doc")[field["text"]], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                             hash_line(F.col("_doc")[field["doc_id"]]).alias("line"))
+    numbered = own_places(docs, "mix-docs")
+    doc = F.col("_doc")
+    own = _bits(F.xxhash64("file", "place")).alias("own")
+    fields = numbered.select("_doc", own, doc[id_col].alias("_id"), doc[text_col].alias("_text"), doc[source_col].alias("_source"))
+    size = F.coalesce(F.regexp_count(F.col("_text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    rows = fields.select("_doc", F.col("_source").alias("source"), size, hash_line(F.col("_id")).alias("line"),
+                         _bits(F.xxhash64("_text")).alias("by_text"), "own")
+    plan = _plan(materialise(rows.drop("_doc"), "mix-sizes"), weights, max_epochs)
     decided = _decided(rows, *plan).filter("copies > 0")
     return decided.select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")

@@ -148,3 +148,27 @@ def test_mix_odd_rows(spark):
     want = {(r.doc_id, r.source): r.copies for r in got}
     assert copies == Counter({k: want[k[0], k[1]] * times[k] for k in times if want[k[0], k[1]]})
     assert mixing.mix(frame.limit(0)).count() == 0 and mixing.apply_mix(frame.limit(0)).count() == 0
+
+
+def test_mix_reaches_targets_where_rows_share_an_id(spark):
+    # s0 has one id in all its rows, s1 none in a third of them: equal rows, and rows with texts of their own
+    def shared(i, s):
+        return [(i, s, "a b c d e")] * 60 + [(i, s, f"own {k} x y z") for k in range(40)]
+    rows = shared(7, "s0") + shared(None, "s1")
+    rows += [(1000 + k, "s1", f"w{k} p q r s") for k in range(200)] + [(3000 + k, "s2", f"v{k} p q r s") for k in range(300)]
+    frame = spark.createDataFrame([(i, s, t, 1) for i, s, t in rows], "doc_id long, source string, text string, own int")
+    weights = (1, 2, 3)
+    got = mixing.mix(frame, weights).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.size * r.copies
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 5 for s in target), (taken, target)
+    applied, want = Counter((r.doc_id, r.source, r.text) for r in mixing.apply_mix(frame.repartition(3), weights).collect()), Counter()
+    for r in got:
+        want[r.doc_id, r.source] += r.copies
+    again = Counter()
+    for (i, s, _), n in applied.items():
+        again[i, s] += n
+    assert again == Counter({k: n for k, n in want.items() if n})
+    assert applied == Counter((r.doc_id, r.source, r.text) for r in mixing.apply_mix(frame, weights).collect())
