@@ -27,7 +27,9 @@ Handling of odd rows: null, empty and blank texts have an empty set and are
 linked with nothing; texts with fewer words than a run have the whole sequence
 as their one element; rows with equal texts are one class; rows that share an
 id are told apart by their sets; a null id is never a component's id, but
-for a component of null ids alone; an empty table gives an empty table.
+for a component of null ids alone; an empty table gives an empty table. Where
+one document of each component is to stay, one row stays: that with the smallest id
+(null last); rows that are equal in id and text and have an empty set are one document.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, binary_column, hashed_words, materialise, mix64, release, slices
+from .common import arrow_map, binary_column, hashed_words, materialise, mix64, own_places, release, slices
 from .components import components
 
 BUCKET_BITS, BANDS = 7, 32
@@ -134,14 +136,15 @@ def wide_passes(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, le
 
 def _sketches(words: int):
     def run(batch: pa.RecordBatch):
-        raw, bounds = binary_column(batch.column(1))
+        *others, text = batch.columns
+        raw, bounds = binary_column(text)
         for at, to in slices(bounds):
             sets = shingle_sets(raw[bounds[at]:bounds[to]], bounds[at:to + 1] - bounds[at], words)
             sketch = registers(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, to - at), pa.array([len(s) for s in sets], pa.int64()),
+                [*(c.slice(at, to - at) for c in others), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_key(s) for s in sets], pa.int64()), pa.array([r.tobytes() for r in sketch], pa.binary())],
-                ["doc_id", "n", "class", "sketch"])
+                [*batch.schema.names[:-1], "n", "class", "sketch"])
     return run
 
 
@@ -308,18 +311,13 @@ def _sets(words: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (80, 100), id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
-
-    Linked are documents whose sets of ``words``-word runs have
-    ``least[1] * intersection >= least[0] * union``.
-    """
+def _classes(base: DataFrame, words: int, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """``base`` (doc_id, others, text) with n, class and sketch instead of text, and class, root and
+    component_id of every class. The class is null where the set is empty."""
     num, den = least
     share = num / den
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = base.schema["doc_id"].dataType.simpleString()
-    sketches = materialise(arrow_map(base, _sketches(words), f"doc_id {kind}, n long, class long, sketch binary"), "dedup-sketches")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields[:-1])
+    sketches = materialise(arrow_map(base, _sketches(words), f"{kinds}, n long, class long, sketch binary"), "dedup-sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "n", "sketch"))
     classes = materialise(sketches.filter("class is not null").groupBy("class").agg(first.alias("f"))
                           .select("class", "f.doc_id", "f.n", "f.sketch"), "dedup-classes")
@@ -394,8 +392,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (8
     named = classes.select("class", "doc_id").join(roots.withColumnRenamed("node", "class"), "class", "left") \
         .select("class", F.coalesce("root", "class").alias("root"), "doc_id")
     least_id = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_class = materialise(named.join(least_id, "root").select("class", "component_id"), "dedup-named")
-    out = sketches.select("doc_id", "n", "class").join(by_class, "class", "left")
+    return sketches, materialise(named.join(least_id, "root").select("class", "root", "component_id"), "dedup-named")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (80, 100), id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+
+    Linked are documents whose sets of ``words``-word runs have
+    ``least[1] * intersection >= least[0] * union``.
+    """
+    sketches, by_class = _classes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), words, least)
+    out = sketches.select("doc_id", "n", "class").join(by_class.drop("root"), "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
@@ -403,10 +411,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (8
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (80, 100), id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with one document of each component (rows that share an id are one document)."""
-    found = near_duplicates(docs, words, least, id_col, text_col)
-    gone = materialise(found.filter("not kept").select(F.col("doc_id").alias("_gone_id")).distinct(), "dedup-gone")
-    kept_too = materialise(found.filter("kept").select(F.col("doc_id").alias("_gone_id")), "dedup-kept")
-    gone = materialise(gone.join(kept_too, "_gone_id", "left_anti"), "dedup-gone")
+    """``docs``, all columns, with one row of each component: its smallest id's, where ids are
+    null or repeated the one with the smallest hash of the text. Rows without a component (an empty set)
+    stay, but for repeats of the same id and text."""
+    numbered = own_places(docs, "dedup-docs")
+    doc = F.col("_doc")
+    base = numbered.select(doc[id_col].alias("doc_id"), "file", "place", F.xxhash64(doc[text_col]).alias("tie"), doc[text_col].alias("text"))
+    sketches, by_class = _classes(base, words, least)
+    rows = materialise(sketches.select("doc_id", "file", "place", "tie", "class").join(by_class.select("class", "root"), "class", "left")
+                       .drop("class"), "dedup-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "tie", "file", "place")
+
+    def others(some: DataFrame, keys: list[str]) -> DataFrame:
+        """file, place of all but the first row of each group."""
+        first = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("f")).filter("n > 1")
+        first = materialise(first.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("f.file").alias("_file"), F.col("f.place").alias("_place")), "dedup-kept")
+        first = F.broadcast(first) if first.count() <= MAX_BROADCAST_IDS else first
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        return some.join(first, same).filter("file <> _file or place <> _place").select("file", "place")
+
+    gone = others(rows.filter("root is not null"), ["root"]).unionByName(others(rows.filter("root is null"), ["doc_id", "tie"]))
+    gone = materialise(gone, "dedup-gone")
     gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone
-    return docs.join(gone, docs[id_col] == F.col("_gone_id"), "left_anti")
+    return numbered.join(gone, ["file", "place"], "left_anti").select("_doc.*")

@@ -82,6 +82,26 @@ def test_odd_rows_chains_and_groups(spark):
     assert nd.near_duplicates(frame.limit(0), words=4).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    story, other = " ".join(f"w{k}" for k in range(100)), " ".join(f"v{k}" for k in range(100))
+    lone = " ".join(f"u{k}" for k in range(100))
+    rows = [(None, story), (None, story + " end"), (None, story)]                      # null ids alone
+    rows += [(5, other), (5, other), (None, other), (9, other + " end")]               # repeated, null and larger ids
+    rows += [(7, lone), (7, "this id has a second text of its own"), (7, other)]       # one id in three components
+    rows += [(8, ""), (8, ""), (8, None), (None, ""), (None, ""), (10, " ")]           # empty sets
+    frame = spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, file int, _place string")
+    kept = nd.drop_near_duplicates(frame)
+    assert kept.columns == frame.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    stories = [g for g in got if g[0] is None and g[1]]
+    assert len(stories) == 1 and stories[0] in rows[:3]
+    want = [*stories, (5, other), (7, lone), (7, "this id has a second text of its own"), (8, ""), (8, None), (None, ""), (10, " ")]
+    assert got == sorted(want, key=str)
+    # a table that was read in twice
+    twice = nd.drop_near_duplicates(frame.unionByName(frame).repartition(3))
+    assert sorted(((r.doc_id, r.text) for r in twice.collect()), key=str) == got
+
+
 def test_members_left_apart_by_the_first_round_are_joined(spark, monkeypatch):
     """Bucket mates that are no match for the smallest member are still compared with each other, in parts."""
     monkeypatch.setattr(nd, "PART_ROWS", 2)
