@@ -156,3 +156,58 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that earlier 100-byte strings repeat."""
     from .suffixes import repeated_bytes
     return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@query("op11_merkle", """
+WITH RECURSIVE
+fields AS (SELECT doc_id, lang, CAST(n_chars AS BIGINT) AS n_chars, COALESCE(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+    || COALESCE(octet_length(encode(source)) || ':' || source, '-') || COALESCE(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+  COALESCE(octet_length(encode(text)) || ':' || text, '-') AS tail,
+  list_reduce([x for x in range(8 * COALESCE(len(CAST(doc_id AS VARCHAR)), 0))], lambda c, k:
+    (CASE WHEN xor(c, CASE WHEN k % 8 = 0 THEN ascii(CAST(doc_id AS VARCHAR)[k // 8 + 1]) ELSE 0 END) & 1 = 1 THEN xor(3988292384,
+       xor(c, CASE WHEN k % 8 = 0 THEN ascii(CAST(doc_id AS VARCHAR)[k // 8 + 1]) ELSE 0 END) >> 1)
+     ELSE xor(c, CASE WHEN k % 8 = 0 THEN ascii(CAST(doc_id AS VARCHAR)[k // 8 + 1]) ELSE 0 END) >> 1 END), CAST(4294967295 AS BIGINT)) AS crc
+  FROM documents),
+hashed AS (SELECT doc_id, lang, sha256(head || COALESCE(len(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+  CASE WHEN doc_id IS NOT NULL AND xor(crc, 4294967295) % 7 = 0
+    THEN sha256(head || COALESCE(len(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS tampered FROM fields),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM hashed),
+low AS (SELECT lang, 0 AS level, idx, leaf AS digest, COUNT(*) OVER (PARTITION BY lang) AS members FROM placed
+  UNION ALL SELECT lang, level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (ANY_VALUE(members) + 1) // 2 FROM low
+  WHERE members > 1 GROUP BY lang, level, idx // 2),
+subroots AS (SELECT lang, level AS height, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx FROM low WHERE members = 1),
+high AS (SELECT 0 AS level, idx, digest, COUNT(*) OVER () AS members FROM subroots
+  UNION ALL SELECT level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (ANY_VALUE(members) + 1) // 2 FROM high
+  WHERE members > 1 GROUP BY level, idx // 2),
+climb AS (SELECT p.doc_id, p.leaf, p.lang, p.idx, s.height, s.digest AS subroot, s.idx AS place, 0 AS step, '' AS proof, COALESCE(p.tampered, p.leaf) AS folded
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.lang, CASE WHEN c.step < c.height THEN c.idx // 2 ELSE c.idx END, c.height, c.subroot,
+    CASE WHEN c.step < c.height THEN c.place ELSE c.place // 2 END, c.step + 1, c.proof || COALESCE(l.digest, h.digest, ''),
+    sha256(CASE WHEN (CASE WHEN c.step < c.height THEN c.idx ELSE c.place END) % 2 = 1 THEN COALESCE(l.digest, h.digest, '') || c.folded
+      ELSE c.folded || COALESCE(l.digest, h.digest, '') END)
+  FROM climb c
+  LEFT JOIN low l ON c.step < c.height AND l.lang IS NOT DISTINCT FROM c.lang AND l.level = c.step AND l.idx = xor(c.idx, 1)
+  LEFT JOIN high h ON c.step >= c.height AND h.level = c.step - c.height AND h.idx = xor(c.place, 1)
+  WHERE c.step < c.height + (SELECT MAX(level) FROM high))
+SELECT c.doc_id, c.leaf, c.subroot, r.digest AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = r.digest AS verified
+FROM climb c, (SELECT digest FROM high WHERE members = 1) r WHERE c.step = c.height + (SELECT MAX(level) FROM high)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of all documents, and every leaf proved against its root, a seventh of them after tampering."""
+    from .merkle import manifest
+    hit = F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(7)) == 0
+    return manifest(table(spark, sf_dir, "documents"), tampered=F.coalesce(hit, F.lit(False)))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors whitened on their first 8 components."""
+    from .whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, and its likeness to an edited text's and the next document's."""
+    from .fingerprints import edited_fingerprints
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
