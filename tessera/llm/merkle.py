@@ -29,7 +29,7 @@ from .common import broadcast_if_small, materialise, own_places
 from .order import numbered
 
 #: Levels that a node row spans, and so the binary logarithm of the nodes of a block.
-STRIDE = 8
+STRIDE = 12
 
 #: Node rows above the leaves that are broadcast at most (under 1 KB each).
 MAX_BROADCAST_NODES = 20_000
