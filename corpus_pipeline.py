@@ -24,9 +24,7 @@ from tessera.llm.queries import tokenizer_path
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn profiles from the labelled documents and keep those whose language can be told."""
-    prototypes = language.learn(docs)
-    found = language.identify(docs, prototypes)
-    return found.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    return language.determinable(docs, language.learn(docs))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,12 +15,14 @@ at all every text is ``und``; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, random_words, release, ship
+from .common import random_words, release, ship
 
 #: Length of the vectors.
 DIMENSIONS = 512
@@ -31,8 +33,8 @@ SYMBOLS = 64
 #: Training texts: of a larger labelled set, a share chosen by a hash of the id that gives about this many.
 MAX_TRAINING_ROWS = 40_000
 
-#: Characters worked on at once.
-SLICE_CHARS = 1 << 19
+#: Characters and texts worked on at once (memory is texts x distinct trigrams).
+SLICE_CHARS, SLICE_ROWS = 1 << 18, 128
 
 UNDETERMINED = "und"
 
@@ -96,13 +98,13 @@ def bundles(texts: list[str | None]) -> np.ndarray:
 
 
 def text_slices(col: pa.Array) -> list[tuple[int, int]]:
-    """Runs of rows of about ``SLICE_CHARS`` characters together."""
+    """Runs of at most ``SLICE_ROWS`` rows of about ``SLICE_CHARS`` characters together."""
     import pyarrow.compute as pc
     upto = np.cumsum(pc.fill_null(pc.utf8_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
     out, at = [], 0
     while at < len(upto):
         before = upto[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(upto, before + SLICE_CHARS, "right")))
+        to = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(upto, before + SLICE_CHARS, "right"))))
         out.append((at, to))
         at = to
     return out
@@ -150,34 +152,43 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     return {lang: unit(v[None])[0] for lang, v in sorted(out.items()) if v.any()}
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with lang_pred and lang_score (the cosine, 0 to 1)."""
+def predictor(prototypes: dict[str, np.ndarray]) -> Callable[[Column], Column]:
+    """From a text column to struct(lang, score: the cosine, 0 to 1). Only texts go to Python, only predictions come back."""
     names = list(prototypes)
     matrix = np.array([prototypes[x] for x in names]).reshape(len(names), DIMENSIONS)
-    place = docs.columns.index(text_col)
-
-    def predict(batch: pa.RecordBatch):
-        texts = batch.column(place)
-        best, score = [], []
-        for at, to in text_slices(texts):
-            vectors = unit(bundles(texts.slice(at, to - at).to_pylist()))
-            if names:
-                cosines = vectors @ matrix.T
-                best.append(np.where(vectors.any(1), cosines.argmax(1), -1))
-                score.append(np.where(vectors.any(1), cosines.max(1), 0.0))
-            else:
-                best.append(np.full(to - at, -1))
-                score.append(np.zeros(to - at))
-        pick = np.concatenate(best)
-        lang = pa.array(np.array([*names, UNDETERMINED], object)[pick], pa.string())
-        return pa.RecordBatch.from_arrays([*batch.columns, lang, pa.array(np.clip(np.concatenate(score), 0.0, 1.0))],
-                                          [f"c{k}" for k in range(batch.num_columns + 2)])
+    known = np.array([*names, UNDETERMINED], object)
+
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for at, to in text_slices(texts):
+                vectors = unit(bundles(texts.slice(at, to - at).to_pylist()))
+                told = vectors.any(1) & bool(names)
+                cosines = vectors @ matrix.T if names else np.zeros((to - at, 1))
+                best.append(np.where(told, cosines.argmax(1), -1))
+                score.append(np.where(told, cosines.max(1), 0.0))
+            yield pa.StructArray.from_arrays([pa.array(known[np.concatenate(best)], pa.string()),
+                                              pa.array(np.clip(np.concatenate(score), 0.0, 1.0))], ["lang", "score"])
+        release()
+    return predict
 
+
+def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text",
+             names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """``docs``, all columns, followed by the predicted language and its score under ``names``
+    (a name that ``docs`` has too is then there twice; give others to select by name)."""
+    ship(docs.sparkSession)
     # positional names inside, so that no column of the input can clash
-    numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
-    schema = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema))
-    return arrow_map(numbered, predict, f"{schema}, c{len(docs.columns)} string, c{len(docs.columns) + 1} double") \
-        .toDF(*docs.columns, "lang_pred", "lang_score")
+    columns = [f"c{k}" for k in range(len(docs.columns))]
+    told = docs.toDF(*columns).withColumn("told", predictor(prototypes)(F.col(columns[docs.columns.index(text_col)])))
+    return told.select(*columns, "told.lang", "told.score").toDF(*docs.columns, *names)
+
+
+def determinable(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language can be told, with their columns as they are, whatever their names."""
+    ship(docs.sparkSession)
+    return docs.filter(predictor(prototypes)(F.col(f"`{text_col}`"))["lang"] != UNDETERMINED)
 
 
 def held_out(id_col: Column) -> Column:

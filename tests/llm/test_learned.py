@@ -99,3 +99,26 @@ def test_toxicity_odd_rows(spark):
     nothing = toxicity.score_corpus(docs, labels.limit(0)).collect()
     assert {round(r.score, 6) for r in nothing} == {0.05}
     assert toxicity.score_corpus(docs.limit(0), labels).count() == 0
+
+
+def test_language_memory_is_bounded_on_short_texts():
+    import tracemalloc
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    texts = pa.array(["".join(chr(97 + c) for c in row) for row in rng.integers(0, 26, (5000, 50))])
+    runs = language.text_slices(texts)
+    assert [a for a, _ in runs[1:]] == [b for _, b in runs[:-1]] and max(b - a for a, b in runs) <= language.SLICE_ROWS
+    tracemalloc.start()
+    for at, to in runs[:3]:
+        language.bundles(texts.slice(at, to - at).to_pylist())
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
+def test_language_names_do_not_clash(spark):
+    docs = spark.createDataFrame([(1, "the cat and the dog", "en", 5, "x"), (2, "12", "en", 6, "y")], "doc_id long, text string, lang string, lang_pred int, told string")
+    learned = language.learn(docs)
+    assert [tuple(r) for r in language.determinable(docs, learned).collect()] == [(1, "the cat and the dog", "en", 5, "x")]
+    told = language.identify(docs, learned, names=("a", "b"))
+    assert told.columns == [*docs.columns, "a", "b"] and [r.a for r in told.orderBy("doc_id").collect()] == ["en", "und"]
+    assert language.identify(docs, learned).columns == [*docs.columns, "lang_pred", "lang_score"]
