@@ -26,15 +26,17 @@ from .operators.quality import (  # noqa: F401
 )
 from .operators.star import DimRef, bounded, star_join, unmatched_keys  # noqa: F401
 from .plans.cleaning import build_full, clean_raw, enrich_geo, enrich_siren, enrich_siret, split_siret_siren  # noqa: F401
-from .plans.cleaning import run as run_pipeline  # noqa: F401
+from .plans.cleaning import run as run_pipeline, run_by_code  # noqa: F401
 from .plans.views import scored_view, single_code_view  # noqa: F401
 from .sources.manifest import append_manifest, freshness, latest_per_code, outcome_summary  # noqa: F401
 from .sources.readers import (  # noqa: F401
     coerce_types, flatten_structs, read_dimension_csv, read_dimensions, read_partitioned, read_processed,
     read_raw_json, sanitize_columns,
 )
+from .sources.publication import publish_grains, read_published, remove_unused  # noqa: F401
 from .sources.writers import export_final, publish, save_split  # noqa: F401
 from .streaming.ingest import ingest_pages, latest_scored, score_stream  # noqa: F401
+from .streaming.keyed import KeyedTable  # noqa: F401
 
 # Names used in the survey's API sketch.
 derive_region_code = department_from_commune

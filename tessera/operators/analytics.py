@@ -66,6 +66,25 @@ def distinct_list(col: str, n: int | None = None, sep: str = ",") -> Column:
     return F.array_join(s, sep)
 
 
+def grouped_with_list(df: DataFrame, group: Sequence[str], col: str, n: int, sums: dict[str, Column], name: str,
+                      sep: str = ",", buckets: int | None = None) -> DataFrame:
+    """Per group the sums of ``sums`` (additive columns, null counts 0) and, as ``name``, its ``n`` first distinct
+    values of ``col`` joined by ``sep``.
+
+    Distinct values are found by a partial aggregate; those of a group are dealt to ``buckets`` (the session's shuffle
+    partitions by default), of which each keeps ``n``, so no task ever holds more than ``n`` x ``buckets`` of a group."""
+    if buckets is None:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    pre = df.groupBy(*group, col).agg(*[F.sum(c).alias(k) for k, c in sums.items()])
+    pre = pre.withColumn("__bucket", F.pmod(F.xxhash64(col), F.lit(buckets)))
+    place = F.row_number().over(Window.partitionBy(*group, "__bucket").orderBy(F.col(col).asc_nulls_last()))
+    pre = pre.withColumn("__kept", F.when(place <= n, F.col(col)))
+    some = pre.groupBy(*group, "__bucket").agg(*[F.sum(k).alias(k) for k in sums], F.collect_list("__kept").alias("__list"))
+    out = some.groupBy(*group).agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in sums],
+                                   F.slice(F.array_sort(F.flatten(F.collect_list("__list"))), 1, n).alias("__list"))
+    return out.withColumn(name, F.array_join("__list", sep)).drop("__list")
+
+
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     """First ``k`` rows by ``order`` (give a total order); planned as
     TakeOrderedAndProject: each task keeps k rows, the driver merges them."""

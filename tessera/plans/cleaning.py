@@ -21,6 +21,7 @@ from ..functions import (
 from ..functions.geo import with_wgs84
 from ..operators.groups import SALT_COLUMNS, SaltPlan, first_per_key
 from ..operators.projection import select_tolerant, spread_struct
+from ..operators.star import bounded
 from ..rules import bands
 
 # FIXED VALUES: the column allow-lists of the cleaning step, in the source's order
@@ -174,3 +175,47 @@ def run(flat: DataFrame, ref_date: str, codes: Sequence[str] = bands.SECTOR_CODE
     code = siren.select("siren", "code_ape")
     return {"clean": clean, "siret": plan.join(siret, code, "left", salt_from=["siret"]).drop(*SALT_COLUMNS), "siren": siren,
             "full": full, "salt_plan": plan, "quarantine": bad}
+
+
+#: Texts of the report (fixed values).
+NO_DATA, NO_ACTIVE = "aucune donnée", "aucun établissement actif"
+
+
+def record_error(df: DataFrame, corrupt_column: str = "_corrupt_record") -> Column:
+    """What is wrong with a raw record, or null: the error travels as a column, so that one bad record or
+    code stops no other."""
+    malformed = F.col(corrupt_column).isNotNull() if corrupt_column in df.columns else F.lit(False)
+    return (F.when(malformed, F.lit("ligne illisible")).when(F.col("siret").isNull(), F.lit("siret absent"))
+            .when(F.col("siren").isNull(), F.lit("siren absent")))
+
+
+def run_by_code(flat: DataFrame, wanted: DataFrame, ref_date: str, codes: Sequence[str] = bands.SECTOR_CODES,
+                code_col: str = "code_extraction", most_rejected: float = 0.5, max_codes: int = 100_000) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The chain over all wanted codes (``code_ape``) in one job, each on its own account, and its report.
+
+    ``flat`` tells in ``code_col`` which code a record was extracted for. A code without records fails, and so does one
+    of whose records more than ``most_rejected`` can't be read: none of its rows reaches the tables. Other codes lose
+    their unreadable records only. The report has a row a code (success, erreur, nb_siret, nb_siren, nb_rejets) and
+    a ``TOTAL`` row. At most ``max_codes`` codes are broadcast."""
+    wanted = wanted.select("code_ape").where("code_ape IS NOT NULL").distinct()
+    seen = flat.withColumn("__erreur", record_error(flat))
+    by_code = seen.groupBy(F.col(code_col).alias("__code")).agg(F.count(F.lit(1)).alias("lus"), F.count("__erreur").alias("nb_rejets"))
+    state = wanted.join(by_code, F.col("code_ape") == F.col("__code"), "left").drop("__code").fillna(0, ["lus", "nb_rejets"])
+    state = state.withColumn("erreur", F.when(F.col("lus") == 0, F.lit(NO_DATA)).when(
+        F.col("nb_rejets") > F.col("lus") * F.lit(most_rejected), F.format_string("%d enregistrements rejetés sur %d", "nb_rejets", "lus")))
+    sound = bounded(state.where("erreur IS NULL").select(F.col("code_ape").alias("__code")), max_codes)
+    rows = seen.where("__erreur IS NULL").join(sound, F.col(code_col) == F.col("__code"), "left_semi")
+    out = run(rows.drop("__erreur", code_col, "_corrupt_record"), ref_date, codes)
+    out["quarantine"] = seen.where("__erreur IS NOT NULL").withColumnRenamed("__erreur", "erreur")
+
+    # sites and entities in one pass: a row an entity first
+    entities = out["full"].groupBy("code_ape", "siren").agg(F.count(F.lit(1)).alias("n"))
+    counts = entities.groupBy(F.col("code_ape").alias("__code")).agg(F.sum("n").alias("nb_siret"), F.count(F.lit(1)).alias("nb_siren"))
+    report = state.join(counts, F.col("code_ape") == F.col("__code"), "left").fillna(0, ["nb_siret", "nb_siren"])
+    report = report.withColumn("erreur", F.coalesce("erreur", F.when(F.col("nb_siret") == 0, F.lit(NO_ACTIVE))))
+    columns = ["code_ape", "success", "erreur", "nb_siret", "nb_siren", "nb_rejets"]
+    report = report.withColumn("success", F.col("erreur").isNull()).select(*columns)
+    failed = F.count(F.when(~F.col("success"), F.lit(1)))
+    total = report.agg((failed == 0).alias("success"), F.format_string("%d en erreur sur %d", failed, F.count(F.lit(1))).alias("erreur"),
+                       *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns[3:]]).withColumn("code_ape", F.lit("TOTAL"))
+    return out, report.unionByName(total)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,7 @@ from ..sources.readers import (
     read_table,
 )
 from ..sources.manifest import publish_report
+from ..sources.publication import publish_grains, read_published
 from ..sources.writers import export_final, load_dimensions, publish, save_split
 from ..streaming.ingest import ingest_pages, latest_scored, score_stream
 from . import model, views
@@ -106,6 +108,35 @@ def s8_save_three_grains(spark, d):
     return out
 
 
+_KEPT = f"(code_ape <> '{model.FOCUS_CODE}' OR siret % 2 = 0)"
+
+
+@query("s8_atomic_publication", with_model(f"""
+SELECT 'siret' AS grain, code_ape, COUNT(*) AS nb_lignes, COUNT(DISTINCT siren) AS nb_siren FROM full_t WHERE {_KEPT} GROUP BY code_ape
+UNION ALL SELECT 'siren', uniteLegale_activitePrincipaleUniteLegale, COUNT(*), COUNT(DISTINCT siren) FROM siren_t GROUP BY 2
+UNION ALL SELECT 'full', code_ape, COUNT(*), COUNT(DISTINCT siren) FROM full_t WHERE {_KEPT} GROUP BY code_ape"""))
+def s8_atomic_publication(spark, d):
+    """All codes, then one of them anew with half of its sites, then a publication that fails in its third grain, of which nothing shows."""
+    siret, siren, full = _grains(spark, d)
+    root = _scratch(spark, "atomic")
+    publish_grains(siret, siren, full, root, ("departement",))
+    one = F.col("code_ape") == model.FOCUS_CODE
+    half = one & (F.pmod("siret", F.lit(2)) == 0)
+    publish_grains(siret.where(half), siren.where(one), full.where(half), root, ("departement",))
+    broken = full.where(one).withColumn("siren", F.when(F.col("siren") > 0, F.raise_error(F.lit("disk full")).cast("long")))
+    try:
+        publish_grains(siret.where(one), siren.where(one).limit(1), broken, root, ("departement",))
+        raise AssertionError("the publication must fail")
+    except SparkRuntimeException:
+        pass
+    out = None
+    for g in ("siret", "siren", "full"):
+        c = read_published(spark, root, g).groupBy("code_ape").agg(F.count(F.lit(1)).alias("nb_lignes"), F.count_distinct("siren").alias("nb_siren"))
+        c = c.select(F.lit(g).alias("grain"), "code_ape", "nb_lignes", "nb_siren")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
 @query("s2_read_one_code", with_model(
     f"SELECT siret, siren FROM full_t WHERE code_ape = '{model.FOCUS_CODE}'"))
 def s2_read_one_code(spark, d):
@@ -418,6 +449,22 @@ def _set_age(spark, folder: str, days: int) -> None:
         fs.setTimes(status.getPath(), at, -1)
 
 
+# re-extractions 31 and 90 days later, each with a third of the records and with some new ones between
+@query("st2_replay_after_the_delay", with_model("SELECT siret, siren FROM full_t"))
+def st2_replay_after_the_delay(spark, d):
+    """Keys are remembered in a table, not in a window of time: nothing that lands again is taken."""
+    root = _scratch(spark, "st2-replay")
+    full = model.full(spark, d)[0].drop(*SALT_COLUMNS)
+    part = F.pmod(F.xxhash64("siret"), F.lit(3))
+    for k, days in enumerate((90, 59, 0)):            # ages of the files: 31 and 59 days between them
+        rows = full.where((part == k) | ((part < k) & (F.pmod("siret", F.lit(3)) == 0)))
+        rows.coalesce(2).write.json(f"{root}/landing/p{k}")
+        _set_age(spark, f"{root}/landing/p{k}", days)
+        ingest_pages(spark, _glob(f"{root}/landing"), full.schema, f"{root}/raw", f"{root}/_ckpt", files_per_trigger=4,
+                     flatten=False, dedup_key="siret", key_index=f"{root}/keys", buckets=8)
+    return spark.read.parquet(f"{root}/raw").select("siret", "siren")
+
+
 def _entity_scorer(dims):
     def score_entities(rows):
         # one salt plan per micro-batch: the site count and the entity mean are
@@ -483,6 +530,36 @@ def st3_closed_and_moved(spark, d):
     return latest_scored(spark, f"{root}/out")
 
 
+@query("st3_backfill_changes_nothing", _moved_and_closed_sql())
+def st3_backfill_changes_nothing(spark, d):
+    """Closed and moved establishments as above, then files that are 60 days old with the states of before: the result
+    stays. The state's buckets are merged every second batch."""
+    root = _scratch(spark, "st3-backfill")
+    full = model.full(spark, d)[0].drop(*SALT_COLUMNS)
+    _, _, dims = context(spark, d)
+    landing = f"{root}/landing"
+
+    def land(rows, name, days=0):
+        rows.select(*full.columns).coalesce(2).write.json(f"{landing}/{name}")
+        _set_age(spark, f"{landing}/{name}", days)
+        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=8,
+                     buckets=8, compact_every=2)
+
+    ent = model.siren_table(spark, d, model.raw_siret(spark, d).where(F.col("periode_etatAdministratifEtablissement") == "A"))
+    target = ent.withColumn("code_ape", F.col("uniteLegale_activitePrincipaleUniteLegale"))
+    sites = full.where(F.pmod("siret", F.lit(13)) == 0).drop(*[c for c in target.columns if c != "siren"]) \
+        .withColumn("siren", F.pmod(F.col("siren") * 7, F.lit(1000)) + 1)
+    moved = sites.join(target, "siren")
+    closed = full.join(moved.select("siret"), "siret", "left_anti").where(F.pmod("siret", F.lit(11)) == 0) \
+        .withColumn("periode_etatAdministratifEtablissement", F.lit("F"))
+    land(full, "p1", 30)
+    land(moved, "p2", 20)
+    land(closed, "p3", 10)
+    # the old states of all that moved or closed, and of others
+    land(full.where((F.pmod("siret", F.lit(13)) == 0) | (F.pmod("siret", F.lit(11)) == 0) | (F.pmod("siret", F.lit(17)) == 1)), "p4", 60)
+    return latest_scored(spark, f"{root}/out")
+
+
 # Publish the three tables of one code with clustering, read back ---------------------------
 @query("s13_publish_one_code", with_model(f"""
 SELECT 'full' AS grain, COUNT(*) AS nb_lignes, COUNT(DISTINCT departement) AS nb_departements
@@ -551,6 +628,45 @@ def s20_registry_pipeline(spark, d):
                  F.count(F.when(F.col("nb_etablissements") > 1, F.lit(1))).alias("nb_siret_multi_sites")))
 
 
+_FAILING = "MACHINERY"
+
+
+_REJECTED = f"(siret % 97 = 0 OR (code = '{_FAILING}' AND siret % 3 <> 0))"
+
+
+@query("s20_report_by_code", with_model(f"""
+SELECT * FROM (WITH
+landed AS (SELECT o_orderkey AS siret, c_mktsegment AS code FROM orders JOIN customer ON o_custkey = c_custkey),
+counted AS (SELECT code, COUNT(*) AS lus, COUNT(*) FILTER (WHERE {_REJECTED}) AS nb_rejets FROM landed GROUP BY code
+  UNION ALL SELECT 'NO-SUCH-CODE', 0, 0),
+kept AS (SELECT code_ape, COUNT(*) AS nb_siret, COUNT(DISTINCT siren) AS nb_siren FROM full_t
+  WHERE siret % 97 <> 0 AND code_ape <> '{_FAILING}' GROUP BY code_ape),
+by_code AS (SELECT code, nb_rejets, COALESCE(nb_siret, 0) AS nb_siret, COALESCE(nb_siren, 0) AS nb_siren,
+  CASE WHEN lus = 0 THEN 'aucune donnée' WHEN nb_rejets > lus * 0.5 THEN nb_rejets || ' enregistrements rejetés sur ' || lus
+       WHEN COALESCE(nb_siret, 0) = 0 THEN 'aucun établissement actif' END AS erreur
+  FROM counted LEFT JOIN kept ON code_ape = code)
+SELECT code AS code_ape, erreur IS NULL AS success, erreur, nb_siret, nb_siren, nb_rejets FROM by_code
+UNION ALL SELECT 'TOTAL', COUNT(erreur) = 0, COUNT(erreur) || ' en erreur sur ' || COUNT(*), CAST(SUM(nb_siret) AS BIGINT),
+  CAST(SUM(nb_siren) AS BIGINT), CAST(SUM(nb_rejets) AS BIGINT) FROM by_code) report"""))
+def s20_report_by_code(spark, d):
+    """Records landed by code, a few lines of each broken, most of one code's, and a wanted code without any."""
+    from . import cleaning
+    root = _scratch(spark, "by-code")
+    _write_registry_records(spark, d, f"{root}/records")
+    records = spark.read.text(f"{root}/records")
+    siret = F.get_json_object("value", "$.siret").cast("long")
+    code = F.get_json_object("value", "$.uniteLegale.activitePrincipaleUniteLegale")
+    broken = (F.pmod(siret, F.lit(97)) == 0) | ((code == _FAILING) & (F.pmod(siret, F.lit(3)) != 0))
+    lines = records.select(F.when(broken, F.concat(F.substring("value", 1, 40), F.lit("..."))).otherwise(F.col("value")).alias("value"),
+                           code.alias("code_extraction"))
+    lines.write.partitionBy("code_extraction").text(f"{root}/landing")
+    flat = read_raw_json(spark, f"{root}/landing", corrupt_column="_corrupt_record")
+    wanted = lines.select(F.col("code_extraction").alias("code_ape")).distinct() \
+        .unionByName(spark.createDataFrame([("NO-SUCH-CODE",)], "code_ape string"))
+    _, report = cleaning.run_by_code(flat, wanted, model.REF_DATE, model.RETAINED_SEGMENTS)
+    return report
+
+
 # V1 on the published table: the production path -----------------------------------------------
 @query("v1_on_published_full", with_model("SELECT * FROM scored"))
 def v1_on_published_full(spark, d):

@@ -105,10 +105,6 @@ def p6_allow_list_tolerant(spark, d):
 
 
 # P8 / P9 -------------------------------------------------------------------------
-_DATE_TEXT = "CASE WHEN {k} = 0 THEN 'garbage' WHEN {k} = 1 THEN '' WHEN {k} = 2 THEN '[ND]' " \
-             "ELSE strftime(o_orderdate, '%Y-%m-%d') END"
-
-
 @query("p8_tolerant_date", f"""
 SELECT o_orderkey, CASE WHEN {_pmod('o_orderkey', 17)} > 4 THEN CAST(o_orderdate AS DATE) END AS date_creation
 FROM orders""")
@@ -361,7 +357,7 @@ def s10_safe_column_names(spark, d):
 # Name-driven tolerant typing ------------------------------------------------------
 @query("s11_name_driven_types", f"""
 SELECT o_orderkey AS siret,
-       TRY_CAST({_DATE_TEXT.format(k=_pmod('o_orderkey', 17))} AS DATE) AS dateCreationEtablissement,
+       CASE WHEN {_pmod('o_orderkey', 17)} > 4 THEN CAST(o_orderdate AS DATE) END AS dateCreationEtablissement,
        TRY_CAST(CASE WHEN {_pmod('o_orderkey', 5)} = 0 THEN '[ND]' ELSE CAST(year(o_orderdate) AS VARCHAR) END
                 AS INTEGER) AS anneeEffectifsEtablissement,
        TRY_CAST(CAST(o_totalprice / 10000.0 AS VARCHAR) AS DOUBLE) AS longitude,

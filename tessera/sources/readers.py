@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import clean_code_text, safe_name
+from ..functions.scalar import clean_code_text, safe_name, try_date, try_double
 from . import schemas
 
 TABLE_KINDS = ("siret", "siren", "full")
@@ -121,7 +121,7 @@ BOOL_COLUMNS = ("etablissementSiege", "dept_anomaly")
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
-    """Name-driven tolerant typing (every cast is a ``try_cast``):
+    """Name-driven tolerant typing (what does not parse as a whole is null):
     ``*date*`` (not ``datetime``/``traitement``) -> date; ``*traitement*`` ->
     timestamp; listed names (exact) -> int; longitude/latitude -> double;
     listed flags -> boolean."""
@@ -132,11 +132,11 @@ def coerce_types(df: DataFrame) -> DataFrame:
         if "traitement" in low:
             e = F.expr(f"try_cast({q} AS TIMESTAMP)")
         elif "date" in low and "datetime" not in low:
-            e = F.expr(f"try_cast({q} AS DATE)")
+            e = try_date(F.col(q))
         elif c in INT_COLUMNS:
-            e = F.expr(f"try_cast(try_cast({q} AS DOUBLE) AS INT)")
+            e = try_double(F.col(q)).try_cast("int")
         elif c in DOUBLE_COLUMNS:
-            e = F.expr(f"try_cast({q} AS DOUBLE)")
+            e = try_double(F.col(q))
         elif c in BOOL_COLUMNS:
             e = F.expr(f"try_cast({q} AS BOOLEAN)")
         else:
