@@ -204,8 +204,8 @@ def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 out = f(batch)
-                if out is None:
-                    continue
-                yield from ([out] if isinstance(out, pa.RecordBatch) else out)
-        release()
+                if out is not None:
+                    yield from ([out] if isinstance(out, pa.RecordBatch) else out)
+                del out
+            release()
     return df.mapInArrow(run, schema)
