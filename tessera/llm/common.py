@@ -6,9 +6,11 @@ from __future__ import annotations
 import ctypes
 import os
 import tempfile
+import threading
+import time
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -23,7 +25,7 @@ from tessera.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Texts are worked on in slices of about this many bytes, to bound a task's memory.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -196,6 +198,26 @@ def release() -> None:
         trim(0)
 
 
+_used: dict[str, float] = {}
+
+
+def drop_when_idle(name: str, drop: Callable[[], None], seconds: float = 1.0) -> None:
+    """Call ``drop`` when this worker has not said so again for ``seconds``: what is kept between the tasks of a
+    stage is given back when other stages follow. ``drop`` must be harmless at any time."""
+    running = name in _used
+    _used[name] = time.monotonic()
+    if running:
+        return
+
+    def wait() -> None:
+        while time.monotonic() - _used[name] < seconds:
+            time.sleep(seconds / 4)
+        del _used[name]
+        drop()
+        release()
+    threading.Thread(target=wait, daemon=True).start()
+
+
 def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:
     """``f(batch) -> RecordBatch``s (or one, or None) over the Arrow batches of each partition."""
     ship(df.sparkSession)

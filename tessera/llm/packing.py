@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialise
+from .common import arrow_map, drop_when_idle, materialise
 
 CAPACITY = 4096
 
@@ -40,7 +40,7 @@ ROUNDS = 3
 #: A proven part keeps bins with at most this fraction (1 / SLACK) of the capacity empty.
 SLACK = 32
 
-#: Cached words of a tokenizing worker (about 90 MB, kept between its tasks); the cache starts anew beyond it.
+#: Cached words of a tokenizing worker (about 90 MB, kept between the tasks of a stage); the cache starts anew beyond it.
 CACHE_WORDS = 300_000
 
 #: A comma or full stop that ends a word of plain letters; set apart, so that the word is known without it.
@@ -113,6 +113,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int
         tokens = _tokenizers.get(tokenizer_path)
         if tokens is None:
             tokens = _tokenizers[tokenizer_path] = WordTokenizer(tokenizer_path)
+        drop_when_idle("tokenizers", _tokenizers.clear)
         texts, ids = batch.column(1), batch.column(0)
         for at in range(0, batch.num_rows, 256):
             rows: list[tuple] = []

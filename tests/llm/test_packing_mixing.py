@@ -172,3 +172,19 @@ def test_mix_reaches_targets_where_rows_share_an_id(spark):
         again[i, s] += n
     assert again == Counter({k: n for k, n in want.items() if n})
     assert applied == Counter((r.doc_id, r.source, r.text) for r in mixing.apply_mix(frame, weights).collect())
+
+
+def test_what_a_worker_keeps_goes_when_it_is_idle():
+    import time
+    from tessera.llm.common import drop_when_idle
+    kept = {1: "cache"}
+    for _ in range(4):
+        drop_when_idle("test", kept.clear, seconds=0.4)
+        time.sleep(0.1)
+    assert kept
+    time.sleep(1.0)
+    assert not kept
+    kept[2] = "again"
+    drop_when_idle("test", kept.clear, seconds=0.1)
+    time.sleep(0.6)
+    assert not kept
