@@ -28,6 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,9 @@ HELD_BYTES = 1 << 23
 #: Suffixes whose anchors are looked for at once.
 SEGMENT = 1 << 18
 
+#: Suffixes of which blind tries are built at once; a group is never cut.
+TRIE_ROWS = 1 << 15
+
 _POSITION_BITS = 24
 _BYTES = random_words(404, 256)
 _NULL_ID = (1 << 63) - 1
@@ -215,9 +219,7 @@ def deep_shallow(data: np.ndarray, suffixes: np.ndarray, group: np.ndarray, leng
 
     ``data`` needs eight spare bytes at its end.
     """
-    word = data.astype(np.uint64)
-    for shift, step in ((8, 1), (16, 2), (32, 4)):
-        word = (word[:-step] << np.uint64(shift)) | word[step:]
+    words, strings = sliding_window_view(data, 8), sliding_window_view(data, length)      # views: only what is picked is copied
     out = np.zeros(len(suffixes), np.int64)
     place, next_number, depth = np.arange(len(suffixes)), 0, 0
     order = np.argsort(group, kind="stable")
@@ -230,7 +232,7 @@ def deep_shallow(data: np.ndarray, suffixes: np.ndarray, group: np.ndarray, leng
 
     while depth < min(SHALLOW, length - 8):
         # multikey quicksort, all groups at once: order by the next eight bytes, keep those that agree
-        character = word[suffixes[place] + depth]
+        character = words[suffixes[place] + depth].view(">u8").ravel().astype(np.uint64)
         order = np.lexsort((character, group))
         place, group, character = place[order], group[order], character[order]
         new = np.concatenate([[True], (group[1:] != group[:-1]) | (character[1:] != character[:-1])])
@@ -242,9 +244,8 @@ def deep_shallow(data: np.ndarray, suffixes: np.ndarray, group: np.ndarray, leng
         depth += 8
         if not len(place):
             return out
-    for part in _group_parts(group, 1 << 18):
-        rows = data[suffixes[place[part]][:, None] + np.arange(depth, length)]
-        settle(place[part], blind_tries(rows, group[part]))
+    for part in _group_parts(group, TRIE_ROWS):
+        settle(place[part], blind_tries(strings[suffixes[place[part]]][:, depth:], group[part]))
     return out
 
 
