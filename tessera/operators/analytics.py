@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import running_sums
+
 HUNDRED = 100.0
 
 
@@ -43,9 +45,12 @@ def with_share(agg: DataFrame, count_col: str, name: str = "pourcentage",
 
 def with_running_share(agg: DataFrame, count_col: str, order: Column, name: str = "pct_cumul") -> DataFrame:
     """Cumulative percent in ``order`` (RANGE frame: peers included, as in SQL
-    without a frame clause). Aggregated frames only."""
-    run = Window.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return agg.withColumn(name, pct(F.sum(count_col).over(run), F.sum(count_col).over(Window.partitionBy())))
+    without a frame clause; nulls first). Counts are summed by value of ``order`` first, so peers share
+    one row of the running sum."""
+    per = agg.groupBy(order.alias("__order")).agg(F.sum(count_col).alias("__n"))
+    run = running_sums(per, [F.col("__order").asc_nulls_first()], {"__run": "__n"}, totals={"__all": "__n"}) \
+        .select("__order", pct(F.col("__run"), F.col("__all")).alias(name))
+    return agg.join(run, order.eqNullSafe(run["__order"])).drop("__order")
 
 
 def density(counts: DataFrame, count_col: str, group: Sequence[str],
@@ -121,14 +126,12 @@ def value_counts(df: DataFrame, col: str, k: int | None = None, name: str = "nb_
 
 def concentration(counts: DataFrame, key: str, count_col: str, threshold: float = 70.0) -> DataFrame:
     """Rank keys by count (desc, key asc), cumulative share, and whether the key
-    is among the smallest set reaching ``threshold`` percent. Aggregated input."""
-    w = Window.orderBy(F.col(count_col).desc(), F.col(key).asc())
-    tot = Window.partitionBy()
-    out = (counts.withColumn("rang", F.row_number().over(w))
-           .withColumn("part_cumulee", pct(F.sum(count_col).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-                                           F.sum(count_col).over(tot))))
-    prev = F.coalesce(F.lag("part_cumulee").over(w), F.lit(0.0))
-    return out.withColumn("dans_noyau", prev < F.lit(threshold))
+    is among the smallest set reaching ``threshold`` percent. One row a key, as many
+    as there are (``running_sums``: no task sees them all)."""
+    out = running_sums(counts, [F.col(count_col).desc(), F.col(key).asc_nulls_first()], {"__run": count_col}, "rang", {"__all": count_col})
+    before = pct(F.col("__run") - F.coalesce(F.col(count_col), F.lit(0)), F.col("__all"))
+    return out.select(*counts.columns, F.col("rang").cast("int").alias("rang"), pct(F.col("__run"), F.col("__all")).alias("part_cumulee"),
+                      (F.coalesce(before, F.lit(0.0)) < F.lit(threshold)).alias("dans_noyau"))
 
 
 def histogram(df: DataFrame, col: str, edges: Sequence[tuple[str, float | None, float | None]]) -> DataFrame:
