@@ -4,23 +4,28 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 #: Rows of one block of work: data rows are dealt over groups of about this size, queries likewise.
 GROUP_ROWS = 2048
 
 
-def one_per_id(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id, v (array of double) of usable rows: id and vector present, no null or non-finite component.
-
-    Of rows with the same id the smallest vector is used, so that repeated rows change nothing.
+def usable_rows(vectors: DataFrame, id_col: str, vector_col: str, name: str, least: Column | None = None) -> DataFrame:
+    """row, vec_id, v (array of double) of usable rows: id and vector present, no null or non-finite component,
+    and ``least`` (a condition on ``v``). Written as ``name``, so that ``row``, a number of a row's own, stays the same:
+    rows may share an id, and each takes part.
     """
     v = F.col("v")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")) \
-        .filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~bad) \
-        .groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")) \
+        .filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~bad)
+    if least is not None:
+        rows = rows.filter(least)
+    return materialise(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"), name)
 
 
 def matrix(col: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
@@ -47,7 +52,6 @@ def top_rows(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np
 
 
 def best_per_query(rows: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best rows (query_id, vec_id, score) of each query."""
-    from pyspark.sql import Window as W
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    """query_id, rank, vec_id, score of the k best rows (query_row, query_id, vec_id, score) of each query."""
+    order = W.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
