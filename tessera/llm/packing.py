@@ -195,7 +195,7 @@ def _pack_part(capacity: int, last: bool, step: int):
                 done = rooms <= capacity // SLACK          # proven, but bins with much room may serve others
         # a sequence number holds the round, the part and the bin
         sequence = (np.int64(step) << np.int64(60)) | (np.int64(part) << np.int64(24)) | bins
-        out = {c: table.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
+        out = {c: table.column(c) for c in ("_row", "doc_id", "piece", "start", "length", "ids_crc32")}
         return pa.table(out | {"sequence_id": sequence, "offset": offsets, "_done": done[bins]})
     return run
 
@@ -203,23 +203,24 @@ def _pack_part(capacity: int, last: bool, step: int):
 def pack(piece_rows: DataFrame, capacity: int = CAPACITY, part_tokens: int = PART_TOKENS, rounds: int = ROUNDS) -> DataFrame:
     """``pieces`` rows with ``sequence_id`` and ``offset``; sequences are filled from 0 without gaps.
 
-    A piece of the full capacity is a bin of its own in whatever part it falls.
+    A piece of the full capacity is a bin of its own in whatever part it falls. Pieces are dealt by a number of
+    their row, given when they are written, so equal rows (one id, one text, however many) are spread like any others.
     """
-    piece_rows = materialise(piece_rows, "pack-pieces")
+    piece_rows = materialise(piece_rows.withColumn("_row", F.monotonically_increasing_id()), "pack-pieces")
     kind = piece_rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, _done boolean"
+    schema = f"_row long, doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, _done boolean"
     packed: list[DataFrame] = []
     pool = piece_rows
     for step in range(rounds):
         tokens = pool.agg(F.sum("length")).first()[0] or 0
         parts = max(1, -(-tokens // part_tokens))
         last = step == rounds - 1 or parts == 1
-        dealt = pool.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(step)), F.lit(parts)))
+        dealt = pool.withColumn("_part", F.pmod(F.xxhash64("_row", F.lit(step)), F.lit(parts)))
         out = materialise(dealt.groupBy("_part").applyInArrow(_pack_part(capacity, last, step), schema), "pack-round")
-        packed.append(out.filter("_done").drop("_done"))
+        packed.append(out.filter("_done").drop("_done", "_row"))
         if last:
             break
-        pool = out.filter("not _done").select("doc_id", "piece", "start", "length", "ids_crc32")
+        pool = out.filter("not _done").select("_row", "doc_id", "piece", "start", "length", "ids_crc32")
     result = packed[0]
     for more in packed[1:]:
         result = result.unionByName(more)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tessera.llm import mixing, packing
 from tessera.llm.common import table
@@ -188,3 +189,19 @@ def test_what_a_worker_keeps_goes_when_it_is_idle():
     drop_when_idle("test", kept.clear, seconds=0.1)
     time.sleep(0.6)
     assert not kept
+
+
+def test_equal_rows_are_spread_over_parts(spark):
+    """A third of all rows under one null id with one text: no part holds them all, and all are packed."""
+    same = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+                                    F.lit(1).cast("long").alias("length"), F.lit(7).cast("long").alias("ids_crc32"))
+    other = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+                                     (F.col("id") % 90 + 1).alias("length"), F.col("id").alias("ids_crc32"))
+    out = packing.pack(same.unionByName(other), capacity=100, part_tokens=20_000, rounds=1)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    part = F.shiftright("sequence_id", 24)
+    per = [r["n"] for r in out.filter("doc_id IS NULL").groupBy(part.alias("p")).agg(F.count("piece").alias("n")).collect()]
+    assert sum(per) == 3000 and len(per) >= 10 and max(per) < 600
+    rows = out.groupBy("sequence_id").agg(F.sum("length").alias("s"), F.max(F.col("offset") + F.col("length")).alias("e"),
+                                          F.countDistinct("offset").alias("o"), F.count("offset").alias("n")).collect()
+    assert all(r.s == r.e <= 100 and r.o == r.n for r in rows) and sum(r.n for r in rows) == 9000
