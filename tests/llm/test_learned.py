@@ -69,9 +69,9 @@ def test_the_machine_learns_pairs():
     rng = np.random.default_rng(1)
     present = rng.integers(0, 2, (3000, 4)).astype(np.float32)
     label = (present[:, 0] == present[:, 1]).astype(np.float64)
-    machine = toxicity.fit(present, label, np.arange(4, dtype=np.uint64), steps=1500)
-    owner, slot = np.nonzero(present)
-    got = machine.scores(owner, slot, len(present))
+    machine = toxicity.Machine(np.arange(4, dtype=np.uint64), np.arange(4), *toxicity.fit([np.flatnonzero(r) for r in present], label, 4, steps=1500))
+    owner, feature = np.nonzero(present)
+    got = machine.scores(owner, feature, np.ones(len(owner)), len(present))
     assert ((got >= 0.5) == label).mean() > 0.95
     x = present.astype(np.float64)
     pairs = np.array([sum(machine.vectors[a] @ machine.vectors[b] * r[a] * r[b] for a in range(4) for b in range(a)) for r in x[:50]])
@@ -86,6 +86,67 @@ def test_terms_are_words_and_beginnings():
     assert len(last) == 2 and len(first & last) == 1          # the beginning abc
 
 
+def test_telling_features_are_those_of_a_plain_count(spark):
+    rng = np.random.default_rng(3)
+    words = ["w" + "".join(chr(97 + int(d)) for d in f"{k:02d}") for k in range(60)] + ["idiotic", "moron"]
+    rows = []
+    for k in range(400):
+        label = int(k % 10 == 0)
+        text = " ".join(rng.choice(words[:60], 6)) + (" idiotic" if label and k % 20 == 0 else "") + (" moron" if k < 40 and label else "")
+        rows.append((label, f"{text} {'z' * (k % 7)}", int(rng.integers(-2**62, 2**62))))
+    got = toxicity.telling_features(spark.createDataFrame(rows, "label int, text string, mark long")).collect()
+
+    having: dict[int, set] = {}
+    for k, (_, text, _) in enumerate(rows):
+        for term in set(toxicity.hashed_terms([text])[1].tolist()):
+            having.setdefault(term, set()).add(k)
+    features: dict[frozenset, list] = {}
+    for term, own in having.items():
+        if len(own) >= 2:
+            features.setdefault(frozenset(own), []).append(term)
+    p = sum(r[0] for r in rows) / len(rows)
+
+    def gain(own):
+        n, a = len(own), sum(rows[k][0] for k in own)
+        return sum(k * np.log(k / (n * q)) for k, q in ((a, p), (n - a, 1 - p)) if k)
+
+    want = sorted(sorted(t) for own, t in features.items() if gain(own) >= np.log(len(features)))
+    assert sorted(r.terms for r in got) == want and len(want) >= 2
+    idiotic = sorted(toxicity.hashed_terms(["idiotic"])[1].tolist())
+    assert idiotic in want                       # a word and its beginnings are one feature
+
+    finder = toxicity.TermFinder(np.array(idiotic, np.uint64), np.zeros(len(idiotic), np.int64))
+    owner, feature, value = finder(["idiotic", None, "idiot idiot", "sir"])
+    assert owner.tolist() == [0, 2] and feature.tolist() == [0, 0]
+    assert np.allclose(value, [1, 2 / 5])        # the beginnings idi and idio, of five terms
+
+
+def test_copies_are_learned_from_once(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + int(d)) for d in f"{k:04d}") for k in range(3000)]
+    rows, groups = [], []
+    for group in range(60):
+        text = list(rng.choice(words, 200))
+        for copy in range(5 if group < 20 else 1):
+            rows.append((int(group % 2 and copy < 4), " ".join(text[:150 + copy] + text[150:])))
+            groups.append(group)
+    frame = spark.createDataFrame([(label, text, 31 * k + 7) for k, (label, text) in enumerate(rows)] + [(0, "", 3), (0, "one", 4)], "label int, text string, mark long")
+    kept = {r.mark for r in toxicity.without_copies(frame).collect()}
+    assert kept >= {3, 4}
+    left = [(groups[k], rows[k][0]) for k in range(len(rows)) if 31 * k + 7 in kept]
+    want = {(group, label) for group, (label, _) in zip(groups, rows)}
+    assert set(left) == want and len(left) <= len(want) + 4          # one of each label stays; near copies go
+
+
+def test_no_feature_is_left_out_for_its_rank(spark):
+    """Six hundred insults in six toxic texts each: all are used."""
+    insults = ["".join(chr(97 + int(d)) for d in f"{k:03d}") + "o" for k in range(600)]
+    rows = [(1, f"you {insults[k % 600]} go") for k in range(3600)] + [(0, f"you sir go {'on' if k % 2 else 'off'}") for k in range(12000)]
+    frame = spark.createDataFrame([(label, text, 104729 * k) for k, (label, text) in enumerate(rows)], "label int, text string, mark long")
+    kept = {t for r in toxicity.telling_features(frame).collect() for t in r.terms}
+    assert all(set(toxicity.hashed_terms([word])[1].tolist()) & kept for word in insults)
+
+
 def test_toxicity_odd_rows(spark):
     rows = [(k, f"you idiot go away {k}" if k % 3 == 0 else f"have a good day sir {k}", int(k % 3 == 0)) for k in range(90)]
     odd = [(200, None, 1), (201, "", 0), (202, "good idiot day", None), (203, "nice " * 50000, 0), (None, "idiot", 1), (3, "you idiot go away 3", 1)]
