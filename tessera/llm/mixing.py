@@ -6,8 +6,8 @@ threshold is found without sorting: words are summed by (source, hash bucket),
 the bucket in which the running sum passes the budget is the boundary, and only
 the boundary bucket is looked into again with finer buckets, until single hash
 values are left. Rows with one id share a place: if they are the boundary, they are told
-apart by a hash of their text, and equal rows by their own place in their file,
-each by such a search again. A document too large for what is left of the budget ends a
+apart by a hash of their text, then of all their columns, and equal rows by their own place in
+their file, each by such a search again. A document too large for what is left of the budget ends a
 pass; the next pass fills the gap from documents that still fit. In the end one document
 more is taken if that brings the source nearer to its target.
 
@@ -19,17 +19,20 @@ an empty table.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.ordered import running_sums
 from .common import WORD, materialise, own_place, own_places
 
 #: Bits of the hash line, and of one histogram level.
 LINE_BITS, LEVEL_BITS = 60, 12
 
-#: A row's place: on the hash line by its id, then by its text, then a number of its own.
-KEYS = ("line", "by_text", "own")
+#: A row's place: on the hash line by its id, then by its text, by all its columns, and last a number of its own.
+KEYS = ("line", "by_text", "by_row", "own")
 
 #: The table of sources is broadcast up to this many rows (a few MB).
 MAX_BROADCAST_SOURCES = 50_000
@@ -46,11 +49,17 @@ def hash_line(col: Column) -> Column:
 
 def document_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    source_col: str = "source") -> DataFrame:
-    """doc_id, source, size (words), line (place on the hash line), by_text (place among rows with one id)."""
+    """doc_id, source, size (words), line (place on the hash line), by_text and by_row (places among rows with one id, and one text)."""
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        hash_line(F.col(id_col)).alias("line"), _bits(F.xxhash64(F.col(text_col))).alias("by_text"))
+        hash_line(F.col(id_col)).alias("line"), _bits(F.xxhash64(F.col(text_col))).alias("by_text"),
+        _bits(F.xxhash64(*[docs[f"`{c}`"] for c in _hashable(docs)])).alias("by_row"))
+
+
+def _hashable(docs: DataFrame) -> list[str]:
+    """Columns that Spark can hash: those without a map or variant in them."""
+    return [f.name for f in docs.schema if not re.search(r"\b(map<|variant\b)", f.dataType.simpleString())]
 
 
 def _bits(hashed: Column) -> Column:
@@ -66,20 +75,21 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
     in order of (cap / weight), the level is what is left after the full ones.
     """
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
-                          ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    caps = (per_source.withColumn("weight", weight)
+    # sources may be as many as hosts or addresses: numbers and sums come from ranges and their offsets
+    by_name = F.col("source").asc_nulls_last()
+    named = running_sums(per_source, [by_name], {}, rank="number")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("number") - 1) % len(weights) + 1).cast("int"))
+    caps = (named.withColumn("weight", weight)
             .withColumn("cap", F.col("source_size") * F.lit(max_epochs))
-            .withColumn("cap_level", F.col("cap") / F.col("weight")))
-    before = W.orderBy("cap_level", F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing).orderBy("cap_level")
-    level = ((F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-             / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
-    levels = caps.withColumn("level", level)
-    levels = levels.withColumn("fixed", F.max(F.when(F.col("cap_level") >= F.col("level"), F.col("level"))).over(everything))
+            .withColumn("cap_level", F.col("cap") / F.col("weight")).drop("number"))
+    summed = running_sums(caps, [F.col("cap_level").asc(), by_name], {"caps_to": "cap", "weights_to": "weight"},
+                          totals={"words": "source_size", "all_weights": "weight"})
+    level = ((F.col("words") - (F.col("caps_to") - F.col("cap")))
+             / (F.col("all_weights") - (F.col("weights_to") - F.col("weight"))))
+    levels = summed.withColumn("level", level)
+    fixed = levels.agg(F.max(F.when(F.col("cap_level") >= F.col("level"), F.col("level")))).scalar()
     return levels.select("source", "source_size",
-                         F.least(F.col("cap").cast("double"), F.col("fixed") * F.col("weight")).alias("target"))
+                         F.least(F.col("cap").cast("double"), fixed * F.col("weight")).alias("target"))
 
 
 def _boundary(rows: DataFrame, bucket: Column) -> DataFrame:
@@ -234,10 +244,11 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
     numbered = own_places(docs, "mix-docs")
     doc = F.col("_doc")
     own = _bits(F.xxhash64("file", "place")).alias("own")
-    fields = numbered.select("_doc", own, doc[id_col].alias("_id"), doc[text_col].alias("_text"), doc[source_col].alias("_source"))
+    by_row = _bits(F.xxhash64(*[doc.getField(c) for c in _hashable(docs)])).alias("by_row")
+    fields = numbered.select("_doc", own, by_row, doc[id_col].alias("_id"), doc[text_col].alias("_text"), doc[source_col].alias("_source"))
     size = F.coalesce(F.regexp_count(F.col("_text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")
     rows = fields.select("_doc", F.col("_source").alias("source"), size, hash_line(F.col("_id")).alias("line"),
-                         _bits(F.xxhash64("_text")).alias("by_text"), "own")
+                         _bits(F.xxhash64("_text")).alias("by_text"), "by_row", "own")
     plan = _plan(materialise(rows.drop("_doc"), "mix-sizes"), weights, max_epochs)
     decided = _decided(rows, *plan).filter("copies > 0")
     return decided.select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")

@@ -175,6 +175,37 @@ def test_mix_reaches_targets_where_rows_share_an_id(spark):
     assert applied == Counter((r.doc_id, r.source, r.text) for r in mixing.apply_mix(frame, weights).collect())
 
 
+def test_reruns_take_the_same_rows_of_one_id_and_text(spark):
+    rows = [(None, "s0", "a b c d e", k, {"k": k}) for k in range(90)] + [(1000 + k, "s1", f"w{k} p q r s", k, None) for k in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string, page int, extra map<string,int>")
+    runs = [Counter((r.doc_id, r.text, r.page) for r in mixing.apply_mix(df, (5, 3)).collect()) for df in (frame, frame.repartition(4), frame.orderBy("page"))]
+    assert runs[0] == runs[1] == runs[2]
+    taken = [n for (i, _, _), n in runs[0].items() if i is None]
+    assert len(taken) in range(1, 91) and len(set(taken)) + (len(taken) < 90) > 1        # some of them once more than others
+
+
+def test_targets_of_many_sources(spark):
+    """As many sources as documents: numbers and levels as one sorted pass in plain Python gives them."""
+    rng = np.random.default_rng(8)
+    sizes = {None: 40, **{f"host{k:05d}": int(n) for k, n in enumerate(rng.integers(0, 60, 2000))}}
+    rows = [(s, n) for s, n in sizes.items()]
+    got = {r.source: (r.source_size, r.target) for r in mixing.source_targets(
+        spark.createDataFrame(rows, "source string, size long").repartition(7)).collect()}
+    names = sorted(s for s in sizes if s is not None) + [None]
+    weight = {s: k % 3 + 1 for k, s in enumerate(names)}
+    target, left, still = dict.fromkeys(names, 0.0), float(sum(sizes.values())), set(names)
+    while still:
+        level = left / sum(weight[s] for s in still)
+        full = {s for s in still if 3 * sizes[s] <= level * weight[s]}
+        if not full:
+            target.update({s: level * weight[s] for s in still})
+            break
+        target.update({s: 3.0 * sizes[s] for s in full})
+        left -= sum(3 * sizes[s] for s in full)
+        still -= full
+    assert len(got) == len(sizes) and all(got[s][0] == sizes[s] and abs(got[s][1] - target[s]) < 1e-6 for s in names)
+
+
 def test_what_a_worker_keeps_goes_when_it_is_idle():
     import time
     from tessera.llm.common import drop_when_idle
