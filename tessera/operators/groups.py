@@ -8,8 +8,13 @@ replicate only the heavy keys' rows once per bucket (``SaltPlan.join``), and
 group statistics (``attach_group_stats``) are a window over (key, salt) -- exact
 for every light key, with no new shuffle when the input is already partitioned
 that way -- corrected for the heavy keys by a broadcast aggregate over their
-rows (at most ``total_rows / rows_per_task`` keys). A window over the key alone
-would put a hot key's rows in one task; nothing here does.
+rows. A window over the key alone would put a hot key's rows in one task; nothing here does.
+
+Heavy keys come from a table of counts per key where there is one, and otherwise
+from a mergeable sketch of frequent items, which moves no key: every task
+sends one sketch of bounded size. Either way at most ``MAX_HEAVY`` keys, the largest, are split
+(and broadcast); a key beyond these holds at most one in ``MAX_HEAVY`` of all rows. Which keys
+are split never changes a result, only where rows are worked on.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALT = "__salt"
 HEAVY = "__heavy"            # row belongs to a key split over several buckets
@@ -32,6 +38,13 @@ _N = "__n"
 DEFAULT_ROWS_PER_TASK = 2_000_000
 ROWS_PER_TASK_CONF = "tessera.salt.rowsPerTask"
 
+# Keys that are split at most, and items that a sketch keeps: it finds every key with
+# more than about 1 / (4 * MAX_HEAVY) of all rows, and counts exactly while there are fewer keys than items.
+MAX_HEAVY = 4096
+_SKETCH_ITEMS = 4 * MAX_HEAVY
+_SKETCH_PARTS = 64           # sketches are merged in two steps: by part, then these few
+_SKETCHED = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 
 def rows_per_task_for(df: DataFrame, rows_per_task: int | None = None) -> int:
     """Explicit value, else the session's ``tessera.salt.rowsPerTask``, else the default."""
@@ -55,12 +68,23 @@ class SaltPlan:
                     rows_per_task: int | None = None, null_safe: bool = True) -> "SaltPlan":
         rows_per_task = rows_per_task_for(counts, rows_per_task)
         heavy = (counts.where(F.col(count_col) > rows_per_task)
+                 .orderBy(F.col(count_col).desc(), *keys).limit(MAX_HEAVY)
                  .select(*keys, F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int").alias(_BUCKETS)))
         return cls(tuple(keys), heavy, null_safe)
 
     @classmethod
     def for_fact(cls, fact: DataFrame, keys: Sequence[str],
                  rows_per_task: int | None = None, null_safe: bool = True) -> "SaltPlan":
+        """Heavy keys of ``fact``: by a sketch for one key of text or whole numbers, else by exact counts.
+
+        The sketch is read here, in a job of its own, and becomes part of the plan: merged in another order it
+        could name other keys, and all joins must split the same ones."""
+        if len(keys) == 1 and isinstance(fact.schema[keys[0]].dataType, _SKETCHED):
+            rows_per_task = rows_per_task_for(fact, rows_per_task)
+            rows = [(k, -(-n // rows_per_task)) for k, n in frequent_keys(fact, keys[0]) if n > rows_per_task]
+            schema = T.StructType([T.StructField(keys[0], fact.schema[keys[0]].dataType), T.StructField(_BUCKETS, T.IntegerType())])
+            heavy = fact.sparkSession.createDataFrame(rows, schema)
+            return cls(tuple(keys), heavy if rows else heavy.where(F.lit(False)), null_safe)
         counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
         return cls.from_counts(counts, keys, _N, rows_per_task, null_safe)
 
@@ -107,6 +131,22 @@ class SaltPlan:
         return f.join(s, cond, how).drop(*[f"__s_{k}" for k in self.keys], "__s_salt")
 
 
+def frequent_keys(df: DataFrame, key: str, most: int = MAX_HEAVY) -> list[tuple]:
+    """(value, estimated rows) of the most frequent values of ``key``, at most ``most`` of them, the null among them.
+
+    No value is listed that the sketch is not sure of; none with more than about a 1 / (4 * MAX_HEAVY) of
+    the rows is missing (if ``most`` allows)."""
+    # by the task that read a row, so that rows stay where they are until they are in a sketch
+    parts = df.select(F.col(key).alias("k"), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_PARTS)).alias("part")).groupBy("part") \
+        .agg(F.expr(f"approx_top_k_accumulate(k, {_SKETCH_ITEMS})").alias("sketch"), F.count_if(F.col("k").isNull()).alias("nulls"))
+    found = parts.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {_SKETCH_ITEMS})").alias("sketch"), F.sum("nulls").alias("nulls")) \
+        .select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top"), "nulls").first()
+    if found is None:                        # no rows
+        return []
+    values = [(r["item"], r["count"]) for r in found.top if r["item"] is not None] + ([(None, found.nulls)] if found.nulls else [])
+    return sorted(values, key=lambda v: (-v[1], v[0] is not None, v[0] if v[0] is not None else 0))[:most]
+
+
 def attach_group_stats(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
                        salt_from: Sequence[str] | None = None, plan: SaltPlan | None = None,
                        rows_per_task: int | None = None, keep_salt: bool = False) -> DataFrame:
@@ -115,10 +155,9 @@ def attach_group_stats(df: DataFrame, keys: Sequence[str], aggs: dict[str, Colum
 
     ``aggs`` are aggregate columns usable both in ``groupBy().agg`` and
     ``over()`` (avg, sum, count, min, max, ...). Without a ``plan`` the heavy
-    keys are found by one narrow counting pass with partial aggregation."""
+    keys are found by ``SaltPlan.for_fact``."""
     if plan is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-        plan = SaltPlan.from_counts(counts, keys, _N, rows_per_task)
+        plan = SaltPlan.for_fact(df, keys, rows_per_task)
     f = plan.salt_fact(df, salt_from or df.columns)
     w = Window.partitionBy(*keys, SALT)
     out = f.withColumns({n: c.over(w) for n, c in aggs.items()})
