@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +70,23 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
+#: The JVM never compiles a method of more bytecode than this; it runs it interpreted.
+_LARGEST_COMPILED = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+@contextmanager
+def compiled_code(spark: SparkSession) -> Iterator[None]:
+    """Within it, a stage whose generated code would be one method too large for the JVM's compiler runs operator
+    by operator, with code that is compiled. The session's own setting comes back afterwards."""
+    name, limit = _LARGEST_COMPILED
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def is_local(spark: SparkSession) -> bool:
     """Whether driver and executors are one process on one machine."""
     return re.match(r"local(\[|$)", spark.sparkContext.master) is not None

@@ -4,7 +4,9 @@ Layout: one dataset per grain partitioned by ``code_ape`` (partition pruning for
 per-code reads), rows range-partitioned on (code_ape, cluster columns) and
 sorted within files, so Parquet min/max statistics skip row groups for
 department/activity filters. Range partitioning samples the keys, so a large
-code is spread over several tasks instead of landing in one.
+code is spread over several tasks instead of landing in one. Without cluster columns
+the few codes are no ranges to spread rows by: each code is then dealt by a hash of the row,
+and adaptive execution splits and joins the parts by their size.
 """
 
 from __future__ import annotations
@@ -16,8 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.groups import SALT_COLUMNS
+from ..session import compiled_code
 
 GRAINS = ("siret", "siren", "full")
+# Parts that the rows of one partition are dealt over, at most.
+_DEALT, _DEALS = "__dealt", 256
 DEFAULT_CLUSTER = ("departement", "type_activite_etab", "categorie_effectifs_etab")
 
 
@@ -39,14 +44,19 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Seq
     keys = [c for c in partition_by if c in df.columns] + cluster
     out = df
     if keys:
-        out = out.repartitionByRange(num_files, *keys) if num_files else out.repartitionByRange(*keys)
+        if cluster or num_files:
+            out = out.repartitionByRange(num_files, *keys) if num_files else out.repartitionByRange(*keys)
+        else:
+            out = out.withColumn(_DEALT, F.pmod(F.xxhash64(*[c for c, t in out.dtypes if "map<" not in t]), F.lit(_DEALS))) \
+                .hint("rebalance", *[F.col(c) for c in keys], F.col(_DEALT)).drop(_DEALT)
         if cluster:
             out = out.sortWithinPartitions(*keys)
     w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     parts = [c for c in partition_by if c in df.columns]
     if parts:
         w = w.partitionBy(*parts)
-    w.parquet(path)
+    with compiled_code(df.sparkSession):
+        w.parquet(path)
 
 
 def save_split(siret: DataFrame, siren: DataFrame, full: DataFrame, root: str, mode: str = "overwrite",

@@ -93,3 +93,30 @@ def test_typing_by_name_takes_whole_values_only(spark):
                                 ("2020-01-01T10:20:30", "[ND]", None), (None, None, "")], "dateCreation string, longitude string, anciennete_ul_annees string")
     rows = [(str(r[0]) if r[0] else None, r[1], r[2]) for r in coerce_types(df).collect()]
     assert rows == [(None, None, 3), (None, None, None), ("2020-01-01", 2.5, None), ("2020-01-01", None, None), (None, None, None)]
+
+
+def test_one_code_is_written_by_several_tasks(spark):
+    """Without cluster columns too: a code's rows are no single range."""
+    from tessera.sources.writers import publish
+    path, size = tempfile.mkdtemp(prefix="tessera-wide-") + "/t", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        publish(spark.range(0, 60_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit("a").alias("code_ape")), path)
+    finally:
+        spark.conf.set(size, before)
+    back = spark.read.parquet(path)
+    per_file = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert back.count() == 60_000 and back.select("id").distinct().count() == 60_000
+    assert len(per_file) > 4 and max(per_file) < 20_000
+
+
+def test_generated_code_is_compiled_within_a_write_only(spark):
+    from tessera.session import compiled_code
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with pytest.raises(ZeroDivisionError):
+        with compiled_code(spark):
+            assert spark.conf.get(name) == "8000"
+            1 / 0
+    assert spark.conf.get(name) == before
