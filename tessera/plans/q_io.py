@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.groups import SALT_COLUMNS, SaltPlan, group_size
-from ..session import scratch_path
+from ..session import compiled_code, scratch_path
 from ..sources import manifest as mf
 from ..sources import schemas
 from ..sources.readers import (
@@ -384,14 +384,29 @@ def s20_quarantine_malformed(spark, d):
 
 
 # ST1 / ST2 / ST3 -----------------------------------------------------------------------------
+# Records of a landed file, at most: files are written and read by one task each.
+_ROWS_PER_LANDING = 400_000
+
+
+def _times(spark, d) -> int:
+    """How many times as many files each landing and each trigger has as on a small table: the micro-batches
+    stay as many (the rows are counted from the Parquet footers)."""
+    return max(1, -(-read_table(spark, d, "orders").count() // _ROWS_PER_LANDING))
+
+
+def _land(rows, path):
+    """Pages land as compressed JSON lines."""
+    with compiled_code(rows.sparkSession):
+        rows.write.mode("overwrite").option("compression", "gzip").json(path)
+
+
 def _land_pages(spark, d, landing, with_replays: bool):
     full, _ = model.full(spark, d)
     full = full.drop(*SALT_COLUMNS)
-    pages = full.repartition(6, "siret")
-    pages.write.mode("overwrite").json(os.path.join(landing, "p1"))
+    n = _times(spark, d)
+    _land(full.repartition(6 * n, "siret"), os.path.join(landing, "p1"))
     if with_replays:  # a re-extraction lands some records a second time
-        full.where(F.pmod("siret", F.lit(10)) == 0).repartition(2).write.mode("overwrite") \
-            .json(os.path.join(landing, "p2"))
+        _land(full.where(F.pmod("siret", F.lit(10)) == 0).repartition(2 * n), os.path.join(landing, "p2"))
     return full.schema
 
 
@@ -405,10 +420,10 @@ def st1_incremental_ingestion(spark, d):
     schema = _land_pages(spark, d, os.path.join(root, "landing"), False)
     sink = os.path.join(root, "raw")
     ingest_pages(spark, _glob(os.path.join(root, "landing")), schema, sink, os.path.join(root, "_ckpt"),
-                 files_per_trigger=2, flatten=False)
+                 files_per_trigger=2 * _times(spark, d), flatten=False)
     # a second run finds nothing new: exactly once
     ingest_pages(spark, _glob(os.path.join(root, "landing")), schema, sink, os.path.join(root, "_ckpt"),
-                 files_per_trigger=2, flatten=False)
+                 files_per_trigger=2 * _times(spark, d), flatten=False)
     return spark.read.parquet(sink).select("siret", "siren", "code_ape")
 
 
@@ -419,7 +434,7 @@ def st2_stream_dedup(spark, d):
     sink = os.path.join(root, "raw")
     # replays land after the originals; keyed on landing time they fall inside the watermark delay
     ingest_pages(spark, _glob(os.path.join(root, "landing")), schema, sink, os.path.join(root, "_ckpt"),
-                 files_per_trigger=2, flatten=False, dedup_key="siret")
+                 files_per_trigger=2 * _times(spark, d), flatten=False, dedup_key="siret")
     return spark.read.parquet(sink).select("siret", "siren")
 
 
@@ -429,14 +444,14 @@ def st2_late_file(spark, d):
     root = _scratch(spark, "st2-late")
     full = model.full(spark, d)[0].drop(*SALT_COLUMNS)
     landing, sink = f"{root}/landing", f"{root}/raw"
-    part = F.pmod(F.xxhash64("siret"), F.lit(3))
+    part, n = F.pmod(F.xxhash64("siret"), F.lit(3)), _times(spark, d)
     for k, days in enumerate((0, 60, 0)):
         # each file repeats a few records of the one before
         rows = full.where((part == k) | ((part == k - 1) & (F.pmod("siret", F.lit(7)) == 0)))
         path = f"{landing}/p{k}"
-        rows.coalesce(1).write.json(path)
+        _land(rows.coalesce(n), path)
         _set_age(spark, path, days)
-        ingest_pages(spark, f"{landing}/*", full.schema, sink, f"{root}/_ckpt", flatten=False, dedup_key="siret")
+        ingest_pages(spark, f"{landing}/*", full.schema, sink, f"{root}/_ckpt", files_per_trigger=n, flatten=False, dedup_key="siret")
     return spark.read.parquet(sink).select("siret", "siren")
 
 
@@ -455,12 +470,12 @@ def st2_replay_after_the_delay(spark, d):
     """Keys are remembered in a table, not in a window of time: nothing that lands again is taken."""
     root = _scratch(spark, "st2-replay")
     full = model.full(spark, d)[0].drop(*SALT_COLUMNS)
-    part = F.pmod(F.xxhash64("siret"), F.lit(3))
+    part, n = F.pmod(F.xxhash64("siret"), F.lit(3)), _times(spark, d)
     for k, days in enumerate((90, 59, 0)):            # ages of the files: 31 and 59 days between them
         rows = full.where((part == k) | ((part < k) & (F.pmod("siret", F.lit(3)) == 0)))
-        rows.coalesce(2).write.json(f"{root}/landing/p{k}")
+        _land(rows.coalesce(2 * n), f"{root}/landing/p{k}")
         _set_age(spark, f"{root}/landing/p{k}", days)
-        ingest_pages(spark, _glob(f"{root}/landing"), full.schema, f"{root}/raw", f"{root}/_ckpt", files_per_trigger=4,
+        ingest_pages(spark, _glob(f"{root}/landing"), full.schema, f"{root}/raw", f"{root}/_ckpt", files_per_trigger=4 * n,
                      flatten=False, dedup_key="siret", key_index=f"{root}/keys", buckets=8)
     return spark.read.parquet(f"{root}/raw").select("siret", "siren")
 
@@ -486,7 +501,8 @@ def st3_stream_scoring(spark, d):
     root = _scratch(spark, "st3")
     schema = _land_pages(spark, d, f"{root}/landing", True)
     _, _, dims = context(spark, d)
-    score_stream(spark, _glob(f"{root}/landing"), schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=4, buckets=8)
+    score_stream(spark, _glob(f"{root}/landing"), schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE,
+                 files_per_trigger=4 * _times(spark, d), buckets=8)
     return latest_scored(spark, f"{root}/out")
 
 
@@ -511,11 +527,11 @@ def st3_closed_and_moved(spark, d):
     root = _scratch(spark, "st3-moves")
     full = model.full(spark, d)[0].drop(*SALT_COLUMNS)
     _, _, dims = context(spark, d)
-    landing = f"{root}/landing"
+    landing, n = f"{root}/landing", _times(spark, d)
 
     def land(rows, name):
-        rows.select(*full.columns).coalesce(2).write.json(f"{landing}/{name}")
-        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=8, buckets=8)
+        _land(rows.select(*full.columns).coalesce(2 * n), f"{landing}/{name}")
+        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=8 * n, buckets=8)
 
     ent = model.siren_table(spark, d, model.raw_siret(spark, d).where(F.col("periode_etatAdministratifEtablissement") == "A"))
     moved = full.where(F.pmod("siret", F.lit(13)) == 0)
@@ -537,12 +553,12 @@ def st3_backfill_changes_nothing(spark, d):
     root = _scratch(spark, "st3-backfill")
     full = model.full(spark, d)[0].drop(*SALT_COLUMNS)
     _, _, dims = context(spark, d)
-    landing = f"{root}/landing"
+    landing, n = f"{root}/landing", _times(spark, d)
 
     def land(rows, name, days=0):
-        rows.select(*full.columns).coalesce(2).write.json(f"{landing}/{name}")
+        _land(rows.select(*full.columns).coalesce(2 * n), f"{landing}/{name}")
         _set_age(spark, f"{landing}/{name}", days)
-        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=8,
+        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=8 * n,
                      buckets=8, compact_every=2)
 
     ent = model.siren_table(spark, d, model.raw_siret(spark, d).where(F.col("periode_etatAdministratifEtablissement") == "A"))
@@ -609,7 +625,7 @@ def _write_registry_records(spark, d, path):
                  F.col("c_name").alias("denominationUniteLegale"),
                  F.col("c_mktsegment").alias("activitePrincipaleUniteLegale")).alias("uniteLegale"),
         addr.alias("adresseEtablissement"), hist.alias("periodesEtablissement"))
-    rec.write.mode("overwrite").json(path)
+    _land(rec, path)
 
 
 @query("s20_registry_pipeline", with_model("""
@@ -659,7 +675,7 @@ def s20_report_by_code(spark, d):
     broken = (F.pmod(siret, F.lit(97)) == 0) | ((code == _FAILING) & (F.pmod(siret, F.lit(3)) != 0))
     lines = records.select(F.when(broken, F.concat(F.substring("value", 1, 40), F.lit("..."))).otherwise(F.col("value")).alias("value"),
                            code.alias("code_extraction"))
-    lines.write.partitionBy("code_extraction").text(f"{root}/landing")
+    lines.write.partitionBy("code_extraction").option("compression", "gzip").text(f"{root}/landing")
     flat = read_raw_json(spark, f"{root}/landing", corrupt_column="_corrupt_record")
     wanted = lines.select(F.col("code_extraction").alias("code_ape")).distinct() \
         .unionByName(spark.createDataFrame([("NO-SUCH-CODE",)], "code_ape string"))
