@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import compiled_code
 from ..sources.readers import flatten_structs
 from .keyed import KeyedTable, latest
 
@@ -66,7 +67,8 @@ def ingest_pages(spark: SparkSession, landing: str, schema: T.StructType, sink:
         if dedup_key:
             s = s.withWatermark(event_time or INGESTED_AT, delay).dropDuplicatesWithinWatermark([dedup_key])
         writer = s.writeStream.format("parquet").option("path", sink).outputMode("append")
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with compiled_code(spark):
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def _add_unseen(df: DataFrame, epoch: int, sink: str, key: str, index: KeyedTable) -> None:
@@ -115,15 +117,14 @@ def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root:
             return
         date = F.coalesce(F.col(own_date).cast("string"), F.lit("")) if own_date else F.lit("")
         versions = df.select(*columns, date.alias(ORDER[0]), F.col(LANDED_AT).alias(ORDER[1]), F.xxhash64(*columns).alias(ORDER[2]))
-        new = latest(versions, [key], ORDER).persist()
-        try:
-            _score_batch(new, epoch)
-        finally:
-            new.unpersist()
+        _score_batch(latest(versions, [key], ORDER), epoch)
 
     def _score_batch(new: DataFrame, epoch: int) -> None:
         session = new.sparkSession
         sites, owners, out = _scored_tables(session, root, key, entity, buckets, compact_every)
+        # wide rows are kept once: those of the batch before they meet the state (if there is any), then the fresh ones
+        known_before = not owners.is_empty(epoch)
+        new = new.persist() if known_before else new
         owned = new.select(key, entity, *ORDER)
         known = owners.lookup(new, epoch, owned.schema) \
             .select(F.col(key).alias("__key"), F.col(entity).alias("__old"), F.struct(*ORDER).alias("__known"))
@@ -131,13 +132,18 @@ def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root:
             .where(F.col("__known").isNull() | (F.struct(*ORDER) > F.col("__known"))).persist()
         left = fresh.where(F.col("__known").isNotNull() & ~F.col("__old").eqNullSafe(F.col(entity))) \
             .select(key, F.col("__old").alias(entity), *ORDER, F.lit(True).alias(gone))
-        kept = fresh.select(key, entity, *rest, *ORDER, F.lit(False).alias(gone)).unionByName(left, allowMissingColumns=True).persist()
+        kept = fresh.select(key, entity, *rest, *ORDER, F.lit(False).alias(gone)).unionByName(left, allowMissingColumns=True)
+        rows = kept
         try:
             if kept.isEmpty():
                 return                       # older versions only
-            rows = latest(sites.lookup(kept, epoch, kept.schema).unionByName(kept), [entity, key], ORDER).persist()
+            sites_before = not sites.is_empty(epoch)
             sites.add(kept, epoch)
             owners.add(fresh.select(*owned.columns), epoch)
+            if known_before:
+                new.unpersist()
+            if sites_before:                 # else an entity's rows are those of the batch, one an establishment
+                rows = latest(sites.lookup(kept, epoch, kept.schema).unionByName(kept), [entity, key], ORDER).persist()
             live = rows.where(~F.col(gone))
             live = live.where(active) if active else live
             scored = score_entities(live.select(*columns)).persist()
@@ -147,13 +153,15 @@ def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root:
             out.add(scored.withColumn("deleted", F.lit(False)).unionByName(removed.withColumn("deleted", F.lit(True)), allowMissingColumns=True)
                     .withColumn("__epoch", F.lit(epoch).cast("long")), epoch)
             scored.unpersist()
-            rows.unpersist()
         finally:
-            kept.unpersist()
+            if rows is not kept:
+                rows.unpersist()
+            new.unpersist()
             fresh.unpersist()
 
-    (_landed(spark, landing, schema, files_per_trigger).writeStream.foreachBatch(batch)
-     .option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint").trigger(availableNow=True).start().awaitTermination())
+    with compiled_code(spark):
+        (_landed(spark, landing, schema, files_per_trigger).writeStream.foreachBatch(batch)
+         .option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint").trigger(availableNow=True).start().awaitTermination())
 
 
 def latest_scored(spark: SparkSession, root: str, key: str = "siret") -> DataFrame:

@@ -8,7 +8,9 @@ run again after a failure writes the same partitions again. What a base replaces
 batch that wrote it is known to have been committed.
 
 Files are sorted by the bucket's column and hold a Bloom filter on it: a batch of few keys names them in its filter, and
-row groups without them are not read; larger ones are semi-joined.
+row groups without them are not read; larger ones are semi-joined. A batch's rows are dealt by a finer hash of the same
+column before they are written, so a bucket gets files by its size and not one from every task; the filters are as
+large as a file's keys need.
 """
 
 from __future__ import annotations
@@ -63,11 +65,19 @@ class KeyedTable:
     def _read(self, parts: dict[int, list[tuple[int, int]]], schema: T.StructType | None) -> DataFrame | None:
         paths = [f"{self.root}/bucket={b}/epoch={e}/base={x}" for b in sorted(parts) for e, x in self._live(parts[b])]
         if not paths:
-            return None if schema is None else self.spark.createDataFrame([], schema)
+            return None if schema is None else self.nothing(schema)
         reader = self.spark.read if schema is None else self.spark.read.schema(
             T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("epoch", T.LongType()), T.StructField("base", T.IntegerType())]))
         return reader.option("basePath", self.root).parquet(*paths).drop("bucket", "epoch", "base")
 
+    def nothing(self, schema: T.StructType) -> DataFrame:
+        """No rows; the filter tells the optimizer so, which drops the joins and unions with them."""
+        return self.spark.createDataFrame([], schema).where(F.lit(False))
+
+    def is_empty(self, epoch: int) -> bool:
+        """Whether no epoch before ``epoch`` wrote anything."""
+        return not self._parts(epoch)
+
     def current(self) -> DataFrame | None:
         """The latest version of every row; None where nothing was ever written."""
         rows = self._read(self._parts(None), None)
@@ -75,6 +85,8 @@ class KeyedTable:
 
     def lookup(self, touched: DataFrame, epoch: int, schema: T.StructType) -> DataFrame:
         """The latest rows, as of before ``epoch``, whose ``by`` is one of those in ``touched``; only their buckets are read."""
+        if self.is_empty(epoch):
+            return self.nothing(T.StructType(list(schema.fields)))
         wanted = touched.select(F.col(self.by).alias("__k")).distinct()
         hit = {r[0] for r in wanted.select(self.bucket(F.col("__k"))).distinct().collect()}         # at most ``buckets`` numbers
         rows = self._read({b: p for b, p in self._parts(epoch).items() if b in hit}, schema)
@@ -99,8 +111,12 @@ class KeyedTable:
             schema = T.StructType([f for f in rows.schema.fields if f.name != "bucket"])
             whole = self._read({b: parts[b] for b in due}, schema).unionByName(rows.where(F.col("bucket").isin(due)).drop("bucket"))
             out = out.unionByName(latest(whole, self.keys, self.order).withColumns({"bucket": self.bucket(), "base": F.lit(1)}))
+        # a hot key's or bucket's rows are split over tasks again by their size (rebalance)
+        fine = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets) * self.buckets
+        out = out.withColumn("__fine", F.pmod(F.xxhash64(self.by), F.lit(fine))).hint("rebalance", F.col("__fine")).drop("__fine")
         (out.withColumn("epoch", F.lit(epoch).cast("long")).sortWithinPartitions("bucket", "epoch", "base", self.by)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(f"parquet.bloom.filter.enabled#{self.by}", "true")
+         .option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.candidates.number", "10")
          .partitionBy("bucket", "epoch", "base").parquet(self.root))
 
     def _remove(self, parts: dict[int, list[tuple[int, int]]]) -> None:

@@ -118,3 +118,31 @@ def test_replays_are_dropped_however_late(spark):
         for i in ids:
             first.setdefault(i, k)
     assert out.count() == len(got) and got == first
+
+
+def test_keyed_table_writes_files_by_size(spark):
+    """Not one file a task and bucket, each with a filter for a million keys."""
+    t = table(spark)
+    t.add(spark.range(2000).selectExpr("id AS k", "id AS at", "string(id) AS v").repartition(8), 0)
+    files = [os.path.join(at, n) for at, _, names in os.walk(t.root) for n in names if n.endswith(".parquet")]
+    assert len(files) <= 8 and sum(os.path.getsize(f) for f in files) < 1_000_000
+    assert t.current().count() == 2000
+
+
+def test_a_first_batch_meets_no_state(spark):
+    """No joins or lookups against tables that hold nothing yet."""
+    t = table(spark)
+    got = rows(spark, [(1, 0, "a")]).join(t.lookup(rows(spark, [(1, 0, "")]), 0, rows(spark, []).schema).withColumnRenamed("k", "seen"),
+                                          F.col("k") == F.col("seen"), "left")
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landings_grow_by_files(spark, sf_small, monkeypatch):
+    from tessera.plans import q_io
+    monkeypatch.setattr(q_io, "_ROWS_PER_LANDING", 500)
+    n, root = q_io._times(spark, sf_small), tempfile.mkdtemp(prefix="tessera-land-")
+    assert n > 1
+    q_io._land_pages(spark, sf_small, root, True)
+    landed = {p: [f for f in os.listdir(f"{root}/{p}") if f.startswith("part-")] for p in ("p1", "p2")}
+    assert len(landed["p1"]) == 6 * n and len(landed["p2"]) == 2 * n
+    assert all(f.endswith(".json.gz") for fs in landed.values() for f in fs)
