@@ -625,7 +625,7 @@ def _write_registry_records(spark, d, path):
                  F.col("c_name").alias("denominationUniteLegale"),
                  F.col("c_mktsegment").alias("activitePrincipaleUniteLegale")).alias("uniteLegale"),
         addr.alias("adresseEtablissement"), hist.alias("periodesEtablissement"))
-    _land(rec, path)
+    _land(rec.repartition(6 * _times(spark, d)), path)      # a compressed file is read by one task
 
 
 @query("s20_registry_pipeline", with_model("""
