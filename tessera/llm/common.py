@@ -4,6 +4,7 @@ batches, hashed words, and intermediate tables in the shared folder."""
 from __future__ import annotations
 
 import ctypes
+import math
 import os
 import tempfile
 import threading
@@ -11,6 +12,7 @@ import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -199,23 +201,40 @@ def release() -> None:
 
 
 _used: dict[str, float] = {}
+_used_lock = threading.Lock()
 
 
 def drop_when_idle(name: str, drop: Callable[[], None], seconds: float = 1.0) -> None:
     """Call ``drop`` when this worker has not said so again for ``seconds``: what is kept between the tasks of a
     stage is given back when other stages follow. ``drop`` must be harmless at any time."""
-    running = name in _used
-    _used[name] = time.monotonic()
-    if running:
-        return
+    with kept_while_used(name, drop, seconds):
+        pass
+
+
+@contextmanager
+def kept_while_used(name: str, drop: Callable[[], None], seconds: float = 1.0) -> Iterator[None]:
+    """Around work, however long, with what this worker keeps: ``drop`` is called, as by ``drop_when_idle``, when no
+    such work has run for ``seconds``."""
+    with _used_lock:
+        waiting = name in _used
+        _used[name] = math.inf
 
     def wait() -> None:
-        while time.monotonic() - _used[name] < seconds:
+        while True:
+            with _used_lock:
+                if time.monotonic() - _used[name] >= seconds:
+                    del _used[name]
+                    break
             time.sleep(seconds / 4)
-        del _used[name]
         drop()
         release()
-    threading.Thread(target=wait, daemon=True).start()
+    if not waiting:
+        threading.Thread(target=wait, daemon=True).start()
+    try:
+        yield
+    finally:
+        with _used_lock:
+            _used[name] = time.monotonic()
 
 
 def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:

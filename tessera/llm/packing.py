@@ -15,19 +15,19 @@ are kept; an empty table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import os
-import re
-import struct
 import unicodedata
 import zlib
 from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, drop_when_idle, materialise
+from .common import arrow_map, kept_while_used, materialise, slices
 
 CAPACITY = 4096
 
@@ -40,65 +40,101 @@ ROUNDS = 3
 #: A proven part keeps bins with at most this fraction (1 / SLACK) of the capacity empty.
 SLACK = 32
 
-#: Cached words of a tokenizing worker (about 90 MB, kept between the tasks of a stage); the cache starts anew beyond it.
-CACHE_WORDS = 300_000
+#: Known runs of a tokenizing worker (about 15 MB, kept between the tasks of a stage); beyond, those of the last slice stay.
+KNOWN_RUNS = 300_000
 
-#: A comma or full stop that ends a word of plain letters; set apart, so that the word is known without it.
-_TAIL = re.compile(r"(?<=[a-z])([,.]) ")
+#: Bytes of texts whose distinct runs are looked up together, and new words tokenized in one call.
+SLICE_BYTES, CALL_WORDS = 1 << 21, 10_000
 
-#: Characters that stand for bytes in byte-level vocabularies (fixed rule: printable ones for themselves, the rest from U+0100 up).
-_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+#: Lower-case Latin letters, and marks that no special token has and no contraction begins with.
+_LATIN = "[" + "".join(chr(c) for c in range(0x61, 0x250) if chr(c).isalpha() and chr(c).lower() == chr(c)) + "]"
+_MARKS = r"[!\"#$%&()*+,./:;=?@^~-]"
 
+#: Marks that end a run after a letter; set apart, so that the word is known without them.
+_TAIL = f"({_LATIN})({_MARKS}+)( |$)"
 
-class WordTokenizer(dict):
+
+class WordTokenizer:
     """Token ids of whole texts by a ``tokenizers`` file, as little-endian unsigned 32-bit words.
 
-    For a tokenizer that lower-cases, drops white space and splits at it and
-    between letters and marks: a text's ids are those of its white-space-free
-    runs, one after the other, so each distinct run is tokenized once and looked
-    up after that. Runs of lower-case Latin letters, alone or with one mark at the end,
-    go to the tokenizer's model directly; all others through the whole tokenizer.
+    For a byte-level tokenizer that lower-cases, drops white space, splits at it and between letters and
+    marks, and tells the last token of a word by a suffix: a text's ids are those of its
+    white-space-free runs, one after the other, so each distinct run is tokenized once and looked
+    up after that, all runs of a slice of texts together. New runs of lower-case Latin letters
+    go to the tokenizer's model, many in a call; all others through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.marks = {"": b""} | {x: self.whole(x) for x in ",.;:!?"}
-
-    def whole(self, text: str) -> bytes:
-        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix, vocabulary = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        # known runs, the number of ids of each, and the ids end to end
+        self.runs = pa.array([], pa.large_string())
+        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def whole(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids end to end and their number for each of ``runs``, by the whole tokenizer."""
+        ids = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, "<u4"), *ids]), np.array([len(x) for x in ids], np.int64)
+
+    def latin(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``whole``, for words of lower-case Latin letters."""
+        out = [(np.zeros(0, "<u4"), np.zeros(0, np.int64))]
+        for at in range(0, len(words), CALL_WORDS):
+            some = words.slice(at, CALL_WORDS).to_pylist()
+            ids = np.array(self.words.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            out.append((ids, np.diff(stops, prepend=0)) if len(stops) == len(some) else self.whole(some))
+        ids, sizes = zip(*out, strict=True)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def learn(self, runs: pa.Array) -> np.ndarray:
+        """Tokenize the distinct ``runs`` where they are new; the place of each among the known ones."""
+        place = pc.index_in(runs, self.runs).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if not len(new):
+            return place
+        easy = pc.match_substring_regex(runs.take(pa.array(new)), f"^{_LATIN}+$").to_numpy(zero_copy_only=False)
+        new = np.concatenate([new[easy], new[~easy]])
+        place[new] = np.arange(len(new)) + len(self.runs)
+        words, others = (runs.take(pa.array(x)) for x in np.split(new, [int(easy.sum())]))
+        parts = [self.latin(words), self.whole(others.to_pylist())]
+        self.runs = pa.concat_arrays([self.runs, words, others])
+        self.ids = np.concatenate([self.ids, *(x for x, _ in parts)])
+        self.sizes = np.concatenate([self.sizes, *(x for _, x in parts)])
+        return place
+
+    def of(self, place: np.ndarray) -> np.ndarray:
+        """The ids of known runs, end to end."""
+        begin, size = (np.cumsum(self.sizes) - self.sizes)[place], self.sizes[place]
+        return self.ids[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
     @staticmethod
-    def pack(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __missing__(self, run: str) -> bytes:
-        letters, mark = (run, "") if run.isalpha() else (run[:-1], run[-1:])
-        if letters.isalpha() and mark in self.marks and max(letters) < "\u0250" and letters.lower() == letters:
-            shown = letters.encode().decode("latin-1").translate(_BYTE_CHARS)
-            code = self.pack([t.id for t in self.model.tokenize(shown)]) + self.marks[mark]
-        else:
-            code = self.whole(run)
-        self[run] = code
-        return code
+    def plain(text: str | None) -> str:
+        text = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        # lower-casing first changes nothing but for a final sigma, a dotted capital i,
+        # marks not yet composed, and the names of special tokens
+        if "\u03a3" not in text and "\u0130" not in text and "<|" not in text and unicodedata.is_normalized("NFC", text):
+            return text.lower()
+        return text
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self[""] = b""
-        out = []
-        for text in texts:
-            text = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
-            # lower-casing first changes nothing but for a final sigma, a dotted capital i,
-            # marks not yet composed, and the names of special tokens
-            if "\u03a3" not in text and "\u0130" not in text and "<|" not in text and unicodedata.is_normalized("NFC", text):
-                text = _TAIL.sub(r" \1 ", text.lower())
-            out.append(b"".join(map(self.__getitem__, text.split(" "))))
-        return out
+        column = pc.replace_substring_regex(pa.array([self.plain(t) for t in texts], pa.large_string()), _TAIL, r"\1 \2\3")
+        runs = pc.split_pattern(column, " ")
+        coded = runs.values.dictionary_encode()
+        known = self.learn(coded.dictionary)
+        place = known[coded.indices.to_numpy()]
+        stops = np.concatenate([[0], np.cumsum(self.sizes[place])])[runs.offsets.to_numpy()]
+        ids = self.of(place)
+        if len(self.runs) > KNOWN_RUNS:
+            self.runs, self.sizes, self.ids = coded.dictionary, self.sizes[known], self.of(known)
+        return [ids[a:b].tobytes() for a, b in itertools.pairwise(stops.tolist())]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -110,14 +146,17 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batch: pa.RecordBatch):
-        tokens = _tokenizers.get(tokenizer_path)
-        if tokens is None:
-            tokens = _tokenizers[tokenizer_path] = WordTokenizer(tokenizer_path)
-        drop_when_idle("tokenizers", _tokenizers.clear)
         texts, ids = batch.column(1), batch.column(0)
-        for at in range(0, batch.num_rows, 256):
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+        for at, to in slices(np.concatenate([[0], np.cumsum(sizes)]), SLICE_BYTES):
+            with kept_while_used("tokenizers", _tokenizers.clear):
+                tokens = _tokenizers.get(tokenizer_path)
+                if tokens is None:
+                    tokens = _tokenizers[tokenizer_path] = WordTokenizer(tokenizer_path)
+                codes = tokens(texts.slice(at, to - at).to_pylist())
+                del tokens
             rows: list[tuple] = []
-            for k, code in enumerate(tokens(texts.slice(at, 256).to_pylist()), at):
+            for k, code in enumerate(codes, at):
                 code += end
                 for piece, start in enumerate(range(0, len(code), 4 * capacity)):
                     part = code[start:start + 4 * capacity]

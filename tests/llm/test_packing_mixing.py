@@ -236,3 +236,37 @@ def test_equal_rows_are_spread_over_parts(spark):
     rows = out.groupBy("sequence_id").agg(F.sum("length").alias("s"), F.max(F.col("offset") + F.col("length")).alias("e"),
                                           F.countDistinct("offset").alias("o"), F.count("offset").alias("n")).collect()
     assert all(r.s == r.e <= 100 and r.o == r.n for r in rows) and sum(r.n for r in rows) == 9000
+
+
+def test_new_words_go_to_the_model_together(tokenizer):
+    """Words and marks of every kind as the whole tokenizer gives them; plain words do not pass through it, nor known ones again."""
+    rng = np.random.default_rng(5)
+    letters, marks = list("abcdeéßñœx"), ["", "", ",", ".", "***", "!!", "?).", "&&&", "|>", "\u2026"]
+    words = {"".join(rng.choice(letters, 7)) for _ in range(30_000)}
+    texts = [" ".join(w + marks[k % len(marks)] for k, w in enumerate(sorted(words), at)) for at in range(2)]
+    odd = ["", None, "it's dogs' 'tis ''s !'s l'l'", "<|endoftext|> a<|endoftext|>, <|endoftext.", "ΑΣ. aΣ. σ, é, e\u0301, x_ _y", "a.\tb,\r\nc.", "a,. b ., c",
+           "½x Ⅷ. ªº \u0149a \u01c5b \u0250c. \xa0d\u2003e. İx. 漢字. привет,", "~ ``a` {b} [c] \\d\\ e;", *("".join(rng.choice(list("ab,.'! sΣ<|>é\u0301\n1_"), 60)) for _ in range(300))]
+    tokens, passed = packing.WordTokenizer(tokenizer_path()), []
+    whole = tokens.whole
+    tokens.whole = lambda runs: passed.extend(runs) or whole(runs)
+    for some in (texts, odd):
+        want = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+        assert tokens(some) == want
+        if some is texts:
+            assert len(words) > 25_000 and len(passed) < 0.21 * 2 * len(words)      # two of the ten kinds of marks may be part of something else
+        passed.clear()
+        assert tokens(some) == want and not passed
+    one = tokens(texts[:1])
+    tokens.runs, tokens.sizes, tokens.ids = tokens.runs[:100], tokens.sizes[:100], tokens.ids[:int(tokens.sizes[:100].sum())]
+    assert tokens(texts[:1]) == one
+
+
+def test_what_a_worker_keeps_stays_while_work_lasts():
+    import time
+    from tessera.llm.common import kept_while_used
+    kept = {1: "tokenizer"}
+    with kept_while_used("long work", kept.clear, seconds=0.1):
+        time.sleep(0.5)
+        assert kept
+    time.sleep(0.5)
+    assert not kept
