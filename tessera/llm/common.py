@@ -130,18 +130,22 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _BYTE_VALUES = random_words(17, 256)[_LOWER]
 _BASE = 0x9E3779B97F4A7C55
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_powers: dict[int, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers 0..n-1 of an odd base modulo 2^64, and of its inverse."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
+    """The powers 0..n-1 of an odd base modulo 2^64, and of its inverse. They are as long as the longest text, so they
+    are kept only while a worker asks for them."""
+    drop_when_idle("powers", _powers.clear)
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = _powers.get(base)
+        if steps is None or len(steps) < n:
+            steps = np.full(1 << max(n - 1, 0).bit_length(), base, np.uint64)
             steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+            _powers[base] = steps = np.multiply.accumulate(steps)
+        out.append(steps[:n])
+    return out[0], out[1]
 
 
 def binary_column(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -120,3 +120,15 @@ def test_equal_strings_have_equal_anchors(text, before):
 
 def test_random_words_are_fixed():
     assert random_words(1, 2).tolist() == random_words(1, 3)[:2].tolist()
+
+
+def test_powers_of_a_long_text_go_when_the_worker_is_idle():
+    import time
+    from tessera.llm import common
+    power, inverse = common.powers(100_000)
+    assert len(power) == len(inverse) == 100_000 and (power * inverse == 1).all() and (power[1:2] * power[2:3] == power[3:4]).all()
+    assert sum(x.nbytes for x in common._powers.values()) >= 1_600_000
+    time.sleep(2.5)
+    assert not common._powers
+    again = common.powers(50)
+    assert (again[0] == power[:50]).all() and (again[1] == inverse[:50]).all() and len(common.powers(0)[0]) == 0
