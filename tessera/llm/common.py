@@ -4,6 +4,7 @@ batches, hashed words, and intermediate tables in the shared folder."""
 from __future__ import annotations
 
 import ctypes
+import gc
 import math
 import os
 import tempfile
@@ -21,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path
+from tessera.session import scratch_path, small_reader_batches
 
 #: Word separators of the contracts: space and the ASCII controls 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +32,7 @@ SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_reader_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -66,6 +68,7 @@ def materialise(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataF
     """
     spark = df.sparkSession
     ship(spark)
+    small_reader_batches(spark)
     path = scratch_path(spark, f"tessera-llm/{name}-{uuid.uuid4().hex}")
     before = spark.conf.get(_BATCH_CONF)
     spark.conf.set(_BATCH_CONF, str(batch_rows))
@@ -241,9 +244,16 @@ def kept_while_used(name: str, drop: Callable[[], None], seconds: float = 1.0) -
             _used[name] = time.monotonic()
 
 
+def release_when_idle() -> None:
+    """``release`` once this worker rests: while it works, the batch in hand is still held, and what is freed after a
+    task's last batch would stay with the allocators of each idle worker."""
+    drop_when_idle("freed memory", gc.collect)
+
+
 def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:
     """``f(batch) -> RecordBatch``s (or one, or None) over the Arrow batches of each partition."""
     ship(df.sparkSession)
+    small_reader_batches(df.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -252,5 +262,8 @@ def arrow_map(df: DataFrame, f, schema: str) -> DataFrame:
                 if out is not None:
                     yield from ([out] if isinstance(out, pa.RecordBatch) else out)
                 del out
+            del batch
             release()
+            release_when_idle()
+        release()
     return df.mapInArrow(run, schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import random_words, release, ship
+from .common import random_words, release, release_when_idle, ship
 
 #: Length of the vectors.
 DIMENSIONS = 512
@@ -139,6 +139,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
                 for lang in set(langs[at:to]):
                     sums[lang] = sums.get(lang, 0) + vectors[names == lang].sum(0)
         release()
+        release_when_idle()
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.array(list(sums), object), DIMENSIONS)),
@@ -171,6 +172,7 @@ def predictor(prototypes: dict[str, np.ndarray]) -> Callable[[Column], Column]:
             yield pa.StructArray.from_arrays([pa.array(known[np.concatenate(best)], pa.string()),
                                               pa.array(np.clip(np.concatenate(score), 0.0, 1.0))], ["lang", "score"])
         release()
+        release_when_idle()
     return predict
 
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, binary_column, hashed_words, materialise, mix64, own_places, release, slices
+from .common import arrow_map, binary_column, hashed_words, materialise, mix64, own_places, release, release_when_idle, slices
 from .components import components
 
 BUCKET_BITS, BANDS = 7, 32
@@ -271,6 +271,7 @@ def _across(num: int, den: int, pairs: bool):
             if out is not None:
                 yield out
         release()
+        release_when_idle()
     return run
 
 

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, kept_while_used, materialise, slices
+from .common import arrow_map, kept_while_used, materialise, release_when_idle, slices
 
 CAPACITY = 4096
 
@@ -222,6 +222,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[
 
 def _pack_part(capacity: int, last: bool, step: int):
     def run(table: pa.Table) -> pa.Table:
+        release_when_idle()
         table = table.sort_by([("length", "descending"), ("ids_crc32", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
         lengths = table.column("length").to_numpy().astype(np.int64)
         part = table.column("_part")[0].as_py()

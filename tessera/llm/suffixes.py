@@ -32,7 +32,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, binary_column, materialise, mix64, powers, random_words, release, slices
+from .common import arrow_map, binary_column, materialise, mix64, powers, random_words, release, release_when_idle, slices
 
 LENGTH = 100
 
@@ -325,6 +325,7 @@ def _first_suffixes(length: int):
             if out is not None:
                 yield out
         release()
+        release_when_idle()
     return run
 
 

@@ -70,6 +70,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
+#: Rows that Spark's Parquet reader unpacks at once. A row of the corpus is a whole text: the reader's own 4096 of them
+#: are arrays of tens of MB in every task, which a heap takes as huge objects of many regions and grows for.
+READER_ROWS = ("spark.sql.parquet.columnarReaderBatchSize", "256")
+
+
+def small_reader_batches(spark: SparkSession) -> None:
+    """Let the session read whole texts a few at a time, unless it names a number of rows itself."""
+    name, rows = READER_ROWS
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, rows)
+
+
 #: The JVM never compiles a method of more bytecode than this; it runs it interpreted.
 _LARGEST_COMPILED = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
