@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.groups import SALT_COLUMNS, SaltPlan, group_size
-from ..session import compiled_code, scratch_path
+from ..session import compiled_code, freed_shuffles, scratch_path
 from ..sources import manifest as mf
 from ..sources import schemas
 from ..sources.readers import (
@@ -396,7 +396,7 @@ def _times(spark, d) -> int:
 
 def _land(rows, path):
     """Pages land as compressed JSON lines."""
-    with compiled_code(rows.sparkSession):
+    with compiled_code(rows.sparkSession), freed_shuffles(rows.sparkSession):
         rows.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
@@ -493,6 +493,9 @@ def _entity_scorer(dims):
 
 
 _ACTIVE = "periode_etatAdministratifEtablissement = 'A'"
+# What the scorer and the condition read of a record.
+_SCORED_FROM = ("code_ape", "departement", "trancheEffectifsEtablissement", "uniteLegale_trancheEffectifsUniteLegale",
+                "uniteLegale_categorieJuridiqueUniteLegaleNiv2", "periode_etatAdministratifEtablissement")
 
 
 @query("st3_stream_scoring", with_model(
@@ -501,7 +504,7 @@ def st3_stream_scoring(spark, d):
     root = _scratch(spark, "st3")
     schema = _land_pages(spark, d, f"{root}/landing", True)
     _, _, dims = context(spark, d)
-    score_stream(spark, _glob(f"{root}/landing"), schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE,
+    score_stream(spark, _glob(f"{root}/landing"), schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, reads=_SCORED_FROM,
                  files_per_trigger=4 * _times(spark, d), buckets=8)
     return latest_scored(spark, f"{root}/out")
 
@@ -531,7 +534,7 @@ def st3_closed_and_moved(spark, d):
 
     def land(rows, name):
         _land(rows.select(*full.columns).coalesce(2 * n), f"{landing}/{name}")
-        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=8 * n, buckets=8)
+        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, reads=_SCORED_FROM, files_per_trigger=8 * n, buckets=8)
 
     ent = model.siren_table(spark, d, model.raw_siret(spark, d).where(F.col("periode_etatAdministratifEtablissement") == "A"))
     moved = full.where(F.pmod("siret", F.lit(13)) == 0)
@@ -558,7 +561,7 @@ def st3_backfill_changes_nothing(spark, d):
     def land(rows, name, days=0):
         _land(rows.select(*full.columns).coalesce(2 * n), f"{landing}/{name}")
         _set_age(spark, f"{landing}/{name}", days)
-        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, files_per_trigger=8 * n,
+        score_stream(spark, f"{landing}/*", full.schema, f"{root}/out", _entity_scorer(dims), active=_ACTIVE, reads=_SCORED_FROM, files_per_trigger=8 * n,
                      buckets=8, compact_every=2)
 
     ent = model.siren_table(spark, d, model.raw_siret(spark, d).where(F.col("periode_etatAdministratifEtablissement") == "A"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -87,18 +87,31 @@ _LARGEST_COMPILED = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 @contextmanager
-def compiled_code(spark: SparkSession) -> Iterator[None]:
-    """Within it, a stage whose generated code would be one method too large for the JVM's compiler runs operator
-    by operator, with code that is compiled. The session's own setting comes back afterwards."""
-    name, limit = _LARGEST_COMPILED
+def _holding(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, limit)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def compiled_code(spark: SparkSession) -> AbstractContextManager[None]:
+    """Within it, a stage whose generated code would be one method too large for the JVM's compiler runs operator
+    by operator, with code that is compiled. The session's own setting comes back afterwards."""
+    return _holding(spark, *_LARGEST_COMPILED)
+
+
+#: Without it shuffle files stay until the driver's garbage collector finds that nothing refers to their plan.
+_SHUFFLES_FREED = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def freed_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Within it, an action's shuffle files are removed when it ends. For actions that run their plan once: a plan made
+    within and run again makes its shuffles again. The session's own setting comes back afterwards."""
+    return _holding(spark, *_SHUFFLES_FREED)
+
+
 def is_local(spark: SparkSession) -> bool:
     """Whether driver and executors are one process on one machine."""
     return re.match(r"local(\[|$)", spark.sparkContext.master) is not None

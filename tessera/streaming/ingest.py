@@ -22,19 +22,21 @@ ST3  establishments are scored as they land. The segment of a row depends on
      left out before sites are counted. Rows that leave the result are written as
      deleted. The three tables are ``KeyedTable``s: a batch reads the buckets it
      touches, as bases merge them, and a replayed batch rewrites its own files.
+     They hold the columns that scoring reads; what a batch uses twice is staged in
+     files until it ends, and shuffle files go with the step that made them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import compiled_code
+from ..session import compiled_code, freed_shuffles
 from ..sources.readers import flatten_structs
-from .keyed import KeyedTable, latest
+from .keyed import KeyedTable, Staging, latest
 
 LANDED_AT, INGESTED_AT = "landed_at", "ingested_at"
 
@@ -103,12 +105,15 @@ def _scored_tables(spark: SparkSession, root: str, key: str, entity: str, bucket
 def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root: str,
                  score_entities: Callable[[DataFrame], DataFrame], key: str = "siret", entity: str = "siren",
                  active: str | None = None, files_per_trigger: int = 1, buckets: int = 64, own_date: str | None = None,
-                 compact_every: int = 8) -> None:
+                 compact_every: int = 8, reads: Sequence[str] | None = None) -> None:
     """ST3: score landed establishments per micro-batch, recomputing touched entities.
 
     ``active`` is a condition; rows that fail it are neither scored nor counted. ``own_date`` names the column with
-    the date of a record's state (ISO text or a date; null is oldest); without it versions go by landing time."""
-    columns = [f.name for f in schema.fields]
+    the date of a record's state (ISO text or a date; null is oldest); without it versions go by landing time.
+    ``reads`` names the columns that ``score_entities`` and ``active`` read, besides ``key`` and ``entity``: the state and
+    the shuffles hold no others (a state that was kept without a column has nulls there). Versions are told apart by all columns."""
+    landed = [f.name for f in schema.fields]
+    columns = landed if reads is None else [c for c in landed if c in (key, entity, *reads)]
     rest = [c for c in columns if c not in (key, entity)]
     gone = "__gone"
 
@@ -116,50 +121,45 @@ def score_stream(spark: SparkSession, landing: str, schema: T.StructType, root:
         if df.isEmpty():
             return
         date = F.coalesce(F.col(own_date).cast("string"), F.lit("")) if own_date else F.lit("")
-        versions = df.select(*columns, date.alias(ORDER[0]), F.col(LANDED_AT).alias(ORDER[1]), F.xxhash64(*columns).alias(ORDER[2]))
+        versions = df.select(*columns, date.alias(ORDER[0]), F.col(LANDED_AT).alias(ORDER[1]), F.xxhash64(*landed).alias(ORDER[2]))
         _score_batch(latest(versions, [key], ORDER), epoch)
 
     def _score_batch(new: DataFrame, epoch: int) -> None:
         session = new.sparkSession
         sites, owners, out = _scored_tables(session, root, key, entity, buckets, compact_every)
-        # wide rows are kept once: those of the batch before they meet the state (if there is any), then the fresh ones
-        known_before = not owners.is_empty(epoch)
-        new = new.persist() if known_before else new
-        owned = new.select(key, entity, *ORDER)
-        known = owners.lookup(new, epoch, owned.schema) \
-            .select(F.col(key).alias("__key"), F.col(entity).alias("__old"), F.struct(*ORDER).alias("__known"))
-        fresh = new.join(known, new[key].eqNullSafe(known["__key"]), "left") \
-            .where(F.col("__known").isNull() | (F.struct(*ORDER) > F.col("__known"))).persist()
-        left = fresh.where(F.col("__known").isNotNull() & ~F.col("__old").eqNullSafe(F.col(entity))) \
-            .select(key, F.col("__old").alias(entity), *ORDER, F.lit(True).alias(gone))
-        kept = fresh.select(key, entity, *rest, *ORDER, F.lit(False).alias(gone)).unionByName(left, allowMissingColumns=True)
-        rows = kept
+        staging = Staging(session, f"{root.rstrip('/')}/_staged")
         try:
+            new = staging.put("new", new)
+            if owners.is_empty(epoch):           # all are fresh, none left another entity
+                fresh, old, moved = new, F.col(entity), F.lit(False)
+            else:
+                known = owners.lookup(new, epoch, new.select(key, entity, *ORDER).schema) \
+                    .select(F.col(key).alias("__key"), F.col(entity).alias("__old"), F.struct(*ORDER).alias("__known"))
+                newer = new.join(known, new[key].eqNullSafe(known["__key"]), "left") \
+                    .where(F.col("__known").isNull() | (F.struct(*ORDER) > F.col("__known")))
+                moved = F.col("__known").isNotNull() & ~F.col("__old").eqNullSafe(F.col(entity))
+                fresh, old, moved = staging.put("fresh", newer.select(*new.columns, "__old", moved.alias("__moved"))), F.col("__old"), F.col("__moved")
+                staging.drop("new")
+            left = fresh.where(moved).select(key, old.alias(entity), *ORDER, F.lit(True).alias(gone))
+            kept = fresh.select(key, entity, *rest, *ORDER, F.lit(False).alias(gone)).unionByName(left, allowMissingColumns=True)
             if kept.isEmpty():
                 return                       # older versions only
-            sites_before = not sites.is_empty(epoch)
+            # the rows of the touched entities; without a state those are the batch's, one an establishment
+            rows = kept if sites.is_empty(epoch) else staging.put("rows", sites.lookup(kept, epoch, kept.schema, kept))
             sites.add(kept, epoch)
-            owners.add(fresh.select(*owned.columns), epoch)
-            if known_before:
-                new.unpersist()
-            if sites_before:                 # else an entity's rows are those of the batch, one an establishment
-                rows = latest(sites.lookup(kept, epoch, kept.schema).unionByName(kept), [entity, key], ORDER).persist()
+            owners.add(fresh.select(key, entity, *ORDER), epoch)
             live = rows.where(~F.col(gone))
             live = live.where(active) if active else live
-            scored = score_entities(live.select(*columns)).persist()
+            scored = staging.put("scored", score_entities(live.select(*columns)))
             # what moved away in an earlier batch is its new entity's matter
             here = rows.where(~F.col(gone)).select(key).unionByName(left.select(key)).distinct()
             removed = here.join(scored.select(F.col(key).alias("__k")), F.col(key).eqNullSafe(F.col("__k")), "left_anti")
             out.add(scored.withColumn("deleted", F.lit(False)).unionByName(removed.withColumn("deleted", F.lit(True)), allowMissingColumns=True)
                     .withColumn("__epoch", F.lit(epoch).cast("long")), epoch)
-            scored.unpersist()
         finally:
-            if rows is not kept:
-                rows.unpersist()
-            new.unpersist()
-            fresh.unpersist()
+            staging.drop()
 
-    with compiled_code(spark):
+    with compiled_code(spark), freed_shuffles(spark):
         (_landed(spark, landing, schema, files_per_trigger).writeStream.foreachBatch(batch)
          .option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint").trigger(availableNow=True).start().awaitTermination())
 

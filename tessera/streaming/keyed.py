@@ -24,6 +24,9 @@ from pyspark.sql import types as T
 #: Keys of a batch that are named in the scan's filter at most.
 MAX_NAMED = 200
 
+#: Compression of the files.
+CODEC = "zstd"
+
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row of each key (nulls are a key) with the largest ``order`` (columns); make ``order`` total."""
@@ -83,10 +86,11 @@ class KeyedTable:
         rows = self._read(self._parts(None), None)
         return None if rows is None else latest(rows, self.keys, self.order)
 
-    def lookup(self, touched: DataFrame, epoch: int, schema: T.StructType) -> DataFrame:
-        """The latest rows, as of before ``epoch``, whose ``by`` is one of those in ``touched``; only their buckets are read."""
+    def lookup(self, touched: DataFrame, epoch: int, schema: T.StructType, more: DataFrame | None = None) -> DataFrame:
+        """The latest rows, as of before ``epoch``, whose ``by`` is one of those in ``touched``; only their buckets are read.
+        Rows of ``more`` count too: one aggregation takes the latest of both."""
         if self.is_empty(epoch):
-            return self.nothing(T.StructType(list(schema.fields)))
+            return self.nothing(T.StructType(list(schema.fields))) if more is None else latest(more, self.keys, self.order)
         wanted = touched.select(F.col(self.by).alias("__k")).distinct()
         hit = {r[0] for r in wanted.select(self.bucket(F.col("__k"))).distinct().collect()}         # at most ``buckets`` numbers
         rows = self._read({b: p for b, p in self._parts(epoch).items() if b in hit}, schema)
@@ -95,7 +99,7 @@ class KeyedTable:
             rows = rows.where(F.col(self.by).isin([r[0] for r in few]))
         else:
             rows = rows.join(wanted, rows[self.by].eqNullSafe(wanted["__k"]), "left_semi")
-        return latest(rows, self.keys, self.order)
+        return latest(rows if more is None else rows.unionByName(more), self.keys, self.order)
 
     # writing --------------------------------------------------------------------------
     def add(self, rows: DataFrame, epoch: int) -> None:
@@ -115,13 +119,33 @@ class KeyedTable:
         fine = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets) * self.buckets
         out = out.withColumn("__fine", F.pmod(F.xxhash64(self.by), F.lit(fine))).hint("rebalance", F.col("__fine")).drop("__fine")
         (out.withColumn("epoch", F.lit(epoch).cast("long")).sortWithinPartitions("bucket", "epoch", "base", self.by)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(f"parquet.bloom.filter.enabled#{self.by}", "true")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC).option(f"parquet.bloom.filter.enabled#{self.by}", "true")
          .option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.candidates.number", "10")
          .partitionBy("bucket", "epoch", "base").parquet(self.root))
 
     def _remove(self, parts: dict[int, list[tuple[int, int]]]) -> None:
-        jvm = self.spark.sparkContext._jvm
         for b, gone in parts.items():
             for e, x in gone:
-                path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/bucket={b}/epoch={e}/base={x}")
-                path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+                _delete(self.spark, f"{self.root}/bucket={b}/epoch={e}/base={x}")
+
+
+class Staging:
+    """A batch's intermediate tables, as files under ``root``. Unlike cached rows they hold no memory, nor the
+    shuffles they were made with; a batch that is run again writes them again."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def put(self, name: str, rows: DataFrame) -> DataFrame:
+        rows.write.mode("overwrite").option("compression", CODEC).parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Remove the tables named, all of them if none is."""
+        for path in [f"{self.root}/{n}" for n in names] or [self.root]:
+            _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from tessera.streaming.ingest import ingest_pages, latest_scored, score_stream
-from tessera.streaming.keyed import KeyedTable
+from tessera.streaming.keyed import KeyedTable, Staging
 
 
 def table(spark, **more):
@@ -146,3 +146,81 @@ def test_landings_grow_by_files(spark, sf_small, monkeypatch):
     landed = {p: [f for f in os.listdir(f"{root}/{p}") if f.startswith("part-")] for p in ("p1", "p2")}
     assert len(landed["p1"]) == 6 * n and len(landed["p2"]) == 2 * n
     assert all(f.endswith(".json.gz") for fs in landed.values() for f in fs)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_batch_leaves_no_shuffle_or_staged_files(spark):
+    """Shuffle files go with the step that made them, not when the driver collects garbage; no rows are cached."""
+    spark.sparkContext._jvm.System.gc()
+    cached = spark.sparkContext._jsc.sc().getRDDStorageInfo()
+    before, cached, setting = shuffle_files(spark), len(cached), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, at_scoring = spark.conf.get(setting), []
+    first = [(str(k), str(k % 5), "A", "2024-01-01") for k in range(40)]
+    again = [(str(k), str(k % 3), "F" if k % 7 == 0 else "A", "2024-02-01") for k in range(0, 40, 2)]
+    root = tempfile.mkdtemp(prefix="tessera-st3-")
+    schema = spark.createDataFrame([], "siret string, siren string, state string, since string").schema
+
+    def scoring(live):
+        at_scoring.append(len(spark.sparkContext._jsc.sc().getRDDStorageInfo()))
+        return scorer(live)
+
+    for k, (days, data) in enumerate([(5, first), (0, again)]):
+        aged(spark, spark.createDataFrame(data, schema), f"{root}/landing/p{k}", days)
+        score_stream(spark, f"{root}/landing/*", schema, f"{root}/out", scoring, active="state <> 'F'", buckets=4)
+    for _ in range(50):                  # they are removed in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left and at_scoring and max(at_scoring) <= cached
+    assert not os.path.exists(f"{root}/out/_staged") and spark.conf.get(setting) == was
+
+
+def test_state_holds_what_scoring_reads(spark):
+    """Other columns are not kept, but tell versions apart."""
+    schema = spark.createDataFrame([], "siret string, siren string, state string, since string, note string").schema
+    files = [(5, [("1", "a", "A", "x", "n"), ("2", "a", "A", "x", "n"), ("3", "b", "A", "x", "n")]), (0, [("1", "a", "F", "x", "m"), ("2", "b", "A", "y", "n")])]
+    root = tempfile.mkdtemp(prefix="tessera-st3-")
+    for k, (days, data) in enumerate(files):
+        aged(spark, spark.createDataFrame(data, schema), f"{root}/landing/p{k}", days)
+        score_stream(spark, f"{root}/landing/*", schema, f"{root}/out", scorer, active="state <> 'F'", buckets=4, reads=["state"])
+    assert {r.siret: (r.siren, r.n, r.state) for r in latest_scored(spark, f"{root}/out").collect()} == {"2": ("b", 2, "A"), "3": ("b", 2, "A")}
+    kept = spark.read.parquet(f"{root}/out/establishments")
+    assert {"siret", "siren", "state"} < set(kept.columns) and not {"since", "note"} & set(kept.columns)
+    assert kept.where("siret = '1'").select("__hash").distinct().count() == 2
+
+
+def test_scored_from_names_all_that_scoring_reads(spark, sf_small):
+    from tessera.plans import model, q_io
+    from tessera.plans.q_core import context
+    full = model.full(spark, sf_small)[0].drop(*q_io.SALT_COLUMNS)
+    score = q_io._entity_scorer(context(spark, sf_small)[2])
+    want = score(full.where(q_io._ACTIVE))
+    got = score(full.select("siret", "siren", *q_io._SCORED_FROM).where(q_io._ACTIVE))
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_lookup_with_more_rows(spark):
+    t = table(spark)
+    like, more = rows(spark, []).schema, rows(spark, [(1, 5, "new"), (2, -1, "old"), (8, 0, "first")])
+    assert {r.k: r.v for r in t.lookup(more, 0, like, more).collect()} == {1: "new", 2: "old", 8: "first"}
+    t.add(rows(spark, [(k, 1, str(k)) for k in range(5)]), 0)
+    assert {r.k: r.v for r in t.lookup(more, 1, like, more).collect()} == {1: "new", 2: "2", 8: "first"}
+
+
+def test_staged_tables(spark):
+    staging = Staging(spark, tempfile.mkdtemp(prefix="tessera-staged-") + "/_staged")
+    one = staging.put("one", rows(spark, [(1, 2, "a"), (None, 3, None)]))
+    two = staging.put("two", rows(spark, []))
+    assert sorted(map(str, one.collect())) == sorted(map(str, rows(spark, [(1, 2, "a"), (None, 3, None)]).collect()))
+    assert two.isEmpty() and two.columns == one.columns
+    staging.drop("one")
+    assert os.listdir(staging.root) == ["two"]
+    staging.drop()
+    assert not os.path.exists(staging.root)
